@@ -6,16 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, pieces, pii, quality, secrets, toxicity, warc
+from . import jaccard, mixing, pieces, pii, quality, secrets, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_forest": vectors.op1_forest,
+    "op2_jaccard": jaccard.op2_jaccard,
     "op3_pieces": pieces.op3_pieces,
     "op4_pii": pii.op4_pii,
     "op5_mixing": mixing.op5_mixing,
+    "op6_products": vectors.op6_products,
     "op7_quality": quality.op7_quality,
     "op8_secrets": secrets.op8_secrets,
     "op9_warc": warc.op9_warc,
     "op10_toxicity": toxicity.op10_toxicity,
 }
 
-ORACLES: dict[str, str] = {"op5_mixing": mixing.OP5_SQL, "op9_warc": warc.OP9_SQL}
+ORACLES: dict[str, str] = {"op5_mixing": mixing.OP5_SQL, "op6_products": vectors.OP6_SQL, "op9_warc": warc.OP9_SQL}
