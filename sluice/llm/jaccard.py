@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import staged, table, whole_text
+from .common import discard, staged, table, whole_text
 from .shingles import prefix_length, shingle_sets
 
 #: Shingles that one step of the scan for common ones looks at together; common ones stand in at least COMMON documents.
@@ -136,67 +136,91 @@ def components(edges: DataFrame) -> DataFrame:
         large = staged(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "star-large")
         least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "star-least")
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        edges = staged(small.distinct(), "star-small")
+        old, edges = edges, staged(small.distinct(), "star-small")
+        discard(old, large)
         now = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
         if now == before or not now[0]:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
         before = now
 
 
+def measure(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b, n_a, n_b, common) of members (a) and their pivots (b)."""
+    pairs = members.where("set_id <> pivot").select(F.col("set_id").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("n_a"), F.col("pivot_n").alias("n_b")).distinct()
+    return staged(overlaps(pairs, texts), "jac-measured")
+
+
+def labelled(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    """Cells whose members are not all linked already, with each member's component and the cell's size."""
+    known = labels.select(F.col("node").alias("set_id"), "component")
+    cells = cells.join(known, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    w = Window.partitionBy("cell")
+    cells = cells.withColumn("lo", F.min("component").over(w)).withColumn("hi", F.max("component").over(w)).withColumn("size", F.count("*").over(w))
+    return staged(cells.where("lo <> hi").drop("lo", "hi"), "jac-cells")
+
+
+def pivoted(cells: DataFrame) -> DataFrame:
+    """The smallest set of each cell is its pivot."""
+    return cells.withColumn("p", F.min(F.struct("n", "set_id")).over(Window.partitionBy("cell"))).withColumn("pivot", F.col("p.set_id")).withColumn("pivot_n", F.col("p.n")).drop("p")
+
+
+def rings(members: DataFrame, measured: DataFrame) -> DataFrame:
+    """Members but the pivots, each in the ring of its distance and, as a visitor, in the next."""
+    distance = 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
+    ring = measured.select(F.col("a").alias("set_id"), F.col("b").alias("pivot"), F.floor(distance / (1 - RATIO + 1e-9)).cast("int").alias("ring"))
+    apart = members.where("set_id <> pivot").join(ring, ["set_id", "pivot"]).select("cell", "pivot", "ring", "set_id", "n", "own", F.explode(F.array(F.lit(True), F.lit(False))).alias("ring_own"))
+    ring_at = F.col("ring") + F.when(F.col("ring_own"), 0).otherwise(1)
+    return apart.select(F.xxhash64("cell", "pivot", ring_at).alias("cell"), "set_id", "n", "own", "ring_own")
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row of documents."""
-    scanned = staged(scan(documents, common_shingles(documents)), "jac-scan")
-    entries = scanned.where(F.col("window").isNotNull()).select(F.explode("window").alias("s"), "set_id", "n").withColumn("cell", F.col("s"))
-    region = Window.partitionBy("s")
-    first = entries.withColumn("p", F.min(F.struct("n", "set_id")).over(region)).withColumn("last", F.max(F.struct("n", "set_id")).over(region))
-    members = staged(first.where(F.col("p") != F.col("last")).select("cell", "set_id", "n", F.col("p.set_id").alias("pivot"), F.col("p.n").alias("pivot_n")).distinct(), "jac-members")
-    involved = members.select("set_id").unionByName(members.select(F.col("pivot").alias("set_id"))).distinct()
-    wanted = scanned.where("n > 0").groupBy("set_id").agg(F.min("text_hash").alias("text_hash")).join(involved, "set_id")
-    texts = staged(texts_of(documents, staged(wanted, "jac-wanted")), "jac-texts")
-    edges, labels, depth = [], None, 0
-    while True:
-        # Exact distances of all members to their pivots.
-        pairs = members.where("set_id <> pivot").select(F.col("set_id").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("n_a"), F.col("pivot_n").alias("n_b")).distinct()
-        measured = staged(overlaps(pairs, texts), "jac-measured")
-        edges.append(measured.where(linked()).select("a", "b"))
-        every = edges[0]
-        for e in edges[1:]:
-            every = every.unionByName(e)
-        labels = staged(components(every), "jac-labels")
-        # What no link joins to its pivot goes to its ring and, from there, to the next; pairs with the pivot are settled.
-        distance = 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
-        ring = measured.select(F.col("a").alias("set_id"), F.col("b").alias("pivot"), F.floor(distance / (1 - RATIO + 1e-9)).cast("int").alias("ring"))
-        apart = members.where("set_id <> pivot").join(ring, ["set_id", "pivot"]).select("cell", "pivot", "ring", "set_id", "n")
-        apart = apart.join(labels.select(F.col("node").alias("set_id"), "component"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-        spread = apart.withColumn("own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("ring", F.col("ring") + F.when(F.col("own"), 0).otherwise(1))
-        spread = spread.withColumn("cell", F.xxhash64("cell", "pivot", "ring")).drop("pivot", "ring")
-        ringed = Window.partitionBy("cell")
-        open_cells = spread.withColumn("lo", F.min("component").over(ringed)).withColumn("hi", F.max("component").over(ringed)).withColumn("size", F.count("*").over(ringed)).where("lo <> hi").drop("lo", "hi")
-        open_cells = staged(open_cells, "jac-cells")
-        large = open_cells.where(F.col("size") > RING)
-        depth += 1
-        if depth > DEPTH or large.isEmpty():
+    """(doc_id, text_hash, n_shingles, component_id) for each row of documents."""
+    both = staged(scan(documents, common_shingles(documents)), "jac-scan")
+    scanned = staged(both.drop("window"), "jac-sets")
+    entries = both.where(F.col("window").isNotNull()).select(F.explode("window").alias("cell"), "set_id", "n")
+    region = Window.partitionBy("cell")
+    # Within a region a member's pivot is the smallest set of which it can be a near copy by size.
+    size_window = region.orderBy(F.floor(F.log("n") * 1e6)).rangeBetween(-int(1e6 * np.log(1 / RATIO)), 0)
+    first = entries.withColumn("p", F.min(F.struct("n", "set_id")).over(size_window)).withColumn("lo", F.min("set_id").over(region)).withColumn("hi", F.max("set_id").over(region))
+    members = staged(first.where("lo <> hi").select("cell", "set_id", "n", F.col("p.set_id").alias("pivot"), F.col("p.n").alias("pivot_n")).distinct(), "jac-members")
+    discard(both)
+    involved = members.select("set_id").distinct()
+    wanted = staged(scanned.where("n > 0").groupBy("set_id").agg(F.min("text_hash").alias("text_hash")).join(involved, "set_id"), "jac-wanted")
+    texts = staged(texts_of(documents, wanted), "jac-texts")
+    discard(wanted)
+    measured = measure(members, texts)
+    links = staged(measured.where(linked()).select("a", "b"), "jac-links")
+    labels = components(links)
+    cells = labelled(members.select("cell", "set_id", "n").distinct().withColumn("own", F.lit(True)).withColumn("ring_own", F.lit(True)), labels)
+    discard(members, measured)
+    for depth in range(DEPTH + 1):
+        large = cells.where(F.col("size") > RING)
+        last = depth == DEPTH or large.isEmpty()
+        links = staged(links.unionByName(pairwise(cells if last else cells.where(F.col("size") <= RING), texts)), "jac-links")
+        if last:
             break
-        # Small rings wait for the pairwise step; large ones get pivots of their own.
-        small = open_cells.where(F.col("size") <= RING)
-        edges.append(pairwise(small, texts))
-        w = Window.partitionBy("cell")
-        members = staged(large.withColumn("p", F.min(F.struct("n", "set_id")).over(w)).select("cell", "set_id", "n", F.col("p.set_id").alias("pivot"), F.col("p.n").alias("pivot_n")).distinct(), "jac-members")
-    edges.append(pairwise(open_cells, texts))
-    every = edges[0]
-    for e in edges[1:]:
-        every = every.unionByName(e)
-    return label_documents(scanned, staged(components(every), "jac-components"))
+        if depth == 0:  # sizes first: a member's band and, as a visitor, the next
+            at = band("n") + F.when(F.col("own"), 0).otherwise(1)
+            large = large.drop("own").withColumn("own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("cell", F.xxhash64("cell", at))
+        members = staged(pivoted(large), "jac-members")
+        measured = measure(members, texts)
+        links = staged(links.unionByName(measured.where(linked()).select("a", "b")), "jac-links")
+        cells = labelled(rings(members, measured), components(links))
+        discard(members, measured)
+    return label_documents(scanned, components(links))
+
+
+def band(n: str) -> F.Column:
+    return F.floor(F.log(n) / F.lit(float(np.log(1 / RATIO)))).cast("int")
 
 
 def pairwise(cells: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between members of a cell that have no link yet, of sizes that allow one. Sizes lie in bands of a factor 1.25, of which two neighbours meet."""
-    band = F.floor(F.log("n") / F.lit(float(np.log(1.25)))).cast("int")
-    left = cells.select("cell", F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), "own", band.alias("band"))
-    right = cells.select("cell", F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), F.col("own").alias("own_b"), F.explode(F.array(band - 1, band, band + 1)).alias("band"))
-    fits = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & (F.col("own") | F.col("own_b")) & (10 * F.least("n_a", "n_b") >= 8 * F.greatest("n_a", "n_b"))
+    """Links between members of a cell that have no link yet, of sizes that allow one. Sizes lie in bands of a factor 1.25, of which neighbours meet; two visitors meet elsewhere."""
+    left = cells.select("cell", F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), F.col("own").alias("own_a"), F.col("ring_own").alias("ring_a"), band("n").alias("band"))
+    right = cells.select("cell", F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), F.col("own").alias("own_b"), F.col("ring_own").alias("ring_b"), F.explode(F.array(band("n") - 1, band("n"), band("n") + 1)).alias("band"))
+    fits = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & (F.col("own_a") | F.col("own_b")) & (F.col("ring_a") | F.col("ring_b")) & (10 * F.least("n_a", "n_b") >= 8 * F.greatest("n_a", "n_b"))
     pairs = staged(left.join(right, ["cell", "band"]).where(fits).select("a", "b", "n_a", "n_b").distinct(), "jac-pairs")
-    return staged(overlaps(pairs, texts).where(linked()).select("a", "b"), "jac-links")
+    return overlaps(pairs, texts).where(linked()).select("a", "b")
 
 
 def label_documents(scanned: DataFrame, labels: DataFrame) -> DataFrame:

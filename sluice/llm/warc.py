@@ -33,6 +33,7 @@ from .common import run_dir, staged, table
 RECORDS, ROLL, MINIMUM, PIECE, LEVEL = 400, 64 << 20, 100, 1 << 18, 4
 #: Payloads with more than this share of all rows are joined by broadcast: there are at most 1 / HOT of them.
 HOT = 1 / 1000
+MOST_TASKS = 10_000
 DATE = "2000-01-01T00:00:00Z"
 
 
@@ -209,7 +210,8 @@ def normalise(decisions: DataFrame, folder: str) -> DataFrame:
         fs.move(f"{root}/normal/.{name}.idx.{attempt}", f"{root}/normal/{name}.idx")
         return pd.DataFrame({"file": [name], "records": [n], "bytes": [at]})
 
-    return staged(decisions.groupBy("file").applyInPandas(one, "file string, records long, bytes long"), "warc-files")
+    files = decisions.select("file").distinct().count()
+    return staged(decisions.repartition(max(1, min(files, MOST_TASKS)), "file").groupBy("file").applyInPandas(one, "file string, records long, bytes long"), "warc-files")
 
 
 def read_member(stream, offset: int, length: int) -> tuple[dict[str, str], bytes]:
@@ -236,7 +238,7 @@ def read_back(files: DataFrame, folder: str) -> DataFrame:
                         rows.append((fields["X-Page-Id"], int(fields["X-Payload-Length"]), digest, kind, fields.get("X-Refers-To-Page", ""), name, x["offset"]))
                 yield pd.DataFrame(rows, columns=["page", "payload_bytes", "payload_digest", "record_type", "refers", "file", "offset"])
 
-    out = files.select("file").repartition("file").mapInPandas(one, "page string, payload_bytes long, payload_digest string, record_type string, refers string, file string, offset long")
+    out = files.select("file").repartition(max(1, min(files.count(), MOST_TASKS)), "file").mapInPandas(one, "page string, payload_bytes long, payload_digest string, record_type string, refers string, file string, offset long")
     as_id = lambda c: F.when(F.col(c) != "", F.col(c).cast("long"))
     return out.select(as_id("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", as_id("refers").alias("refers_to"), "file", "offset")
 
