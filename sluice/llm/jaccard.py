@@ -144,10 +144,42 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def measure(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b, n_a, n_b, common) of members (a) and their pivots (b)."""
-    pairs = members.where("set_id <> pivot").select(F.col("set_id").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("n_a"), F.col("pivot_n").alias("n_b")).distinct()
-    return staged(overlaps(pairs, texts), "jac-measured")
+class Sets:
+    """What comparisons need: the documents, (set_id, n, text_hash) of each set, and the cells of the first windows by set."""
+
+    def __init__(self, documents: DataFrame, hashes: DataFrame, members: DataFrame) -> None:
+        self.documents, self.hashes = documents, hashes
+        self.windows = staged(members.groupBy("set_id").agg(F.collect_set("cell").alias("cells")), "jac-windows")
+
+    def texts(self, pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
+        wanted = staged(self.hashes.join(ids, "set_id").select("set_id", "text_hash"), "jac-wanted")
+        out = staged(texts_of(self.documents, wanted), "jac-texts")
+        discard(wanted)
+        return out
+
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """Pairs whose windows share enough. If the window of x ends first, what it holds and y lacks is w(x) - c, with c shared
+        shingles, and may be at most n(x) less the intersection that a similarity of 0.8 needs."""
+        a, b = (self.windows.select(F.col("set_id").alias(k), F.col("cells").alias(f"cells_{k}")) for k in "ab")
+        need = F.ceil(4 * (F.col("n_a") + F.col("n_b")) / 9)
+        least = F.least(*[F.floor(F.col(n) / 5) + 1 - F.col(n) + need for n in ("n_a", "n_b")])
+        return pairs.join(a, "a").join(b, "b").where(F.size(F.array_intersect("cells_a", "cells_b")) >= F.greatest(least, F.lit(1))).select("a", "b", "n_a", "n_b")
+
+    def measured(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, n_a, n_b, common), with the size of the intersection of the full sets."""
+        pairs = staged(pairs, "jac-pairs")
+        texts = self.texts(pairs)
+        out = staged(overlaps(pairs, texts), "jac-measured")
+        discard(texts, pairs)
+        return out
+
+    def links(self, pairs: DataFrame) -> DataFrame:
+        return self.measured(self.possible(pairs)).where(linked()).select("a", "b")
+
+
+def pivot_pairs(members: DataFrame) -> DataFrame:
+    return members.where("set_id <> pivot").select(F.col("set_id").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("n_a"), F.col("pivot_n").alias("n_b")).distinct()
 
 
 def labelled(cells: DataFrame, labels: DataFrame) -> DataFrame:
@@ -184,26 +216,23 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     first = entries.withColumn("p", F.min(F.struct("n", "set_id")).over(size_window)).withColumn("lo", F.min("set_id").over(region)).withColumn("hi", F.max("set_id").over(region))
     members = staged(first.where("lo <> hi").select("cell", "set_id", "n", F.col("p.set_id").alias("pivot"), F.col("p.n").alias("pivot_n")).distinct(), "jac-members")
     discard(both)
-    involved = members.select("set_id").distinct()
-    wanted = staged(scanned.where("n > 0").groupBy("set_id").agg(F.min("text_hash").alias("text_hash")).join(involved, "set_id"), "jac-wanted")
-    texts = staged(texts_of(documents, wanted), "jac-texts")
-    discard(wanted)
-    measured = measure(members, texts)
-    links = staged(measured.where(linked()).select("a", "b"), "jac-links")
+    hashes = staged(scanned.where("n > 0").groupBy("set_id").agg(F.min("text_hash").alias("text_hash")), "jac-hashes")
+    sets = Sets(documents, hashes, members)
+    links = staged(sets.links(pivot_pairs(members)), "jac-links")
     labels = components(links)
     cells = labelled(members.select("cell", "set_id", "n").distinct().withColumn("own", F.lit(True)).withColumn("ring_own", F.lit(True)), labels)
-    discard(members, measured)
+    discard(members)
     for depth in range(DEPTH + 1):
         large = cells.where(F.col("size") > RING)
         last = depth == DEPTH or large.isEmpty()
-        links = staged(links.unionByName(pairwise(cells if last else cells.where(F.col("size") <= RING), texts)), "jac-links")
+        links = staged(links.unionByName(sets.links(pairwise(cells if last else cells.where(F.col("size") <= RING)))), "jac-links")
         if last:
             break
         if depth == 0:  # sizes first: a member's band and, as a visitor, the next
             at = band("n") + F.when(F.col("own"), 0).otherwise(1)
             large = large.drop("own").withColumn("own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("cell", F.xxhash64("cell", at))
         members = staged(pivoted(large), "jac-members")
-        measured = measure(members, texts)
+        measured = sets.measured(pivot_pairs(members))
         links = staged(links.unionByName(measured.where(linked()).select("a", "b")), "jac-links")
         cells = labelled(rings(members, measured), components(links))
         discard(members, measured)
@@ -214,13 +243,12 @@ def band(n: str) -> F.Column:
     return F.floor(F.log(n) / F.lit(float(np.log(1 / RATIO)))).cast("int")
 
 
-def pairwise(cells: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links between members of a cell that have no link yet, of sizes that allow one. Sizes lie in bands of a factor 1.25, of which neighbours meet; two visitors meet elsewhere."""
+def pairwise(cells: DataFrame) -> DataFrame:
+    """Pairs of members of a cell that no links join yet, of sizes that allow one. Sizes lie in bands of a factor 1.25, of which neighbours meet; two visitors meet elsewhere."""
     left = cells.select("cell", F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), F.col("own").alias("own_a"), F.col("ring_own").alias("ring_a"), band("n").alias("band"))
     right = cells.select("cell", F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), F.col("own").alias("own_b"), F.col("ring_own").alias("ring_b"), F.explode(F.array(band("n") - 1, band("n"), band("n") + 1)).alias("band"))
     fits = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & (F.col("own_a") | F.col("own_b")) & (F.col("ring_a") | F.col("ring_b")) & (10 * F.least("n_a", "n_b") >= 8 * F.greatest("n_a", "n_b"))
-    pairs = staged(left.join(right, ["cell", "band"]).where(fits).select("a", "b", "n_a", "n_b").distinct(), "jac-pairs")
-    return overlaps(pairs, texts).where(linked()).select("a", "b")
+    return left.join(right, ["cell", "band"]).where(fits).select("a", "b", "n_a", "n_b").distinct()
 
 
 def label_documents(scanned: DataFrame, labels: DataFrame) -> DataFrame:
