@@ -230,12 +230,16 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             break
         if depth == 0:  # sizes first: a member's band and, as a visitor, the next
             at = band("n") + F.when(F.col("own"), 0).otherwise(1)
-            large = large.drop("own").withColumn("own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("cell", F.xxhash64("cell", at))
-        members = staged(pivoted(large), "jac-members")
+            large = large.drop("own").withColumn("own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("at", at).withColumn("cell", F.xxhash64("cell", "at"))
+            # Cells with one pivot and band are one: a group of copies is large in the cells of all its shingles.
+            large = pivoted(large).withColumn("cell", F.xxhash64("pivot", "at")).drop("at")
+        else:
+            large = pivoted(large)
+        members = staged(large.select("cell", "set_id", "n", "own", "pivot", "pivot_n").distinct(), "jac-members")
         measured = sets.measured(pivot_pairs(members))
         links = staged(links.unionByName(measured.where(linked()).select("a", "b")), "jac-links")
-        cells = labelled(rings(members, measured), components(links))
-        discard(members, measured)
+        old, cells = cells, labelled(rings(members, measured), components(links))
+        discard(old, members, measured)
     return label_documents(scanned, components(links))
 
 
