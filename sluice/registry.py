@@ -1,4 +1,296 @@
 """Queries of the loader's operators and their SQL."""
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import metrics as M
+from .functions import types as T
+from .operators import binding as B
+from .operators import blocks as K
+from .operators import commit as C
+from .operators import defaults as D
+from .sources import log as L
+from .streaming import loader as S
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+ROWS, CUT, POLL = 100, 1500, 100
+
+LOG = """WITH RECURSIVE log AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'A' ELSE 'B' END AS zone, 'events' AS topic, CAST(user_id % 4 AS BIGINT) AS part,
+ row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS pos, event_type AS tbl, ts, props AS payload, value, event_id AS arrival_seq FROM events)"""
+BLOCKS = f""", blk AS (SELECT *, (row_number() OVER (PARTITION BY part, tbl ORDER BY pos) - 1) // {ROWS} AS block_no FROM log),
+ rng AS (SELECT part, tbl, block_no, min(pos) AS begin_pos, max(pos) AS end_pos, count(*) AS cnt, CAST(sum(octet_length(encode(payload))) AS BIGINT) AS bytes, min(epoch_us(ts)) AS first_us, max(epoch_us(ts)) AS last_us FROM blk GROUP BY 1, 2, 3)"""
+META = f""", old AS (SELECT * FROM log WHERE pos < {CUT}), oblk AS (SELECT *, (row_number() OVER (PARTITION BY part, tbl ORDER BY pos) - 1) // {ROWS} AS block_no FROM old),
+ orng AS (SELECT part, tbl, block_no, min(pos) AS begin_pos, max(pos) AS end_pos, count(*) AS cnt FROM oblk GROUP BY 1, 2, 3),
+ meta AS (SELECT part, tbl, begin_pos, end_pos, cnt FROM (SELECT *, row_number() OVER (PARTITION BY part, tbl ORDER BY block_no DESC) AS r FROM orng) WHERE r = 1)"""
+
+
+def add(name: str, sql: str | None = None):
+    def keep(f):
+        QUERIES[name] = f
+        if sql:
+            ORACLES[name] = sql
+        return f
+
+    return keep
+
+
+def log(s, d):
+    return L.events_log(s, d)
+
+
+def blocks(s, d):
+    return K.cut_rows(log(s, d), ROWS)
+
+
+def meta(s, d):
+    return C.commit_metadata(K.block_ranges(K.cut_rows(log(s, d).where(F.col("pos") < CUT), ROWS)))
+
+
+# Sources
+add("subscribe_clusters", LOG + " SELECT zone, tbl, count(*) AS n FROM log GROUP BY 1, 2")(lambda s, d: log(s, d).groupBy("zone", "tbl").agg(F.count("*").alias("n")))
+add("poll_batches", LOG + f" SELECT part, pos // {POLL} AS poll, count(*) AS n FROM log GROUP BY 1, 2")(lambda s, d: L.with_poll_batch(log(s, d), POLL).groupBy("part", "poll").agg(F.count("*").alias("n")))
+add("resume_offsets", LOG + META + """, f AS (SELECT part, min(begin_pos) AS p FROM meta GROUP BY 1) SELECT 'events' AS topic, '{' || string_agg('"' || part || '":' || p, ',' ORDER BY part) || '}' AS offsets FROM f""")(lambda s, d: L.starting_offsets(meta(s, d).withColumn("topic", F.lit("events"))))
+
+
+@add("route_by_header", LOG + " SELECT coalesce(CASE WHEN arrival_seq % 97 <> 0 THEN tbl END, 'rejected') AS dest, count(*) AS n FROM log GROUP BY 1")
+def route_by_header(s, d):
+    ok, bad = L.route(log(s, d).withColumn("tbl", F.when(F.col("arrival_seq") % 97 != 0, F.col("tbl"))))
+    return ok.select(F.col("tbl").alias("dest")).unionByName(bad.select(F.lit("rejected").alias("dest"))).groupBy("dest").agg(F.count("*").alias("n"))
+
+
+INSERT = "CASE arrival_seq % 4 WHEN 0 THEN 'insert into simple (`id`,`kind`,`score`) values (?,?,?)' WHEN 1 THEN 'insert into simple values (?, ?, ?, ?)' WHEN 2 THEN 'insert into simple (score, id) values (?, ?)' ELSE 'INSERT INTO simple VALUES (?, ?)' END"
+SIMPLE = [B.Col("id", "bigint"), B.Col("kind", "string"), B.Col("score", "double", nullable=True), B.Col("status", "string", "default", "'normal'"), B.Col("doubled", "bigint", "materialized", "id * 2"), B.Col("kind_upper", "string", "alias", "upper(kind)")]
+
+
+def envelopes(s, d, copies=1):
+    """Messages of four INSERT shapes, with cells to fit."""
+    df = log(s, d)
+    text = lambda c: F.col(c).cast("string")
+    shape = F.col("arrival_seq") % 4
+    df = df.withColumn("c_", F.when(shape == 0, F.array(text("arrival_seq"), F.col("tbl"), text("value"))).when(shape == 1, F.array(text("arrival_seq"), F.col("tbl"), text("value"), F.lit("sent"))).when(shape == 2, F.array(text("value"), text("arrival_seq"))).otherwise(F.array(text("arrival_seq"), F.col("tbl"))))
+    body = F.struct(F.lit("s1").alias("shard"), F.col("tbl").alias("table"), (F.col("arrival_seq") % 3 + 1).alias("schema_hash"), F.expr(INSERT).alias("sql"), F.array_repeat("c_", copies).alias("rows"))
+    return df.withColumn("payload", F.to_json(body)).drop("c_", "value")
+
+
+def decoded(s, d, copies=1):
+    return B.insert_shape(L.explode_rows(L.decode(envelopes(s, d, copies))))
+
+
+add("decode_envelope", LOG + f" SELECT arrival_seq, 's1' AS shard, tbl AS envelope_table, arrival_seq % 3 + 1 AS schema_hash, {INSERT} AS sql FROM log")(lambda s, d: L.decode(envelopes(s, d)).select("arrival_seq", "shard", "envelope_table", "schema_hash", "sql"))
+add("explode_rows", LOG + " SELECT arrival_seq, CAST(r AS INTEGER) AS row_in_msg FROM log, (SELECT unnest(range(3)) AS r)")(lambda s, d: L.explode_rows(L.decode(envelopes(s, d, 3))).select("arrival_seq", "row_in_msg"))
+add("synthetic_log")(lambda s, d: L.synthetic_log(s, log(s, d), 3, 4))
+add("insert_shape", LOG + f" SELECT {INSERT} AS sql, CASE arrival_seq % 4 WHEN 0 THEN 'id,kind,score' WHEN 2 THEN 'score,id' ELSE '' END AS names, CASE arrival_seq % 4 WHEN 0 THEN 3 WHEN 1 THEN 4 ELSE 2 END AS placeholders, count(*) AS n FROM log GROUP BY 1, 2, 3")(lambda s, d: decoded(s, d).groupBy("sql", F.array_join("names", ",").alias("names"), "placeholders").agg(F.count("*").alias("n")))
+add("insertable_columns", "SELECT * FROM (VALUES ('id', 1), ('kind', 2), ('score', 3), ('status', 4)) t(name, place), (SELECT count(*) AS n FROM events)")(lambda s, d: log(s, d).agg(F.count("*").alias("n")).select(F.posexplode(F.array(*[F.lit(c.name) for c in B.insertable(SIMPLE)])).alias("p", "name"), "n").select("name", (F.col("p") + 1).alias("place"), "n"))
+
+
+def bound(s, d, shape):
+    rows = B.bind(decoded(s, d).where(F.col("arrival_seq") % 4 == shape), SIMPLE)
+    return D.fill_defaults(B.project(rows, SIMPLE, ["arrival_seq"]), SIMPLE)
+
+
+def bound_sql(shape, kind, score, status):
+    return LOG + f" SELECT arrival_seq, arrival_seq AS id, {kind} AS kind, {score} AS score, {status} AS status FROM log WHERE arrival_seq % 4 = {shape}"
+
+
+add("bind_positional", bound_sql(1, "tbl", "value", "'sent'"))(lambda s, d: bound(s, d, 1))
+add("bind_prefix", bound_sql(3, "tbl", "CAST(NULL AS DOUBLE)", "'normal'"))(lambda s, d: bound(s, d, 3))
+add("bind_named", bound_sql(2, "''", "value", "'normal'"))(lambda s, d: bound(s, d, 2))
+add("fill_default_expr", bound_sql(0, "tbl", "value", "'normal'"))(lambda s, d: bound(s, d, 0))
+add("fill_type_default", LOG + " SELECT count(*) FILTER (arrival_seq % 4 = 2) AS empty_kind, count(*) FILTER (arrival_seq % 4 = 3) AS null_score FROM log")(lambda s, d: bound(s, d, 2).unionByName(bound(s, d, 3)).agg(F.count(F.when(F.col("kind") == "", 1)).alias("empty_kind"), F.count(F.when(F.col("score").isNull(), 1)).alias("null_score")))
+add("explicit_null_kept", LOG + " SELECT arrival_seq, CASE WHEN arrival_seq % 5 <> 0 THEN value END AS score, 'normal' AS status FROM log")(lambda s, d: D.fill_defaults(log(s, d).select("arrival_seq", F.col("arrival_seq").alias("id"), F.col("tbl").alias("kind"), F.when(F.col("arrival_seq") % 5 != 0, F.col("value")).alias("score")), SIMPLE).select("arrival_seq", "score", "status"))
+add("reorder_columns", LOG + " SELECT arrival_seq AS id, tbl AS kind, value AS score FROM log")(lambda s, d: B.reorder(log(s, d).select(F.col("value").alias("score"), F.col("tbl").alias("kind"), F.col("arrival_seq").alias("id")), SIMPLE))
+add("append_with_defaults", LOG + " SELECT arrival_seq AS id, tbl AS kind, CAST(NULL AS DOUBLE) AS score, 'normal' AS status, arrival_seq * 2 AS doubled, upper(tbl) AS kind_upper FROM log")(lambda s, d: D.derive(D.fill_defaults(log(s, d).select(F.col("arrival_seq").alias("id"), F.col("tbl").alias("kind")), SIMPLE), SIMPLE))
+
+
+def faulty(s, d):
+    """Bad messages by rule: an unknown column, too few placeholders, a short row."""
+    a = F.col("arrival_seq")
+    df = decoded(s, d)
+    df = df.withColumn("names", F.when(a % 89 == 0, F.array(F.lit("nope"), F.lit("kind"))).when(a % 83 == 0, F.array(F.lit("id"))).otherwise(F.col("names")))
+    df = df.withColumn("placeholders", F.when(a % 89 == 0, 2).when(a % 83 == 0, 2).otherwise(F.col("placeholders")))
+    return df.withColumn("cells", F.when((a % 79 == 0) & (a % 89 != 0) & (a % 83 != 0), F.slice("cells", 1, 1)).otherwise(F.col("cells"))).withColumn("error", B.problem(SIMPLE))
+
+
+def fault_sql(rule):
+    return LOG + f" SELECT arrival_seq FROM log WHERE {rule}"
+
+
+for name, error, rule in (("reject_unknown_column", "unknown_column", "arrival_seq % 89 = 0"), ("reject_placeholder_mismatch", "placeholder_mismatch", "arrival_seq % 83 = 0 AND arrival_seq % 89 <> 0"), ("reject_row_arity", "row_arity", "arrival_seq % 79 = 0 AND arrival_seq % 89 <> 0 AND arrival_seq % 83 <> 0")):
+    add(name, fault_sql(rule))(lambda s, d, error=error: faulty(s, d).where(F.col("error") == error).select("arrival_seq"))
+add("dead_letter", LOG + " SELECT CASE WHEN arrival_seq % 89 = 0 THEN 'unknown_column' WHEN arrival_seq % 83 = 0 THEN 'placeholder_mismatch' WHEN arrival_seq % 79 = 0 THEN 'row_arity' ELSE 'good' END AS side, count(*) AS n FROM log GROUP BY 1")(
+    lambda s, d: (lambda gb: gb[0].select(F.lit("good").alias("side")).unionByName(gb[1].select(F.col("message_error").alias("side"))).groupBy("side").agg(F.count("*").alias("n")))(B.split_valid(faulty(s, d), ["topic", "part", "pos"]))
+)
+add("failure_counts", LOG + " SELECT tbl, CASE WHEN arrival_seq % 89 = 0 THEN 'unknown_column' WHEN arrival_seq % 83 = 0 THEN 'placeholder_mismatch' ELSE 'row_arity' END AS error, count(*) AS n FROM log WHERE arrival_seq % 89 = 0 OR arrival_seq % 83 = 0 OR arrival_seq % 79 = 0 GROUP BY 1, 2")(lambda s, d: faulty(s, d).where("error is not null").groupBy("tbl", "error").agg(F.count("*").alias("n")))
+
+
+@add("missing_defaults_check", LOG + " SELECT arrival_seq % 4 <> 1 AS no_default, arrival_seq % 4 IN (2, 3) AS no_ordinary, count(*) AS n FROM log GROUP BY 1, 2")
+def missing_defaults_check(s, d):
+    a, b = B.coverage(SIMPLE)
+    return B.bind(decoded(s, d), SIMPLE).groupBy(a.alias("no_default"), b.alias("no_ordinary")).agg(F.count("*").alias("n"))
+
+
+# Types
+WIDE = "CAST(arrival_seq * 37 - 40000 AS BIGINT)"
+MS = "(epoch_us(ts) // 1000)"
+
+
+def ms():
+    return F.unix_millis("ts")
+
+
+add("cast_number", LOG + f", w AS (SELECT arrival_seq, {WIDE} AS n FROM log) SELECT arrival_seq, CASE WHEN n BETWEEN -128 AND 127 THEN n END AS i8, CASE WHEN n BETWEEN 0 AND 65535 THEN n END AS u16, CASE WHEN ((n % 256) + 256) % 256 > 127 THEN ((n % 256) + 256) % 256 - 256 ELSE ((n % 256) + 256) % 256 END AS i8_wrap FROM w")(
+    lambda s, d: log(s, d).withColumn("n", F.col("arrival_seq") * 37 - 40000).select("arrival_seq", T.cast_number(F.col("n"), "Int8").cast("long").alias("i8"), T.cast_number(F.col("n"), "UInt16").cast("long").alias("u16"), T.cast_number(F.col("n"), "Int8", "wrap").cast("long").alias("i8_wrap"))
+)
+add("cast_bool_to_number", LOG + " SELECT arrival_seq, CAST(value > 50 AS INTEGER) AS flag FROM log")(lambda s, d: log(s, d).select("arrival_seq", T.cast_number((F.col("value") > 50).cast("int"), "Int32").alias("flag")))
+add("cast_string", LOG + " SELECT tbl AS s, count(*) AS n FROM log GROUP BY 1")(lambda s, d: log(s, d).groupBy(F.col("tbl").cast("string").alias("s")).agg(F.count("*").alias("n")))
+add("cast_fixed_string", LOG + " SELECT arrival_seq, CASE WHEN octet_length(encode(tbl)) <= 6 THEN rpad(upper(hex(encode(tbl))), 12, '0') END AS fixed FROM log")(lambda s, d: log(s, d).select("arrival_seq", F.hex(T.cast_fixed_string(F.col("tbl"), 6)).alias("fixed")))
+add("ms_to_date", LOG + f" SELECT arrival_seq, CAST({MS} // 86400000 AS INTEGER) AS day FROM log")(lambda s, d: log(s, d).select("arrival_seq", F.unix_date(T.ms_to_date(ms())).alias("day")))
+add("ms_to_datetime", LOG + f" SELECT arrival_seq, {MS} // 1000 AS sec FROM log")(lambda s, d: log(s, d).select("arrival_seq", F.unix_seconds(T.ms_to_datetime(ms())).alias("sec")))
+add("ms_to_datetime64", LOG + f" SELECT arrival_seq, {MS} // 100 * 100 AS scale1, {MS} AS scale3, {MS} AS scale6 FROM log")(lambda s, d: log(s, d).select("arrival_seq", *[F.unix_millis(T.ms_to_datetime64(ms(), k)).alias(f"scale{k}") for k in (1, 3, 6)]))
+add("cast_nullable", LOG + " SELECT arrival_seq, CASE WHEN arrival_seq % 7 <> 0 THEN arrival_seq % 1000 END AS n FROM log")(lambda s, d: log(s, d).select("arrival_seq", T.cast_number(F.when(F.col("arrival_seq") % 7 != 0, F.col("arrival_seq") % 1000), "Int32").cast("long").alias("n")))
+add("null_into_required", LOG + " SELECT arrival_seq FROM log WHERE arrival_seq % 7 = 0 OR arrival_seq % 11 = 0")(lambda s, d: log(s, d).withColumn("x", F.when(F.col("arrival_seq") % 7 != 0, 1)).withColumn("y", F.when(F.col("arrival_seq") % 11 != 0, "a")).where(T.required_null(["x", "y"])).select("arrival_seq"))
+add("cast_array", "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS size, list_sum(list_transform(embedding, lambda x: CAST(floor(x * 100) AS BIGINT))) AS total FROM embeddings")(
+    lambda s, d: s.read.parquet(f"{d}/embeddings.parquet").select("vec_id", F.size("embedding").alias("size"), F.aggregate(T.cast_array(F.col("embedding"), lambda x: T.cast_number(F.floor(x.cast("float") * F.lit(100).cast("float")), "Int64")), F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
+)
+add("decoded_bytes", LOG + " SELECT tbl, CAST(sum(16 + octet_length(encode(payload)) + octet_length(encode(tbl))) AS BIGINT) AS bytes FROM log GROUP BY 1")(lambda s, d: log(s, d).groupBy("tbl").agg(F.sum(T.row_bytes({"arrival_seq": 8, "value": 8}, ["payload", "tbl"])).alias("bytes")))
+
+# Evolution
+V1 = SIMPLE[:2]
+V2 = [*V1, B.Col("extra", "bigint", "default", "7")]
+add("schema_hash", "SELECT md5('id bigint,kind string') AS v1, md5('id bigint,kind string,extra bigint') AS v2, count(*) AS n FROM events")(lambda s, d: log(s, d).agg(F.count("*").alias("n")).select(D.schema_hash(V1).alias("v1"), D.schema_hash(V2).alias("v2"), "n"))
+
+
+def versions(df):
+    return df.select("tbl").distinct().select("tbl", F.explode(F.array(F.lit(1), F.lit(2)).cast("array<bigint>")).alias("version")).withColumn("schema_hash", F.col("version"))
+
+
+def hashed(s, d):
+    return log(s, d).withColumn("schema_hash", F.col("arrival_seq") % 3 + 1)
+
+
+add("schema_check", LOG + " SELECT CASE arrival_seq % 3 WHEN 0 THEN 'stale' WHEN 1 THEN 'current' ELSE 'unknown' END AS state, count(*) AS n FROM log GROUP BY 1")(lambda s, d: D.classify_schema(hashed(s, d), versions(log(s, d))).groupBy("state").agg(F.count("*").alias("n")))
+add("schema_version_usage", LOG + " SELECT tbl, arrival_seq % 3 + 1 AS schema_hash, count(*) AS n FROM log GROUP BY 1, 2")(lambda s, d: hashed(s, d).groupBy("tbl", "schema_hash").agg(F.count("*").alias("n")))
+add("migrate_block", LOG + " SELECT arrival_seq AS id, tbl AS kind, CAST(7 AS BIGINT) AS extra FROM log")(lambda s, d: D.migrate(log(s, d).select(F.col("arrival_seq").alias("id"), F.col("tbl").alias("kind")), V2))
+add("mixed_version_block", LOG + " SELECT arrival_seq AS id, tbl AS kind, CASE WHEN arrival_seq % 2 = 0 THEN 7 ELSE pos END AS extra FROM log")(
+    lambda s, d: D.union_versions([log(s, d).where("arrival_seq % 2 = 0").select(F.col("arrival_seq").alias("id"), F.col("tbl").alias("kind")), log(s, d).where("arrival_seq % 2 <> 0").select(F.col("arrival_seq").alias("id"), F.col("tbl").alias("kind"), F.col("pos").alias("extra"))], V2)
+)
+
+# Blocks
+add("buffer_append", LOG + " SELECT part, tbl, min(pos) AS begin_pos, max(pos) AS end_pos, count(*) AS cnt FROM log GROUP BY 1, 2")(lambda s, d: log(s, d).groupBy("part", "tbl").agg(F.min("pos").alias("begin_pos"), F.max("pos").alias("end_pos"), F.count("*").alias("cnt")))
+add("block_by_rows", LOG + BLOCKS + " SELECT part, tbl, block_no, begin_pos, end_pos, cnt FROM rng")(lambda s, d: K.block_ranges(blocks(s, d)).select("part", "tbl", "block_no", "begin_pos", "end_pos", "cnt"))
+add("block_by_messages", LOG + " SELECT part, tbl, pos, (row_number() OVER (PARTITION BY part, tbl ORDER BY pos) - 1) // 64 AS block_no FROM log")(lambda s, d: K.cut_rows(log(s, d), 64).select("part", "tbl", "pos", "block_no"))
+add("block_stats", LOG + BLOCKS + " SELECT part, tbl, block_no, cnt, bytes, end_pos - begin_pos + 1 AS span, first_us, last_us FROM rng")(lambda s, d: K.block_ranges(blocks(s, d)).select("part", "tbl", "block_no", "cnt", "bytes", (F.col("end_pos") - F.col("begin_pos") + 1).alias("span"), "first_us", "last_us"))
+
+
+def greedy_sql(over):
+    return LOG + f""", p AS (SELECT part, tbl, pos // {POLL} AS poll, count(*) AS n, CAST(sum(octet_length(encode(payload))) AS BIGINT) AS b, min(epoch_us(ts)) AS f, max(epoch_us(ts)) AS l FROM log GROUP BY 1, 2, 3),
+ o AS (SELECT *, row_number() OVER (PARTITION BY part, tbl ORDER BY poll) AS k FROM p),
+ w AS (SELECT part, tbl, poll, k, CAST(0 AS BIGINT) AS block_no, n AS rn, b AS rb, f AS rf, l FROM o WHERE k = 1
+  UNION ALL SELECT o.part, o.tbl, o.poll, o.k, CASE WHEN {over} THEN w.block_no + 1 ELSE w.block_no END, CASE WHEN {over} THEN o.n ELSE w.rn + o.n END, CASE WHEN {over} THEN o.b ELSE w.rb + o.b END, CASE WHEN {over} THEN o.f ELSE w.rf END, o.l
+  FROM w JOIN o ON o.part = w.part AND o.tbl = w.tbl AND o.k = w.k + 1)
+ SELECT part, tbl, poll, block_no FROM w"""
+
+
+def greedy(s, d, **limits):
+    return K.greedy_cut(K.poll_summary(log(s, d), POLL), **limits).select("part", "tbl", "poll", "block_no")
+
+
+add("block_by_bytes", greedy_sql("w.rb > 2000"))(lambda s, d: greedy(s, d, size=2000))
+add("block_by_time", greedy_sql("w.l - w.rf > 86400000000"))(lambda s, d: greedy(s, d, seconds=86400))
+add("block_any_trigger", greedy_sql("(w.rn > 150 OR w.rb > 1500 OR w.l - w.rf > 172800000000)"))(lambda s, d: greedy(s, d, rows=150, size=1500, seconds=172800))
+
+# Commit metadata
+add("commit_metadata", LOG + META + " SELECT part, tbl, begin_pos, end_pos, cnt FROM meta")(meta)
+add("commit_offset", LOG + META + " SELECT part, min(begin_pos) AS commit_pos, max(end_pos) AS max_pos FROM meta GROUP BY 1")(lambda s, d: C.commit_offset(meta(s, d)))
+add("metadata_max", LOG + META + " SELECT part, max(end_pos) AS max_pos FROM meta GROUP BY 1")(lambda s, d: C.commit_offset(meta(s, d)).select("part", "max_pos"))
+add("empty_marker", LOG + META + ", t AS (SELECT DISTINCT part, tbl FROM log), l AS (SELECT part, max(pos) AS last_pos FROM old GROUP BY 1) SELECT t.part, t.tbl, CASE WHEN t.tbl = 'view' OR begin_pos IS NULL THEN last_pos + 1 ELSE begin_pos END AS begin_pos, CASE WHEN t.tbl = 'view' OR begin_pos IS NULL THEN last_pos ELSE end_pos END AS end_pos, CASE WHEN t.tbl = 'view' OR begin_pos IS NULL THEN 0 ELSE cnt END AS cnt FROM t JOIN l ON t.part = l.part LEFT JOIN meta ON t.part = meta.part AND t.tbl = meta.tbl")(
+    lambda s, d: C.with_empty_markers(meta(s, d).where("tbl <> 'view'"), log(s, d).select("part", "tbl").distinct(), log(s, d).where(F.col("pos") < CUT).groupBy("part").agg(F.max("pos").alias("last_pos")))
+)
+add("first_seen_marker", LOG + " SELECT part, tbl, min(pos) AS begin_pos, min(pos) - 1 AS end_pos, CAST(0 AS BIGINT) AS cnt FROM log GROUP BY 1, 2")(lambda s, d: C.first_seen_markers(log(s, d)))
+add("serialize_metadata_v0", LOG + META + " SELECT part, string_agg(tbl || ',' || begin_pos || ',' || end_pos, ',' ORDER BY tbl) AS metadata FROM meta GROUP BY 1")(lambda s, d: C.meta_to_string(meta(s, d)))
+add("serialize_metadata_v1", LOG + META + " SELECT part, '1,,r1,' || string_agg(tbl || ',' || begin_pos || ',' || end_pos || ',' || cnt, ',' ORDER BY tbl) || ',,0' AS metadata FROM meta GROUP BY 1")(lambda s, d: C.meta_to_string(meta(s, d), 1, "r1", 0))
+add("parse_metadata", LOG + META + " SELECT part, CAST(0 AS BIGINT) AS reference, tbl, begin_pos, end_pos, cnt FROM meta")(lambda s, d: C.meta_from_string(C.meta_to_string(meta(s, d), 1, "r1", 0)))
+add("merge_metadata", LOG + META + BLOCKS + ", n AS (SELECT part, tbl, begin_pos, end_pos, cnt FROM (SELECT *, row_number() OVER (PARTITION BY part, tbl ORDER BY block_no DESC) AS r FROM rng) WHERE r = 1 AND tbl <> 'view') SELECT coalesce(n.part, m.part) AS part, coalesce(n.tbl, m.tbl) AS tbl, coalesce(n.begin_pos, m.begin_pos) AS begin_pos, coalesce(n.end_pos, m.end_pos) AS end_pos, coalesce(n.cnt, m.cnt) AS cnt FROM meta m FULL JOIN n ON m.part = n.part AND m.tbl = n.tbl")(lambda s, d: C.merge_meta(meta(s, d), C.commit_metadata(K.block_ranges(blocks(s, d))).where("tbl <> 'view'")))
+add("message_count_from_reference", LOG + " SELECT part, tbl, pos, count(*) OVER (PARTITION BY part, tbl ORDER BY pos) AS n FROM log")(lambda s, d: log(s, d).select("part", "tbl", "pos", C.counts_from_reference(None).alias("n")))
+add("replay_plan", LOG + META + " SELECT part, min(begin_pos) AS commit_pos, max(end_pos) AS max_pos, CASE WHEN min(begin_pos) <= max(end_pos) THEN 'REPLAY' ELSE 'CONSUME' END AS state FROM meta GROUP BY 1")(lambda s, d: C.replay_plan(meta(s, d)))
+CLASSIFY = LOG + META + ", c AS (SELECT part, min(begin_pos) AS commit_pos FROM meta GROUP BY 1) SELECT log.part, log.tbl, log.pos, {} AS action FROM log JOIN c ON c.part = log.part AND pos >= commit_pos LEFT JOIN meta ON meta.part = log.part AND meta.tbl = log.tbl"
+add("replay_classify", CLASSIFY.format("CASE WHEN begin_pos IS NULL THEN 'consume' WHEN pos < begin_pos THEN 'skip_before_begin' WHEN pos <= end_pos THEN 'replay_append' ELSE 'consume' END"))(lambda s, d: C.classify(log(s, d), meta(s, d)).select("part", "tbl", "pos", "action"))
+add("force_consume", CLASSIFY.format("'consume'"))(lambda s, d: C.classify(log(s, d), meta(s, d), True).select("part", "tbl", "pos", "action"))
+add("rebuild_block", LOG + META + " SELECT log.part, log.tbl, log.pos, log.arrival_seq FROM log JOIN meta ON meta.part = log.part AND meta.tbl = log.tbl AND pos BETWEEN begin_pos AND end_pos")(lambda s, d: C.rebuild_blocks(log(s, d), meta(s, d)).select("part", "tbl", "pos", "arrival_seq"))
+add("replay_gap", LOG + META + ", f AS (SELECT part, min(pos) AS first_pos FROM log WHERE pos >= 1200 GROUP BY 1) SELECT meta.part, tbl, begin_pos, first_pos FROM meta LEFT JOIN f ON f.part = meta.part WHERE first_pos IS NULL OR first_pos > begin_pos")(lambda s, d: C.replay_gap(log(s, d).where("pos >= 1200"), meta(s, d)))
+
+
+def damaged(s, d):
+    """The log with gaps, repeats and a reset, by rule."""
+    df = log(s, d).where("arrival_seq % 103 <> 0")
+    df = df.withColumn("pos", F.when(F.col("arrival_seq") >= 800, F.col("pos")).otherwise(F.col("pos")))
+    again = df.where("arrival_seq % 101 = 0").withColumn("arrival_seq", F.col("arrival_seq") + 1_000_000_000)
+    return df.unionByName(again)
+
+
+DAMAGED = ", dmg AS (SELECT zone, topic, part, pos, tbl, arrival_seq FROM log WHERE arrival_seq % 103 <> 0 UNION ALL SELECT zone, topic, part, pos, tbl, arrival_seq + 1000000000 FROM log WHERE arrival_seq % 103 <> 0 AND arrival_seq % 101 = 0)"
+add("offset_anomalies", LOG + DAMAGED + ", q AS (SELECT *, max(pos) OVER (PARTITION BY topic, part ORDER BY arrival_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS m FROM dmg) SELECT part, pos, arrival_seq, CASE WHEN m IS NULL THEN 'ok' WHEN pos = 0 AND m > 0 THEN 'reset' WHEN pos <= m THEN 'rewind' WHEN pos > m + 1 THEN 'gap' ELSE 'ok' END AS anomaly FROM q")(lambda s, d: C.offset_anomalies(damaged(s, d)).select("part", "pos", "arrival_seq", "anomaly"))
+add("drop_rewound", LOG + DAMAGED + " SELECT topic, part, pos, min(arrival_seq) AS arrival_seq FROM dmg GROUP BY 1, 2, 3")(lambda s, d: C.dedup_log(damaged(s, d)).select("topic", "part", "pos", "arrival_seq"))
+add("flush_on_reset", LOG + ", r AS (SELECT part, arrival_seq, CASE WHEN pos >= 300 THEN pos - 300 ELSE pos END AS pos FROM log), q AS (SELECT *, CASE WHEN lag(pos) OVER (PARTITION BY part ORDER BY arrival_seq) > pos THEN 1 ELSE 0 END AS z FROM r) SELECT part, pos, arrival_seq, CAST(sum(z) OVER (PARTITION BY part ORDER BY arrival_seq) AS BIGINT) AS epoch FROM q")(lambda s, d: C.epoch_of(log(s, d).withColumn("pos", F.when(F.col("pos") >= 300, F.col("pos") - 300).otherwise(F.col("pos")))).select("part", "pos", "arrival_seq", "epoch"))
+
+
+@add("commit_conflict", LOG + BLOCKS + " SELECT part, max_by(block_no, block_no) AS seq FROM rng WHERE FALSE GROUP BY 1 UNION ALL SELECT part, block_no AS seq FROM rng WHERE tbl = 'click' AND block_no % 2 = 1")
+def commit_conflict(s, d):
+    history = K.block_ranges(blocks(s, d)).where("tbl = 'click'").select("part", F.col("block_no").alias("seq"), F.concat_ws(",", "tbl", "begin_pos", "end_pos").alias("written"))
+    from pyspark.sql import Window
+
+    prior = F.lag("written").over(Window.partitionBy("part").orderBy("seq"))
+    found = F.when(F.col("seq") % 2 == 1, F.lit("other")).otherwise(prior)
+    return C.commit_conflicts(history.withColumn("found", found)).select("part", "seq")
+
+
+add("overlap_check", LOG + BLOCKS + " SELECT part, tbl, block_no FROM rng WHERE block_no > 0 AND block_no % 3 = 0")(
+    lambda s, d: C.overlaps((lambda r: r.unionByName(r.where("block_no = 1")).withColumn("begin_pos", F.when((F.col("block_no") > 0) & (F.col("block_no") % 3 == 0), F.col("begin_pos") - 400).otherwise(F.col("begin_pos"))))(K.block_ranges(blocks(s, d)).select("part", "tbl", "block_no", (F.col("block_no") * 1000).alias("begin_pos"), (F.col("block_no") * 1000 + 700).alias("end_pos")))).select("part", "tbl", "block_no")
+)
+add("completeness_check", LOG + BLOCKS + ", p AS (SELECT part, max(end_pos) + 1 AS c, sum(cnt) AS n FROM rng GROUP BY 1) SELECT CAST(sum(c) AS BIGINT) AS covered, CAST(sum(n) AS BIGINT) AS loaded FROM p")(lambda s, d: C.completeness(K.block_ranges(blocks(s, d))))
+for name, first, way in (("first_batches", True, ""), ("last_batches", False, "DESC")):
+    add(name, LOG + BLOCKS + f" SELECT part, tbl, begin_pos, end_pos, cnt FROM (SELECT *, row_number() OVER (PARTITION BY part, tbl ORDER BY block_no {way}) AS r FROM rng) WHERE r = 1")(lambda s, d, first=first: C.edge_blocks(K.block_ranges(blocks(s, d)), first))
+add("assignment_history", LOG + BLOCKS + " SELECT part, tbl, begin_pos, nth FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY begin_pos DESC, tbl) AS nth FROM rng) WHERE nth <= 100")(lambda s, d: C.assignments(K.block_ranges(blocks(s, d))).select("part", "tbl", "begin_pos", F.col("nth").cast("long").alias("nth")))
+
+# Sink
+LEDGER_SQL = LOG + " SELECT md5(concat_ws('|', topic, part, tbl, min(pos), max(pos))) AS block_id, part, tbl, min(pos) AS begin_pos, max(pos) AS end_pos, count(*) AS cnt FROM log GROUP BY topic, part, tbl"
+add("exactly_once_sink", LEDGER_SQL)(lambda s, d: S.with_block_id(log(s, d))[1].select("block_id", "part", "tbl", "begin_pos", "end_pos", "cnt"))
+add("write_block", LOG + " SELECT topic, part, pos, tbl, md5(concat_ws('|', topic, part, tbl, min(pos) OVER (PARTITION BY part, tbl), max(pos) OVER (PARTITION BY part, tbl))) AS block_id FROM log")(lambda s, d: S.with_block_id(log(s, d))[0].select("topic", "part", "pos", "tbl", "block_id"))
+
+# Tables
+def base(name):
+    return lambda s, d: s.read.parquet(f"{d}/{name}.parquet")
+
+
+add("count_rows", "SELECT count(*) AS n FROM lineitem")(lambda s, d: base("lineitem")(s, d).agg(F.count("*").alias("n")))
+add("count_where", "SELECT count(*) AS n FROM lineitem WHERE l_quantity > 25")(lambda s, d: base("lineitem")(s, d).where("l_quantity > 25").agg(F.count("*").alias("n")))
+add("select_all", "SELECT * FROM nation")(base("nation"))
+add("select_ordered", "SELECT o_orderkey, o_custkey FROM orders ORDER BY o_orderkey")(lambda s, d: base("orders")(s, d).select("o_orderkey", "o_custkey").orderBy("o_orderkey"))
+add("verify_roundtrip", LOG + " SELECT arrival_seq, tbl FROM log WHERE arrival_seq % 103 = 0")(lambda s, d: log(s, d).select("arrival_seq", "tbl").exceptAll(log(s, d).where("arrival_seq % 103 <> 0").select("arrival_seq", "tbl")))
+
+# Monitoring
+add("throughput", LOG + " SELECT zone, topic, tbl, CAST(epoch_us(ts) // 86400000000 * 86400 AS BIGINT) AS window_s, count(*) AS messages, CAST(sum(octet_length(encode(payload))) AS BIGINT) AS bytes FROM log GROUP BY 1, 2, 3, 4")(lambda s, d: M.throughput(log(s, d)))
+
+
+def histogram_sql(bounds, col):
+    values = ", ".join(f"({k}, CAST({b} AS DOUBLE))" for k, b in enumerate(bounds))
+    return f"""WITH e(bucket, upper) AS (VALUES {values}, ({len(bounds)}, NULL)), c AS (SELECT (SELECT count(*) FROM e WHERE upper < v) AS bucket, count(*) AS n FROM (SELECT CAST({col} AS DOUBLE) AS v FROM events) GROUP BY 1)
+ SELECT CAST(e.bucket AS INTEGER) AS bucket, upper, coalesce(n, 0) AS n, CAST(sum(coalesce(n, 0)) OVER (ORDER BY e.bucket) AS BIGINT) AS cumulative FROM e LEFT JOIN c ON c.bucket = e.bucket"""
+
+
+for name, bounds, col in (("histogram_default", M.default_bounds(), "value * 1000"), ("histogram_extended", M.extended_bounds(), "value * 100000"), ("histogram_pow2", M.pow2_bounds(), "event_id")):
+    add(name, histogram_sql(bounds, col))(lambda s, d, bounds=bounds, col=col: M.histogram(base("events")(s, d).select(F.expr(col).alias("v")), "v", bounds))
+add("consumer_lag", LOG + META + ", c AS (SELECT part, min(begin_pos) AS p FROM meta GROUP BY 1), e AS (SELECT topic, part, max(pos) + 1 AS x FROM log GROUP BY 1, 2) SELECT topic, CAST(coalesce(sum(CASE WHEN x - p >= 0 THEN x - p END), -1) AS BIGINT) AS lag FROM e LEFT JOIN c ON c.part = e.part GROUP BY 1")(
+    lambda s, d: M.consumer_lag(log(s, d).groupBy("topic", "part").agg((F.max("pos") + 1).alias("end_pos")), C.commit_offset(meta(s, d)).withColumn("topic", F.lit("events")))
+)
+add("load_retries", LOG + BLOCKS + " SELECT tbl, CAST(sum(block_no % 3) AS BIGINT) AS retries FROM rng GROUP BY 1")(lambda s, d: K.block_ranges(blocks(s, d)).withColumn("retries", F.col("block_no") % 3).groupBy("tbl").agg(F.sum("retries").alias("retries")))
+add("replication_status", LOG + BLOCKS + " SELECT tbl, max(block_no) % 2 = 0 AS is_leader, FALSE AS is_readonly, count(*) AS queue_size, max(end_pos) - min(begin_pos) AS behind, (max(last_us) - min(first_us)) // 1000000 AS queue_age_s FROM rng GROUP BY 1")(
+    lambda s, d: M.replication_status(K.block_ranges(blocks(s, d)).groupBy("tbl").agg((F.max("block_no") % 2 == 0).alias("is_leader"), F.lit(False).alias("is_readonly"), F.count("*").alias("queue_size"), F.max("end_pos").alias("log_max_index"), F.min("begin_pos").alias("log_pointer"), F.lit(0).alias("x"), (F.max("last_us") - F.min("first_us")).alias("age")).withColumn("now_s", F.floor(F.col("age") / 1000000)).withColumn("last_queue_update_s", F.lit(0).cast("long")))
+)
+add("table_totals", "SELECT 'documents' AS tbl, count(*) AS total_rows, CAST(coalesce(sum(octet_length(encode(text))), 0) AS BIGINT) AS total_bytes FROM documents UNION ALL SELECT 'pages', count(*), CAST(coalesce(sum(octet_length(encode(html))), 0) AS BIGINT) FROM pages")(lambda s, d: M.table_totals({"documents": (base("documents")(s, d), "text"), "pages": (base("pages")(s, d), "html")}))
+add("commit_progress", LOG + META + ", c AS (SELECT part, min(begin_pos) AS commit_pos FROM meta GROUP BY 1) SELECT log.part, max(pos) AS current_pos, max(commit_pos) AS commit_pos FROM log JOIN c ON c.part = log.part GROUP BY 1")(lambda s, d: log(s, d).groupBy("part").agg(F.max("pos").alias("current_pos")).join(C.commit_offset(meta(s, d)).select("part", "commit_pos"), "part"))
