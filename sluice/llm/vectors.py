@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import staged, table
 
-TREES, FOREST_SAMPLE, LEAF, WANTED = 12, 16_384, 48, 0.08
+TREES, FOREST_SAMPLE, LEAF, WANTED = 12, 16_384, 24, 0.1
 COVER_SAMPLE, ROOTS, BLOCK_ROWS, QUERY_BLOCK, COVER_LEAF = 4_096, 48, 4_096, 4_096, 64
 #: Ids that a task holds for distinct vectors before it passes them on.
 FLUSH = 100_000
