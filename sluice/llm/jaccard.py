@@ -270,13 +270,13 @@ def kept_documents(documents: DataFrame) -> DataFrame:
     """documents with one row of each group: that of the smallest doc_id, then text hash; documents without words all stay."""
     groups = near_duplicates(documents)
     best = groups.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("x"))
-    best = best.select(F.col("x.doc_id").alias("k_id"), F.col("x.text_hash").alias("k_hash")).unionByName(groups.where("n_shingles = 0").select(F.col("doc_id").alias("k_id"), F.col("text_hash").alias("k_hash")).distinct())
-    best = staged(best, "jac-best")
-    rows = documents.withColumn("k_text_hash", F.xxhash64(whole_text()))
-    out = rows.join(best, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col("k_text_hash") == F.col("k_hash")), "left_semi")
-    once = Window.partitionBy("doc_id", "k_text_hash").orderBy(F.lit(1))
+    best = best.select("x.doc_id", "x.text_hash").unionByName(groups.where("n_shingles = 0").select("doc_id", "text_hash").distinct())
+    best = staged(best, "jac-best").toDF("best_id", "best_hash")
     words = F.length(F.regexp_replace(whole_text(), r"[\x20\x09-\x0D]+", "")) > 0
-    return out.withColumn("k_turn", F.row_number().over(once)).where((F.col("k_turn") == 1) | ~words).select(*documents.columns)
+    rows = documents.select(F.struct("*").alias("row"), "doc_id", F.xxhash64(whole_text()).alias("text_hash"), words.alias("words"))
+    out = rows.join(best, F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("text_hash") == F.col("best_hash")), "left_semi")
+    once = Window.partitionBy("doc_id", "text_hash").orderBy(F.lit(1))
+    return out.withColumn("turn", F.row_number().over(once)).where((F.col("turn") == 1) | ~F.col("words")).select("row.*")
 
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -131,11 +131,11 @@ def realise(rows: DataFrame, plan: DataFrame, blocks: int) -> DataFrame:
 
 
 def mixed_documents(documents: DataFrame, **settings) -> DataFrame:
-    """documents, each row as often as the mixture takes it; columns as they were."""
+    """documents, each row as often as the mixture takes it; columns as they were, whatever their names."""
     chosen = mix(documents, **settings).groupBy("doc_id", "row_hash").agg(F.max("copy").alias("copies"))
-    chosen = chosen.select(F.col("doc_id").alias("m_id"), F.col("row_hash").alias("m_hash"), "copies")
-    out = documents.join(chosen, F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.xxhash64(whole_text()) == F.col("m_hash")))
-    return out.withColumn("m_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*documents.columns)
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(whole_text()).alias("own_hash"))
+    out = rows.join(chosen, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("row_hash")))
+    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

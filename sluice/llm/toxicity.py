@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold, one_label, staged, whole_text
@@ -101,9 +101,8 @@ def score(text: str, w: np.ndarray, bias: float, hashes: Hashes, bits: int = BIT
     return float(1 / (1 + np.exp(-np.clip(bias + float(w[np.unique(i)].sum()), -35, 35))))
 
 
-def fit(documents: DataFrame, labels: DataFrame, train: F.Column | None = None, label: str = "toxic", sample: int = SAMPLE) -> Weights:
+def fit(documents: DataFrame, labels: DataFrame, train: Column | None = None, label: str = "toxic", sample: int = SAMPLE) -> Weights:
     """Fit on at most `sample` labelled rows that meet `train`, taken in hash order of doc_id."""
-    spark = documents.sparkSession
     ids = one_label(labels, label)
     ids = ids.where(train) if train is not None else ids
     ids = staged(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "toxic-sample")
@@ -123,13 +122,12 @@ def fit(documents: DataFrame, labels: DataFrame, train: F.Column | None = None,
     got = rows.mapInPandas(featurise, "x array<int>, label int").repartition(1).mapInPandas(train_one, "index array<int>, value array<float>, bias double").collect()
     if not got:
         return Weights(np.empty(0, np.int32), np.empty(0, np.float32), 0.0)
-    del spark
     return Weights(np.array(got[0]["index"], np.int32), np.array(got[0]["value"], np.float32), got[0]["bias"])
 
 
-def score_documents(documents: DataFrame, model: Weights) -> DataFrame:
-    """All columns of documents and `score`."""
-    sent = documents.sparkSession.sparkContext.broadcast((model.index, model.value, model.bias, model.bits))
+def score_column(spark: SparkSession, model: Weights) -> Column:
+    """The score of the column `text`; a filter may use it and leave all columns as they are."""
+    sent = spark.sparkContext.broadcast((model.index, model.value, model.bias, model.bits))
     state: dict = {}
 
     @F.pandas_udf("double")
@@ -139,7 +137,12 @@ def score_documents(documents: DataFrame, model: Weights) -> DataFrame:
         for texts in batches:
             yield pd.Series([score(t, w, bias, hashes, bits) for t in texts], dtype="float64")
 
-    return documents.withColumn("score", scores(whole_text()))
+    return scores(whole_text())
+
+
+def score_documents(documents: DataFrame, model: Weights) -> DataFrame:
+    """All columns of documents and `score`, which takes the place of a column of that name."""
+    return documents.withColumn("score", score_column(documents.sparkSession, model))
 
 
 def op10_toxicity(spark, sf_dir: str) -> DataFrame:
