@@ -17,7 +17,7 @@ from sluice.llm.common import staged, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score_documents(docs, model).where(F.col("score") < 0.5).select(*docs.columns)
+    return docs.where(toxicity.score_column(spark, model) < 0.5)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,9 +26,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets replaced; n_chars follows the text."""
+    """Secrets replaced; n_chars follows the text, and stays where the text is null."""
     out = secrets.redacted(docs)
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns) if "n_chars" in docs.columns else out
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))) if "n_chars" in docs.columns else out
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
