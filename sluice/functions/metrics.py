@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -53,3 +53,8 @@ def table_totals(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
         one = df.agg(F.count("*").alias("total_rows"), F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0)).cast("long").alias("total_bytes")).select(F.lit(name).alias("tbl"), "total_rows", "total_bytes")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+def load_lag(blocks: DataFrame, loaded_us: Column) -> DataFrame:
+    """lag_us of each loaded block: from its oldest message to its load. Blocks without a load time have none and are left out."""
+    return blocks.withColumn("lag_us", loaded_us - F.col("first_us")).where(F.col("lag_us").isNotNull())

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.log import numbered, with_poll_batch
@@ -49,3 +49,8 @@ def cut_blocks(log: DataFrame, poll: int, rows: int | None = None, size: int | N
 def block_ranges(blocks: DataFrame) -> DataFrame:
     """begin, end, count and message times of each block."""
     return blocks.groupBy(*KEYS, "block_no").agg(F.min("pos").alias("begin_pos"), F.max("pos").alias("end_pos"), F.count("*").alias("cnt"), F.sum(F.octet_length("payload")).cast("long").alias("bytes"), F.min(F.unix_micros("ts")).alias("first_us"), F.max(F.unix_micros("ts")).alias("last_us"))
+
+
+def block_id() -> Column:
+    """Identity of a block: the same range of a (topic, part, tbl) has the same id."""
+    return F.md5(F.concat_ws("|", "topic", "part", "tbl", "begin_pos", "end_pos"))

@@ -185,6 +185,10 @@ add("buffer_append", LOG + " SELECT part, tbl, min(pos) AS begin_pos, max(pos) A
 add("block_by_rows", LOG + BLOCKS + " SELECT part, tbl, block_no, begin_pos, end_pos, cnt FROM rng")(lambda s, d: K.block_ranges(blocks(s, d)).select("part", "tbl", "block_no", "begin_pos", "end_pos", "cnt"))
 add("block_by_messages", LOG + " SELECT part, tbl, pos, (row_number() OVER (PARTITION BY part, tbl ORDER BY pos) - 1) // 64 AS block_no FROM log")(lambda s, d: K.cut_rows(log(s, d), 64).select("part", "tbl", "pos", "block_no"))
 add("block_stats", LOG + BLOCKS + " SELECT part, tbl, block_no, cnt, bytes, end_pos - begin_pos + 1 AS span, first_us, last_us FROM rng")(lambda s, d: K.block_ranges(blocks(s, d)).select("part", "tbl", "block_no", "cnt", "bytes", (F.col("end_pos") - F.col("begin_pos") + 1).alias("span"), "first_us", "last_us"))
+add("block_id", LOG + BLOCKS + " SELECT part, tbl, block_no, md5(concat_ws('|', 'events', part, tbl, begin_pos, end_pos)) AS block_id FROM rng")(lambda s, d: K.block_ranges(blocks(s, d)).withColumn("topic", F.lit("events")).select("part", "tbl", "block_no", K.block_id().alias("block_id")))
+add("load_lag", LOG + BLOCKS + " SELECT part, tbl, block_no, last_us + block_no % 3 * 1000000 - first_us AS lag_us FROM rng WHERE block_no % 5 <> 4")(
+    lambda s, d: M.load_lag(K.block_ranges(blocks(s, d)), F.when(F.col("block_no") % 5 != 4, F.col("last_us") + F.col("block_no") % 3 * 1_000_000)).select("part", "tbl", "block_no", "lag_us")
+)
 
 
 def greedy_sql(over):
@@ -261,6 +265,16 @@ add("assignment_history", LOG + BLOCKS + " SELECT part, tbl, begin_pos, nth FROM
 LEDGER_SQL = LOG + " SELECT md5(concat_ws('|', topic, part, tbl, min(pos), max(pos))) AS block_id, part, tbl, min(pos) AS begin_pos, max(pos) AS end_pos, count(*) AS cnt FROM log GROUP BY topic, part, tbl"
 add("exactly_once_sink", LEDGER_SQL)(lambda s, d: S.with_block_id(log(s, d))[1].select("block_id", "part", "tbl", "begin_pos", "end_pos", "cnt"))
 add("write_block", LOG + " SELECT topic, part, pos, tbl, md5(concat_ws('|', topic, part, tbl, min(pos) OVER (PARTITION BY part, tbl), max(pos) OVER (PARTITION BY part, tbl))) AS block_id FROM log")(lambda s, d: S.with_block_id(log(s, d))[0].select("topic", "part", "pos", "tbl", "block_id"))
+FAN = {"click": [B.Col("pos", "bigint"), B.Col("payload", "string")], "view": [B.Col("pos", "bigint"), B.Col("value", "double")], "error": [B.Col("pos", "bigint"), B.Col("ts", "timestamp"), B.Col("day", "date", "materialized", "to_date(ts)")]}
+
+
+@add("fan_out_tables", LOG + " SELECT tbl AS dest, CASE tbl WHEN 'click' THEN 'pos,payload' WHEN 'view' THEN 'pos,value' ELSE 'pos,ts' END AS columns, count(*) AS n, CAST(sum(pos) AS BIGINT) AS sum_pos FROM log WHERE tbl IN ('click', 'view', 'error') GROUP BY 1, 2")
+def fan_out_tables(s, d):
+    from functools import reduce
+
+    sides = [rows.groupBy(F.lit(name).alias("dest"), F.lit(",".join(rows.columns)).alias("columns")).agg(F.count("*").alias("n"), F.sum("pos").alias("sum_pos")) for name, rows in S.fan_out(log(s, d), FAN).items()]
+    return reduce(lambda a, b: a.unionByName(b), sides)
+
 
 # Tables
 def base(name):

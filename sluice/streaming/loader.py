@@ -10,13 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.binding import Col, insertable
+from ..operators.blocks import block_id
+
 LEDGER = "block_id string, topic string, part long, tbl string, begin_pos long, end_pos long, cnt long, batch_id long"
 
 
 def with_block_id(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with the id of their block, and a ledger row for each block."""
     ranges = rows.groupBy("topic", "part", "tbl").agg(F.min("pos").alias("begin_pos"), F.max("pos").alias("end_pos"), F.count("*").alias("cnt"))
-    ranges = ranges.withColumn("block_id", F.md5(F.concat_ws("|", "topic", "part", "tbl", "begin_pos", "end_pos")))
+    ranges = ranges.withColumn("block_id", block_id())
     return rows.join(ranges.select("topic", "part", "tbl", "block_id"), ["topic", "part", "tbl"]), ranges
 
 
@@ -51,3 +54,18 @@ def start_loader(log: DataFrame, target: str, ledger_path: str, checkpoint: str,
 def loaded(spark: SparkSession, target: str, ledger_path: str) -> DataFrame:
     """Rows of the blocks that the ledger has."""
     return spark.read.parquet(target).join(ledger(spark, ledger_path).select("block_id"), "block_id", "left_semi")
+
+
+def fan_out(batch: DataFrame, tables: dict[str, list[Col]]) -> dict[str, DataFrame]:
+    """The rows of each table, with the columns that its writer sets; rows for other tables are left to the dead-letter side."""
+    return {name: batch.where(F.col("tbl") == name).select(*[c.name for c in insertable(schema)]) for name, schema in tables.items()}
+
+
+def write_tables(batch: DataFrame, tables: dict[str, list[Col]], target: str) -> None:
+    """One append for each table; the batch is read from its source once."""
+    batch = batch.persist()
+    try:
+        for name, rows in fan_out(batch, tables).items():
+            rows.write.mode("append").parquet(f"{target}/{name}")
+    finally:
+        batch.unpersist()

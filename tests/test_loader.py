@@ -58,3 +58,12 @@ def test_exactly_once(spark, sf_dir, tmp_path, broken):
     assert rows.count() == log.count() == rows.select("part", "pos").distinct().count()
     ledger = loader.ledger(spark, paths[1])
     assert ledger.select("block_id").distinct().count() == ledger.count()
+
+
+def test_write_tables(spark, sf_dir, tmp_path):
+    log = registry.log(spark, sf_dir)
+    for _ in range(2):
+        loader.write_tables(log, registry.FAN, str(tmp_path))
+    for name, columns in (("click", ["pos", "payload"]), ("view", ["pos", "value"]), ("error", ["pos", "ts"])):
+        rows = spark.read.parquet(str(tmp_path / name))
+        assert rows.columns == columns and rows.count() == 2 * log.where(f"tbl = '{name}'").count()
