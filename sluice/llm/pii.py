@@ -1,10 +1,10 @@
 """PII: base patterns, then information-theoretic sanitisation.
 
 The values that the patterns find are the protected entities. Over all documents the corpus gives, for an entity c and
-a term t, the pointwise mutual information ln(N n(c,t) / (n(c) n(t))), where n counts document rows and n(c,t) those in which
-t stands within CONTEXT words of c. A term that reaches GENERALISE of the entity's information ln(N / n(c)) is
-generalised, one that reaches REMOVE is removed, wherever it stands in such a context of that entity. Counts under SUPPORT
-rows say nothing reliable and disclose nothing.
+a term t, the pointwise mutual information ln(N n(c,t) / (n(c) n(t))), where all three n count document rows: those that hold
+c, those that hold t outside the entities, and those that hold both, however far apart. A term that reaches GENERALISE of
+the information ln(N / n(c)) of some entity is generalised, one that reaches REMOVE is removed, at every place in every
+document, whether the entity is written there or not. Counts under SUPPORT rows say nothing reliable and disclose nothing.
 
 Edge cases: a null text is empty and gives no spans; rows with null or repeated ids each give one row, and repeated
 rows count as often as they stand there; an empty table gives an empty result; ties (equal information) are treated alike;
@@ -17,6 +17,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from .common import staged, table, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT, SUPPORT, GENERALISE, REMOVE = 8, 3, 0.6, 0.85
-#: Terms that a task counts before it passes them on.
+SUPPORT, GENERALISE, REMOVE = 3, 0.6, 0.85
+#: Terms, or pairs with an entity, that a task counts before it passes them on.
 FLUSH = 400_000
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -85,68 +86,96 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind == 'email' else '.'.join(value.split('.')) if kind == 'ip' else ''.join(DIGIT.findall(value))}"
 
 
-def contexts(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, str, list[str]]]:
-    """(entity, term, its places) for the terms within CONTEXT words of each span, without terms inside spans."""
-    if not spans:
-        return []
+def outside(text: str, spans: list[tuple[str, int, int]]) -> Iterator[tuple[int, int, str]]:
+    """(start, end, term) of the terms that no span touches."""
     inside = sorted((a, b) for _, a, b in spans)
-    ends = [b for _, b in inside]
-    terms = []
+    reach = list(accumulate((b for _, b in inside), max))
     for m in TERM.finditer(text):
-        k = bisect_left(ends, m.start() + 1)
+        k = bisect_left(reach, m.start() + 1)
         if k == len(inside) or inside[k][0] >= m.end():
-            terms.append((m.start(), m.end(), m[0].lower()))
-    starts = [t[0] for t in terms]
-    found: dict[tuple[str, str], set[tuple[int, int]]] = {}
-    for kind, a, b in spans:
-        c, k = entity(kind, text[a:b]), bisect_left(starts, a)
-        for s, e, t in terms[max(0, k - CONTEXT) : k + CONTEXT]:
-            found.setdefault((c, t), set()).add((s, e))
-    return [(c, t, [f"{s}:{e}" for s, e in sorted(places)]) for (c, t), places in found.items()]
+            yield m.start(), m.end(), m[0].lower()
 
 
-SCAN = "n_email long, n_ip long, n_card long, n_phone long, base string, near array<struct<entity:string,term:string,places:array<string>>>"
+def distinct_terms(text: str) -> set[str]:
+    spans = base_spans(text)
+    return {t for _, _, t in outside(text, spans)} if spans else {t.lower() for t in set(TERM.findall(text))}
 
 
-def scan_text(texts: pd.Series) -> pd.DataFrame:
+def counted(found: Iterator[tuple], names: list[str]) -> Iterator[pd.DataFrame]:
+    """How often each tuple comes, in parts of at most FLUSH."""
+    seen: Counter = Counter()
+    for x in found:
+        seen[x] += 1
+        if len(seen) >= FLUSH:
+            yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=[*names, "n"])
+            seen.clear()
+    if seen:
+        yield pd.DataFrame([(*k, n) for k, n in seen.items()], columns=[*names, "n"])
+
+
+def entities_of(texts: pd.Series) -> pd.Series:
+    return pd.Series([sorted({entity(k, t[a:b]) for k, a, b in base_spans(t)}) for t in texts], dtype=object)
+
+
+def terms_of(texts: pd.Series) -> pd.Series:
+    return pd.Series([list(distinct_terms(t)) for t in texts], dtype=object)
+
+
+SCAN = "n_email long, n_ip long, n_card long, n_phone long, base string, added array<string>"
+
+
+def scan_text(texts: pd.Series, told: pd.Series) -> pd.DataFrame:
+    """Base spans, and the places (start:end:action) of the terms told as action:term."""
     spans = [base_spans(t) for t in texts]
     counts = [Counter(k for k, _, _ in s) for s in spans]
-    near = [[{"entity": c, "term": t, "places": p} for c, t, p in contexts(x, s)] for x, s in zip(texts, spans, strict=True)]
-    return pd.DataFrame({f"n_{k}": [c[k] for c in counts] for k in KINDS} | {"base": [joined(s) for s in spans], "near": near})
+    added = []
+    for text, found, terms in zip(texts, spans, told, strict=True):
+        action = {t: a for a, t in (x.split(":", 1) for x in terms)} if terms is not None else {}
+        added.append(sorted(f"{s}:{e}:{action[t]}" for s, e, t in outside(text, found) if t in action) if action else [])
+    return pd.DataFrame({f"n_{k}": [c[k] for c in counts] for k in KINDS} | {"base": [joined(s) for s in spans], "added": added})
 
 
-def scan(documents: DataFrame) -> DataFrame:
-    """Base spans and contexts of every row, without the texts."""
-    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return rows.select("doc_id", F.xxhash64("text").alias("text_hash"), F.pandas_udf(scan_text, SCAN)("text").alias("r")).select("doc_id", "text_hash", "r.*")
+def rows_of(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).withColumn("text_hash", F.xxhash64("text"))
 
 
-def document_frequencies(documents: DataFrame) -> DataFrame:
-    """(term, df) over all document rows; each task adds up what it sees before the shuffle."""
+def with_key(rows: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    """rows with the list that stands in `lists` for their id and text; each row stays one."""
+    lists = lists.withColumnsRenamed({"doc_id": "l_id", "text_hash": "l_hash"})
+    return rows.join(lists, F.col("doc_id").eqNullSafe(F.col("l_id")) & (F.col("text_hash") == F.col("l_hash")), how).drop("l_id", "l_hash")
+
+
+def document_frequencies(rows: DataFrame) -> DataFrame:
+    """(term, n_t) over all document rows; each task adds up what it sees before the shuffle."""
+
+    def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        return counted(((x,) for b in batches for t in b.text for x in distinct_terms(t)), ["term"])
+
+    return rows.select("text").mapInPandas(one, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
+
+
+def co_occurrences(rows: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(entity, term, n_ct) over the rows that hold an entity of `hosts`; tasks add up pairs first, so a frequent entity is no hot key."""
 
     def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: Counter = Counter()
-        for b in batches:
-            for t in b.text:
-                seen.update(set(TERM.findall(t.lower())))
-                if len(seen) > FLUSH:
-                    yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
-                    seen.clear()
-        if seen:
-            yield pd.DataFrame({"term": list(seen), "n": list(seen.values())})
+        return counted(((c, t) for b in batches for text, held in zip(b.text, b.entities, strict=True) for terms in [distinct_terms(text)] for c in held for t in terms), ["entity", "term"])
 
-    return documents.select(whole_text().alias("text")).mapInPandas(one, "term string, n long").groupBy("term").agg(F.sum("n").alias("df"))
+    held = with_key(rows, hosts, "inner").select("text", "entities")
+    return held.mapInPandas(one, "entity string, term string, n long").groupBy("entity", "term").agg(F.sum("n").alias("n_ct"))
 
 
-def disclosures(near: DataFrame, documents: DataFrame, total: int) -> DataFrame:
+def disclosures(rows: DataFrame, total: int) -> DataFrame:
     """(entity, term, information share, action) for the terms that say too much of an entity."""
-    pairs = near.groupBy("entity", "term").agg(F.count("*").alias("n_ct")).where(F.col("n_ct") >= SUPPORT)
-    entities = near.groupBy("entity", "doc_key").agg(F.count("*").alias("terms")).groupBy("entity").agg(F.count("*").alias("n_c"))
-    share = F.log(F.lit(float(total)) * F.col("n_ct") / (F.col("n_c") * F.col("df"))) / F.log(F.lit(float(total)) / F.col("n_c"))
+    held = staged(rows.select("doc_id", "text_hash", F.explode(F.pandas_udf(entities_of, "array<string>")("text")).alias("entity")), "pii-entities")
+    # An entity of fewer rows than SUPPORT cannot share that many with a term.
+    entities = staged(held.groupBy("entity").agg(F.count("*").alias("n_c")).where((F.col("n_c") >= SUPPORT) & (F.col("n_c") < total)), "pii-frequent")
+    hosts = staged(held.join(entities, "entity").groupBy("doc_id", "text_hash").agg(F.collect_set("entity").alias("entities")), "pii-hosts")
+    share = F.log(F.lit(float(total)) * F.col("n_ct") / (F.col("n_c") * F.col("n_t"))) / F.log(F.lit(float(total)) / F.col("n_c"))
     return (
-        pairs.join(entities, "entity")
-        .join(document_frequencies(documents), "term")
-        .where(F.col("n_c") < total)
+        co_occurrences(rows, hosts)
+        .where(F.col("n_ct") >= SUPPORT)
+        .join(entities, "entity")
+        .join(document_frequencies(rows), "term")
         .withColumn("share", share)
         .where(F.col("share") >= GENERALISE)
         .select("entity", "term", "share", F.when(F.col("share") >= REMOVE, "remove").otherwise("generalise").alias("action"))
@@ -155,17 +184,12 @@ def disclosures(near: DataFrame, documents: DataFrame, total: int) -> DataFrame:
 
 def find(documents: DataFrame) -> DataFrame:
     """One row for each row of documents: doc_id, text_hash, counts, base, added (an array of start:end:action)."""
-    scanned = staged(scan(documents), "pii-scan").withColumn("near", F.coalesce("near", F.array()))
-    near = scanned.where(F.size("near") > 0).select("doc_id", "text_hash", F.monotonically_increasing_id().alias("doc_key"), F.explode("near").alias("x")).select("doc_id", "text_hash", "doc_key", "x.*")
-    told = staged(disclosures(near, documents, scanned.count()), "pii-told")
-    added = (
-        near.join(told.select("entity", "term", "action"), ["entity", "term"])
-        .select("doc_id", "text_hash", F.explode("places").alias("place"), "action")
-        .groupBy("doc_id", "text_hash")
-        .agg(F.array_sort(F.collect_set(F.concat_ws(":", "place", "action"))).alias("added"))
-    )
-    added = added.select(F.col("doc_id").alias("a_id"), F.col("text_hash").alias("a_hash"), "added")
-    return scanned.drop("near").join(added, F.col("doc_id").eqNullSafe(F.col("a_id")) & (F.col("text_hash") == F.col("a_hash")), "left").drop("a_id", "a_hash").withColumn("added", F.coalesce("added", F.array().cast("array<string>")))
+    rows = rows_of(documents)
+    told = disclosures(rows, rows.count()).groupBy("term").agg(F.max("action").alias("action"))  # "remove" goes before "generalise"
+    told = staged(told, "pii-told")
+    hits = rows.select("doc_id", "text_hash", F.explode(F.pandas_udf(terms_of, "array<string>")("text")).alias("term")).join(told, "term")
+    hits = staged(hits.groupBy("doc_id", "text_hash").agg(F.collect_set(F.concat_ws(":", "action", "term")).alias("told")), "pii-hits")
+    return with_key(rows, hits, "left").select("doc_id", "text_hash", F.pandas_udf(scan_text, SCAN)("text", "told").alias("r")).select("doc_id", "text_hash", "r.*")
 
 
 def term_spans(added: str = "added") -> F.Column:

@@ -112,6 +112,20 @@ def test_pii_disclosure(spark, odd):
     assert "bob" not in pii.sanitise(spark.createDataFrame(rows, "doc_id long, text string")).where("doc_id = 0").first()["text"]
 
 
+def test_pii_disclosure_at_any_distance(spark):
+    """A term far from the entity discloses it, also where only the term is written; counts are those of whole documents."""
+    gap = " ".join(["filler"] * 40)
+    rows = [(k, f"Zorblax {gap} mail bob@x.org now") for k in range(4)] + [(10, "nobody but zorblax, Zorblax!"), (None, "x zorblax")] + [(100 + k, f"filler mail now and {'quux' * (k < 3)}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["added"] for r in pii.find(docs).collect()}
+    n, c, t, both = len(rows), 4, 6, 4
+    share = np.log(n * both / (c * t)) / np.log(n / c)
+    assert [r["share"] for r in pii.disclosures(pii.rows_of(docs), n).collect()] == [pytest.approx(share)]
+    assert got[0] == ["0:7:remove"] and got[10] == ["11:18:remove", "20:27:remove"] and got[None] == ["2:9:remove"]
+    assert not any(got[100 + k] for k in range(60)) and pii.find(docs).count() == n
+    assert "orblax" not in "".join(r["text"] for r in pii.sanitise(docs).collect())
+
+
 def test_secrets(spark, odd):
     ranks = {"password": 1, "dragon": 2, "summer": 3}
     assert secrets.guess_cost("dragonsummer", ranks) < 3 < secrets.guess_cost("x7Kq9vB2mZpL", ranks)
