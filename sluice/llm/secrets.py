@@ -30,10 +30,11 @@ LONG, FLUSH = 256, 400_000
 ASSIGN = re.compile(r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-#: Wider places where credentials stand.
-PLACE = re.compile(r"(?i:\b(pwd|passphrase|passcode|credentials?|bearer|authorization|private_key|access_key|client_secret|login))[\"']?\x20{0,4}(?:[:=]|\bis\b)?\x20{0,4}[\"']?([^\s\"',;]{6,})", re.ASCII)
+#: Wider places where credentials stand; the search runs where a text has one of these names.
+NAMES = ("pwd", "passphrase", "passcode", "credentials?", "bearer", "authorization", "private_key", "access_key", "client_secret", "login")
+PLACE = re.compile(rf"(?i:\b({'|'.join(NAMES)}))[\"']?\x20*+(?:(?:[:=]|\bis\b)\x20*+)?[\"']?([^\s\"',;]{{6,}})", re.ASCII)
+PLACES = tuple(n.removesuffix("s?") for n in NAMES)
 CUES = ("passw", "secret", "token", "api_key", "apikey")
-PLACES = ("pwd", "passphrase", "passcode", "credential", "bearer", "authorization", "private_key", "access_key", "login")
 DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])([-/._]?)(?:0?[1-9]|1[0-2])\2(?:(?:19|20)\d\d)|(?:19|20)\d\d", re.ASCII)
 WORD = re.compile(r"[^\W\d_]{3,16}")
 #: Rows of a keyboard (fixed values).

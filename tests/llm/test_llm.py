@@ -137,6 +137,15 @@ def test_secrets(spark, odd):
     assert secrets.find(odd).count() == odd.count()
 
 
+@pytest.mark.parametrize("name", "pwd passphrase passcode credential credentials bearer authorization private_key access_key client_secret login".split())
+def test_secrets_each_place_alone(name):
+    value = "p@ss#9x!Zk"
+    for text in (f'{name}: "{value}"', f"{name.upper()}{' ' * 9}={' ' * 7}{value} end", f"{name} is {value}", f"{name} {value}"):
+        assert [text[a:b] for a, b in secrets.scan_text(text, {})[1]] == [value]
+    long = f"{name}{' ' * 200_000}:"  # many blanks take linear time
+    assert secrets.credential_values(long) == []
+
+
 def test_mixing(spark, odd):
     rows = [(k, "a b c d", "big" if k % 10 else "small") for k in range(1000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
