@@ -6,7 +6,7 @@ cost at least COST guesses get a span of kind `guess`; cheaper ones are ordinary
 
 Edge cases: a null text is empty and gives no spans; rows with null or repeated ids each give one row; an empty table
 gives an empty result; words of equal frequency rank by their text; only doc_id and text are read, so other columns cannot
-clash. Texts of any length are read whole; a value over LONG characters is scored by its brute-force bound in runs.
+clash. Texts and values of any length are read and scored whole.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -25,7 +26,7 @@ from .common import table, whole_text
 KINDS = ("assign", "access", "hex")
 #: Words in the dictionary, and the least log10 guesses of a secret.
 DICTIONARY, COST = 10_000, 8.0
-LONG, FLUSH = 256, 400_000
+FLUSH = 400_000
 
 ASSIGN = re.compile(r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -58,15 +59,83 @@ def alphabet(span: str) -> int:
     return n + 33 * any(not c.isalnum() for c in span) or 95
 
 
+def prefix_matches(s: str | list) -> list[int]:
+    """For each place, how many signs from there equal the start of s; linear."""
+    n, z, a, b = len(s), [len(s)] + [0] * (len(s) - 1), 0, 0
+    for k in range(1, n):
+        m = min(b - k, z[k - a]) if k < b else 0
+        while k + m < n and s[m] == s[k + m]:
+            m += 1
+        z[k] = m
+        if k + m > b:
+            a, b = k, k + m
+    return z
+
+
+def repeats(value: str) -> list[tuple[int, int, int]]:
+    """(start, end, size) of all longest stretches that repeat a unit of `size` signs at least twice, where no smaller unit
+    repeats through the whole stretch. Halves are searched first, then what crosses their border: n log n steps."""
+    n, found, parts = len(value), set(), [(0, len(value))]
+    while parts:
+        lo, hi = parts.pop()
+        if hi - lo < 2:
+            continue
+        mid = (lo + hi) // 2
+        parts += [(lo, mid), (mid, hi)]
+        left, right = value[lo:mid], value[mid:hi]
+        nl, nr = len(left), len(right)
+        back = [*prefix_matches(left[::-1]), 0]
+        ahead = [*prefix_matches(right), 0]
+        # A list keeps the border apart from every sign.
+        right_left = prefix_matches([*right, None, *left])
+        left_right = prefix_matches([*left[::-1], None, *right[::-1]])
+        for size in range(1, nl + 1):  # unit ends at the border
+            k1, k2 = back[size], right_left[nr + 1 + nl - size]
+            if k2 == size <= nr:
+                k2 += ahead[size]
+            if k1 + k2 >= size:
+                found.add((mid - size - k1, mid + k2, size))
+        for size in range(1, nr + 1):  # unit starts at the border
+            k1, k2 = left_right[nl + 1 + nr - size], ahead[size]
+            if k1 == size <= nl:
+                k1 += back[size]
+            if k1 + k2 >= size:
+                found.add((mid - k1, mid + size + k2, size))
+    # Smaller units first: a stretch inside one already kept says nothing new. `far` is a Fenwick tree of the furthest end by start.
+    out, far = [], [0] * (n + 1)
+    for a, b, size in sorted(found, key=lambda r: (r[2], r[0], -r[1])):
+        k, end = a + 1, 0
+        while k:
+            end, k = max(end, far[k]), k & (k - 1)
+        if end < b:
+            out.append((a, b, size))
+            k = a + 1
+            while k <= n:
+                far[k], k = max(far[k], b), k + (k & -k)
+    return out
+
+
 def guess_cost(value: str, ranks: dict[str, int]) -> float:
-    """Least log10 guesses over all segmentations. Over LONG characters every part that starts in a block is still scored, in blocks."""
-    if len(value) > LONG:
-        return sum(guess_cost(value[a : a + LONG], ranks) for a in range(0, len(value), LONG))
-    n, low = len(value), value.lower()
+    """Least log10 guesses over all segmentations of the whole value."""
+    n, low = len(value), "".join(c if len(x := c.lower()) > 1 else x for c in value)
     per_sign = math.log10(alphabet(value))
     best = [0.0] + [math.inf] * n
     forced = [0] * (n + 1)  # whether the best way ends in a brute-force span
     step = math.log10(2)  # to choose a kind of part
+    walk = [n] * n  # where the keyboard walk from each sign ends
+    for at in range(n - 2, -1, -1):
+        walk[at] = walk[at + 1] if low[at : at + 2] in NEXT else at + 1
+    starts: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+    copies: list[list[tuple[int, int]]] = [[] for _ in range(n)]
+    for a, b, size in repeats(value):
+        for at in range(a, b - (3 if size == 1 else 2) * size + 1):
+            starts[at].append((size, (b - at) // size))
+            copies[at + size].append((size, (b - at) // size))
+
+    classes = [(w, list(accumulate(map(f, value), initial=0))) for w, f in ((10, str.isdigit), (26, str.islower), (26, str.isupper), (33, lambda c: not c.isalnum()))]
+
+    def signs(a: int, b: int) -> int:  # alphabet(value[a:b])
+        return sum(w for w, s in classes if s[b] > s[a]) or 95
 
     def offer(at: int, end: int, cost: float) -> None:
         if best[at] + cost + step < best[end]:
@@ -81,17 +150,13 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
                 offer(at, end, math.log10(rank + 1) + (0 if not upper else step if upper == 1 and value[at].isupper() or upper == end - at else upper * step))
         if m := DATE.match(value, at):
             offer(at, m.end(), math.log10(120 if m.end() - at == 4 else 365 * 120 * (1 if m[0].isdigit() else 4)))
-        for size in range(1, min(8, (n - at) // 2) + 1):
-            unit, k = value[at : at + size], 1
-            while value.startswith(unit, at + k * size):
-                k += 1
-            if k >= (3 if size == 1 else 2):
-                offer(at, at + k * size, size * math.log10(alphabet(unit)) + math.log10(k))
-        end = at + 1
-        while end < n and low[end - 1 : end + 1] in NEXT:
-            end += 1
-        if end - at >= 4:
-            offer(at, end, math.log10(len("".join(ROWS))) + math.log10(2 * (end - at)))
+        # A unit costs what guessing it from its own signs costs, or, where it has just been paid for, nothing more.
+        for size, k in starts[at]:
+            offer(at, at + k * size, size * math.log10(signs(at, at + size)) + math.log10(k))
+        for size, k in copies[at]:
+            offer(at, at + (k - 1) * size, math.log10(k))
+        if walk[at] - at >= 4:
+            offer(at, walk[at], math.log10(len("".join(ROWS))) + math.log10(2 * (walk[at] - at)))
     return best[n]
 
 

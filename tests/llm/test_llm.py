@@ -146,6 +146,26 @@ def test_secrets_each_place_alone(name):
     assert secrets.credential_values(long) == []
 
 
+def test_secrets_long_values():
+    """Parts of a value cross any place, units of repeats have any size, and a unit costs no more than by itself."""
+    assert secrets.guess_cost("x" * 600, {}) < 5 and secrets.scan_text("login: " + "x" * 600, {})[1] == []
+    assert secrets.guess_cost("z9" * 120 + "-1234567890" * 120, {}) < 14
+    ranks = {"correct": 5, "horse": 6, "battery": 7}
+    once = secrets.guess_cost("correcthorsebattery", ranks)
+    assert secrets.guess_cost("correcthorsebattery" * 50, ranks) == pytest.approx(once + np.log10(50) + np.log10(2))
+    assert secrets.guess_cost("A7" + "b" * 300 + "dragon" * 3, {"dragon": 2}) < 12
+    random = np.random.default_rng(1)
+    for _ in range(200):
+        v = "".join(random.choice(list("abc"), random.integers(1, 40)))
+        want = set()
+        for p in range(1, len(v) // 2 + 1):
+            for m in re.finditer("1+", "".join("01"[v[k] == v[k + p]] for k in range(len(v) - p))):
+                w = v[m.start() : m.end() + p]
+                if len(w) >= 2 * p and not any(w[q:] == w[:-q] for q in range(1, p)):
+                    want.add((m.start(), m.end() + p, p))
+        assert sorted(secrets.repeats(v)) == sorted(want)
+
+
 def test_mixing(spark, odd):
     rows = [(k, "a b c d", "big" if k % 10 else "small") for k in range(1000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
