@@ -1,7 +1,7 @@
 """Secret scans: base patterns, then a password guess-cost dynamic programme over credential-context values.
 
-A value that stands where credentials stand is split at least cost, in log10 guesses, into words (by their rank among the
-DICTIONARY most frequent words of the whole corpus), dates, repeats, keyboard walks and brute-force spans. Values that
+A value that stands where credentials stand is split at least cost, in log10 guesses, into words (by their rank among all
+words of the whole corpus), dates, repeats, keyboard walks and brute-force spans. Values that
 cost at least COST guesses get a span of kind `guess`; cheaper ones are ordinary words or placeholders.
 
 Edge cases: a null text is empty and gives no spans; rows with null or repeated ids each give one row; an empty table
@@ -14,18 +14,18 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, whole_text
+from .common import staged, table, whole_text
 
 KINDS = ("assign", "access", "hex")
-#: Words in the dictionary, and the least log10 guesses of a secret.
-DICTIONARY, COST = 10_000, 8.0
+#: The least log10 guesses of a secret.
+COST = 8.0
 FLUSH = 400_000
 
 ASSIGN = re.compile(r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.ASCII)
@@ -38,6 +38,7 @@ PLACES = tuple(n.removesuffix("s?") for n in NAMES)
 CUES = ("passw", "secret", "token", "api_key", "apikey")
 DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])([-/._]?)(?:0?[1-9]|1[0-2])\2(?:(?:19|20)\d\d)|(?:19|20)\d\d", re.ASCII)
 WORD = re.compile(r"[^\W\d_]{3,16}")
+LETTERS = re.compile(r"[^\W\d_]{3,}")
 #: Rows of a keyboard (fixed values).
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "qwertzuiop", "azertyuiop")
 NEXT = {r[i : i + 2] for row in ROWS for r in (row, row[::-1]) for i in range(len(row) - 1)}
@@ -115,9 +116,14 @@ def repeats(value: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def lowered(value: str) -> str:
+    """Lower case, sign by sign."""
+    return "".join(c if len(x := c.lower()) > 1 else x for c in value)
+
+
 def guess_cost(value: str, ranks: dict[str, int]) -> float:
     """Least log10 guesses over all segmentations of the whole value."""
-    n, low = len(value), "".join(c if len(x := c.lower()) > 1 else x for c in value)
+    n, low = len(value), lowered(value)
     per_sign = math.log10(alphabet(value))
     best = [0.0] + [math.inf] * n
     forced = [0] * (n + 1)  # whether the best way ends in a brute-force span
@@ -170,8 +176,9 @@ def credential_values(text: str) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def corpus_words(documents: DataFrame, size: int = DICTIONARY) -> DataFrame:
-    """The most frequent words of all documents with their rank, from 1: at most `size` rows."""
+def corpus_words(documents: DataFrame) -> DataFrame:
+    """All words of all documents with their rank, from 1, by frequency, then text. The order is made by ranges, and ranks
+    from the sizes of the ranges before."""
 
     def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
@@ -184,11 +191,42 @@ def corpus_words(documents: DataFrame, size: int = DICTIONARY) -> DataFrame:
         if seen:
             yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
 
-    return documents.select(whole_text().alias("text")).mapInPandas(one, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(size)
+    found = documents.select(whole_text().alias("text")).mapInPandas(one, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    place = F.monotonically_increasing_id()
+    ordered = staged(staged(found, "secrets-words").orderBy(F.desc("n"), "word").select("word", F.shiftright(place, 33).alias("range"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("inside")), "secrets-ordered")
+    before, at = [], 0
+    for r in sorted(ordered.groupBy("range").count().collect()):
+        before.append((r["range"], at))
+        at += r["count"]
+    before = documents.sparkSession.createDataFrame(before, "range long, before long")
+    return ordered.join(F.broadcast(before), "range").select("word", (F.col("before") + F.col("inside") + 1).alias("rank"))
+
+
+def values_of(texts: pd.Series) -> pd.Series:
+    return pd.Series([sorted({t[a:b] for a, b in credential_values(t)}) for t in texts], dtype=object)
+
 
+def substrings_of(values: pd.Series) -> pd.Series:
+    """All parts of a value that can be a word."""
+    return pd.Series([sorted({m[0][k:e] for m in LETTERS.finditer(lowered(v)) for k in range(len(m[0]) - 2) for e in range(k + 3, min(len(m[0]), k + 16) + 1)}) for v in values], dtype=object)
 
-def dictionary(documents: DataFrame, size: int = DICTIONARY) -> dict[str, int]:
-    return {r["word"]: k for k, r in enumerate(corpus_words(documents, size).collect(), 1)}
+
+def is_costly(values: pd.Series, words: pd.Series) -> pd.Series:
+    return pd.Series([guess_cost(v, {w["word"]: w["rank"] for w in ([] if found is None else found)}) >= COST for v, found in zip(values, words, strict=True)], dtype=bool)
+
+
+def with_costly(documents: DataFrame) -> DataFrame:
+    """documents with costly_, the credential values of the row's text that cost at least COST; null where there are none."""
+    rows = documents.withColumn("hash_", F.xxhash64(whole_text()))
+    held = staged(rows.select("doc_id", "hash_", F.explode(F.pandas_udf(values_of, "array<string>")(whole_text())).alias("value")), "secrets-values")
+    values = staged(held.select("value").distinct().withColumn("key", F.sha2(F.col("value").cast("binary"), 256)), "secrets-distinct")
+    parts = staged(values.select("key", F.explode(F.pandas_udf(substrings_of, "array<string>")("value")).alias("word")), "secrets-parts")
+    ranked = staged(corpus_words(documents).join(parts.select("word").distinct(), "word"), "secrets-ranked")
+    known = parts.join(ranked, "word").groupBy("key").agg(F.collect_list(F.struct("word", "rank")).alias("words"))
+    costly = staged(values.join(known, "key", "left").where(F.pandas_udf(is_costly, "boolean")("value", "words")).select("value"), "secrets-costly")
+    hits = held.join(costly, "value").groupBy(F.col("doc_id").alias("id_"), F.col("hash_").alias("text_")).agg(F.collect_set("value").alias("costly_"))
+    hits = staged(hits, "secrets-hits")
+    return rows.join(hits, F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("hash_") == F.col("text_")), "left").drop("hash_", "id_", "text_")
 
 
 def scan_text(text: str, ranks: dict[str, int], cost: float = COST) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
@@ -196,6 +234,12 @@ def scan_text(text: str, ranks: dict[str, int], cost: float = COST) -> tuple[lis
     return base_spans(text), [(a, b) for a, b in credential_values(text) if guess_cost(text[a:b], ranks) >= cost]
 
 
+def scan_known(text: str, costly: Iterable[str] | None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
+    """As scan_text, where the costly values of the text are known."""
+    known = set() if costly is None else set(costly)
+    return base_spans(text), [(a, b) for a, b in credential_values(text) if text[a:b] in known] if known else []
+
+
 def redact(text: str, base: list[tuple[int, int, int]], added: list[tuple[int, int]]) -> str:
     """Every span becomes [SECRET]; spans that overlap become one."""
     out, at = [], 0
@@ -211,32 +255,30 @@ def redact(text: str, base: list[tuple[int, int, int]], added: list[tuple[int, i
     return "".join([*out, text[at:]])
 
 
-def find(documents: DataFrame) -> DataFrame:
-    """One row for each row of documents: doc_id, n_assign, n_access, n_hex, base, spans."""
-    ranks = documents.sparkSession.sparkContext.broadcast(dictionary(documents))
+def scan_all(texts: pd.Series, costly: pd.Series) -> pd.DataFrame:
+    rows = []
+    for t, known in zip(texts, costly, strict=True):
+        base, added = scan_known(t, known)
+        kinds = [k for _, k, _ in base]
+        every = sorted(base + [(a, 3, e) for a, e in added])
+        rows.append((*map(kinds.count, range(3)), ",".join(f"{KINDS[k]}:{a}:{e}" for a, k, e in base), ",".join(f"{(*KINDS, 'guess')[k]}:{a}:{e}" for a, k, e in every)))
+    return pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base", "spans"])
 
-    @F.pandas_udf("n_assign long, n_access long, n_hex long, base string, spans string")
-    def one(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for t in texts:
-            base, added = scan_text(t, ranks.value)
-            kinds = [k for _, k, _ in base]
-            every = sorted(base + [(a, 3, e) for a, e in added])
-            rows.append((*map(kinds.count, range(3)), ",".join(f"{KINDS[k]}:{a}:{e}" for a, k, e in base), ",".join(f"{(*KINDS, 'guess')[k]}:{a}:{e}" for a, k, e in every)))
-        return pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base", "spans"])
 
-    return documents.select("doc_id", one(whole_text()).alias("r")).select("doc_id", "r.*")
+def redact_all(texts: pd.Series, costly: pd.Series) -> pd.Series:
+    return pd.Series([redact(t, *scan_known(t, known)) for t, known in zip(texts, costly, strict=True)], dtype=object)
 
 
-def redacted(documents: DataFrame) -> DataFrame:
-    """documents with every secret in `text` replaced; null texts and all other columns stay."""
-    ranks = documents.sparkSession.sparkContext.broadcast(dictionary(documents))
+def find(documents: DataFrame) -> DataFrame:
+    """One row for each row of documents: doc_id, n_assign, n_access, n_hex, base, spans."""
+    one = F.pandas_udf(scan_all, "n_assign long, n_access long, n_hex long, base string, spans string")
+    return with_costly(documents).select("doc_id", one(whole_text(), "costly_").alias("r")).select("doc_id", "r.*")
 
-    @F.pandas_udf("string")
-    def clean(text: pd.Series) -> pd.Series:
-        return pd.Series([redact(t, *scan_text(t, ranks.value)) for t in text], dtype=object)
 
-    return documents.withColumn("text", F.when(F.col("text").isNull(), F.col("text")).otherwise(clean(whole_text())))
+def redacted(documents: DataFrame) -> DataFrame:
+    """documents with every secret in `text` replaced; null texts and all other columns stay."""
+    clean = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.pandas_udf(redact_all, "string")(whole_text(), "costly_"))
+    return with_costly(documents).select(*[clean.alias("text") if c == "text" else F.col(c) for c in documents.columns])
 
 
 def op8_secrets(spark, sf_dir: str) -> DataFrame:

@@ -166,6 +166,20 @@ def test_secrets_long_values():
         assert sorted(secrets.repeats(v)) == sorted(want)
 
 
+def test_secrets_rare_words(spark):
+    """A word counts at its own rank, however many words are more frequent."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    common = ["q" + a + b + c for a in letters for b in letters for c in letters]
+    rows = [(k, " ".join(common[k::20])) for k in range(20)] * 2 + [(100, "login metamorphosis"), (None, "login x7Kq9vB2mZpL")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ranks = {r["word"]: r["rank"] for r in secrets.corpus_words(docs).collect()}
+    assert ranks == {w: k for k, w in enumerate(["login", *common, "metamorphosis", "mzpl"], 1)}
+    got = {r["doc_id"]: r["spans"] for r in secrets.find(docs).collect()}
+    assert got[100] == "" and got[None] == "guess:6:18" and secrets.find(docs).count() == len(rows)
+    clean = {r["doc_id"]: r["text"] for r in secrets.redacted(docs).collect()}
+    assert clean[100] == "login metamorphosis" and clean[None] == "login [SECRET]"
+
+
 def test_mixing(spark, odd):
     rows = [(k, "a b c d", "big" if k % 10 else "small") for k in range(1000)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
