@@ -1,10 +1,11 @@
-"""Helpers that the corpus operators share: the shared folder, staged tables, word splitting and hot keys."""
+"""Helpers that the corpus operators share: the shared folder, staged tables, word splitting and folds."""
 
 from __future__ import annotations
 
-import gc
 import re
+import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,17 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@cache
+def own_folder() -> str:
+    return tempfile.mkdtemp(prefix="sluice-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); one is set only where none is, as in tests."""
+    """The folder that driver and executors share (spark.checkpoint.dir). Where it is unset, a single machine gets a folder of its own; a cluster has to set it."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = f"/tmp/checkpoints/{uuid.uuid4().hex}"
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    if path:
+        return path.rstrip("/")
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        return own_folder()
+    raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/sluice-{name}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/sluice-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -41,15 +48,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def discard(*tables: DataFrame) -> None:
-    """Delete staged tables that no later step reads, and let Spark drop the shuffle files of finished steps."""
+    """Delete staged tables that no later step reads."""
     for t in tables:
-        jvm = t.sparkSession._jvm
-        path = jvm.org.apache.hadoop.fs.Path(t.staged_at)
-        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-    if tables:
-        gc.collect()
-        tables[0].sparkSession._jvm.System.gc()
+        remove(t.sparkSession, t.staged_at)
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all that this application has staged; to be called once its results are written elsewhere."""
+    remove(spark, f"{shared_dir(spark)}/sluice-{spark.sparkContext.applicationId}")
 
 
 def whole_text(column: str = "text") -> Column:
@@ -69,3 +81,10 @@ def words(text: str) -> list[str]:
 def one_label(labels: DataFrame, label: str, id_col: str = "doc_id") -> DataFrame:
     """One 0/1 label for each id: repeated rows count once, the larger label wins, null ids and labels take no part."""
     return labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(id_col)).agg(F.max(label).cast("int").alias(label))
+
+
+def labelled_texts(documents: DataFrame, ids: DataFrame, label: str) -> DataFrame:
+    """doc_id, text, label of the documents in `ids` (bounded). Of texts that repeat an id the one of the smallest hash counts, so the rows
+    are as many as the ids and the same in every run; tasks settle repeats before the shuffle."""
+    rows = documents.select("doc_id", whole_text().alias("text")).join(F.broadcast(ids), "doc_id")
+    return rows.groupBy("doc_id", label).agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", F.col(label).alias("label"))

@@ -5,18 +5,23 @@ nearly all documents at distance 1 from all of them, so that no window could sep
 sets of one shingle: a document is nearest, at 1 - 1/n, to the shingles that it holds, ties go to the rarer shingle, and as
 two documents within 0.2 differ in at most n // 5 of a document's shingles, it is enough to be replicated to the regions of its
 first n // 5 + 1 shingles (`shingles.prefix_length`): the window of a document whose nearest pivot is missing from its partner.
-Inside each region a document pivot (the smallest set) gets exact distances to all members. Members within 0.2 are linked to it.
-Members linked already need nothing more; the others are split into rings of width 0.2 around the pivot, each replicated to the
-next ring, as d(x, p) and d(y, p) differ by at most d(x, y). Rings that are still large recurse with pivots of their own; in the
-rest all pairs of fitting size that no link joins yet are compared.
+Inside a region the place of its shingle in a document's order bounds the distance further: what comes before it is missing from
+a partner that first meets the document there (`admits`).
+
+Regions then recurse with document pivots, all regions in step. In each round a region takes pivots, one of each of its
+smallest components (one pivot in the first round, four times as many in each next), compares them with the members that other
+components hold, and is rid of them, as they have met all. A region with more than LARGE members outside its largest component
+also gets the distances of all members to its first pivot and is divided into rings of width 0.2 around it; a member goes to its
+ring and, as a visitor, to the next, since d(x, p) and d(y, p) differ by at most d(x, y). A region whose members are all of one
+component is settled, as is one with a single member left. Rounds go on until all regions are settled: there is no limit of depth.
 
 Every comparison is of full sets, so results are exact up to collisions of 64-bit hashes. Equal sets are one point.
-Shingles that a scan finds to be common come last in the order; which ones does not change results.
+Shingles that a scan finds to be common come later in the order, the commoner the later; which ones does not change results.
 
 Edge cases: null texts and texts without words have an empty set and are linked with nothing; fewer than five words make one
 shingle; a null doc_id never names a component (one of only such documents has a null component_id); rows that
 repeat a doc_id are documents of their own; an empty table gives an empty result; very long texts are hashed whole; ties between
-pivots go to the smaller set hash. Only doc_id and text are read, so other columns cannot clash.
+pivots go to the smaller set, then set hash. Only doc_id and text are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -26,25 +31,29 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import discard, staged, table, whole_text
 from .shingles import prefix_length, shingle_sets
 
 #: Shingles that one step of the scan for common ones looks at together; common ones stand in at least COMMON documents.
-LOOK, COMMON, MOST_COMMON = 4_000_000, 48, 1 << 20
-#: Members of a ring that may be compared pairwise, and how often larger rings recurse.
-RING, DEPTH = 64, 3
+LOOK, COMMON, MOST_COMMON = 4_000_000, 8, 1 << 20
+#: Members outside the largest component from which a region is divided into rings.
+LARGE = 64
+#: Pivots that a region takes in one round at most.
+MOST_PIVOTS = 1024
 RATIO = 0.8
+#: log2 of the bits of the filters that keep most rows out of a shuffle. Their size is fixed; where they fill up, more rows are shuffled.
+FILTER_BITS = 25
 
 
 def set_id(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "big", signed=True)
 
 
-def common_shingles(documents: DataFrame) -> np.ndarray:
-    """Sorted shingles that many documents hold, at most MOST_COMMON. A scan adds up those that occur twice within a step; it may miss rarer ones, which only costs time."""
+def common_shingles(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted shingles that many documents hold, at most MOST_COMMON, and log2 of how many. A scan adds up those that occur twice within a step; it may miss rarer ones, which only costs time."""
 
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size, seen = [], 0, set()
@@ -66,17 +75,28 @@ def common_shingles(documents: DataFrame) -> np.ndarray:
             yield out()
 
     rows = documents.select(whole_text().alias("text")).mapInPandas(look, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
-    got = rows.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "s").limit(MOST_COMMON).select("s").toPandas()
-    return np.sort(got.s.to_numpy(np.int64).view(np.uint64))
+    got = rows.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "s").limit(MOST_COMMON).select("s", F.floor(F.log2("n")).cast("int").alias("level")).toPandas()
+    s = got.s.to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(s)
+    return s[order], got.level.to_numpy(np.int8)[order]
+
+
+def window_of(s: np.ndarray, common: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """The first shingles of a set in the order that all sets share: by level of frequency, then hash."""
+    if len(common):
+        at = np.minimum(np.searchsorted(common, s), len(common) - 1)
+        rank = np.where(common[at] == s, level[at], 0)
+        s = s[np.argsort(rank, kind="stable")]
+    return s[: prefix_length(len(s))].view(np.int64)
 
 
-def scan(documents: DataFrame, common: np.ndarray) -> DataFrame:
-    """(doc_id, text_hash, set_id, n, window) for each row; window, the first shingles in the order, only where a task first sees a set."""
+def scan(documents: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """(doc_id, text_hash, set_id, n, window) for each row; window only where a task first sees a set."""
     sent = documents.sparkSession.sparkContext.broadcast(common)
 
     @F.pandas_udf("set_id long, n long, window array<long>")
     def sets(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        late, seen = sent.value, set()
+        seen: set[int] = set()
         for texts in batches:
             rows = []
             for s in shingle_sets(list(texts)):
@@ -85,9 +105,7 @@ def scan(documents: DataFrame, common: np.ndarray) -> DataFrame:
                     if len(seen) > 1_000_000:
                         seen.clear()
                     seen.add(k)
-                    at = np.minimum(np.searchsorted(late, s), max(0, len(late) - 1))
-                    is_late = late[at] == s if len(late) else np.zeros(len(s), bool)
-                    window = np.concatenate([s[~is_late], s[is_late]])[: prefix_length(len(s))].view(np.int64)
+                    window = window_of(s, *sent.value)
                 rows.append((k, len(s), window))
             yield pd.DataFrame(rows, columns=["set_id", "n", "window"])
 
@@ -95,188 +113,174 @@ def scan(documents: DataFrame, common: np.ndarray) -> DataFrame:
     return rows.select("doc_id", F.xxhash64("text").alias("text_hash"), sets("text").alias("r")).select("doc_id", "text_hash", "r.*")
 
 
-def texts_of(documents: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set_id, text) for wanted (set_id, text_hash). A bitmap of a fixed 2^25 bits keeps most other texts out of the shuffle."""
-    bit = lambda h: F.pmod(h, F.lit(1 << 25))
-    bucket, position = lambda h: F.floor(bit(h) / 32768), lambda h: bit(h) % 32768
-    maps = wanted.groupBy(bucket(F.col("text_hash")).alias("bucket")).agg(F.bitmap_construct_agg(position(F.col("text_hash"))).alias("bits"))
-    rows = documents.select(whole_text().alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    byte = F.conv(F.hex(F.expr("substring(bits, cast(pmod(text_hash, 33554432) % 32768 div 8 as int) + 1, 1)")), 16, 10).cast("int")
-    some = rows.join(F.broadcast(maps), bucket(F.col("text_hash")) == F.col("bucket"))
-    some = some.withColumn("byte", byte).where(F.expr("(shiftright(byte, cast(pmod(text_hash, 33554432) % 8 as int)) & 1) = 1"))
-    return some.join(wanted, "text_hash").groupBy("set_id").agg(F.first("text").alias("text"))
-
-
-def overlaps(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """pairs (a, b) with `common`, the size of the intersection of their full sets."""
+def perhaps_in(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """rows whose key (a 64-bit hash) may stand in wanted; a join has to follow. The filter is a bitmap of a fixed 2^FILTER_BITS bits."""
+    bit = lambda k: F.pmod(k, F.lit(1 << FILTER_BITS))
+    word, mask = lambda k: F.shiftright(bit(k), 6).cast("int"), lambda k: F.expr(f"shiftleft(1L, cast(pmod({key}, 64) as int))")
+    words = wanted.groupBy(word(F.col(key)).alias("word_")).agg(F.bit_or(mask(key)).alias("mask_"))
+    return rows.join(F.broadcast(words), word(F.col(key)) == F.col("word_")).where(F.col("mask_").bitwiseAND(mask(key)) != 0).drop("word_", "mask_")
 
-    @F.pandas_udf("long")
-    def common(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for ta, tb in batches:
-            kinds = list(dict.fromkeys([*ta, *tb]))
-            sets = dict(zip(kinds, shingle_sets(kinds), strict=True))
-            yield pd.Series([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(ta, tb, strict=True)], dtype="int64")
 
-    a = texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a"))
-    b = texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(a, "a").join(b, "b").withColumn("common", common("text_a", "text_b")).drop("text_a", "text_b")
+def region_members(scanned: DataFrame) -> DataFrame:
+    """(cell, set_id, n, pos) of the regions that hold more than one set."""
+    entries = scanned.where(F.col("window").isNotNull()).select(F.posexplode("window").alias("pos", "cell"), "set_id", "n")
+    shared = entries.groupBy("cell").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo <> hi").select("cell")
+    shared = staged(shared, "jac-shared")
+    return perhaps_in(entries, "cell", shared).join(shared, "cell").select("cell", "set_id", "n", "pos").distinct()
 
 
-def linked(common: str = "common", n_a: str = "n_a", n_b: str = "n_b") -> F.Column:
-    return 100 * F.col(common) >= 80 * (F.col(n_a) + F.col(n_b) - F.col(common))
+def sets_of(documents: DataFrame, scanned: DataFrame, members: DataFrame) -> DataFrame:
+    """(set_id, shingles) of the sets that stand in regions. Each is made once more from one of its texts."""
 
+    @F.pandas_udf("array<long>")
+    def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            for at in range(0, len(texts), 512):
+                yield pd.Series([s.view(np.int64) for s in shingle_sets(list(texts[at : at + 512]))], dtype=object)
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component): the smallest node that links reach, by alternating large and small stars; nodes without edges are left out."""
-    edges = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "star-0")
-    before = None
-    while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "star-least")
-        large = staged(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "star-large")
-        least = staged(large.groupBy("u").agg(F.min("v").alias("m")), "star-least")
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        old, edges = edges, staged(small.distinct(), "star-small")
-        discard(old, large)
-        now = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
-        if now == before or not now[0]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-        before = now
-
-
-class Sets:
-    """What comparisons need: the documents, (set_id, n, text_hash) of each set, and the cells of the first windows by set."""
-
-    def __init__(self, documents: DataFrame, hashes: DataFrame, members: DataFrame) -> None:
-        self.documents, self.hashes = documents, hashes
-        self.windows = staged(members.groupBy("set_id").agg(F.collect_set("cell").alias("cells")), "jac-windows")
+    texts = scanned.join(members.select("set_id").distinct(), "set_id").groupBy("set_id").agg(F.min("text_hash").alias("text_hash"))
+    texts = staged(texts, "jac-wanted")
+    rows = documents.select(whole_text().alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    one = perhaps_in(rows, "text_hash", texts).join(texts, "text_hash").groupBy("set_id").agg(F.min("text").alias("text"))
+    return staged(one.select("set_id", shingles("text").alias("shingles")), "jac-shingles")
 
-    def texts(self, pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct()
-        wanted = staged(self.hashes.join(ids, "set_id").select("set_id", "text_hash"), "jac-wanted")
-        out = staged(texts_of(self.documents, wanted), "jac-texts")
-        discard(wanted)
-        return out
 
-    def possible(self, pairs: DataFrame) -> DataFrame:
-        """Pairs whose windows share enough. If the window of x ends first, what it holds and y lacks is w(x) - c, with c shared
-        shingles, and may be at most n(x) less the intersection that a similarity of 0.8 needs."""
-        a, b = (self.windows.select(F.col("set_id").alias(k), F.col("cells").alias(f"cells_{k}")) for k in "ab")
-        need = F.ceil(4 * (F.col("n_a") + F.col("n_b")) / 9)
-        least = F.least(*[F.floor(F.col(n) / 5) + 1 - F.col(n) + need for n in ("n_a", "n_b")])
-        return pairs.join(a, "a").join(b, "b").where(F.size(F.array_intersect("cells_a", "cells_b")) >= F.greatest(least, F.lit(1))).select("a", "b", "n_a", "n_b")
+def least_overlap(n_a: Column, n_b: Column) -> Column:
+    """The smallest intersection of sets of these sizes with a similarity of RATIO: 4 / 9 of both sizes, rounded up."""
+    return F.floor((4 * (n_a + n_b) + 8) / 9)
 
-    def measured(self, pairs: DataFrame) -> DataFrame:
-        """(a, b, n_a, n_b, common), with the size of the intersection of the full sets."""
-        pairs = staged(pairs, "jac-pairs")
-        texts = self.texts(pairs)
-        out = staged(overlaps(pairs, texts), "jac-measured")
-        discard(texts, pairs)
-        return out
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        return self.measured(self.possible(pairs)).where(linked()).select("a", "b")
+def admits() -> Column:
+    """Members a and b of a region may be linked and first meet in its shingle: sizes allow it, and what stands before the shingle in either's order, which the other lacks, leaves enough."""
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    least = least_overlap(n_a, n_b)
+    return (5 * F.least(n_a, n_b) >= 4 * F.greatest(n_a, n_b)) & (F.col("pos_a") <= n_a - least) & (F.col("pos_b") <= n_b - least)
 
 
-def pivot_pairs(members: DataFrame) -> DataFrame:
-    return members.where("set_id <> pivot").select(F.col("set_id").alias("a"), F.col("pivot").alias("b"), F.col("n").alias("n_a"), F.col("pivot_n").alias("n_b")).distinct()
+def linked() -> Column:
+    return F.col("common") >= least_overlap(F.col("n_a"), F.col("n_b"))
 
 
-def labelled(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    """Cells whose members are not all linked already, with each member's component and the cell's size."""
-    known = labels.select(F.col("node").alias("set_id"), "component")
-    cells = cells.join(known, "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    w = Window.partitionBy("cell")
-    cells = cells.withColumn("lo", F.min("component").over(w)).withColumn("hi", F.max("component").over(w)).withColumn("size", F.count("*").over(w))
-    return staged(cells.where("lo <> hi").drop("lo", "hi"), "jac-cells")
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b, n_a, n_b) with `common`, the size of the intersection of their full sets. b, which may be a pivot of many, is joined last."""
+    a = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("s_a"))
+    b = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("s_b"))
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", F.size(F.array_intersect("s_a", "s_b")).alias("common"))
 
 
-def pivoted(cells: DataFrame) -> DataFrame:
-    """The smallest set of each cell is its pivot."""
-    return cells.withColumn("p", F.min(F.struct("n", "set_id")).over(Window.partitionBy("cell"))).withColumn("pivot", F.col("p.set_id")).withColumn("pivot_n", F.col("p.n")).drop("p")
+def stars(edges: DataFrame) -> bool:
+    """Every node has one edge, and none of them leads to a node with an edge of its own."""
+    many = edges.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
+    return many.unionByName(edges.join(edges.select(F.col("u").alias("v")).distinct(), "v", "left_semi").select("u")).isEmpty()
 
 
-def rings(members: DataFrame, measured: DataFrame) -> DataFrame:
-    """Members but the pivots, each in the ring of its distance and, as a visitor, in the next."""
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): the smallest node that edges (a, b) reach, by alternating large and small stars; nodes without edges are left out."""
+    edges = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "jac-star")
+    while not stars(edges):
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        old, edges = edges, staged(small.distinct(), "jac-star")
+        discard(old)
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+    """labels (node, component) once links (a, b) are added: only components that links touch are looked at."""
+    if labels is None:
+        return staged(components(links), "jac-labels")
+    nodes = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct().join(labels, "node", "left_anti")
+    every = labels.unionByName(nodes.select("node", F.col("node").alias("component")))
+    of = lambda k: labels.select(F.col("node").alias(k), F.col("component").alias(f"c_{k}"))
+    joined = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b"))
+    joined = components(joined).select(F.col("node").alias("component"), F.col("component").alias("now"))
+    return staged(every.join(joined, "component", "left").select("node", F.coalesce("now", "component").alias("component")), "jac-labels")
+
+
+def pivots_of(cells: DataFrame, most: int) -> DataFrame:
+    """The pivots of the regions of several components: the smallest member of each of the smallest components, all but the largest.
+    Sums by component come before anything is ordered, so a region need not fit a task."""
+    parts = cells.groupBy("cell", "component").agg(F.count("*").alias("members"), F.min(F.struct("n", "set_id", "pos", "ring_own")).alias("first"))
+    regions = parts.groupBy("cell").agg(F.count("*").alias("parts"), F.sum("members").alias("members"), F.max(F.struct("members", "component")).alias("largest")).where("parts > 1")
+    regions = regions.select("cell", (F.col("members") - F.col("largest.members")).alias("outside"), F.col("largest.component").alias("largest"))
+    order = Window.partitionBy("cell").orderBy("members", "first")
+    chosen = parts.join(regions, "cell").where(F.col("component") != F.col("largest")).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most)
+    return chosen.select("cell", F.col("component").alias("c_b"), F.col("first.set_id").alias("b"), F.col("first.n").alias("n_b"), F.col("first.pos").alias("pos_b"), F.col("first.ring_own").alias("own_b"), "nth", "outside")
+
+
+def in_rings(members: DataFrame, heads: DataFrame, measured: DataFrame) -> DataFrame:
+    """Members of regions with a head (cell, head, large). In large ones each is in the ring of its distance to the head and, as a visitor, in the next; others stay as they are."""
     distance = 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
-    ring = measured.select(F.col("a").alias("set_id"), F.col("b").alias("pivot"), F.floor(distance / (1 - RATIO + 1e-9)).cast("int").alias("ring"))
-    apart = members.where("set_id <> pivot").join(ring, ["set_id", "pivot"]).select("cell", "pivot", "ring", "set_id", "n", "own", F.explode(F.array(F.lit(True), F.lit(False))).alias("ring_own"))
-    ring_at = F.col("ring") + F.when(F.col("ring_own"), 0).otherwise(1)
-    return apart.select(F.xxhash64("cell", "pivot", ring_at).alias("cell"), "set_id", "n", "own", "ring_own")
+    ring = measured.select(F.col("a").alias("set_id"), F.col("b").alias("met"), F.floor(distance / (1 - RATIO + 1e-9)).cast("int").alias("ring"))
+    rows = members.join(heads.select("cell", "head", F.when(F.col("large"), F.col("head")).alias("met")), "cell").join(ring, ["set_id", "met"], "left")
+    both = F.array(F.struct(F.col("ring").alias("at"), F.lit(True).alias("own")), F.struct((F.col("ring") + 1).alias("at"), F.lit(False).alias("own")))
+    same = F.array(F.struct(F.lit(None).cast("int").alias("at"), F.col("ring_own").alias("own")))
+    rows = rows.withColumn("r", F.explode(F.when(F.col("ring").isNull(), same).otherwise(both)))
+    cell = F.when(F.col("r.at").isNull(), F.col("cell")).otherwise(F.xxhash64("cell", "head", "r.at"))
+    return rows.select(cell.alias("cell"), "set_id", "n", "pos", F.col("r.own").alias("ring_own"))
+
+
+def joined_regions(members: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """(node, component) of the sets in regions that links join: rounds of pivots until all regions are settled. None if no region has a pair."""
+    cells = members.withColumn("ring_own", F.lit(True)).withColumn("component", F.col("set_id"))
+    labels, tested, most = None, None, 1
+    while True:
+        chosen = staged(pivots_of(cells, most), "jac-pivots")
+        if chosen.isEmpty():
+            return labels
+        a = cells.select("cell", F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"), F.col("component").alias("c_a"), F.col("ring_own").alias("own_a"))
+        meet = F.col("own_a") | F.col("own_b")
+        pairs = a.join(chosen.drop("nth", "outside"), "cell").where((F.col("c_a") != F.col("c_b")) & meet & admits()).select("a", "b", "n_a", "n_b")
+        heads = chosen.where("nth = 1").select("cell", F.col("b").alias("head"), F.col("n_b").alias("n_head"), (F.col("outside") > LARGE).alias("large"))
+        far = a.join(heads.where("large"), "cell").where("a <> head").select("a", F.col("head").alias("b"), "n_a", F.col("n_head").alias("n_b"))
+        pairs = pairs.unionByName(far).distinct()
+        measured = staged(overlaps(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), sets), "jac-measured")
+        tested = measured if tested is None else tested.unionByName(measured)
+        labels = merged(labels, measured.where(linked()).select("a", "b"))
+        left = cells.drop("component").join(chosen.select("cell", F.col("b").alias("set_id")), ["cell", "set_id"], "left_anti")
+        now = in_rings(left, heads, tested).join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
+        old, cells = cells, staged(now.withColumn("component", F.coalesce("component", "set_id")), "jac-rings")
+        discard(chosen, *[t for t in [old] if hasattr(t, "staged_at")])
+        most = min(4 * most, MOST_PIVOTS)
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id) for each row of documents."""
-    both = staged(scan(documents, common_shingles(documents)), "jac-scan")
-    scanned = staged(both.drop("window"), "jac-sets")
-    entries = both.where(F.col("window").isNotNull()).select(F.explode("window").alias("cell"), "set_id", "n")
-    region = Window.partitionBy("cell")
-    # Within a region a member's pivot is the smallest set of which it can be a near copy by size.
-    size_window = region.orderBy(F.floor(F.log("n") * 1e6)).rangeBetween(-int(1e6 * np.log(1 / RATIO)), 0)
-    first = entries.withColumn("p", F.min(F.struct("n", "set_id")).over(size_window)).withColumn("lo", F.min("set_id").over(region)).withColumn("hi", F.max("set_id").over(region))
-    members = staged(first.where("lo <> hi").select("cell", "set_id", "n", F.col("p.set_id").alias("pivot"), F.col("p.n").alias("pivot_n")).distinct(), "jac-members")
-    discard(both)
-    hashes = staged(scanned.where("n > 0").groupBy("set_id").agg(F.min("text_hash").alias("text_hash")), "jac-hashes")
-    sets = Sets(documents, hashes, members)
-    links = staged(sets.links(pivot_pairs(members)), "jac-links")
-    labels = components(links)
-    cells = labelled(members.select("cell", "set_id", "n").distinct().withColumn("own", F.lit(True)).withColumn("ring_own", F.lit(True)), labels)
-    discard(members)
-    for depth in range(DEPTH + 1):
-        large = cells.where(F.col("size") > RING)
-        last = depth == DEPTH or large.isEmpty()
-        links = staged(links.unionByName(sets.links(pairwise(cells if last else cells.where(F.col("size") <= RING)))), "jac-links")
-        if last:
-            break
-        if depth == 0:  # sizes first: a member's band and, as a visitor, the next
-            at = band("n") + F.when(F.col("own"), 0).otherwise(1)
-            large = large.drop("own").withColumn("own", F.explode(F.array(F.lit(True), F.lit(False)))).withColumn("at", at).withColumn("cell", F.xxhash64("cell", "at"))
-            # Cells with one pivot and band are one: a group of copies is large in the cells of all its shingles.
-            large = pivoted(large).withColumn("cell", F.xxhash64("pivot", "at")).drop("at")
-        else:
-            large = pivoted(large)
-        members = staged(large.select("cell", "set_id", "n", "own", "pivot", "pivot_n").distinct(), "jac-members")
-        measured = sets.measured(pivot_pairs(members))
-        links = staged(links.unionByName(measured.where(linked()).select("a", "b")), "jac-links")
-        old, cells = cells, labelled(rings(members, measured), components(links))
-        discard(old, members, measured)
-    return label_documents(scanned, components(links))
-
-
-def band(n: str) -> F.Column:
-    return F.floor(F.log(n) / F.lit(float(np.log(1 / RATIO)))).cast("int")
-
-
-def pairwise(cells: DataFrame) -> DataFrame:
-    """Pairs of members of a cell that no links join yet, of sizes that allow one. Sizes lie in bands of a factor 1.25, of which neighbours meet; two visitors meet elsewhere."""
-    left = cells.select("cell", F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), F.col("own").alias("own_a"), F.col("ring_own").alias("ring_a"), band("n").alias("band"))
-    right = cells.select("cell", F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), F.col("own").alias("own_b"), F.col("ring_own").alias("ring_b"), F.explode(F.array(band("n") - 1, band("n"), band("n") + 1)).alias("band"))
-    fits = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & (F.col("own_a") | F.col("own_b")) & (F.col("ring_a") | F.col("ring_b")) & (10 * F.least("n_a", "n_b") >= 8 * F.greatest("n_a", "n_b"))
-    return left.join(right, ["cell", "band"]).where(fits).select("a", "b", "n_a", "n_b").distinct()
-
-
-def label_documents(scanned: DataFrame, labels: DataFrame) -> DataFrame:
+    scanned = staged(scan(documents, common_shingles(documents)), "jac-scan")
+    members = staged(region_members(scanned), "jac-members")
+    return label_documents(scanned.drop("window"), joined_regions(members, sets_of(documents, scanned, members)))
+
+
+def label_documents(scanned: DataFrame, labels: DataFrame | None) -> DataFrame:
     """Components of sets to components of documents, each named by its smallest doc_id."""
     sets = scanned.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
-    sets = sets.join(labels.select(F.col("node").alias("set_id"), "component"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    if labels is not None:
+        sets = sets.join(labels.select(F.col("node").alias("set_id"), "component"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+    else:
+        sets = sets.withColumn("component", F.col("set_id"))
     sets = staged(sets, "jac-sets")
-    names = staged(sets.groupBy("component").agg(F.min("least").alias("component_id")), "jac-names")
+    names = sets.groupBy("component").agg(F.min("least").alias("component_id"))
     named = staged(sets.join(names, "component").select("set_id", "component_id"), "jac-named")
     out = scanned.select("doc_id", "text_hash", "set_id", "n").join(named, "set_id", "left")
     return out.select("doc_id", "text_hash", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def kept_documents(documents: DataFrame) -> DataFrame:
-    """documents with one row of each group: that of the smallest doc_id, then text hash; documents without words all stay."""
-    groups = near_duplicates(documents)
-    best = groups.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("x"))
-    best = best.select("x.doc_id", "x.text_hash").unionByName(groups.where("n_shingles = 0").select("doc_id", "text_hash").distinct())
-    best = staged(best, "jac-best").toDF("best_id", "best_hash")
-    words = F.length(F.regexp_replace(whole_text(), r"[\x20\x09-\x0D]+", "")) > 0
-    rows = documents.select(F.struct("*").alias("row"), "doc_id", F.xxhash64(whole_text()).alias("text_hash"), words.alias("words"))
-    out = rows.join(best, F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("text_hash") == F.col("best_hash")), "left_semi")
-    once = Window.partitionBy("doc_id", "text_hash").orderBy(F.lit(1))
-    return out.withColumn("turn", F.row_number().over(once)).where((F.col("turn") == 1) | ~F.col("words")).select("row.*")
+    """documents with one row of each group: that of the smallest doc_id, then text hash, then hash of all its columns; documents without words all stay."""
+    groups = staged(near_duplicates(documents), "jac-groups")
+    best = groups.where("n_shingles > 0").groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("x")).select("x.doc_id", "x.text_hash")
+    times = groups.where("n_shingles > 0").groupBy("doc_id", "text_hash").agg(F.count("*").alias("times"))
+    best = best.join(times, best.doc_id.eqNullSafe(times.doc_id) & (best.text_hash == times.text_hash)).select(best.doc_id.alias("best_id"), best.text_hash.alias("best_hash"), "times")
+    best = staged(best.unionByName(groups.where("n_shingles = 0").select("doc_id", "text_hash", F.lit(1).cast("long")).distinct().toDF("best_id", "best_hash", "times")), "jac-best")
+    rows = documents.select(F.struct("*").alias("row"), "doc_id", F.xxhash64(whole_text()).alias("text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("text_hash") == F.col("best_hash"))
+    # Few rows repeat both id and text; they are settled apart, added up in tasks first, so that a row that a third of all rows repeat is no hot group.
+    once = rows.join(best.where("times = 1"), same, "left_semi").select("row.*")
+    again = rows.join(best.where("times > 1"), same, "left_semi").groupBy("doc_id", "text_hash")
+    return once.unionByName(again.agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")).select("row.*"))
 
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
