@@ -122,11 +122,18 @@ def perhaps_in(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
 
 
 def region_members(scanned: DataFrame) -> DataFrame:
-    """(cell, set_id, n, pos) of the regions that hold more than one set."""
+    """(cell, set_id, n, pos) of the regions that hold more than one set. In small regions only members that could be linked with another there stay."""
     entries = scanned.where(F.col("window").isNotNull()).select(F.posexplode("window").alias("pos", "cell"), "set_id", "n")
     shared = entries.groupBy("cell").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi")).where("lo <> hi").select("cell")
     shared = staged(shared, "jac-shared")
-    return perhaps_in(entries, "cell", shared).join(shared, "cell").select("cell", "set_id", "n", "pos").distinct()
+    every = staged(perhaps_in(entries, "cell", shared).join(shared, "cell").select("cell", "set_id", "n", "pos").distinct(), "jac-entries")
+    large = staged(every.groupBy("cell").count().where(F.col("count") > LARGE).select("cell"), "jac-large")
+    a = every.join(large, "cell", "left_anti").toDF("cell", "a", "n_a", "pos_a")
+    b = every.toDF("cell_b", "b", "n_b", "pos_b")
+    some = a.join(b, (F.col("cell") == F.col("cell_b")) & (F.col("a") != F.col("b")) & admits(), "left_semi").toDF(*every.columns)
+    out = staged(some.unionByName(every.join(large, "cell", "left_semi")), "jac-members")
+    discard(shared, every, large)
+    return out
 
 
 def sets_of(documents: DataFrame, scanned: DataFrame, members: DataFrame) -> DataFrame:
@@ -162,9 +169,8 @@ def linked() -> Column:
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b, n_a, n_b) with `common`, the size of the intersection of their full sets. b, which may be a pivot of many, is joined last."""
-    a = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("s_a"))
-    b = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("s_b"))
+    """Distinct pairs (a, b, n_a, n_b; a staged table) with `common`, the size of the intersection of their full sets. b, which may be a pivot of many, is joined last."""
+    a, b = (perhaps_in(sets, "set_id", pairs.select(F.col(k).alias("set_id"))).toDF(k, f"s_{k}") for k in "ab")
     return pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", F.size(F.array_intersect("s_a", "s_b")).alias("common"))
 
 
@@ -237,21 +243,24 @@ def joined_regions(members: DataFrame, sets: DataFrame) -> DataFrame | None:
         heads = chosen.where("nth = 1").select("cell", F.col("b").alias("head"), F.col("n_b").alias("n_head"), (F.col("outside") > LARGE).alias("large"))
         far = a.join(heads.where("large"), "cell").where("a <> head").select("a", F.col("head").alias("b"), "n_a", F.col("n_head").alias("n_b"))
         pairs = pairs.unionByName(far).distinct()
-        measured = staged(overlaps(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), sets), "jac-measured")
+        pairs = staged(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "jac-pairs")
+        measured = staged(overlaps(pairs, sets), "jac-measured")
         tested = measured if tested is None else tested.unionByName(measured)
         labels = merged(labels, measured.where(linked()).select("a", "b"))
         left = cells.drop("component").join(chosen.select("cell", F.col("b").alias("set_id")), ["cell", "set_id"], "left_anti")
         now = in_rings(left, heads, tested).join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
         old, cells = cells, staged(now.withColumn("component", F.coalesce("component", "set_id")), "jac-rings")
-        discard(chosen, *[t for t in [old] if hasattr(t, "staged_at")])
+        discard(chosen, pairs, *[t for t in [old] if hasattr(t, "staged_at")])
         most = min(4 * most, MOST_PIVOTS)
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id) for each row of documents."""
-    scanned = staged(scan(documents, common_shingles(documents)), "jac-scan")
-    members = staged(region_members(scanned), "jac-members")
-    return label_documents(scanned.drop("window"), joined_regions(members, sets_of(documents, scanned, members)))
+    windows = staged(scan(documents, common_shingles(documents)), "jac-windows")
+    scanned = staged(windows.drop("window"), "jac-scan")
+    members = region_members(windows)
+    discard(windows)
+    return label_documents(scanned, joined_regions(members, sets_of(documents, scanned, members)))
 
 
 def label_documents(scanned: DataFrame, labels: DataFrame | None) -> DataFrame:
