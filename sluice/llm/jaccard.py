@@ -8,12 +8,12 @@ first n // 5 + 1 shingles (`shingles.prefix_length`): the window of a document w
 Inside a region the place of its shingle in a document's order bounds the distance further: what comes before it is missing from
 a partner that first meets the document there (`admits`).
 
-Regions then recurse with document pivots, all regions in step. In each round a region takes pivots, one of each of its
-smallest components (one pivot in the first round, four times as many in each next), compares them with the members that other
-components hold, and is rid of them, as they have met all. A region with more than LARGE members outside its largest component
-also gets the distances of all members to its first pivot and is divided into rings of width 0.2 around it; a member goes to its
-ring and, as a visitor, to the next, since d(x, p) and d(y, p) differ by at most d(x, y). A region whose members are all of one
-component is settled, as is one with a single member left. Rounds go on until all regions are settled: there is no limit of depth.
+Regions then join in rounds, all in step. In each round a region whose members belong to several components takes at most PIVOTS pivots,
+in the first round members in its middle, then members of its largest component, and every member of another component meets at most PROBES pivots of its regions: those that it shares most regions with.
+Links join components; regions of one component are settled. As a round's pairs are at most PROBES for each set, a group of near copies,
+in which nearly all pairs are links, becomes one component without its pairs being formed. Once few of a round's pairs are links, the members outside their
+region's largest component meet all members of other components that they may be linked with; two whose distances to a pivot that both have met
+differ by more than 0.2 are no link. What is compared there are pairs that no chain of links joins, of sets that differ little in size and in the order's first part.
 
 Every comparison is of full sets, so results are exact up to collisions of 64-bit hashes. Equal sets are one point.
 Shingles that a scan finds to be common come later in the order, the commoner the later; which ones does not change results.
@@ -39,10 +39,10 @@ from .shingles import prefix_length, shingle_sets
 
 #: Shingles that one step of the scan for common ones looks at together; common ones stand in at least COMMON documents.
 LOOK, COMMON, MOST_COMMON = 4_000_000, 8, 1 << 20
-#: Members outside the largest component from which a region is divided into rings.
+#: Members up to which a region is searched for those that could be linked with no other.
 LARGE = 64
-#: Pivots that a region takes in one round at most.
-MOST_PIVOTS = 1024
+#: Pivots of a region in the first round and in others, and comparisons of a set in one round; rounds go on while more than YIELD of their pairs are links.
+PIVOTS, PROBES, YIELD = (4, 16), 6, 0.04
 RATIO = 0.8
 #: log2 of the bits of the filters that keep most rows out of a shuffle. Their size is fixed; where they fill up, more rows are shuffled.
 FILTER_BITS = 25
@@ -206,52 +206,81 @@ def merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return staged(every.join(joined, "component", "left").select("node", F.coalesce("now", "component").alias("component")), "jac-labels")
 
 
-def pivots_of(cells: DataFrame, most: int) -> DataFrame:
-    """The pivots of the regions of several components: the smallest member of each of the smallest components, all but the largest.
-    Sums by component come before anything is ordered, so a region need not fit a task."""
-    parts = cells.groupBy("cell", "component").agg(F.count("*").alias("members"), F.min(F.struct("n", "set_id", "pos", "ring_own")).alias("first"))
-    regions = parts.groupBy("cell").agg(F.count("*").alias("parts"), F.sum("members").alias("members"), F.max(F.struct("members", "component")).alias("largest")).where("parts > 1")
-    regions = regions.select("cell", (F.col("members") - F.col("largest.members")).alias("outside"), F.col("largest.component").alias("largest"))
-    order = Window.partitionBy("cell").orderBy("members", "first")
-    chosen = parts.join(regions, "cell").where(F.col("component") != F.col("largest")).withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= most)
-    return chosen.select("cell", F.col("component").alias("c_b"), F.col("first.set_id").alias("b"), F.col("first.n").alias("n_b"), F.col("first.pos").alias("pos_b"), F.col("first.ring_own").alias("own_b"), "nth", "outside")
+def with_components(members: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return members.withColumn("component", F.col("set_id"))
+    return members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
+
+
+def open_regions(cells: DataFrame) -> DataFrame:
+    """(cell, largest) of the regions of several components, with the largest of them. All of it is sums by key, so a region need not fit a task."""
+    parts = cells.groupBy("cell", "component").agg(F.count("*").alias("members"))
+    regions = parts.groupBy("cell").agg(F.count("*").alias("parts"), F.max(F.struct("members", "component")).alias("largest"))
+    return regions.where("parts > 1").select("cell", F.col("largest.component").alias("largest"))
+
+
+def pivots_of(cells: DataFrame, turn: int) -> DataFrame:
+    """At most PIVOTS members of each region of several components. In the first turn those with the fewest rarer shingles before the region's,
+    which lie in the middle of a group of near copies; then members of the largest component, others in each region and turn."""
+    rows = cells.join(open_regions(cells), "cell")
+    if turn:
+        rows = rows.where(F.col("component") == F.col("largest"))
+    order = F.struct(F.col("pos").cast("long").alias("turn") if turn == 0 else F.xxhash64("cell", "set_id", F.lit(turn)).alias("turn"), "n", "set_id", "pos", "component")
+    slots = rows.groupBy("cell", F.pmod(F.xxhash64("set_id", F.lit(turn)), F.lit(PIVOTS[min(turn, 1)])).alias("slot")).agg(F.min(order).alias("x"))
+    return slots.select("cell", F.col("x.component").alias("c_b"), F.col("x.set_id").alias("b"), F.col("x.n").alias("n_b"), F.col("x.pos").alias("pos_b"))
+
+
+def side(cells: DataFrame, k: str) -> DataFrame:
+    return cells.select("cell", F.col("set_id").alias(k), F.col("n").alias(f"n_{k}"), F.col("pos").alias(f"pos_{k}"), F.col("component").alias(f"c_{k}"))
+
 
+def unmet(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
+    return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 
-def in_rings(members: DataFrame, heads: DataFrame, measured: DataFrame) -> DataFrame:
-    """Members of regions with a head (cell, head, large). In large ones each is in the ring of its distance to the head and, as a visitor, in the next; others stay as they are."""
+
+def pivot_round(cells: DataFrame, chosen: DataFrame, tested: DataFrame | None) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of a set and a pivot that it may be linked with. Of its regions' pivots a set meets PROBES: those that it shares most regions with."""
+    meet = side(cells, "a").join(chosen, "cell").where((F.col("c_a") != F.col("c_b")) & admits())
+    pairs = unmet(meet.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared")), tested)
+    best = Window.partitionBy("a").orderBy(F.desc("shared"), "b")
+    return pairs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= PROBES).select("a", "b", "n_a", "n_b")
+
+
+def apart(pairs: DataFrame, tested: DataFrame) -> DataFrame:
+    """pairs but those whose distances to a pivot that both have met differ by more than 0.2: by the triangle inequality they are no links."""
     distance = 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
-    ring = measured.select(F.col("a").alias("set_id"), F.col("b").alias("met"), F.floor(distance / (1 - RATIO + 1e-9)).cast("int").alias("ring"))
-    rows = members.join(heads.select("cell", "head", F.when(F.col("large"), F.col("head")).alias("met")), "cell").join(ring, ["set_id", "met"], "left")
-    both = F.array(F.struct(F.col("ring").alias("at"), F.lit(True).alias("own")), F.struct((F.col("ring") + 1).alias("at"), F.lit(False).alias("own")))
-    same = F.array(F.struct(F.lit(None).cast("int").alias("at"), F.col("ring_own").alias("own")))
-    rows = rows.withColumn("r", F.explode(F.when(F.col("ring").isNull(), same).otherwise(both)))
-    cell = F.when(F.col("r.at").isNull(), F.col("cell")).otherwise(F.xxhash64("cell", "head", "r.at"))
-    return rows.select(cell.alias("cell"), "set_id", "n", "pos", F.col("r.own").alias("ring_own"))
-
-
-def joined_regions(members: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """(node, component) of the sets in regions that links join: rounds of pivots until all regions are settled. None if no region has a pair."""
-    cells = members.withColumn("ring_own", F.lit(True)).withColumn("component", F.col("set_id"))
-    labels, tested, most = None, None, 1
+    met = tested.select(F.col("a").alias("set_id"), F.struct(F.col("b").alias("pivot"), distance.alias("d")).alias("m")).groupBy("set_id").agg(F.map_from_entries(F.collect_set("m")).alias("met"))
+    a, b = (met.toDF(k, f"met_{k}") for k in "ab")
+    both = pairs.join(a, "a", "left").join(b, "b", "left")
+    known = F.filter(F.map_keys("met_a"), lambda p: F.abs(F.col("met_a")[p] - F.col("met_b")[p]) > 1 - RATIO + 1e-9)
+    return both.where(F.coalesce(F.size(known), F.lit(0)) <= 0).select(*pairs.columns)
+
+
+def last_round(cells: DataFrame, tested: DataFrame) -> DataFrame:
+    """All pairs of regions' members that may be linked and that no links join yet. One of a pair is outside its region's largest component."""
+    regions = open_regions(cells)
+    outside = cells.join(regions, "cell").where(F.col("component") != F.col("largest"))
+    once = (F.col("c_a") == F.col("largest")) | (F.col("a") < F.col("b"))
+    b = side(outside, "b").join(regions, "cell")
+    pairs = side(cells, "a").join(b, "cell").where((F.col("c_a") != F.col("c_b")) & once & admits()).select("a", "b", "n_a", "n_b").distinct()
+    return apart(unmet(pairs, tested), tested)
+
+
+def joined_regions(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, component) of the sets in regions that links join."""
+    labels = tested = None
+    turn, last = 0, False
     while True:
-        chosen = staged(pivots_of(cells, most), "jac-pivots")
-        if chosen.isEmpty():
-            return labels
-        a = cells.select("cell", F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"), F.col("component").alias("c_a"), F.col("ring_own").alias("own_a"))
-        meet = F.col("own_a") | F.col("own_b")
-        pairs = a.join(chosen.drop("nth", "outside"), "cell").where((F.col("c_a") != F.col("c_b")) & meet & admits()).select("a", "b", "n_a", "n_b")
-        heads = chosen.where("nth = 1").select("cell", F.col("b").alias("head"), F.col("n_b").alias("n_head"), (F.col("outside") > LARGE).alias("large"))
-        far = a.join(heads.where("large"), "cell").where("a <> head").select("a", F.col("head").alias("b"), "n_a", F.col("n_head").alias("n_b"))
-        pairs = pairs.unionByName(far).distinct()
-        pairs = staged(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "jac-pairs")
+        cells = staged(with_components(members, labels), "jac-cells")
+        pairs = staged(last_round(cells, tested) if last else pivot_round(cells, pivots_of(cells, turn), tested), "jac-pairs")
         measured = staged(overlaps(pairs, sets), "jac-measured")
-        tested = measured if tested is None else tested.unionByName(measured)
         labels = merged(labels, measured.where(linked()).select("a", "b"))
-        left = cells.drop("component").join(chosen.select("cell", F.col("b").alias("set_id")), ["cell", "set_id"], "left_anti")
-        now = in_rings(left, heads, tested).join(labels.withColumnRenamed("node", "set_id"), "set_id", "left")
-        old, cells = cells, staged(now.withColumn("component", F.coalesce("component", "set_id")), "jac-rings")
-        discard(chosen, pairs, *[t for t in [old] if hasattr(t, "staged_at")])
-        most = min(4 * most, MOST_PIVOTS)
+        tested = measured if tested is None else tested.unionByName(measured)
+        discard(cells, pairs)
+        if last:
+            return labels
+        found = measured.agg(F.count("*").alias("pairs"), F.count(F.when(linked(), 1)).alias("links")).first()
+        last, turn = found["links"] <= YIELD * found["pairs"], turn + 1
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
@@ -263,14 +292,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return label_documents(scanned, joined_regions(members, sets_of(documents, scanned, members)))
 
 
-def label_documents(scanned: DataFrame, labels: DataFrame | None) -> DataFrame:
+def label_documents(scanned: DataFrame, labels: DataFrame) -> DataFrame:
     """Components of sets to components of documents, each named by its smallest doc_id."""
     sets = scanned.where("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("least"))
-    if labels is not None:
-        sets = sets.join(labels.select(F.col("node").alias("set_id"), "component"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
-    else:
-        sets = sets.withColumn("component", F.col("set_id"))
-    sets = staged(sets, "jac-sets")
+    sets = staged(with_components(sets, labels), "jac-sets")
     names = sets.groupBy("component").agg(F.min("least").alias("component_id"))
     named = staged(sets.join(names, "component").select("set_id", "component_id"), "jac-named")
     out = scanned.select("doc_id", "text_hash", "set_id", "n").join(named, "set_id", "left")
