@@ -27,18 +27,21 @@ def insertable(schema: Schema) -> Schema:
 
 
 def insert_shape(messages: DataFrame, sql: str = "sql") -> DataFrame:
-    """Column names and the number of placeholders of the INSERT texts. Texts are few: each distinct one is looked at once."""
-    shapes = messages.select(sql).distinct()
+    """Column names and the number of placeholders of the INSERT texts, as plain expressions: no join, no shuffle."""
     head = F.regexp_extract(sql, r"(?is)^\s*insert\s+into\s+[^\s(]+\s*\(([^)]*)\)\s*values", 1)
     names = F.filter(F.transform(F.split(head, ","), lambda x: F.trim(F.translate(x, "`", ""))), lambda x: x != "")
     marks = F.regexp_count(F.regexp_extract(sql, r"(?is)\bvalues\s*\((.*)\)\s*;?\s*$", 1), F.lit(r"\?"))
-    return messages.join(shapes.select(sql, names.alias("names"), marks.cast("int").alias("placeholders")), sql)
+    return messages.withColumns({"names": names, "placeholders": marks.cast("int")})
 
 
-def bind(rows: DataFrame, schema: Schema, cells: str = "cells") -> DataFrame:
-    """bound: the columns that the cells go to, by list if there is one, else by position over the first insertable columns."""
+def targets(schema: Schema) -> Column:
+    """The columns that the cells go to, by list if there is one, else by position over the first insertable columns."""
     own = F.array(*[F.lit(c.name) for c in insertable(schema)])
-    return rows.withColumn("bound", F.when(F.size("names") > 0, F.col("names")).otherwise(F.slice(own, F.lit(1), F.greatest(F.col("placeholders"), F.lit(0)))))
+    return F.when(F.size("names") > 0, F.col("names")).otherwise(F.slice(own, F.lit(1), F.greatest(F.col("placeholders"), F.lit(0))))
+
+
+def bind(rows: DataFrame, schema: Schema) -> DataFrame:
+    return rows.withColumn("bound", targets(schema))
 
 
 def project(bound: DataFrame, schema: Schema, keep: list[str], cells: str = "cells") -> DataFrame:
@@ -64,13 +67,31 @@ def problem(schema: Schema, cells: str = "cells") -> Column:
     )
 
 
+def message_problem(schema: Schema, rows: str = "rows") -> Column:
+    """The first thing that is wrong with a message of several rows, or null: its binding, the width of any row, a cell that its column's type
+    cannot hold, or a null for a column that must have a value. One bad row fails the message."""
+    known = F.array(*[F.lit(c.name) for c in insertable(schema)])
+    binding = (
+        F.when(F.size(F.array_except("names", known)) > 0, "unknown_column")
+        .when((F.size("names") > 0) & (F.size("names") != F.col("placeholders")), "placeholder_mismatch")
+        .when((F.size("names") == 0) & (F.col("placeholders") > F.size(known)), "placeholder_mismatch")
+        .when(F.exists(rows, lambda r: F.size(r) != F.col("placeholders")), "row_arity")
+    )
+    for c in insertable(schema):
+        at, place = F.array_position(targets(schema), c.name), F.array_position(targets(schema), c.name) - 1
+        # The lambdas are called at once, within this turn of the loop.
+        binding = binding.when((at > 0) & F.exists(rows, lambda r: F.get(r, place.cast("int")).isNotNull() & F.get(r, place.cast("int")).try_cast(c.type).isNull()), "bad_cell")  # noqa: B023
+        if not c.nullable:
+            binding = binding.when((at > 0) & F.exists(rows, lambda r: F.get(r, place.cast("int")).isNull()), "null_into_required")  # noqa: B023
+    return binding
+
+
 def coverage(schema: Schema, bound: str = "bound") -> tuple[Column, Column]:
     """Does the bound set leave columns with a default, or without one, uncovered?"""
     names = lambda kind: F.array(*[F.lit(c.name) for c in insertable(schema) if c.kind == kind]).cast("array<string>")
     return F.size(F.array_except(names("default"), F.col(bound))) > 0, F.size(F.array_except(names("ordinary"), F.col(bound))) > 0
 
 
-def split_valid(rows: DataFrame, message: list[str], error: str = "error") -> tuple[DataFrame, DataFrame]:
-    """A message with a bad row fails as a whole; bad messages go to the dead-letter side."""
-    bad = rows.where(F.col(error).isNotNull()).groupBy(*message).agg(F.min(error).alias("message_error"))
-    return rows.join(bad.select(*message), message, "left_anti"), rows.join(bad, message)
+def split_valid(messages: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
+    """Good messages, and bad ones for the dead letters, as wholes; `error` is the message's, so no shuffle is needed."""
+    return messages.where(F.col(error).isNull()).drop(error), messages.where(F.col(error).isNotNull())

@@ -52,5 +52,5 @@ def block_ranges(blocks: DataFrame) -> DataFrame:
 
 
 def block_id() -> Column:
-    """Identity of a block: the same range of a (topic, part, tbl) has the same id."""
-    return F.md5(F.concat_ws("|", "topic", "part", "tbl", "begin_pos", "end_pos"))
+    """Identity of a block: the same range of a (zone, topic, part, tbl), in the same epoch of its offsets, has the same id."""
+    return F.md5(F.concat_ws("|", "zone", "topic", "part", "tbl", "epoch", "begin_pos", "end_pos"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.log import CHUNK
+
 
 def commit_metadata(ranges: DataFrame) -> DataFrame:
     """The last block range of every (part, tbl)."""
@@ -64,14 +66,16 @@ def replay_plan(meta: DataFrame) -> DataFrame:
 
 
 def classify(log: DataFrame, meta: DataFrame, force_consume: bool = False) -> DataFrame:
-    """What a successor does with each message from the committed offset on."""
+    """What a successor does with each message that it gets. It asks for the committed offset on; a message before it, which a log that was cut or
+    rewound may send, is abnormal and is consumed under that name."""
     at = commit_offset(meta).select("part", "commit_pos")
     m = meta.select("part", "tbl", F.col("begin_pos").alias("m_begin"), F.col("end_pos").alias("m_end"))
-    rows = log.join(at, "part", "left").where(F.col("pos") >= F.coalesce("commit_pos", F.lit(0))).join(m, ["part", "tbl"], "left")
+    rows = log.join(at, "part", "left").join(m, ["part", "tbl"], "left")
     if force_consume:
         return rows.withColumn("action", F.lit("consume"))
     action = (
-        F.when(F.col("m_begin").isNull() | (F.col("m_begin") > F.col("m_end")) & (F.col("pos") > F.col("m_end")), "consume")
+        F.when(F.col("pos") < F.col("commit_pos"), "abnormal_before_begin")
+        .when(F.col("m_begin").isNull() | (F.col("m_begin") > F.col("m_end")) & (F.col("pos") > F.col("m_end")), "consume")
         .when(F.col("m_begin") > F.col("m_end"), "skip_already_applied")
         .when(F.col("pos") < F.col("m_begin"), "skip_before_begin")
         .when(F.col("pos") <= F.col("m_end"), "replay_append")
@@ -92,25 +96,44 @@ def replay_gap(log: DataFrame, meta: DataFrame) -> DataFrame:
     return meta.where("begin_pos <= end_pos").join(first, "part", "left").where(F.col("first_pos").isNull() | (F.col("first_pos") > F.col("begin_pos"))).select("part", "tbl", "begin_pos", "first_pos")
 
 
-def offset_anomalies(log: DataFrame, order: str = "arrival_seq") -> DataFrame:
-    """reset, rewind, gap or ok, for each message in arrival order."""
-    w = Window.partitionBy("topic", "part").orderBy(order)
-    prior = F.max("pos").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    kind = F.when(prior.isNull(), "ok").when((F.col("pos") == 0) & (prior > 0), "reset").when(F.col("pos") <= prior, "rewind").when(F.col("pos") > prior + 1, "gap").otherwise("ok")
-    return log.withColumn("anomaly", kind)
+SOURCE = ["zone", "topic", "part"]
 
 
-def dedup_log(log: DataFrame) -> DataFrame:
-    """The first arrival of every offset."""
-    first = log.groupBy("topic", "part", "pos").agg(F.min("arrival_seq").alias("arrival_seq"))
-    return log.join(first, ["topic", "part", "pos", "arrival_seq"], "left_semi")
+def _before(df: DataFrame, keys: list[str], order: str, value: Column, how, name: str, chunk: int = CHUNK) -> DataFrame:
+    """`how` (F.max or F.sum) of value over the rows before, by keys and order. Chunks are summed up first, so a hot key is spread over its chunks."""
+    df = df.withColumn("value_", value).withColumn("chunk_", F.floor(F.col(order) / chunk))
+    sums = df.groupBy(*keys, "chunk_").agg(how("value_").alias("v_"))
+    prior = sums.select(*keys, "chunk_", how("v_").over(Window.partitionBy(*keys).orderBy("chunk_").rowsBetween(Window.unboundedPreceding, -1)).alias("before_"))
+    inside = how("value_").over(Window.partitionBy(*keys, "chunk_").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    both = df.withColumn("inside_", inside).join(prior, [*keys, "chunk_"])
+    joined = F.greatest("inside_", "before_") if how is F.max else F.coalesce("inside_", F.lit(0)) + F.coalesce("before_", F.lit(0))
+    return both.withColumn(name, joined).drop("value_", "chunk_", "inside_", "before_")
 
 
 def epoch_of(log: DataFrame, order: str = "arrival_seq") -> DataFrame:
-    """A reset of the offsets starts a new epoch, which joins the block key."""
-    w = Window.partitionBy("topic", "part").orderBy(order)
-    reset = (F.lag("pos").over(w) > F.col("pos")).cast("int")
-    return log.withColumn("reset_", F.coalesce(reset, F.lit(0))).withColumn("epoch", F.sum("reset_").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("reset_")
+    """epoch: how many resets there were in the partition up to a message. A reset is an offset 0 after an offset above 0 since the last reset; another
+    rewind is none. order: a unique integer order of arrival."""
+    zero = F.when(F.col("pos") == 0, 1).otherwise(0)
+    df = _before(log, SOURCE, order, zero, F.sum, "zeros_").withColumn("zeros_", (F.col("zeros_") + zero).cast("long"))
+    # Between two zeros lies a run of messages; a zero is a reset if the run that it ends has an offset above 0.
+    runs = df.groupBy(*SOURCE, "zeros_").agg((F.max("pos") > 0).cast("int").alias("rose_"))
+    risen = runs.select(*SOURCE, (F.col("zeros_") + 1).alias("zeros_"), "rose_")
+    resets = runs.select(*SOURCE, "zeros_").join(risen, [*SOURCE, "zeros_"], "left").withColumn("reset_", F.coalesce("rose_", F.lit(0)))
+    epochs = _before(resets, SOURCE, "zeros_", F.col("reset_"), F.sum, "epoch").withColumn("epoch", (F.col("epoch") + F.col("reset_")).cast("long"))
+    return df.join(epochs.select(*SOURCE, "zeros_", "epoch"), [*SOURCE, "zeros_"]).drop("zeros_")
+
+
+def offset_anomalies(log: DataFrame, order: str = "arrival_seq") -> DataFrame:
+    """reset, rewind, gap or ok, for each message in arrival order. A reset (see epoch_of) makes its offset the last one known."""
+    df = _before(epoch_of(log, order), [*SOURCE, "epoch"], order, F.col("pos"), F.max, "last_")
+    kind = F.when(F.col("last_").isNull(), F.when(F.col("epoch") > 0, "reset").otherwise("ok")).when(F.col("pos") <= F.col("last_"), "rewind").when(F.col("pos") > F.col("last_") + 1, "gap").otherwise("ok")
+    return df.withColumn("anomaly", kind).drop("last_", "epoch")
+
+
+def dedup_log(log: DataFrame) -> DataFrame:
+    """The first arrival of every offset."""
+    first = log.groupBy(*SOURCE, "pos").agg(F.min("arrival_seq").alias("arrival_seq"))
+    return log.join(first, [*SOURCE, "pos", "arrival_seq"], "left_semi")
 
 
 def commit_conflicts(history: DataFrame) -> DataFrame:
@@ -143,5 +166,12 @@ def assignments(ledger: DataFrame, most: int = 100) -> DataFrame:
     return ledger.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= most)
 
 
-def counts_from_reference(log: DataFrame) -> Column:
-    return F.count("*").over(Window.partitionBy("part", "tbl").orderBy("pos"))
+def counts_from_reference(log: DataFrame, meta: DataFrame) -> DataFrame:
+    """n: how many messages of its (part, tbl) there are from the reference offset up to a message. Under version 1 the saved metadata (part, tbl, end_pos, cnt,
+    reference) has the count up to the saved end, so a message that is replayed leaves it as it is, and counting goes on after the end; without saved
+    metadata the reference is the partition's first offset."""
+    m = meta.select("part", "tbl", F.col("end_pos").alias("m_end"), F.col("cnt").alias("m_cnt"), F.col("reference").alias("m_ref"))
+    rows = log.join(F.broadcast(m), ["part", "tbl"], "left").where(F.col("m_ref").isNull() | (F.col("pos") >= F.col("m_ref")))
+    counted = F.when(F.col("m_end").isNull() | (F.col("pos") > F.col("m_end")), 1).otherwise(0)
+    out = _before(rows, ["part", "tbl"], "pos", counted, F.sum, "n_")
+    return out.withColumn("n", (F.col("n_") + counted + F.coalesce("m_cnt", F.lit(0))).cast("long")).drop("n_", "m_end", "m_cnt", "m_ref")

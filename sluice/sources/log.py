@@ -79,9 +79,10 @@ def route(log: DataFrame) -> tuple[DataFrame, DataFrame]:
 ENVELOPE = "shard string, `table` string, schema_hash bigint, sql string, rows array<array<string>>"
 
 
-def decode(log: DataFrame, payload: str = "payload") -> DataFrame:
-    """JSON envelopes to columns; an envelope that cannot be read gives null in `rows`."""
-    return log.withColumn("e_", F.from_json(payload, ENVELOPE)).select(*log.columns, "e_.shard", F.col("e_.table").alias("envelope_table"), "e_.schema_hash", "e_.sql", "e_.rows").drop(payload)
+def decode(log: DataFrame, payload: str = "payload", keep: bool = False) -> DataFrame:
+    """JSON envelopes to columns; an envelope that cannot be read gives null in `rows`. keep: the payload stays."""
+    out = log.withColumn("e_", F.from_json(payload, ENVELOPE)).select(*log.columns, "e_.shard", F.col("e_.table").alias("envelope_table"), "e_.schema_hash", "e_.sql", "e_.rows")
+    return out if keep else out.drop(payload)
 
 
 def explode_rows(decoded: DataFrame) -> DataFrame:

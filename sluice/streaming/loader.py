@@ -1,71 +1,198 @@
-"""The exactly-once loader: a stream of routed log rows into blocks and a ledger.
-
-Spark's offset log fixes a batch's input before it runs (the intent). Blocks are a pure function of that input: (topic, part, tbl) and the
-offset range. Each block is written under its own id with dynamic overwrite, then the ledger row. A batch that runs again finds
-its blocks in the ledger and writes the same files over those that are not there yet.
+"""The exactly-once loader: from a stream of messages to tables, block by block.
+
+A micro-batch is one poll. It is routed to tables, decoded, bound and filled with defaults; what cannot be goes to the dead letters
+as whole messages. The rows of each (zone, topic, part, tbl) gather in a buffer that lasts over batches and closes, after a poll, when it
+is over a limit of rows, bytes or message time. A closed buffer is a block: its offset range gives its id, and readers see a block's rows
+once the ledger has it.
+
+Every step is a pure function of the step before and the batch's messages, which Spark's offset log fixes before the batch runs.
+A step first writes its buffers and the last offset of each partition (the intent), then rows and dead letters, then the ledger, each under
+the step's number; a batch that runs again overwrites the same folders with the same rows. Rows are written as they come, with the
+number of their buffer, so no buffer is held in memory, and there is a folder for a step, not for a block.
+
+Messages at or under the last offset of their (zone, topic, part) are dropped: they are loaded already. With resets=True, an offset 0 after larger
+ones starts a new epoch instead, in which offsets count anew. Of messages with equal offsets in a batch the first by time, then table and
+payload counts. As in the source of such a log, the offsets of a partition have to come in order over batches; inside a batch they may come
+in any order. An empty batch changes nothing but the time trigger; null tables are dead letters.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.binding import Col, insertable
+from ..operators.binding import Schema, bind, insert_shape, message_problem, project
 from ..operators.blocks import block_id
-
-LEDGER = "block_id string, topic string, part long, tbl string, begin_pos long, end_pos long, cnt long, batch_id long"
+from ..operators.defaults import derive, fill_defaults
+from ..sources.log import decode, explode_rows
+from . import store
+
+PART = ["zone", "topic", "part"]
+KEY = [*PART, "tbl"]
+COUNTS = "cnt long, bytes long, begin_pos long, end_pos long, first_us long, last_us long"
+BUFFERS = f"zone string, topic string, part long, tbl string, epoch long, block_no long, {COUNTS}, closed boolean"
+POSITIONS = "zone string, topic string, part long, epoch long, last_pos long"
+LEDGER = f"block_id string, zone string, topic string, part long, tbl string, epoch long, block_no long, {COUNTS}"
+DEAD = "zone string, topic string, part long, pos long, tbl string, error string, payload string"
+#: Columns that a loaded table has besides its own.
+ORIGIN = {"zone": "_zone", "topic": "_topic", "part": "_part", "epoch": "_epoch", "pos": "_pos", "row_in_msg": "_row", "block_no": "_block_no"}
+
+
+@dataclass(frozen=True)
+class Limits:
+    """A buffer over any of them closes after the poll: messages, payload bytes, seconds between its first message and the newest of its partition."""
+
+    rows: int | None = 100_000
+    size: int | None = 10 << 20
+    seconds: float | None = None
+
+    def over(self, cnt: Column, size: Column, age_us: Column) -> Column:
+        out = F.lit(False)
+        for value, limit in ((cnt, self.rows), (size, self.size), (age_us, None if self.seconds is None else int(self.seconds * 1_000_000))):
+            if limit is not None:
+                out = out | (value > limit)
+        return F.coalesce(out, F.lit(False))
+
+
+def deduplicated(batch: DataFrame, epochs: DataFrame) -> DataFrame:
+    """One message for each offset that is new to its partition, with its epoch."""
+    rest = [c for c in batch.columns if c not in (*PART, "pos")]
+    first = [c for c in ("ts", "tbl", "payload") if c in rest] + [c for c in rest if c not in ("ts", "tbl", "payload")]
+    one = batch.groupBy(*PART, "pos").agg(F.min(F.struct(*first)).alias("m_")).select(*PART, "pos", "m_.*")
+    return one.join(epochs, PART).where((F.col("last_pos") < F.col("pos"))).drop("last_pos")
+
+
+def epochs_of(batch: DataFrame, positions: DataFrame, resets: bool) -> DataFrame:
+    """Each partition's epoch in this batch, and the last offset loaded in it."""
+    lows = batch.groupBy(*PART).agg(F.min("pos").alias("low"))
+    both = lows.join(positions, PART, "left")
+    again = (F.col("low") == 0) & (F.col("last_pos") > 0) if resets else F.lit(False)
+    return both.select(*PART, (F.coalesce("epoch", F.lit(0)) + F.when(again, 1).otherwise(0)).cast("long").alias("epoch"), F.when(again, -1).otherwise(F.coalesce("last_pos", F.lit(-1))).cast("long").alias("last_pos"))
+
+
+def grown(buffers: DataFrame, fresh: DataFrame, limits: Limits, flush: bool) -> DataFrame:
+    """Buffers after a poll: buffers that closed before give way to the next number, counts are added up, and what is over a limit closes."""
+    now = fresh.groupBy(*KEY, "epoch").agg(F.count("*").alias("cnt"), F.sum(F.octet_length("payload")).cast("long").alias("bytes"), F.min("pos").alias("begin_pos"), F.max("pos").alias("end_pos"), F.min(F.unix_micros("ts")).alias("first_us"), F.max(F.unix_micros("ts")).alias("last_us"))
+    clock = fresh.groupBy(*PART).agg(F.max(F.unix_micros("ts")).alias("clock_us"))
+    new = now.select(*KEY, *[F.col(c).alias(f"n_{c}") for c in now.columns if c not in KEY])
+    both = buffers.join(new, KEY, "full").join(clock, PART, "left")
+    # An earlier epoch's open buffer closes as it is, in `ended`; its successor starts anew.
+    fresh_start = F.col("block_no").isNull() | F.col("closed") | (F.col("n_epoch") > F.col("epoch"))
+    start = lambda c, f: F.when(fresh_start, F.col(f"n_{c}")).otherwise(f(F.col(c), F.coalesce(F.col(f"n_{c}"), F.col(c)))).alias(c)
+    add = lambda c: F.when(fresh_start, F.col(f"n_{c}")).otherwise(F.col(c) + F.coalesce(f"n_{c}", F.lit(0))).alias(c)
+    moved = F.col("n_cnt").isNotNull()
+    number = F.when(F.col("block_no").isNull(), 0).when(fresh_start, F.col("block_no") + 1).otherwise(F.col("block_no")).cast("long").alias("block_no")
+    out = both.where(moved | ~F.col("closed")).select(*KEY, F.coalesce("n_epoch", "epoch").alias("epoch"), number, add("cnt"), add("bytes"), start("begin_pos", F.least), start("end_pos", F.greatest), start("first_us", F.least), start("last_us", F.greatest), "clock_us")
+    closes = F.lit(True) if flush else limits.over(F.col("cnt"), F.col("bytes"), F.greatest("clock_us", "last_us") - F.col("first_us"))
+    idle = both.where(~moved & F.col("closed")).select(*buffers.columns)
+    return out.withColumn("closed", closes).select(*buffers.columns).unionByName(idle)
+
+
+def ended(buffers: DataFrame, fresh: DataFrame) -> DataFrame:
+    """Open buffers of an epoch that a reset has ended: they close as they stand."""
+    later = fresh.groupBy(*KEY).agg(F.max("epoch").alias("n_epoch"))
+    return buffers.where("not closed").join(later, KEY).where("n_epoch > epoch").select(*buffers.columns)
+
+
+def blocks_of(buffers: DataFrame) -> DataFrame:
+    return buffers.withColumn("block_id", block_id()).select(*[c.split()[0] for c in LEDGER.split(", ")])
+
+
+def prepared(fresh: DataFrame, tables: dict[str, Schema]) -> DataFrame:
+    """Messages with their envelope, INSERT shape and `error`: what is wrong with a message as a whole, or null. All of it is narrow."""
+    known = F.array(*[F.lit(t) for t in tables]).cast("array<string>")
+    shaped = insert_shape(decode(fresh, keep=True))
+    error = F.when(F.col("tbl").isNull() | (F.col("tbl") == ""), "no_table_header").when(~F.array_contains(known, F.col("tbl")), "unknown_table").when(F.col("rows").isNull() | F.col("sql").isNull(), "bad_envelope")
+    for t, schema in tables.items():
+        error = error.when(F.col("tbl") == t, message_problem(schema))
+    return shaped.withColumn("error", error)
+
+
+def table_rows(good: DataFrame, name: str, schema: Schema) -> DataFrame:
+    """The rows of a table's good messages, in its schema, after their origin."""
+    rows = bind(explode_rows(good.where(F.col("tbl") == name)), schema)
+    filled = fill_defaults(project(rows.withColumnsRenamed(ORIGIN), schema, list(ORIGIN.values())), schema)
+    return derive(filled, [c for c in schema if c.kind == "materialized"])
+
+
+def write_batch(batch: DataFrame, seq: int, root: str, tables: dict[str, Schema], limits: Limits = Limits(), resets: bool = False, flush: bool = False, before_step=None) -> None:  # noqa: B008
+    """One step. before_step(name): called before each of the writes `buffers`, `positions`, `rows`, `dead`, `ledger`; tests fail there."""
+    spark, said = batch.sparkSession, before_step or (lambda _: None)
+    prior = store.before(spark, root, "ledger", seq)
+    buffers, positions = (store.get(spark, root, t, s, prior) for t, s in (("buffers", BUFFERS), ("positions", POSITIONS)))
+    fresh = prepared(deduplicated(batch, epochs_of(batch, positions, resets)), tables).persist()
+    try:
+        good = fresh.where("error is null")
+        said("buffers")
+        store.put(grown(buffers, good, limits, flush), root, "buffers", seq)
+        mine = store.get(spark, root, "buffers", BUFFERS, seq)
+        said("positions")
+        new = fresh.groupBy(*PART).agg(F.max("epoch").alias("n_epoch"), F.max_by("pos", F.struct("epoch", "pos")).alias("n_pos"))
+        store.put(positions.join(new, PART, "full").select(*PART, F.coalesce("n_epoch", "epoch").alias("epoch"), F.coalesce("n_pos", "last_pos").alias("last_pos")), root, "positions", seq)
+        said("rows")
+        numbers = mine.select(*KEY, "block_no")
+        for name, schema in tables.items():
+            store.put(table_rows(good.join(numbers, KEY), name, schema), root, f"tables/{name}", seq)
+        said("dead")
+        store.put(fresh.where("error is not null").select(*[c.split()[0] for c in DEAD.split(", ")]), root, "dead", seq)
+        said("ledger")
+        done = mine.join(buffers.where("closed").select(*KEY, "block_no"), [*KEY, "block_no"], "left_anti").where("closed")
+        store.put(blocks_of(done.unionByName(ended(buffers, good))), root, "ledger", seq)
+    finally:
+        fresh.unpersist()
 
 
-def with_block_id(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows with the id of their block, and a ledger row for each block."""
-    ranges = rows.groupBy("topic", "part", "tbl").agg(F.min("pos").alias("begin_pos"), F.max("pos").alias("end_pos"), F.count("*").alias("cnt"))
-    ranges = ranges.withColumn("block_id", block_id())
-    return rows.join(ranges.select("topic", "part", "tbl", "block_id"), ["topic", "part", "tbl"]), ranges
+def flush(spark: SparkSession, log_schema, root: str, tables: dict[str, Schema]) -> None:
+    """Close all open buffers, after the last step and before the next."""
+    last = store.steps(spark, root, "ledger")
+    if last:
+        write_batch(spark.createDataFrame([], log_schema), last[-1] | 1, root, tables, flush=True)
 
 
-def ledger(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(LEDGER).parquet(path)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return spark.createDataFrame([], LEDGER)
+def first_step(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """Where the steps of this checkpoint begin: after all that are there when it is first used."""
+    at = f"{root}/runs"
+    schema = "checkpoint string, base long"
+    path = spark._jvm.org.apache.hadoop.fs.Path(at)
+    known = spark.read.schema(schema).parquet(at) if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path) else spark.createDataFrame([], schema)
+    mine = known.where(F.col("checkpoint") == checkpoint).first()
+    if mine:
+        return mine["base"]
+    base = max([-2, *store.steps(spark, root, "ledger")]) // 2 + 1
+    spark.createDataFrame([(checkpoint, base)], schema).coalesce(1).write.mode("append").parquet(at)
+    return base
 
 
-def write_batch(rows: DataFrame, batch_id: int, target: str, ledger_path: str, before_ledger=None) -> None:
-    """before_ledger: called between the two writes; tests fail there."""
-    spark = rows.sparkSession
-    rows = rows.dropDuplicates(["topic", "part", "pos"])
-    blocks, ranges = with_block_id(rows)
-    known = ledger(spark, ledger_path).select("block_id")
-    fresh = blocks.join(known, "block_id", "left_anti")
-    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("block_id").parquet(target)
-    if before_ledger:
-        before_ledger(batch_id)
-    ranges.join(known, "block_id", "left_anti").select("block_id", "topic", "part", "tbl", "begin_pos", "end_pos", "cnt", F.lit(batch_id).cast("long").alias("batch_id")).write.mode("append").parquet(ledger_path)
+def start_loader(log: DataFrame, tables: dict[str, Schema], root: str, checkpoint: str, limits: Limits = Limits(), resets: bool = False, trigger: dict | None = None, before_step=None):  # noqa: B008
+    """Start the stream; trigger: e.g. {"availableNow": True} or {"processingTime": "1 second"}. One loader writes to a root at a time."""
+    base = first_step(log.sparkSession, root, checkpoint)
+    step = lambda df, batch_id: write_batch(df, 2 * (base + batch_id), root, tables, limits, resets, False, before_step and (lambda name: before_step(batch_id, name)))
+    return log.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def start_loader(log: DataFrame, target: str, ledger_path: str, checkpoint: str, trigger: dict | None = None, before_ledger=None):
-    """Start the stream; trigger: e.g. {"availableNow": True} or {"processingTime": "1 second"}."""
-    sink = lambda df, batch_id: write_batch(df, batch_id, target, ledger_path, before_ledger)
-    return log.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+def ledger(spark: SparkSession, root: str) -> DataFrame:
+    """The blocks that are loaded."""
+    return store.every(spark, root, "ledger", LEDGER)
 
 
-def loaded(spark: SparkSession, target: str, ledger_path: str) -> DataFrame:
-    """Rows of the blocks that the ledger has."""
-    return spark.read.parquet(target).join(ledger(spark, ledger_path).select("block_id"), "block_id", "left_semi")
+def open_buffers(spark: SparkSession, root: str) -> DataFrame:
+    last = store.steps(spark, root, "ledger")
+    return store.get(spark, root, "buffers", BUFFERS, last[-1] if last else None).where("not closed")
 
 
-def fan_out(batch: DataFrame, tables: dict[str, list[Col]]) -> dict[str, DataFrame]:
-    """The rows of each table, with the columns that its writer sets; rows for other tables are left to the dead-letter side."""
-    return {name: batch.where(F.col("tbl") == name).select(*[c.name for c in insertable(schema)]) for name, schema in tables.items()}
+def dead_letters(spark: SparkSession, root: str) -> DataFrame:
+    """The dead letters of finished steps."""
+    done = store.steps(spark, root, "ledger")
+    return store.every(spark, root, "dead", DEAD).where(F.col("seq") <= (done[-1] if done else -1))
 
 
-def write_tables(batch: DataFrame, tables: dict[str, list[Col]], target: str) -> None:
-    """One append for each table; the batch is read from its source once."""
-    batch = batch.persist()
-    try:
-        for name, rows in fan_out(batch, tables).items():
-            rows.write.mode("append").parquet(f"{target}/{name}")
-    finally:
-        batch.unpersist()
+def loaded(spark: SparkSession, root: str, name: str, origin: bool = True) -> DataFrame:
+    """The rows of a table that stand in blocks of the ledger. Rows of a step that was broken off belong to no such block."""
+    blocks = ledger(spark, root).where(F.col("tbl") == name).select(*[F.col(c).alias(o) for c, o in ORIGIN.items() if c not in ("pos", "row_in_msg")], "begin_pos", "end_pos")
+    keys = [o for c, o in ORIGIN.items() if c not in ("pos", "row_in_msg")]
+    done = store.steps(spark, root, "ledger")
+    rows = store.every(spark, root, f"tables/{name}").where(F.col("seq") <= (done[-1] if done else -1)).drop("seq")
+    out = rows.join(blocks, keys).where(F.col("_pos").between(F.col("begin_pos"), F.col("end_pos"))).drop("begin_pos", "end_pos")
+    return out if origin else out.drop(*ORIGIN.values())

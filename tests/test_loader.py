@@ -1,3 +1,7 @@
+import json
+import time
+from datetime import datetime
+
 import pytest
 
 from sluice import registry
@@ -32,38 +36,90 @@ def test_replay_golden(spark):
     meta = spark.createDataFrame([(0, "table1", 1, 6, 3), (0, "table2", 4, 10, 5)], META)
     log = spark.createDataFrame([(0, "table1" if p in (1, 3, 6) else "table2", p) for p in range(12)], "part long, tbl string, pos long")
     got = {r["pos"]: r["action"] for r in C.classify(log, meta).collect()}
-    assert 0 not in got and got[1] == "replay_append" and got[2] == "skip_before_begin" and got[10] == "replay_append" and got[11] == "consume"
+    assert got[0] == "abnormal_before_begin" and got[1] == "replay_append" and got[2] == "skip_before_begin" and got[10] == "replay_append" and got[11] == "consume"
+
+
+def test_offset_audit_after_resets(spark):
+    offsets = [0, 1, 2, 3, 0, 1, 2, 3, 4, 2, 3, 6, 0, 0]
+    log = spark.createDataFrame([("A", "t", 0, p, k) for k, p in enumerate(offsets)], "zone string, topic string, part long, pos long, arrival_seq long")
+    got = sorted((r["arrival_seq"], r["anomaly"]) for r in C.offset_anomalies(log).collect())
+    assert [x for _, x in got] == ["ok"] * 4 + ["reset"] + ["ok"] * 4 + ["rewind"] * 2 + ["gap", "reset", "rewind"]
+    epochs = sorted((r["arrival_seq"], r["epoch"]) for r in C.epoch_of(log).collect())
+    assert [e for _, e in epochs] == [0] * 4 + [1] * 8 + [2] * 2
+
+
+LOG = "zone string, topic string, part long, pos long, tbl string, ts timestamp, payload string"
+
+
+def message(zone, pos, tbl="click", cells=("1", "a", "2.5")):
+    sql = "insert into simple (id, kind, score) values (?, ?, ?)"
+    return zone, "events", 0, pos, tbl, datetime(2024, 1, 1, 0, 0, pos % 60), json.dumps({"shard": "s", "table": tbl, "schema_hash": 1, "sql": sql, "rows": [list(cells)]})
+
+
+def load(spark, root, steps, limits=loader.Limits(rows=3), **options):  # noqa: B008
+    for k, messages in enumerate(steps):
+        loader.write_batch(spark.createDataFrame(messages, LOG), 2 * k, root, registry.TABLES, limits, **options)
+    loader.flush(spark, registry.log_schema(LOG), root, registry.TABLES)
+    return loader.loaded(spark, root, "click")
+
+
+def test_two_clusters_of_equal_offsets(spark, tmp_path):
+    rows = load(spark, str(tmp_path), [[message(z, p) for z in "AB" for p in range(5)]])
+    assert rows.count() == 10 and rows.select("_zone", "_pos").distinct().count() == 10
+
+
+def test_offsets_delivered_again(spark, tmp_path):
+    rows = load(spark, str(tmp_path), [[message("A", p) for p in range(5)], [message("A", p) for p in (3, 4, 5, 5)]])
+    assert sorted(r["_pos"] for r in rows.collect()) == list(range(6))
+    ledger = loader.ledger(spark, str(tmp_path))
+    assert sorted((r["begin_pos"], r["end_pos"], r["cnt"]) for r in ledger.collect()) == [(0, 4, 5), (5, 5, 1)]
+
+
+def test_reset_starts_an_epoch(spark, tmp_path):
+    rows = load(spark, str(tmp_path), [[message("A", p) for p in range(3)], [message("A", p) for p in range(2)]], resets=True)
+    assert sorted((r["_epoch"], r["_pos"]) for r in rows.collect()) == [(0, 0), (0, 1), (0, 2), (1, 0), (1, 1)]
+
+
+def test_dead_letters(spark, tmp_path):
+    bad = [message("A", 1, None), message("A", 2, "nowhere"), message("A", 3, cells=("x", "a", "1")), message("A", 4, cells=("1", "a")), message("A", 5, cells=(None, "a", "1")), ("A", "events", 0, 6, "click", datetime(2024, 1, 1), "no json")]
+    rows = load(spark, str(tmp_path), [[message("A", 0), *bad, message("A", 7, cells=("9", "k", None))]])
+    assert sorted((r["id"], r["score"], r["status"], r["doubled"]) for r in rows.na.fill(-1.0).collect()) == [(1, 2.5, "normal", 2), (9, -1.0, "normal", 18)]
+    got = {r["pos"]: r["error"] for r in loader.dead_letters(spark, str(tmp_path)).collect()}
+    assert got == {1: "no_table_header", 2: "unknown_table", 3: "bad_cell", 4: "row_arity", 5: "null_into_required", 6: "bad_envelope"}
 
 
-@pytest.mark.parametrize("broken", [False, True])
-def test_exactly_once(spark, sf_dir, tmp_path, broken):
-    log = registry.log(spark, sf_dir)
-    log.write.partitionBy("zone").parquet(str(tmp_path / "log"))
-    stream = lambda: spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log"))
-    paths = [str(tmp_path / p) for p in ("target", "ledger", "checkpoint")]
-    failures = [1] if broken else []
+@pytest.mark.parametrize("broken", [None, "buffers", "rows", "ledger"])
+def test_exactly_once(spark, tmp_path, broken):
+    """A stream that is lost before one of its writes, and started again, loads every message once, in the same blocks."""
+    for k in range(3):
+        df = spark.createDataFrame([message(z, p, t) for z in "AB" for p in range(4 * k, 4 * k + 4) for t in ["click" if p % 2 else "view"]], LOG)
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+        time.sleep(1.1)  # files come in order of their times
+    root, checkpoint = str(tmp_path / "root"), str(tmp_path / "checkpoint")
+    failures = [broken] if broken else []
 
-    def fail(batch_id):
-        if failures and batch_id == failures[0]:
+    def fail(batch_id, name):
+        if batch_id == 1 and failures == [name]:
             failures.clear()
-            raise RuntimeError("lost between the two writes")
+            raise RuntimeError("lost before a write")
 
-    q = loader.start_loader(stream(), *paths, before_ledger=fail)
+    start = lambda: loader.start_loader(spark.readStream.schema(LOG).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "log")), registry.TABLES, root, checkpoint, loader.Limits(rows=3), before_step=fail)
     try:
-        q.awaitTermination()
+        start().awaitTermination()
     except Exception:
         assert broken
-        loader.start_loader(stream(), *paths).awaitTermination()
-    rows = loader.loaded(spark, *paths[:2])
-    assert rows.count() == log.count() == rows.select("part", "pos").distinct().count()
-    ledger = loader.ledger(spark, paths[1])
-    assert ledger.select("block_id").distinct().count() == ledger.count()
-
-
-def test_write_tables(spark, sf_dir, tmp_path):
-    log = registry.log(spark, sf_dir)
-    for _ in range(2):
-        loader.write_tables(log, registry.FAN, str(tmp_path))
-    for name, columns in (("click", ["pos", "payload"]), ("view", ["pos", "value"]), ("error", ["pos", "ts"])):
-        rows = spark.read.parquet(str(tmp_path / name))
-        assert rows.columns == columns and rows.count() == 2 * log.where(f"tbl = '{name}'").count()
+        start().awaitTermination()
+    loader.flush(spark, registry.log_schema(LOG), root, registry.TABLES)
+    got = sorted((r["_zone"], r["_pos"]) for t in ("click", "view") for r in loader.loaded(spark, root, t).collect())
+    assert got == [(z, p) for z in "AB" for p in range(12)]
+    ledger = loader.ledger(spark, root).collect()
+    assert sorted((r["zone"], r["tbl"], r["begin_pos"], r["end_pos"]) for r in ledger) == sorted((z, t, a + (t == "click"), b + (t == "click")) for z in "AB" for t in ("click", "view") for a, b in ((0, 6), (8, 10)))
+    assert len({r["block_id"] for r in ledger}) == len(ledger)
+
+
+def test_new_checkpoint_loads_nothing_twice(spark, tmp_path):
+    spark.createDataFrame([message("A", p) for p in range(5)], LOG).coalesce(1).write.parquet(str(tmp_path / "log"))
+    for name in ("one", "two"):
+        loader.start_loader(spark.readStream.schema(LOG).parquet(str(tmp_path / "log")), registry.TABLES, str(tmp_path / "root"), str(tmp_path / name)).awaitTermination()
+    loader.flush(spark, registry.log_schema(LOG), str(tmp_path / "root"), registry.TABLES)
+    assert loader.loaded(spark, str(tmp_path / "root"), "click").count() == 5
