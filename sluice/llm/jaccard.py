@@ -41,8 +41,8 @@ from .shingles import prefix_length, shingle_sets
 LOOK, COMMON, MOST_COMMON = 4_000_000, 8, 1 << 20
 #: Members up to which a region is searched for those that could be linked with no other.
 LARGE = 64
-#: Pivots of a region in the first round and in others, and comparisons of a set in one round; rounds go on while more than YIELD of their pairs are links.
-PIVOTS, PROBES, YIELD = (4, 16), 6, 0.04
+#: Pivots of a region, and comparisons of a set, in the first round and in others; rounds go on while more than YIELD of their pairs are links.
+PIVOTS, PROBES, YIELD = (4, 16), (1, 6), 0.04
 RATIO = 0.8
 #: log2 of the bits of the filters that keep most rows out of a shuffle. Their size is fixed; where they fill up, more rows are shuffled.
 FILTER_BITS = 25
@@ -148,7 +148,8 @@ def sets_of(documents: DataFrame, scanned: DataFrame, members: DataFrame) -> Dat
     texts = scanned.join(members.select("set_id").distinct(), "set_id").groupBy("set_id").agg(F.min("text_hash").alias("text_hash"))
     texts = staged(texts, "jac-wanted")
     rows = documents.select(whole_text().alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    one = perhaps_in(rows, "text_hash", texts).join(texts, "text_hash").groupBy("set_id").agg(F.min("text").alias("text"))
+    # Copies of a text are one before the shuffle, and the join that follows needs no other.
+    one = perhaps_in(rows, "text_hash", texts).groupBy("text_hash").agg(F.min("text").alias("text")).join(texts, "text_hash")
     return staged(one.select("set_id", shingles("text").alias("shingles")), "jac-shingles")
 
 
@@ -238,12 +239,12 @@ def unmet(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
     return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
 
 
-def pivot_round(cells: DataFrame, chosen: DataFrame, tested: DataFrame | None) -> DataFrame:
-    """Pairs (a, b, n_a, n_b) of a set and a pivot that it may be linked with. Of its regions' pivots a set meets PROBES: those that it shares most regions with."""
+def pivot_round(cells: DataFrame, chosen: DataFrame, tested: DataFrame | None, probes: int) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of a set and a pivot that it may be linked with. Of its regions' pivots a set meets `probes`: those that it shares most regions with."""
     meet = side(cells, "a").join(chosen, "cell").where((F.col("c_a") != F.col("c_b")) & admits())
     pairs = unmet(meet.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared")), tested)
     best = Window.partitionBy("a").orderBy(F.desc("shared"), "b")
-    return pairs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= PROBES).select("a", "b", "n_a", "n_b")
+    return pairs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= probes).select("a", "b", "n_a", "n_b")
 
 
 def apart(pairs: DataFrame, tested: DataFrame) -> DataFrame:
@@ -272,7 +273,7 @@ def joined_regions(members: DataFrame, sets: DataFrame) -> DataFrame:
     turn, last = 0, False
     while True:
         cells = staged(with_components(members, labels), "jac-cells")
-        pairs = staged(last_round(cells, tested) if last else pivot_round(cells, pivots_of(cells, turn), tested), "jac-pairs")
+        pairs = staged(last_round(cells, tested) if last else pivot_round(cells, pivots_of(cells, turn), tested, PROBES[min(turn, 1)]), "jac-pairs")
         measured = staged(overlaps(pairs, sets), "jac-measured")
         labels = merged(labels, measured.where(linked()).select("a", "b"))
         tested = measured if tested is None else tested.unionByName(measured)
