@@ -35,7 +35,7 @@ OWN_BLANK, SIGNS = 0x110000, 0x110001
 #: Word lengths that share an array; signs in a block of texts.
 WIDTHS, BLOCK = (4, 6, 8, 10, 13, 17, 24, 48), 400_000
 #: Rows and bytes of an Arrow batch.
-BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
+BATCH_ROWS = 500
 NEVER = np.int32(2**31 - 1)
 K1, K2, K4 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
 
@@ -267,18 +267,17 @@ class Encoder:
 def encoded(documents: DataFrame, model: str = MODEL, seed: int = SEED, rate: float = RATE, keep_ids: bool = True) -> DataFrame:
     """All columns of documents and `pieces`: n_tokens, ids_sha256 (over little-endian 32-bit ids), lossless and, if asked for, token_ids."""
     spark = documents.sparkSession
-    # Whole texts and their ids stand in one Arrow batch: a worker's memory is bounded by bytes, and rows by number.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     sent = spark.sparkContext.broadcast(load(model))
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, lossless boolean" + ", token_ids array<int>" * keep_ids)
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         e = Encoder(*sent.value, rate)
-        for ids, texts in batches:
-            got = e.encode(list(texts), [document_key(d, seed) for d in ids])
-            out = pd.DataFrame({"n_tokens": [len(g) for g in got], "ids_sha256": [hashlib.sha256(g.astype("<u4").tobytes()).hexdigest() for g in got], "lossless": [e.decode(g) == t for g, t in zip(got, texts, strict=True)]})
-            yield out.assign(token_ids=got) if keep_ids else out
+        for every_id, every_text in batches:
+            for at in range(0, len(every_text), BATCH_ROWS):  # ids take more memory than texts, so few rows at a time
+                ids, texts = every_id[at : at + BATCH_ROWS], list(every_text[at : at + BATCH_ROWS])
+                got = e.encode(texts, [document_key(d, seed) for d in ids])
+                out = pd.DataFrame({"n_tokens": [len(g) for g in got], "ids_sha256": [hashlib.sha256(g.astype("<u4").tobytes()).hexdigest() for g in got], "lossless": [e.decode(g) == t for g, t in zip(got, texts, strict=True)]})
+                yield out.assign(token_ids=got) if keep_ids else out
 
     return documents.withColumn("pieces", run(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), whole_text()))
 
