@@ -6,7 +6,7 @@ gives the latent space. The sample's vectors are broadcast (SAMPLE x RANK floats
 with them are computed in blocks, and the NEIGHBOURS nearest vote with their similarity as weight.
 
 Edge cases: null and empty texts have no terms and get the prior of the sample; so does a text whose vector is zero;
-without training labels the score is 0.5; rows with null or repeated ids are scored like any other; an empty table gives an
+of texts that repeat a labelled id that of the smallest hash counts; equal similarities go to the smaller id; without training labels the score is 0.5; rows with null or repeated ids are scored like any other; an empty table gives an
 empty result; only doc_id and text are read, so other columns cannot clash.
 """
 
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, one_label, staged, table, whole_text
+from .common import fold, labelled_texts, one_label, staged, table, whole_text
 
 WORDS, SHAPES, PAIRS, MARKS = 4096, 1024, 1024, 32
 DIMS = WORDS + SHAPES + PAIRS + MARKS
@@ -108,8 +108,11 @@ def vote(vectors: np.ndarray, known: np.ndarray, labels: np.ndarray, neighbours:
     k = min(neighbours, len(labels))
     for at in range(0, len(vectors), block):
         cos = vectors[at : at + block] @ known.T
-        near = np.argpartition(cos, len(labels) - k, axis=1)[:, len(labels) - k :]
-        sim = np.maximum(np.take_along_axis(cos, near, 1), 0) ** 2
+        cut = np.partition(cos, len(labels) - k, axis=1)[:, len(labels) - k, None]
+        # Of equal similarities at the last place the earlier in the order of ids vote.
+        above, tied = cos > cut, cos == cut
+        near = np.argsort(-(above * 2.0 + (tied & (np.cumsum(tied, axis=1) <= k - above.sum(1, keepdims=True)))), axis=1, kind="stable")[:, :k]
+        sim = np.maximum(np.take_along_axis(cos, near, 1), 0)
         total = sim.sum(1)
         got = (sim * labels[near]).sum(1)
         ok = total > 0
@@ -144,12 +147,12 @@ def fit(documents: DataFrame, labels: DataFrame, train: Column | None = None, la
     ids = staged(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "quality-sample")
     idf = inverse_frequencies(documents)
     sent = documents.sparkSession.sparkContext.broadcast(idf)
-    rows = documents.select("doc_id", whole_text().alias("text")).join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id"])
+    rows = labelled_texts(documents, ids, label)
 
     def train_one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens, got = Tokens(), []
         for b in batches:
-            for d, t, y in zip(b.doc_id, b.text, b[label], strict=True):
+            for d, t, y in zip(b.doc_id, b.text, b.label, strict=True):
                 i, tf = term_counts(t, tokens)
                 got.append((d, i, weighted(i, tf, sent.value), y))
         if not got:

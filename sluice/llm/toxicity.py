@@ -5,7 +5,7 @@ broadcast to score whole texts. A bounded sample of labelled rows (SAMPLE, in ha
 one task; everything else runs over all rows.
 
 Edge cases: a null text is empty and scores as the bias alone; rows with a null or repeated doc_id are scored like
-any other (one row out for each row in, held_out false for a null id); an empty table gives an empty result; without
+any other (one row out for each row in, held_out false for a null id); of texts that repeat a labelled id that of the smallest hash is fitted; an empty table gives an empty result; without
 training labels every score is 0.5; other columns of documents never clash, as only doc_id and text are read.
 """
 
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, one_label, staged, whole_text
+from .common import fold, labelled_texts, one_label, staged, whole_text
 
 BITS = 20
 #: Most labelled rows that the fit takes.
@@ -106,7 +106,7 @@ def fit(documents: DataFrame, labels: DataFrame, train: Column | None = None, la
     ids = one_label(labels, label)
     ids = ids.where(train) if train is not None else ids
     ids = staged(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "toxic-sample")
-    rows = documents.select("doc_id", whole_text().alias("text")).join(F.broadcast(ids), "doc_id").select("text", F.col(label).alias("label"))
+    rows = labelled_texts(documents, ids, label).select("text", "label")
 
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = Hashes()
