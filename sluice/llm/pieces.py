@@ -34,7 +34,7 @@ BLANK = 0x2581
 OWN_BLANK, SIGNS = 0x110000, 0x110001
 #: Word lengths that share an array; signs in a block of texts.
 WIDTHS, BLOCK = (4, 6, 8, 10, 13, 17, 24, 48), 400_000
-#: Rows and bytes of an Arrow batch.
+#: Rows that are encoded together.
 BATCH_ROWS = 500
 NEVER = np.int32(2**31 - 1)
 K1, K2, K4 = (np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xBF58476D1CE4E5B9))
