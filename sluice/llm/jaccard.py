@@ -15,7 +15,9 @@ in which nearly all pairs are links, becomes one component without its pairs bei
 region's largest component meet all members of other components that they may be linked with; two whose distances to a pivot that both have met
 differ by more than 0.2 are no link. What is compared there are pairs that no chain of links joins, of sets that differ little in size and in the order's first part.
 
-Every comparison is of full sets, so results are exact up to collisions of 64-bit hashes. Equal sets are one point.
+Before full sets are read, a pair's parity sketches (`parities`) bound its symmetric difference from below: each shingle of a set flips one bit, so that two
+sketches differ in at most as many bits as the sets differ in shingles. Only pairs that pass the bound have their sets made and compared in full,
+so results are exact up to collisions of 64-bit hashes, and what is shuffled follows the pairs that are nearly links. Equal sets are one point.
 Shingles that a scan finds to be common come later in the order, the commoner the later; which ones does not change results.
 
 Edge cases: null texts and texts without words have an empty set and are linked with nothing; fewer than five words make one
@@ -44,6 +46,8 @@ LARGE = 64
 #: Pivots of a region, and comparisons of a set, in the first round and in others; rounds go on while more than YIELD of their pairs are links.
 PIVOTS, PROBES, YIELD = (4, 16), (1, 6), 0.04
 RATIO = 0.8
+#: Bits of the smallest parity sketch. A larger set has as many bits as shingles, rounded up to a power of two.
+LEAST_BITS = 256
 #: log2 of the bits of the filters that keep most rows out of a shuffle. Their size is fixed; where they fill up, more rows are shuffled.
 FILTER_BITS = 25
 
@@ -90,24 +94,31 @@ def window_of(s: np.ndarray, common: np.ndarray, level: np.ndarray) -> np.ndarra
     return s[: prefix_length(len(s))].view(np.int64)
 
 
+def parities(s: np.ndarray) -> np.ndarray:
+    """For each of 2^k bits, whether an odd number of the set's shingles falls on it; in words of 64 bits."""
+    size = max(LEAST_BITS, 1 << (len(s) - 1).bit_length())
+    odd = np.bincount((s & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def scan(documents: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """(doc_id, text_hash, set_id, n, window) for each row; window only where a task first sees a set."""
+    """(doc_id, text_hash, set_id, n, window, sketch) for each row; window and sketch only where a task first sees a set."""
     sent = documents.sparkSession.sparkContext.broadcast(common)
 
-    @F.pandas_udf("set_id long, n long, window array<long>")
+    @F.pandas_udf("set_id long, n long, window array<long>, sketch array<long>")
     def sets(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
         for texts in batches:
             rows = []
             for s in shingle_sets(list(texts)):
-                k, window = set_id(s) if len(s) else 0, None
+                k, window, sketch = set_id(s) if len(s) else 0, None, None
                 if len(s) and k not in seen:
                     if len(seen) > 1_000_000:
                         seen.clear()
                     seen.add(k)
-                    window = window_of(s, *sent.value)
-                rows.append((k, len(s), window))
-            yield pd.DataFrame(rows, columns=["set_id", "n", "window"])
+                    window, sketch = window_of(s, *sent.value), parities(s)
+                rows.append((k, len(s), window, sketch))
+            yield pd.DataFrame(rows, columns=["set_id", "n", "window", "sketch"])
 
     rows = documents.select("doc_id", whole_text().alias("text"))
     return rows.select("doc_id", F.xxhash64("text").alias("text_hash"), sets("text").alias("r")).select("doc_id", "text_hash", "r.*")
@@ -136,8 +147,14 @@ def region_members(scanned: DataFrame) -> DataFrame:
     return out
 
 
-def sets_of(documents: DataFrame, scanned: DataFrame, members: DataFrame) -> DataFrame:
-    """(set_id, shingles) of the sets that stand in regions. Each is made once more from one of its texts."""
+def points_of(windows: DataFrame) -> DataFrame:
+    """(set_id, text_hash, sketch): one text and the sketch of each set."""
+    rows = windows.where(F.col("sketch").isNotNull())
+    return staged(rows.groupBy("set_id").agg(F.min(F.struct("text_hash", "sketch")).alias("x")).select("set_id", "x.*"), "jac-points")
+
+
+def sets_of(documents: DataFrame, close: DataFrame) -> DataFrame:
+    """(set_id, shingles) of the sets in close pairs. Each is made once more from one of its texts."""
 
     @F.pandas_udf("array<long>")
     def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -145,12 +162,14 @@ def sets_of(documents: DataFrame, scanned: DataFrame, members: DataFrame) -> Dat
             for at in range(0, len(texts), 512):
                 yield pd.Series([s.view(np.int64) for s in shingle_sets(list(texts[at : at + 512]))], dtype=object)
 
-    texts = scanned.join(members.select("set_id").distinct(), "set_id").groupBy("set_id").agg(F.min("text_hash").alias("text_hash"))
-    texts = staged(texts, "jac-wanted")
+    side = lambda k: close.select(F.col(k).alias("set_id"), F.col(f"text_{k}").alias("text_hash"))
+    texts = staged(side("a").unionByName(side("b")).distinct(), "jac-wanted")
     rows = documents.select(whole_text().alias("text")).withColumn("text_hash", F.xxhash64("text"))
     # Copies of a text are one before the shuffle, and the join that follows needs no other.
     one = perhaps_in(rows, "text_hash", texts).groupBy("text_hash").agg(F.min("text").alias("text")).join(texts, "text_hash")
-    return staged(one.select("set_id", shingles("text").alias("shingles")), "jac-shingles")
+    out = staged(one.select("set_id", shingles("text").alias("shingles")), "jac-shingles")
+    discard(texts)
+    return out
 
 
 def least_overlap(n_a: Column, n_b: Column) -> Column:
@@ -165,6 +184,17 @@ def admits() -> Column:
     return (5 * F.least(n_a, n_b) >= 4 * F.greatest(n_a, n_b)) & (F.col("pos_a") <= n_a - least) & (F.col("pos_b") <= n_b - least)
 
 
+def close_pairs(pairs: DataFrame, points: DataFrame) -> DataFrame:
+    """Pairs (a, b, n_a, n_b, text_a, text_b) whose sketches differ in no more bits than links' sets may differ in shingles. Sketches of sizes 2^k and 2^(k+1) meet once the larger is folded."""
+    a, b = (points.select(F.col("set_id").alias(k), F.col("text_hash").alias(f"text_{k}"), F.col("sketch").alias(f"s_{k}")) for k in "ab")
+    half = lambda s: (F.size(s) / 2).cast("int")
+    xor = lambda x, y: F.zip_with(x, y, lambda u, v: u.bitwiseXOR(v))
+    folded = lambda s, other: F.when(F.size(s) > F.size(other), xor(F.slice(s, F.lit(1), half(s)), F.slice(s, half(s) + 1, half(s)))).otherwise(s)
+    differ = F.aggregate(xor(folded(F.col("s_a"), F.col("s_b")), folded(F.col("s_b"), F.col("s_a"))), F.lit(0), lambda n, x: n + F.bit_count(x))
+    most = F.col("n_a") + F.col("n_b") - 2 * least_overlap(F.col("n_a"), F.col("n_b"))
+    return pairs.join(a, "a").join(b, "b").where(differ <= most).select("a", "b", "n_a", "n_b", "text_a", "text_b")
+
+
 def linked() -> Column:
     return F.col("common") >= least_overlap(F.col("n_a"), F.col("n_b"))
 
@@ -236,7 +266,7 @@ def side(cells: DataFrame, k: str) -> DataFrame:
 
 
 def unmet(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
-    return pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+    return pairs if tested is None else pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
 
 
 def pivot_round(cells: DataFrame, chosen: DataFrame, tested: DataFrame | None, probes: int) -> DataFrame:
@@ -247,50 +277,52 @@ def pivot_round(cells: DataFrame, chosen: DataFrame, tested: DataFrame | None, p
     return pairs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= probes).select("a", "b", "n_a", "n_b")
 
 
-def apart(pairs: DataFrame, tested: DataFrame) -> DataFrame:
-    """pairs but those whose distances to a pivot that both have met differ by more than 0.2: by the triangle inequality they are no links."""
+def apart(pairs: DataFrame, measured: DataFrame) -> DataFrame:
+    """pairs but those whose distances to a pivot that both were compared with differ by more than 0.2: by the triangle inequality they are no links."""
     distance = 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
-    met = tested.select(F.col("a").alias("set_id"), F.struct(F.col("b").alias("pivot"), distance.alias("d")).alias("m")).groupBy("set_id").agg(F.map_from_entries(F.collect_set("m")).alias("met"))
+    met = measured.select(F.col("a").alias("set_id"), F.struct(F.col("b").alias("pivot"), distance.alias("d")).alias("m")).groupBy("set_id").agg(F.map_from_entries(F.collect_set("m")).alias("met"))
     a, b = (met.toDF(k, f"met_{k}") for k in "ab")
     both = pairs.join(a, "a", "left").join(b, "b", "left")
     known = F.filter(F.map_keys("met_a"), lambda p: F.abs(F.col("met_a")[p] - F.col("met_b")[p]) > 1 - RATIO + 1e-9)
     return both.where(F.coalesce(F.size(known), F.lit(0)) <= 0).select(*pairs.columns)
 
 
-def last_round(cells: DataFrame, tested: DataFrame) -> DataFrame:
+def last_round(cells: DataFrame, tested: DataFrame, measured: DataFrame) -> DataFrame:
     """All pairs of regions' members that may be linked and that no links join yet. One of a pair is outside its region's largest component."""
     regions = open_regions(cells)
     outside = cells.join(regions, "cell").where(F.col("component") != F.col("largest"))
     once = (F.col("c_a") == F.col("largest")) | (F.col("a") < F.col("b"))
     b = side(outside, "b").join(regions, "cell")
     pairs = side(cells, "a").join(b, "cell").where((F.col("c_a") != F.col("c_b")) & once & admits()).select("a", "b", "n_a", "n_b").distinct()
-    return apart(unmet(pairs, tested), tested)
+    return apart(unmet(pairs, tested), measured)
 
 
-def joined_regions(members: DataFrame, sets: DataFrame) -> DataFrame:
+def joined_regions(members: DataFrame, points: DataFrame, documents: DataFrame) -> DataFrame:
     """(node, component) of the sets in regions that links join."""
-    labels = tested = None
+    labels = tested = measured = None
     turn, last = 0, False
     while True:
         cells = staged(with_components(members, labels), "jac-cells")
-        pairs = staged(last_round(cells, tested) if last else pivot_round(cells, pivots_of(cells, turn), tested, PROBES[min(turn, 1)]), "jac-pairs")
-        measured = staged(overlaps(pairs, sets), "jac-measured")
-        labels = merged(labels, measured.where(linked()).select("a", "b"))
-        tested = measured if tested is None else tested.unionByName(measured)
-        discard(cells, pairs)
+        pairs = staged(last_round(cells, tested, measured) if last else pivot_round(cells, pivots_of(cells, turn), tested, PROBES[min(turn, 1)]), "jac-pairs")
+        close = staged(close_pairs(pairs, points), "jac-close")
+        sets = sets_of(documents, close)
+        now = staged(overlaps(close.select("a", "b", "n_a", "n_b"), sets), "jac-measured")
+        labels = merged(labels, now.where(linked()).select("a", "b"))
+        discard(cells, close, sets)
         if last:
             return labels
-        found = measured.agg(F.count("*").alias("pairs"), F.count(F.when(linked(), 1)).alias("links")).first()
-        last, turn = found["links"] <= YIELD * found["pairs"], turn + 1
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        measured = now if measured is None else measured.unionByName(now)
+        last, turn = now.where(linked()).count() <= YIELD * pairs.count(), turn + 1
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id) for each row of documents."""
     windows = staged(scan(documents, common_shingles(documents)), "jac-windows")
-    scanned = staged(windows.drop("window"), "jac-scan")
-    members = region_members(windows)
+    scanned = staged(windows.drop("window", "sketch"), "jac-scan")
+    members, points = region_members(windows), points_of(windows)
     discard(windows)
-    return label_documents(scanned, joined_regions(members, sets_of(documents, scanned, members)))
+    return label_documents(scanned, joined_regions(members, points, documents))
 
 
 def label_documents(scanned: DataFrame, labels: DataFrame) -> DataFrame:
