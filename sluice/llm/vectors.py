@@ -5,17 +5,19 @@ routed to one leaf of each tree. Queries search all trees through one shared pri
 leaves visited hold WANTED of the sample, and meet the rows of those leaves in a shuffle by (tree, leaf). Candidates are
 ranked again by exact distance in double precision.
 
-op6: rows are dealt to cells around cover-tree roots chosen from a bounded sample, and cells are cut into bounded blocks. In
-each block a cover tree is built and searched together with a cover tree of the queries: a pair of nodes is pruned when no
-inner product between them can beat the worst kth score of the query group. Queries come in broadcast blocks of QUERY_BLOCK
-vectors. The search is exact.
+op6: rows and queries are dealt to cells around the same roots, chosen from a bounded sample, and cells are cut into bounded
+blocks. Cells are the upper nodes of both cover trees: a pair of a query cell and a data cell is pruned by their covering radii
+against the worst kth score of the query cell, before anything is shuffled for it. Each remaining pair of blocks is a task, which
+builds a cover tree of either and searches both together from their roots: a pair of nodes is pruned when no inner product between
+them can beat the worst kth score in the query node's subtree. The search is exact.
 
 Equal vectors count as one point that carries its smallest ids, as many as a result can hold, so a vector that a third of all
 rows share costs no more than any other.
 
 Edge cases: vectors that are null, hold null or non-finite components, or (op1) are zero take no part, as queries or as
 candidates; so do rows with a null vec_id; vectors of another length than the most usual one are searched among their own kind;
-repeated (vec_id, vector) rows count once; a query has fewer rows when there are fewer candidates; equal distances or scores
+repeated (vec_id, vector) rows count once; a vec_id that repeats with different vectors is one query,
+and counts once among the candidates, with the best of them all; a query has fewer rows when there are fewer candidates; equal distances or scores
 go to the smaller vec_id; an empty table gives an empty result; other columns are not read.
 """
 
@@ -32,7 +34,9 @@ from pyspark.sql import functions as F
 from .common import staged, table
 
 TREES, FOREST_SAMPLE, LEAF, WANTED = 12, 16_384, 24, 0.1
-COVER_SAMPLE, ROOTS, BLOCK_ROWS, QUERY_BLOCK, COVER_LEAF = 4_096, 48, 4_096, 4_096, 64
+#: Rows of a leaf that one task meets; larger leaves are cut into parts.
+LEAF_ROWS = 4_096
+COVER_SAMPLE, ROOTS, BLOCK_ROWS, QUERY_BLOCK, COVER_LEAF = 4_096, 48, 4_096, 16_384, 64
 #: Ids that a task holds for distinct vectors before it passes them on.
 FLUSH = 100_000
 
@@ -196,9 +200,14 @@ def approximate_neighbours(rows: DataFrame, queries: F.Column, k: int = 10, tree
                     out.append(nearest_in_leaf(x, square, ids, right.query_id.to_numpy()[at : at + 256], np.array([np.asarray(v) for v in right.v[at : at + 256]]), k))
             return pd.concat(out)
 
-        index = points.where(F.size("v") == dims).mapInPandas(route, "leaf array<int>, v array<double>, ids array<long>").select(F.explode("leaf").alias("leaf"), "v", "ids")
+        routed = staged(points.where(F.size("v") == dims).mapInPandas(route, "leaf array<int>, v array<double>, ids array<long>"), "vec-routed")
+        index = routed.select(F.explode("leaf").alias("leaf"), "v", "ids")
+        # As many rows as the fitted forest has leaves, whatever the table's size.
+        cuts = F.broadcast(staged(index.groupBy("leaf").agg(F.ceil(F.count("*") / LEAF_ROWS).cast("int").alias("cut")), "vec-leaves"))
+        index = index.join(cuts, "leaf").select("leaf", F.pmod(F.xxhash64("v"), F.col("cut")).cast("int").alias("part"), "v", "ids")
         probes = asked.where(F.size("v") == dims).mapInPandas(ask, "query_id long, v array<double>, leaf array<int>").select("query_id", "v", F.explode("leaf").alias("leaf"))
-        parts.append(index.groupBy("leaf").cogroup(probes.groupBy("leaf")).applyInPandas(meet, "query_id long, vec_id long, score double"))
+        probes = probes.join(cuts, "leaf").select("leaf", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("part"), "query_id", "v")
+        parts.append(index.groupBy("leaf", "part").cogroup(probes.groupBy("leaf", "part")).applyInPandas(meet, "query_id long, vec_id long, score double"))
     if not parts:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     found = parts[0]
@@ -254,56 +263,74 @@ class CoverTree:
         return node
 
 
+class Bounds:
+    """The worst kth score of the queries below each node of a query tree, raised from the leaves up."""
+
+    def __init__(self, tree: CoverTree, least: np.ndarray) -> None:
+        self.tree, self.least = tree, least
+        self.parent = np.full(len(tree.kids), -1)
+        for node, kids in enumerate(tree.kids):
+            self.parent[kids] = node
+        self.low = np.empty(len(tree.kids))
+        for node in reversed(range(len(tree.kids))):  # children have larger numbers
+            self.low[node] = self.worst(node)
+
+    def worst(self, node: int) -> float:
+        kids = self.tree.kids[node]
+        return self.low[kids].min() if kids else self.least[slice(*self.tree.span[node])].min()
+
+    def raised(self, node: int) -> None:
+        while node >= 0 and (now := self.worst(node)) > self.low[node]:
+            self.low[node] = now
+            node = self.parent[node]
+
+
 def dual_search(queries: CoverTree, data: CoverTree, worst: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query place, data place, score) of every data point that may be among a query's k best.
 
-    worst: a lower bound of each query's kth score, in tree order, raised as scores come. Node pairs go best bound first, so the bounds rise early."""
-    worst = worst.astype(np.float64).copy()
-    out_q, out_d, out_s = [], [], []
-    q_norm, d_norm = np.linalg.norm(queries.centre, axis=1), np.linalg.norm(data.centre, axis=1)
-
-    def bounds(q: int, nodes: np.ndarray) -> np.ndarray:
-        inner = data.centre[nodes] @ queries.centre[q]
-        return inner + queries.radius[q] * d_norm[nodes] + data.radius[nodes] * q_norm[q] + queries.radius[q] * data.radius[nodes] + 1e-6
-
-    groups, stack = [], [0]
-    while stack:  # query nodes at which the tree ends
-        node = stack.pop()
-        stack += queries.kids[node]
-        if not queries.kids[node]:
-            groups.append(node)
-    kids = [np.array(c, np.int64) for c in data.kids]
-    for q in groups:
-        a, b = queries.span[q]
-        mine, least = queries.points[a:b], worst[a:b]
-        top_bound = float(bounds(q, np.array([0]))[0])
-        got_s, got_d, top = [], [], np.full((b - a, k), -(2**62), np.int64)
-        heap = [(-top_bound, 0)]
-        while heap:
-            bound, node = heapq.heappop(heap)
-            if -bound < least.min():
-                break
-            if len(kids[node]):
-                limit = bounds(q, kids[node])
-                for c, m in zip(kids[node].tolist(), limit.tolist(), strict=True):
-                    if m >= least.min():
-                        heapq.heappush(heap, (-m, c))
-                continue
-            s, e = data.span[node]
-            new = mine @ data.points[s:e].T
-            got_s.append(new)
-            got_d.append(np.arange(s, e))
-            if (new > top.min(1, keepdims=True)).any():
-                both = np.concatenate([top, new], axis=1)
-                top = np.partition(both, both.shape[1] - k, axis=1)[:, both.shape[1] - k :]
-                least = np.maximum(least, top.min(1))
-        if got_s:
-            r, c = np.nonzero((scores := np.concatenate(got_s, axis=1)) >= least[:, None])
-            out_q.append(a + r)
-            out_d.append(np.concatenate(got_d)[c])
-            out_s.append(scores[r, c])
-    join = lambda x: np.concatenate(x) if x else np.empty(0, np.int64)
-    return join(out_q), join(out_d), join(out_s)
+    worst: a lower bound of each query's kth score, in tree order, raised as scores come. Pairs of nodes, from the two roots on, go best bound
+    first, so the bounds rise early; of a pair the node with the larger radius is opened."""
+    least, top = worst.astype(np.float64), np.full((len(queries.points), k), -(2**62), np.int64)
+    bounds = Bounds(queries, least)
+    norm_q, norm_d = np.linalg.norm(queries.centre, axis=1), np.linalg.norm(data.centre, axis=1)
+    kids_q, kids_d = ([np.array(c, np.int64) for c in t.kids] for t in (queries, data))
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+    def most(q: np.ndarray, d: np.ndarray) -> np.ndarray:
+        """The highest inner product that points of the nodes may have."""
+        r_q, r_d = queries.radius[q], data.radius[d]
+        rounding = 1e-12 * (norm_q[q] + r_q) * (norm_d[d] + r_d) + 1e-6
+        return (queries.centre[q] * data.centre[d]).sum(1) + r_q * norm_d[d] + r_d * norm_q[q] + r_q * r_d + rounding
+
+    root = np.zeros(1, np.int64)
+    heap = [(-float(most(root, root)[0]), 0, 0)]
+    while heap:
+        bound, q, d = heapq.heappop(heap)
+        if -bound < bounds.low[q]:
+            continue
+        if len(kids_q[q]) or len(kids_d[d]):
+            open_q = len(kids_q[q]) and (not len(kids_d[d]) or queries.radius[q] >= data.radius[d])
+            qs, ds = (kids_q[q], np.full(len(kids_q[q]), d)) if open_q else (np.full(len(kids_d[d]), q), kids_d[d])
+            limit = most(qs, ds)
+            for x in np.flatnonzero(limit >= bounds.low[qs]).tolist():
+                heapq.heappush(heap, (-float(limit[x]), int(qs[x]), int(ds[x])))
+            continue
+        (a, b), (s, e) = queries.span[q], data.span[d]
+        new = queries.points[a:b] @ data.points[s:e].T
+        r, c = np.nonzero(new >= least[a:b, None])
+        if not len(r):
+            continue
+        found.append((a + r, s + c, new[r, c]))
+        rows = np.unique(r)
+        both = np.concatenate([top[a + rows], new[rows]], axis=1)
+        top[a + rows] = np.partition(both, both.shape[1] - k, axis=1)[:, both.shape[1] - k :]
+        least[a + rows] = np.maximum(least[a + rows], top[a + rows].min(1))
+        bounds.raised(q)
+    if not found:
+        return tuple(np.empty(0, np.int64) for _ in range(3))
+    q, d, score = (np.concatenate(x) for x in zip(*found, strict=True))
+    still = score >= least[q]
+    return q[still], d[still], score[still]
 
 
 def scaled(rows: DataFrame, by: float = 256.0) -> DataFrame:
@@ -311,72 +338,106 @@ def scaled(rows: DataFrame, by: float = 256.0) -> DataFrame:
     return rows.withColumn("v", F.transform("v", lambda x: F.floor(x * F.lit(by)).cast("double")))
 
 
-def block_search(sent, k: int):
-    """The k best of one block for every query of a broadcast query tree."""
+def matrix(vectors: pd.Series) -> np.ndarray:
+    return np.array([np.asarray(v) for v in vectors])
+
+
+def block_search(k: int):
+    """The k best of one block of points for every query of one block of queries."""
 
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree, ids, least = sent.value
-        data = CoverTree(np.array([np.asarray(v) for v in pdf.v]).astype(np.int64))
-        held = [np.asarray(i, np.int64) for i in pdf.ids]
+    def search(points: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        if not len(points) or not len(asked):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype("int64")
+        queries, data = CoverTree(matrix(asked.v).astype(np.int64)), CoverTree(matrix(points.v).astype(np.int64))
+        held, query_ids = [np.asarray(i, np.int64) for i in points.ids], asked.query_id.to_numpy()[queries.order]
         # k + 1 points: the query's own vector may stand among them.
-        qs, ds, scores = dual_search(tree, data, least, k + 1)
+        qs, ds, scores = dual_search(queries, data, asked.least.to_numpy()[queries.order], k + 1)
         of = data.order[ds]
         times = np.array([len(i) for i in held], np.int64)[of]
         vec = np.concatenate([held[i] for i in of]) if len(of) else np.empty(0, np.int64)
-        out = pd.DataFrame({"query_id": np.repeat(ids[qs], times), "vec_id": vec, "score": np.repeat(scores, times)}).astype("int64")
+        out = pd.DataFrame({"query_id": np.repeat(query_ids[qs], times), "vec_id": vec, "score": np.repeat(scores, times)}).astype("int64")
         out = out[out.query_id != out.vec_id].sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-        return out.groupby("query_id").head(k)
+        return out.drop_duplicates(["query_id", "vec_id"]).groupby("query_id").head(k)
 
     return search
 
 
-def best_products(rows: DataFrame, queries: F.Column, k: int = 5, by: float = 256.0, block: int = QUERY_BLOCK) -> DataFrame:
+def spread_roots(sample: np.ndarray, most: int) -> np.ndarray:
+    """At most `most` vectors of the sample, each the farthest from those before it."""
+    roots, near = [0], ((sample - sample[0]) ** 2).sum(1)
+    while len(roots) < most and near.max() > 0:
+        roots.append(int(near.argmax()))
+        near = np.minimum(near, ((sample - sample[roots[-1]]) ** 2).sum(1))
+    return sample[roots]
+
+
+def cell_pairs(roots: np.ndarray, data: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of cells (d_cell, q_cell) that may hold results, at most ROOTS ** 2, with the first and last block of either and the cells' numbers of blocks.
+
+    data: cell, n, radius; asked: also least, the worst kth score known of its queries. Cells are the children of the two trees' roots."""
+    for t, size in ((data, BLOCK_ROWS), (asked, QUERY_BLOCK)):
+        t["cuts"] = -(-t.n // size)
+        t["first"] = t.cuts.cumsum() - t.cuts
+    d, q = data.cell.to_numpy(), asked.cell.to_numpy()
+    norms, r_d, r_q = np.linalg.norm(roots, axis=1), data.radius.to_numpy(), asked.radius.to_numpy()
+    rounding = 1e-12 * np.outer(norms[q] + r_q, norms[d] + r_d) + 1e-6
+    limit = roots[q] @ roots[d].T + r_q[:, None] * norms[d] + norms[q][:, None] * r_d + np.outer(r_q, r_d) + rounding
+    i, j = np.nonzero(limit >= asked.least.to_numpy()[:, None])
+    out = {"d_cell": d[j], "q_cell": q[i]}
+    for name, t, at in (("d", data, j), ("q", asked, i)):
+        out |= {f"{name}_first": t["first"].to_numpy()[at], f"{name}_cuts": t.cuts.to_numpy()[at]}
+    return pd.DataFrame(out).astype("int64")
+
+
+def best_products(rows: DataFrame, queries: F.Column, k: int = 5, by: float = 256.0) -> DataFrame:
     """query_id, rank, vec_id, score: the k highest integer inner products for every row that meets `queries`."""
     spark = rows.sparkSession
     whole = scaled(valid(rows), by)
     points = staged(distinct_vectors(whole, k + 1), "vec-ints")
     asked = staged(whole.where(queries).withColumnRenamed("vec_id", "query_id").dropDuplicates(), "vec-int-queries")
-    empty = spark.createDataFrame([], "query_id long, vec_id long, score long")
-    found = None
+    found = spark.createDataFrame([], "query_id long, vec_id long, score long")
     for dims in lengths(points):
-        mine = points.where(F.size("v") == dims)
         sample = sample_vectors(points, COVER_SAMPLE, dims)
-        roots = [0]
-        near = ((sample - sample[0]) ** 2).sum(1)
-        while len(roots) < ROOTS and near.max() > 0:
-            roots.append(int(near.argmax()))
-            near = np.minimum(near, ((sample - sample[roots[-1]]) ** 2).sum(1))
-        sent = spark.sparkContext.broadcast((sample, sample[roots]))
-
-        def cell(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            heads = sent.value[1]
+        roots = spread_roots(sample, ROOTS)
+        ours = asked.where(F.size("v") == dims)
+        # Roots are in the order of a cover tree's levels: queries take as many of the first as they fill blocks.
+        heads = roots[: -(-ours.count() // QUERY_BLOCK)]
+        if not len(heads):
+            continue
+        sent = spark.sparkContext.broadcast((sample, roots, heads))
+
+        def dealt(x: np.ndarray, roots: np.ndarray) -> dict[str, np.ndarray]:
+            near = ((roots**2).sum(1) - 2 * x @ roots.T).argmin(1)
+            return {"cell": near.astype(np.int64), "far": np.sqrt(((x - roots[near]) ** 2).sum(1))}
+
+        def deal_points(batches: Iterator[pd.DataFrame], sent=sent, dealt=dealt) -> Iterator[pd.DataFrame]:
             for b in batches:
-                x = np.array([np.asarray(v) for v in b.v])
-                near = ((heads**2).sum(1) - 2 * x @ heads.T).argmin(1)
-                yield pd.DataFrame({"cell": near.astype(np.int32), "v": b.v, "ids": b.ids})
-
-        dealt = staged(mine.mapInPandas(cell, "cell int, v array<double>, ids array<long>"), "vec-cells")
-        parts = dealt.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
-        blocks = dealt.join(F.broadcast(parts), "cell").withColumn("part", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
-        blocks = staged(blocks.select("cell", "part", "v", "ids"), "vec-blocks")
-        wanted = asked.where(F.size("v") == dims)
-        turns = max(1, -(-wanted.count() // block))
-        numbered = staged(wanted.withColumn("turn", F.pmod(F.xxhash64("query_id"), F.lit(turns)).cast("int")), "vec-turns")
-        for turn in range(turns):
-            q = numbered.where(F.col("turn") == turn).orderBy("query_id").toPandas()
-            if not len(q):
-                continue
-            tree = CoverTree(np.array([np.asarray(v) for v in q.v]).astype(np.int64))
-            ids = q.query_id.to_numpy()[tree.order]
-            # A query's own vector in the sample may be none of its candidates, so the bound is its (k+1)th score there.
-            first = tree.points @ sample.astype(np.int64).T
-            least = np.partition(first, first.shape[1] - k - 1, axis=1)[:, first.shape[1] - k - 1] if first.shape[1] > k else np.full(len(q), -(2**62))
-            turn_sent = spark.sparkContext.broadcast((tree, ids, least))
-
-            part = ranked(blocks.groupBy("cell", "part").applyInPandas(block_search(turn_sent, k), "query_id long, vec_id long, score long"), F.desc("score"), k)
-            part = staged(part, "vec-found") if turns > 1 else part
-            found = part if found is None else found.unionByName(part)
-    return ranked(empty, F.desc("score"), k) if found is None else found
+                yield pd.DataFrame(dealt(matrix(b.v), sent.value[1]) | {"v": b.v, "ids": b.ids})
+
+        def deal_queries(batches: Iterator[pd.DataFrame], sent=sent, dealt=dealt) -> Iterator[pd.DataFrame]:
+            sample, _, heads = sent.value
+            at = len(sample) - k - 1
+            for b in batches:
+                for s in range(0, len(b), 1_024):
+                    x = matrix(b.v[s : s + 1_024])
+                    # A query's own vector in the sample may be none of its candidates, so the bound is its (k+1)th score there.
+                    least = np.partition(x @ sample.T, at, axis=1)[:, at] if at >= 0 else np.full(len(x), -(2.0**62))
+                    yield pd.DataFrame(dealt(x, heads) | {"least": least, "query_id": b.query_id[s : s + 1_024], "v": b.v[s : s + 1_024]})
+
+        mine = staged(points.where(F.size("v") == dims).mapInPandas(deal_points, "cell long, far double, v array<double>, ids array<long>"), "vec-cells")
+        wanted = staged(ours.mapInPandas(deal_queries, "cell long, far double, least double, query_id long, v array<double>"), "vec-query-cells")
+        size = [F.count("*").alias("n"), F.max("far").alias("radius")]
+        pairs = cell_pairs(roots, mine.groupBy("cell").agg(*size).toPandas(), wanted.groupBy("cell").agg(*size, F.min("least").alias("least")).toPandas())
+        pairs = F.broadcast(spark.createDataFrame(pairs, "d_cell long, q_cell long, d_first long, d_cuts long, q_first long, q_cuts long"))
+        blocks = lambda k: F.explode(F.sequence(F.col(f"{k}_first"), F.col(f"{k}_first") + F.col(f"{k}_cuts") - 1)).alias(f"{k}_block")
+        own = lambda k, key: (F.col(f"{k}_first") + F.pmod(F.xxhash64(key), F.col(f"{k}_cuts"))).alias(f"{k}_block")
+        left = mine.join(pairs, F.col("cell") == F.col("d_cell")).select(own("d", "v"), blocks("q"), "v", "ids")
+        right = wanted.join(pairs, F.col("cell") == F.col("q_cell")).select(blocks("d"), own("q", "query_id"), "least", "query_id", "v")
+        key = ["d_block", "q_block"]
+        found = found.unionByName(left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(block_search(k), "query_id long, vec_id long, score long"))
+    # One shuffle, by query, serves both steps.
+    best = found.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return ranked(best, F.desc("score"), k)
 
 
 def op1_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -152,6 +152,52 @@ def test_vectors_odd(spark):
     assert vectors.best_products(df.limit(0), F.lit(True)).count() == 0
 
 
+
+@pytest.fixture
+def groups():
+    """Vectors around few heads, one of which many rows repeat."""
+    rng = np.random.default_rng(3)
+    x = (rng.normal(size=(12, 8)) * 4)[rng.integers(0, 12, 3000)] + rng.normal(size=(3000, 8)) * 0.1
+    x[100:400] = x[100]
+    return x
+
+
+def test_products_of_groups(spark, groups, monkeypatch):
+    """Several blocks of points and of queries, against brute force."""
+    monkeypatch.setattr(vectors, "BLOCK_ROWS", 200)
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", 64)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(groups)], "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in vectors.best_products(df, F.col("vec_id") % 10 == 0).orderBy("query_id", "rank").collect()]
+    z, ids = np.floor(groups * 256).astype(np.int64), np.arange(len(groups))
+    want = []
+    for q in range(0, len(z), 10):
+        s = z @ z[q]
+        want += [(q, k + 1, int(j), int(s[j])) for k, j in enumerate([j for j in np.lexsort((ids, -s)) if j != q][:5])]
+    assert got == want
+    assert vectors.best_products(df, F.col("vec_id") < 0).count() == 0
+
+
+def test_dual_search_prunes_node_pairs(groups):
+    """The best six of every query are found, ties with the sixth too, and few of all pairs are kept."""
+    z = np.floor(groups * 256).astype(np.int64)
+    a, b = vectors.CoverTree(z[::10]), vectors.CoverTree(z)
+    q, d, score = vectors.dual_search(a, b, np.full(len(a.points), -(2.0**62)), 6)
+    every = a.points @ b.points.T
+    r, c = np.nonzero(every >= np.sort(every, axis=1)[:, -6:-5])
+    kept = set(zip(q.tolist(), d.tolist(), strict=True))
+    assert kept >= set(zip(r.tolist(), c.tolist(), strict=True)) and len(kept) < every.size / 20
+    assert (score == every[q, d]).all()
+
+
+def test_forest_of_cut_leaves(spark, groups, monkeypatch):
+    """Leaves that are cut into parts give the same result."""
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(groups)], "vec_id long, embedding array<double>")
+    find = lambda: [tuple(r) for r in vectors.approximate_neighbours(df, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect()]
+    whole = find()
+    monkeypatch.setattr(vectors, "LEAF_ROWS", 10)
+    assert find() == whole and len(whole) == 300
+
+
 def test_pieces(spark, odd):
     import sentencepiece
 
