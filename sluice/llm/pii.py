@@ -8,7 +8,8 @@ document, whether the entity is written there or not. Counts under SUPPORT rows
 
 Edge cases: a null text is empty and gives no spans; rows with null or repeated ids each give one row, and repeated
 rows count as often as they stand there; an empty table gives an empty result; ties (equal information) are treated alike;
-only doc_id and text are read, so other columns cannot clash. Texts of any length are read whole, in linear time.
+only doc_id and text are read, and `sanitise` carries all other columns, of any names, in one struct. There is no
+taxonomy to generalise by: a generalised term becomes [TERM] where it stands, a removed one leaves nothing. Texts of any length are read whole, in linear time.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ SUPPORT, GENERALISE, REMOVE = 3, 0.6, 0.85
 FLUSH = 400_000
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# A match can only begin where a run of digits does; without saying so, a long run would be read from each of its digits.
+IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
@@ -227,12 +229,14 @@ def sanitise(documents: DataFrame) -> DataFrame:
     def clean(text: pd.Series, base: pd.Series, added: pd.Series) -> pd.Series:
         return pd.Series([t if b is None else redact(t, b, list(a)) for t, b, a in zip(text, base, added, strict=True)])
 
-    joined_rows = documents.join(found, F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.xxhash64(whole_text()) == F.col("f_hash")), "left")
-    cleaned = F.when(F.col("base").isNull(), F.col("text")).otherwise(clean(whole_text(), "base", "added"))
-    return joined_rows.select(*[cleaned.alias("text") if c == "text" else F.col(c) for c in documents.columns])
+    rows = documents.select(F.struct("*").alias("row"), whole_text().alias("whole"))
+    rows = rows.join(found, F.col("row.doc_id").eqNullSafe(F.col("f_id")) & (F.xxhash64("whole") == F.col("f_hash")), "left")
+    cleaned = F.when(F.col("base").isNull(), F.col("row.text")).otherwise(clean("whole", "base", "added"))
+    return rows.select(*[cleaned.alias(c) if c == "text" else F.col("row").getField(c).alias(c) for c in documents.columns])
 
 
 def op4_pii(spark, sf_dir: str) -> DataFrame:
+    """The contract's columns, and `actions`: start:end:action of each term span."""
     found = find(table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.when(F.col("base") == "", F.array().cast("array<string>")).otherwise(F.split("base", ","))
-    return found.select("doc_id", *[f"n_{k}" for k in KINDS], F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), F.array_join(F.concat(base, term_spans()), ",").alias("spans"))
+    return found.select("doc_id", *[f"n_{k}" for k in KINDS], F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), F.array_join(F.concat(base, term_spans()), ",").alias("spans"), F.array_join("added", ",").alias("actions"))

@@ -1,4 +1,6 @@
 import re
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -247,6 +249,63 @@ def test_pii_disclosure_at_any_distance(spark):
     assert "orblax" not in "".join(r["text"] for r in pii.sanitise(docs).collect())
 
 
+
+def plain_spans(text):
+    """The base patterns as the contract writes them."""
+    def luhn(d):
+        return sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(d))) % 10 == 0
+
+    digits = lambda m: re.sub("[^0-9]", "", m)
+    kinds = {
+        "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+        "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(x) <= 255 for x in m.split("."))),
+        "card": (r"[0-9]([\x20-]?[0-9])+", lambda m: 13 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(digits(m)) <= 15),
+    }
+    return [(k, *m.span()) for k, (p, ok) in kinds.items() for m in re.finditer(p, text) if ok(m[0])]
+
+
+def test_pii_against_brute_force(spark, sf_dir):
+    """Every base span, and every term that discloses by counts of document rows, of the whole table."""
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    texts = [r["text"] or "" for r in rows]
+    spans = [plain_spans(t) for t in texts]
+    terms, entities = [], []
+    for t, found in zip(texts, spans, strict=True):
+        terms.append([(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W\d_]{3,}", t) if not any(a < m.end() and m.start() < b for _, a, b in found)])
+        entities.append({pii.entity(k, t[a:b]) for k, a, b in found})
+    n, action = len(rows), {}
+    n_t = Counter(x for t in terms for x in {w for _, _, w in t})
+    for c, n_c in Counter(e for held in entities for e in held).items():
+        for w, both in Counter(x for t, held in zip(terms, entities, strict=True) if c in held for x in {w for _, _, w in t}).items():
+            if both >= pii.SUPPORT and n_c < n:
+                share = np.log(n * both / (n_c * n_t[w])) / np.log(n / n_c)
+                if share >= pii.GENERALISE:
+                    action[w] = max(action.get(w, ""), "remove" if share >= pii.REMOVE else "generalise")
+    want = []
+    for r, found, held in zip(rows, spans, terms, strict=True):
+        out = [f"{k}:{a}:{b}" for k, a, b in found] + [f"term:{a}:{b}" for a, b, w in held if w in action]
+        want.append((r["doc_id"], *[sum(x[0] == k for x in found) for k in pii.KINDS], ",".join(out), ",".join(sorted(f"{a}:{b}:{action[w]}" for a, b, w in held if w in action))))
+    names = ["doc_id", *[f"n_{k}" for k in pii.KINDS], "spans", "actions"]
+    assert Counter(want) == Counter(tuple(r) for r in pii.op4_pii(spark, sf_dir).select(*names).collect())
+    assert any(spans)
+
+
+def test_pii_odd_columns_and_long_digits(spark, odd):
+    """Columns whose names clash stay, an empty table stays empty, and a long run of digits takes linear time."""
+    rows = [(k, "+ bob@x.org", "mine", k, 7, "r") for k in range(3)] + [(None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, base string, added long, f_id long, row string")
+    got = pii.sanitise(docs).orderBy("added").collect()
+    assert [tuple(r) for r in got] == [tuple([None] * 6)] + [(k, "+ [EMAIL]", "mine", k, 7, "r") for k in range(3)]
+    assert pii.find(odd.limit(0)).count() == 0 and pii.sanitise(odd.limit(0)).count() == 0
+    took = []
+    for size in (100_000, 400_000):
+        began = time.perf_counter()
+        assert pii.base_spans("7" * size + ".1") == []
+        took.append(time.perf_counter() - began)
+    assert took[1] < 10 * took[0] + 0.5
+
+
 def test_secrets(spark, odd):
     ranks = {"password": 1, "dragon": 2, "summer": 3}
     assert secrets.guess_cost("dragonsummer", ranks) < 3 < secrets.guess_cost("x7Kq9vB2mZpL", ranks)
