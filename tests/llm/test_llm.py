@@ -1,3 +1,5 @@
+import hashlib
+import math
 import re
 import time
 from collections import Counter
@@ -218,6 +220,31 @@ def test_pieces(spark, odd):
     assert all(r["pieces"]["lossless"] for r in pieces.encoded(odd).collect())
 
 
+
+def test_pieces_against_single_agendas(spark, sf_dir):
+    """Every text of the table at the query's rate, word by word with an agenda of its own."""
+    e = pieces.Encoder(*pieces.load())
+    texts = {}
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect():
+        texts.setdefault(r["doc_id"], r["text"] or "")
+    got = {r["doc_id"]: r for r in pieces.op3_pieces(spark, sf_dir).collect()}
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        signs = [pieces.BLANK if c == " " else pieces.OWN_BLANK if ord(c) == pieces.BLANK else ord(c) for c in f" {text}"] if text else []
+        starts = [k for k, c in enumerate(signs) if c == pieces.BLANK and (k == 0 or signs[k - 1] != pieces.BLANK)]
+        ids = []
+        for n, (a, b) in enumerate(zip(starts, [*starts[1:], len(signs)], strict=True)):
+            key = pieces.mix(np.array([(int(pieces.document_key(str(i), pieces.SEED)) + n * int(pieces.K1)) % 2**64], np.uint64))[0]
+            for x in e.word(e.sign[signs[a:b]].tolist(), int(key)):
+                if x < e.size:
+                    ids.append(x)
+                else:
+                    c = x - e.size
+                    ids += e.byte_ids[list(chr(pieces.BLANK if c == pieces.OWN_BLANK else c).encode("utf-8", "surrogatepass"))].tolist()
+        assert got[i]["n_tokens"] == len(ids) and got[i]["lossless"]
+        assert got[i]["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+
+
 def test_pii_base():
     text = "mail a.b@c.de, 10.0.0.255 300.1.1.1; 4111 1111 1111 1111 +49 (30) 1234567 x@y"
     spans = pii.base_spans(text)
@@ -387,6 +414,58 @@ def test_classifiers_odd(spark, odd):
     assert {r["score"] for r in quality.score_documents(odd.drop("score"), quality.fit(odd, none)).collect()} == {0.5}
 
 
+
+def test_score_takes_the_place_of_a_column(spark, odd):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    for m in (toxicity, quality):
+        got = m.score_documents(odd, m.fit(odd, none))
+        assert got.columns == odd.columns and dict(got.dtypes)["score"] == "double" and got.count() == odd.count()
+        assert m.score_documents(odd.limit(0), m.fit(odd.limit(0), none)).count() == 0
+
+
+def test_votes_against_full_sort():
+    """Nearest by similarity, then place; plain similarity weighs. Products of these vectors are exact, so that many are equal."""
+    rng = np.random.default_rng(2)
+    draw = lambda n: np.sign(rng.integers(-1, 2, (n, 4))).astype(np.float32) / 2
+    known, asked, labels = draw(60), draw(200), rng.integers(0, 2, 60).astype(np.float32)
+    want = []
+    for v in asked:
+        cos = [float(v @ u) for u in known]
+        near = sorted(range(60), key=lambda k: (-cos[k], k))[: quality.NEIGHBOURS]
+        total = sum(max(cos[k], 0) for k in near)
+        want.append(sum(max(cos[k], 0) * labels[k] for k in near) / total if total else labels.mean())
+    assert quality.vote(asked, known, labels) == pytest.approx(want, abs=1e-6)
+
+
+def test_ftrl_against_plain_loop():
+    """One coordinate at a time, in dictionaries."""
+    rng = np.random.default_rng(4)
+    bits, epochs, a, b, l1, l2 = 8, 3, 0.3, 1.0, 2.0, 0.1
+    rows = [(np.unique(rng.integers(0, 40, 6) + 30 * y), y) for y in rng.integers(0, 2, 80).tolist()]
+    z, n, bias = Counter(), Counter(), "bias"
+
+    def weight(i):
+        shrink = 0 if i == bias else l1
+        if abs(z[i]) <= shrink:
+            return 0.0
+        return -(z[i] - math.copysign(shrink, z[i])) / ((b + math.sqrt(n[i])) / a + l2)
+
+    order = np.random.default_rng(17)
+    for _ in range(epochs):
+        for k in order.permutation(len(rows)):
+            x, y = rows[k]
+            held = [*x.tolist(), bias]
+            w = {i: weight(i) for i in held}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for i in held:
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / a * w[i]
+                n[i] += g * g
+    got = toxicity.ftrl(rows, bits, epochs, a, b, l1, l2)
+    want = {i: weight(i) for i in sorted(k for k in z if k != bias) if weight(i)}
+    assert got.index.tolist() == list(want) and got.value == pytest.approx(list(want.values()), rel=1e-5)
+    assert got.bias == pytest.approx(weight(bias)) and len(want) < len(z) - 1
+
+
 def test_warc_odd(spark, tmp_path):
     body = "x" * 200
     rows = [(5, "u 1", body), (3, None, body), (None, "v", body), (7, "w", None), (8, "w", "short"), (9, "w", "short"), (3, "z", body), (10, "w", "é" * 300_000)]
