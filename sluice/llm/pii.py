@@ -33,7 +33,7 @@ FLUSH = 400_000
 
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A match can only begin where a run of digits does; without saying so, a long run would be read from each of its digits.
-IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
