@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, mixing, pieces, pii, quality, secrets, toxicity, vectors, warc
+from . import jaccard, mixing, pieces, pii, quality, runs, secrets, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_forest": vectors.op1_forest,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": secrets.op8_secrets,
     "op9_warc": warc.op9_warc,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_runs": runs.op11_runs,
 }
 
 ORACLES: dict[str, str] = {"op5_mixing": mixing.OP5_SQL, "op6_products": vectors.OP6_SQL, "op9_warc": warc.OP9_SQL}
