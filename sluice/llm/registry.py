@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, mixing, negatives, pieces, pii, quality, runs, secrets, toxicity, vectors, warc
+from . import jaccard, language, mixing, negatives, pieces, pii, quality, runs, secrets, toxicity, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_forest": vectors.op1_forest,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_runs": runs.op11_runs,
     "op12_negatives": negatives.op12_negatives,
+    "op13_language": language.op13_language,
 }
 
 ORACLES: dict[str, str] = {"op5_mixing": mixing.OP5_SQL, "op6_products": vectors.OP6_SQL, "op9_warc": warc.OP9_SQL, "op12_negatives": negatives.OP12_SQL}
