@@ -1,16 +1,23 @@
-"""Schema binding: which cells of a message go to which columns, and what is wrong with a message."""
+"""Schema binding: which cells of a message go to which columns, and what is wrong with a message.
+
+A table may have several versions of its schema. A message is bound by the version that its schema_hash names, or by the latest if it names none; its cells
+are decoded to the types of the latest, in whose columns all rows end up.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import cells as T
+
 
 @dataclass(frozen=True)
 class Col:
-    """kind: ordinary, default, materialized or alias; expr: SQL of the default or of the derived column."""
+    """type: a name that functions.cells knows, or one of Spark's; kind: ordinary, default, materialized or alias; expr: SQL of the default or of the derived column."""
 
     name: str
     type: str
@@ -18,14 +25,53 @@ class Col:
     expr: str | None = None
     nullable: bool = False
 
+    @property
+    def decoder(self) -> T.Type:
+        t = T.type_of(self.type)
+        return T.Type("Nullable", t.spark, t) if self.nullable and not t.nullable else t
+
+    @property
+    def spark(self) -> str:
+        return T.type_of(self.type).spark
+
 
 Schema = list[Col]
+#: schema_hash to schema, oldest first; the last is the latest.
+Versions = dict[int, Schema]
+
+
+def latest(schema: Schema | Versions) -> Schema:
+    return schema if isinstance(schema, list) else list(schema.values())[-1]
+
+
+def schema_json(schema: Schema | Versions) -> str:
+    """Versions as text, to be kept with the steps that used them."""
+    return json.dumps([[k, [asdict(c) for c in s]] for k, s in ([(None, schema)] if isinstance(schema, list) else schema.items())])
+
+
+def schema_of_json(text: str) -> Schema | Versions:
+    versions = {k: [Col(**c) for c in s] for k, s in json.loads(text)}
+    return versions[None] if None in versions else versions
 
 
 def insertable(schema: Schema) -> Schema:
     return [c for c in schema if c.kind in ("ordinary", "default")]
 
 
+def names_of(schema: Schema) -> Column:
+    return F.array(*[F.lit(c.name) for c in insertable(schema)]).cast("array<string>")
+
+
+def own_names(schema: Schema | Versions) -> Column:
+    """The insertable columns of a message's own version."""
+    if isinstance(schema, list):
+        return names_of(schema)
+    out = F
+    for version, s in schema.items():
+        out = out.when(F.col("schema_hash") == version, names_of(s))
+    return out.otherwise(names_of(latest(schema)))
+
+
 def insert_shape(messages: DataFrame, sql: str = "sql") -> DataFrame:
     """Column names and the number of placeholders of the INSERT texts, as plain expressions: no join, no shuffle."""
     head = F.regexp_extract(sql, r"(?is)^\s*insert\s+into\s+[^\s(]+\s*\(([^)]*)\)\s*values", 1)
@@ -34,21 +80,21 @@ def insert_shape(messages: DataFrame, sql: str = "sql") -> DataFrame:
     return messages.withColumns({"names": names, "placeholders": marks.cast("int")})
 
 
-def targets(schema: Schema) -> Column:
-    """The columns that the cells go to, by list if there is one, else by position over the first insertable columns."""
-    own = F.array(*[F.lit(c.name) for c in insertable(schema)])
-    return F.when(F.size("names") > 0, F.col("names")).otherwise(F.slice(own, F.lit(1), F.greatest(F.col("placeholders"), F.lit(0))))
+def targets(schema: Schema | Versions) -> Column:
+    """The columns that the cells go to, by list if there is one, else by position over the first insertable columns of the message's version."""
+    return F.when(F.size("names") > 0, F.col("names")).otherwise(F.slice(own_names(schema), F.lit(1), F.greatest(F.col("placeholders"), F.lit(0))))
 
 
-def bind(rows: DataFrame, schema: Schema) -> DataFrame:
+def bind(rows: DataFrame, schema: Schema | Versions) -> DataFrame:
     return rows.withColumn("bound", targets(schema))
 
 
-def project(bound: DataFrame, schema: Schema, keep: list[str], cells: str = "cells") -> DataFrame:
-    """Bound rows in table order. A column that is not bound is left null here and marked absent in `absent`."""
+def project(bound: DataFrame, schema: Schema | Versions, keep: list[str], cells: str = "cells") -> DataFrame:
+    """Bound rows in table order, of the latest version. A column that is not bound is left null here and marked absent in `absent`."""
     place = lambda c: F.array_position("bound", c.name)
-    cols = [F.when(place(c) > 0, F.get(F.col(cells), (place(c) - 1).cast("int"))).try_cast(c.type).alias(c.name) for c in insertable(schema)]
-    absent = F.array_except(F.array(*[F.lit(c.name) for c in insertable(schema)]), F.col("bound"))
+    now = latest(schema)
+    cols = [F.when(place(c) > 0, T.decode(F.get(F.col(cells), (place(c) - 1).cast("int")), c.decoder)).alias(c.name) for c in insertable(now)]
+    absent = F.array_except(names_of(now), F.col("bound"))
     return bound.select(*keep, *cols, absent.alias("absent"))
 
 
@@ -56,42 +102,31 @@ def reorder(df: DataFrame, schema: Schema) -> DataFrame:
     return df.select(*[c.name for c in schema if c.name in df.columns])
 
 
-def problem(schema: Schema, cells: str = "cells") -> Column:
-    """The first thing that is wrong with a row's binding, or null."""
-    known = F.array(*[F.lit(c.name) for c in insertable(schema)])
-    return (
-        F.when(F.size(F.array_except("names", known)) > 0, "unknown_column")
-        .when((F.size("names") > 0) & (F.size("names") != F.col("placeholders")), "placeholder_mismatch")
-        .when((F.size("names") == 0) & (F.col("placeholders") > F.size(known)), "placeholder_mismatch")
-        .when(F.size(cells) != F.col("placeholders"), "row_arity")
-    )
-
-
-def message_problem(schema: Schema, rows: str = "rows") -> Column:
+def message_problem(schema: Schema | Versions, rows: str = "rows", bound: str = "bound") -> Column:
     """The first thing that is wrong with a message of several rows, or null: its binding, the width of any row, a cell that its column's type
-    cannot hold, or a null for a column that must have a value. One bad row fails the message."""
-    known = F.array(*[F.lit(c.name) for c in insertable(schema)])
+    cannot take, or a null for a column that must have a value. One bad row fails the message. bound: see `bind`."""
+    own, now = own_names(schema), latest(schema)
     binding = (
-        F.when(F.size(F.array_except("names", known)) > 0, "unknown_column")
+        F.when(F.size(F.array_except("names", F.array_union(own, names_of(now)))) > 0, "unknown_column")
         .when((F.size("names") > 0) & (F.size("names") != F.col("placeholders")), "placeholder_mismatch")
-        .when((F.size("names") == 0) & (F.col("placeholders") > F.size(known)), "placeholder_mismatch")
+        .when((F.size("names") == 0) & (F.col("placeholders") > F.size(own)), "placeholder_mismatch")
         .when(F.exists(rows, lambda r: F.size(r) != F.col("placeholders")), "row_arity")
     )
-    for c in insertable(schema):
-        at, place = F.array_position(targets(schema), c.name), F.array_position(targets(schema), c.name) - 1
-        # The lambdas are called at once, within this turn of the loop.
-        binding = binding.when((at > 0) & F.exists(rows, lambda r: F.get(r, place.cast("int")).isNotNull() & F.get(r, place.cast("int")).try_cast(c.type).isNull()), "bad_cell")  # noqa: B023
-        if not c.nullable:
-            binding = binding.when((at > 0) & F.exists(rows, lambda r: F.get(r, place.cast("int")).isNull()), "null_into_required")  # noqa: B023
-    return binding
+    return F.coalesce(binding, *[cell_problem(c, rows, bound) for c in insertable(now)])
+
+
+def cell_problem(c: Col, rows: str, bound: str) -> Column:
+    """What is wrong with the first bad cell that a message has for a column, or null."""
+    at, t = F.array_position(bound, c.name), c.decoder
+
+    def fault(r: Column) -> Column:
+        cell = F.get(r, (at - 1).cast("int"))
+        return F.when(T.null_cell(cell), F.lit(None if t.nullable else "null_into_required").cast("string")).when(T.decode(cell, t).isNull(), "bad_cell")
+
+    return F.when(at > 0, F.get(F.filter(F.transform(rows, fault), lambda x: x.isNotNull()), F.lit(0)))
 
 
 def coverage(schema: Schema, bound: str = "bound") -> tuple[Column, Column]:
     """Does the bound set leave columns with a default, or without one, uncovered?"""
     names = lambda kind: F.array(*[F.lit(c.name) for c in insertable(schema) if c.kind == kind]).cast("array<string>")
     return F.size(F.array_except(names("default"), F.col(bound))) > 0, F.size(F.array_except(names("ordinary"), F.col(bound))) > 0
-
-
-def split_valid(messages: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
-    """Good messages, and bad ones for the dead letters, as wholes; `error` is the message's, so no shuffle is needed."""
-    return messages.where(F.col(error).isNull()).drop(error), messages.where(F.col(error).isNotNull())

@@ -110,24 +110,39 @@ def _before(df: DataFrame, keys: list[str], order: str, value: Column, how, name
     return both.withColumn(name, joined).drop("value_", "chunk_", "inside_", "before_")
 
 
+def followed(log: DataFrame, order: str = "arrival_seq", chunk: int = CHUNK) -> DataFrame:
+    """The log with `epoch`, how many resets there were in the partition up to a message, and `last`, the highest offset before it in its epoch (null at an epoch's first message).
+    A reset is an offset 0 right after an offset above 0: after a zero nothing is above 0 until one is. order: a unique integer order of arrival.
+
+    Each chunk of a partition is read in order by itself; its resets, last offset and highest offset are all that later chunks need."""
+    local = Window.partitionBy(*SOURCE, "chunk_").orderBy(order)
+    before = local.rowsBetween(Window.unboundedPreceding, -1)
+    df = log.withColumn("chunk_", F.floor(F.col(order) / chunk))
+    df = df.withColumn("lag_", F.lag("pos").over(local))
+    df = df.withColumn("e_", F.sum(((F.col("pos") == 0) & (F.col("lag_") > 0)).cast("long")).over(local)).withColumn("e_", F.coalesce("e_", F.lit(0)).cast("long"))
+    # Epochs only grow, so the highest (epoch, offset) before a message is the highest offset of the latest epoch before it.
+    df = df.withColumn("top_", F.max(F.struct(F.col("e_").alias("e"), F.col("pos").alias("p"))).over(before))
+    ends = df.groupBy(*SOURCE, "chunk_").agg(F.min_by("pos", order).alias("head_"), F.max_by("pos", order).alias("tail_"), F.max("e_").alias("resets_"), F.max(F.struct(F.col("e_").alias("e"), F.col("pos").alias("p"))).alias("high_"))
+    chunks = Window.partitionBy(*SOURCE).orderBy("chunk_")
+    earlier = chunks.rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.withColumn("begins_", F.coalesce(((F.col("head_") == 0) & (F.lag("tail_").over(chunks) > 0)).cast("long"), F.lit(0)))
+    ends = ends.withColumn("base_", (F.coalesce(F.sum(F.col("resets_") + F.col("begins_")).over(earlier), F.lit(0)) + F.col("begins_")).cast("long"))
+    shifted = lambda s: F.when(s.isNotNull(), F.struct((s["e"] + F.col("base_")).alias("e"), s["p"].alias("p")))
+    ends = ends.withColumn("carry_", F.max(shifted(F.col("high_"))).over(earlier)).select(*SOURCE, "chunk_", "base_", "carry_")
+    both = df.join(ends, [*SOURCE, "chunk_"]).withColumn("epoch", F.col("e_") + F.col("base_")).withColumn("top_", F.greatest(shifted(F.col("top_")), "carry_"))
+    return both.withColumn("last", F.when(F.col("top_.e") == F.col("epoch"), F.col("top_.p"))).drop("chunk_", "lag_", "e_", "top_", "base_", "carry_")
+
+
 def epoch_of(log: DataFrame, order: str = "arrival_seq") -> DataFrame:
-    """epoch: how many resets there were in the partition up to a message. A reset is an offset 0 after an offset above 0 since the last reset; another
-    rewind is none. order: a unique integer order of arrival."""
-    zero = F.when(F.col("pos") == 0, 1).otherwise(0)
-    df = _before(log, SOURCE, order, zero, F.sum, "zeros_").withColumn("zeros_", (F.col("zeros_") + zero).cast("long"))
-    # Between two zeros lies a run of messages; a zero is a reset if the run that it ends has an offset above 0.
-    runs = df.groupBy(*SOURCE, "zeros_").agg((F.max("pos") > 0).cast("int").alias("rose_"))
-    risen = runs.select(*SOURCE, (F.col("zeros_") + 1).alias("zeros_"), "rose_")
-    resets = runs.select(*SOURCE, "zeros_").join(risen, [*SOURCE, "zeros_"], "left").withColumn("reset_", F.coalesce("rose_", F.lit(0)))
-    epochs = _before(resets, SOURCE, "zeros_", F.col("reset_"), F.sum, "epoch").withColumn("epoch", (F.col("epoch") + F.col("reset_")).cast("long"))
-    return df.join(epochs.select(*SOURCE, "zeros_", "epoch"), [*SOURCE, "zeros_"]).drop("zeros_")
+    """The log with `epoch`, see `followed`."""
+    return followed(log, order).drop("last")
 
 
 def offset_anomalies(log: DataFrame, order: str = "arrival_seq") -> DataFrame:
-    """reset, rewind, gap or ok, for each message in arrival order. A reset (see epoch_of) makes its offset the last one known."""
-    df = _before(epoch_of(log, order), [*SOURCE, "epoch"], order, F.col("pos"), F.max, "last_")
-    kind = F.when(F.col("last_").isNull(), F.when(F.col("epoch") > 0, "reset").otherwise("ok")).when(F.col("pos") <= F.col("last_"), "rewind").when(F.col("pos") > F.col("last_") + 1, "gap").otherwise("ok")
-    return df.withColumn("anomaly", kind).drop("last_", "epoch")
+    """reset, rewind, gap or ok, for each message in arrival order. A reset makes its offset the last one known."""
+    last = F.col("last")
+    kind = F.when(last.isNull(), F.when(F.col("epoch") > 0, "reset").otherwise("ok")).when(F.col("pos") <= last, "rewind").when(F.col("pos") > last + 1, "gap").otherwise("ok")
+    return followed(log, order).withColumn("anomaly", kind).drop("last", "epoch")
 
 
 def dedup_log(log: DataFrame) -> DataFrame:

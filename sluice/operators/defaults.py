@@ -5,24 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.types import cast_fixed_string
 from .binding import Col, Schema, insertable
 
 
 def type_default(c: Col) -> Column:
-    if c.nullable:
-        return F.lit(None).cast(c.type)
-    t = c.type.lower()
-    if t.startswith("array"):
-        return F.array().cast(c.type)
-    if t == "string":
+    """What a column without a default holds where no value was sent: null if it may, else an empty text, list or fixed string of zeros, 1970 or 0."""
+    t = c.decoder
+    while t.name == "LowCardinality":
+        t = t.inner
+    spark = c.spark.lower()
+    if t.nullable:
+        return F.lit(None).cast(spark)
+    if spark.startswith("array"):
+        return F.array().cast(spark)
+    if spark == "string":
         return F.lit("")
-    if t in ("date", "timestamp"):
-        return F.lit("1970-01-01").cast(c.type)
-    return F.lit(0).cast(c.type)
+    if spark == "binary":
+        return F.lit(bytes(t.size or 0))
+    if spark in ("date", "timestamp"):
+        return F.lit("1970-01-01").cast(spark)
+    return F.lit(0).cast(spark)
 
 
 def default_of(c: Col) -> Column:
-    return F.expr(c.expr).cast(c.type) if c.kind == "default" and c.expr is not None else type_default(c)
+    if c.kind != "default" or c.expr is None:
+        return type_default(c)
+    return cast_fixed_string(F.expr(c.expr), c.decoder.size) if c.decoder.size and c.spark == "binary" else F.expr(c.expr).cast(c.spark)
 
 
 def fill_defaults(df: DataFrame, schema: Schema, absent: str | None = "absent") -> DataFrame:
@@ -43,7 +52,7 @@ def derive(df: DataFrame, schema: Schema) -> DataFrame:
     """Materialized columns at write, alias columns in views."""
     for c in schema:
         if c.kind in ("materialized", "alias"):
-            df = df.withColumn(c.name, F.expr(c.expr).cast(c.type))
+            df = df.withColumn(c.name, F.expr(c.expr).cast(c.spark))
     return df
 
 
@@ -64,7 +73,13 @@ def classify_schema(messages: DataFrame, versions: DataFrame) -> DataFrame:
 
 
 def migrate(df: DataFrame, latest: Schema) -> DataFrame:
-    return fill_defaults(df, latest, absent=None)
+    """Rows of an older schema in the latest: new columns get their defaults, columns of another type are cast, columns that the latest lacks go, and
+    materialized columns that the rows do not have are derived."""
+    own = {c.name for c in latest}
+    have = lambda c: c.name in df.columns
+    filled = [(F.col(c.name).cast(c.spark) if have(c) else default_of(c)).alias(c.name) for c in insertable(latest)]
+    made = [F.col(c.name).cast(c.spark).alias(c.name) for c in latest if c.kind == "materialized" and have(c)]
+    return derive(df.select(*[x for x in df.columns if x not in own], *filled, *made), [c for c in latest if c.kind == "materialized" and not have(c)])
 
 
 def union_versions(parts: list[DataFrame], latest: Schema) -> DataFrame:

@@ -135,7 +135,7 @@ def faulty(s, d):
     df = df.withColumn("names", F.when(a % 89 == 0, F.array(F.lit("nope"), F.lit("kind"))).when(a % 83 == 0, F.array(F.lit("id"))).otherwise(F.col("names")))
     df = df.withColumn("placeholders", F.when(a % 89 == 0, 2).when(a % 83 == 0, 2).otherwise(F.col("placeholders")))
     short = F.transform("rows", lambda r, i: F.when(i == 1, F.slice(r, 1, 1)).otherwise(r))
-    return df.withColumn("rows", F.when((a % 79 == 0) & (a % 89 != 0) & (a % 83 != 0), short).otherwise(F.col("rows"))).withColumn("error", B.message_problem(SIMPLE))
+    return df.withColumn("rows", F.when((a % 79 == 0) & (a % 89 != 0) & (a % 83 != 0), short).otherwise(F.col("rows"))).withColumn("bound", B.targets(SIMPLE)).withColumn("error", B.message_problem(SIMPLE))
 
 
 def fault_sql(rule):
@@ -203,7 +203,6 @@ add("mixed_version_block", LOG + " SELECT arrival_seq AS id, tbl AS kind, CASE W
 )
 
 # Blocks
-add("buffer_append", LOG + " SELECT part, tbl, min(pos) AS begin_pos, max(pos) AS end_pos, count(*) AS cnt FROM log GROUP BY 1, 2")(lambda s, d: log(s, d).groupBy("part", "tbl").agg(F.min("pos").alias("begin_pos"), F.max("pos").alias("end_pos"), F.count("*").alias("cnt")))
 add("block_by_rows", LOG + BLOCKS + " SELECT part, tbl, block_no, begin_pos, end_pos, cnt FROM rng")(lambda s, d: K.block_ranges(blocks(s, d)).select("part", "tbl", "block_no", "begin_pos", "end_pos", "cnt"))
 add("block_by_messages", LOG + " SELECT part, tbl, pos, (row_number() OVER (PARTITION BY part, tbl ORDER BY pos) - 1) // 64 AS block_no FROM log")(lambda s, d: K.cut_rows(log(s, d), 64).select("part", "tbl", "pos", "block_no"))
 add("block_stats", LOG + BLOCKS + " SELECT part, tbl, block_no, cnt, bytes, end_pos - begin_pos + 1 AS span, first_us, last_us FROM rng")(lambda s, d: K.block_ranges(blocks(s, d)).select("part", "tbl", "block_no", "cnt", "bytes", (F.col("end_pos") - F.col("begin_pos") + 1).alias("span"), "first_us", "last_us"))

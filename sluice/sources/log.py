@@ -76,11 +76,11 @@ def route(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     return log.where(ok), log.where(~ok | F.col("tbl").isNull()).withColumn("error", F.lit("no_table_header"))
 
 
-ENVELOPE = "shard string, `table` string, schema_hash bigint, sql string, rows array<array<string>>"
+ENVELOPE = "shard string, `table` string, schema_hash bigint, sql string, rows array<array<variant>>"
 
 
 def decode(log: DataFrame, payload: str = "payload", keep: bool = False) -> DataFrame:
-    """JSON envelopes to columns; an envelope that cannot be read gives null in `rows`. keep: the payload stays."""
+    """JSON envelopes to columns, with cells as VARIANT; an envelope that cannot be read gives null in `rows`. keep: the payload stays."""
     out = log.withColumn("e_", F.from_json(payload, ENVELOPE)).select(*log.columns, "e_.shard", F.col("e_.table").alias("envelope_table"), "e_.schema_hash", "e_.sql", "e_.rows")
     return out if keep else out.drop(payload)
 

@@ -2,149 +2,204 @@
 
 A micro-batch is one poll. It is routed to tables, decoded, bound and filled with defaults; what cannot be goes to the dead letters
 as whole messages. The rows of each (zone, topic, part, tbl) gather in a buffer that lasts over batches and closes, after a poll, when it
-is over a limit of rows, bytes or message time. A closed buffer is a block: its offset range gives its id, and readers see a block's rows
+is over a limit of rows, bytes, message time or processing time. A closed buffer is a block: its offset range gives its id, and readers see a block's rows
 once the ledger has it.
 
-Every step is a pure function of the step before and the batch's messages, which Spark's offset log fixes before the batch runs.
-A step first writes its buffers and the last offset of each partition (the intent), then rows and dead letters, then the ledger, each under
-the step's number; a batch that runs again overwrites the same folders with the same rows. Rows are written as they come, with the
+Every step is a pure function of the step before, the batch's messages, which Spark's offset log fixes before the batch runs, and the schemas that it has looked up.
+A step first writes these schemas, its buffers and the last offset of each partition (the intent), then rows and dead letters, then the ledger, each under
+the step's number; a batch that runs again reads the schemas it had and overwrites the same folders with the same rows. Rows are written as they come, with the
 number of their buffer, so no buffer is held in memory, and there is a folder for a step, not for a block.
 
-Messages at or under the last offset of their (zone, topic, part) are dropped: they are loaded already. With resets=True, an offset 0 after larger
-ones starts a new epoch instead, in which offsets count anew. Of messages with equal offsets in a batch the first by time, then table and
-payload counts. As in the source of such a log, the offsets of a partition have to come in order over batches; inside a batch they may come
-in any order. An empty batch changes nothing but the time trigger; null tables are dead letters.
+Messages at or under the last offset of their (zone, topic, part) are dropped: they are loaded already. With resets=True, an offset 0 that arrives after larger
+ones starts a new epoch instead, in which offsets count anew, wherever in a batch it stands; the buffers of the epoch that it ends close as they are. Of messages with equal offsets of an epoch
+in a batch the first by time, then table and payload counts. As in the source of such a log, the offsets of a partition have to come in order over batches; inside a batch they may come
+in any order, but with resets=True rows have to stand in the order of their arrival, or have it in a column `arrival`. An empty batch changes nothing but the time triggers; null tables are dead letters.
+
+A table may have several versions of its schema, and a catalog that is called once a batch may add one at any time. Messages are bound by the version that they name, and written in the latest;
+a buffer that is open at the change takes rows of both, and readers see all rows in the latest schema, with the defaults of columns that older rows lack.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.binding import Schema, bind, insert_shape, message_problem, project
+from ..operators.binding import Schema, Versions, insert_shape, insertable, latest, message_problem, project, schema_json, schema_of_json, targets
 from ..operators.blocks import block_id
-from ..operators.defaults import derive, fill_defaults
+from ..operators.commit import epoch_of
+from ..operators.defaults import derive, fill_defaults, migrate
 from ..sources.log import decode, explode_rows
 from . import store
 
 PART = ["zone", "topic", "part"]
 KEY = [*PART, "tbl"]
 COUNTS = "cnt long, bytes long, begin_pos long, end_pos long, first_us long, last_us long"
-BUFFERS = f"zone string, topic string, part long, tbl string, epoch long, block_no long, {COUNTS}, closed boolean"
+#: Rows of a step: the latest buffer of each key, and earlier ones that the step closed. opened_us: processing time; done: closed by an earlier step.
+BUFFERS = f"zone string, topic string, part long, tbl string, epoch long, block_no long, {COUNTS}, opened_us long, closed boolean, done boolean"
 POSITIONS = "zone string, topic string, part long, epoch long, last_pos long"
 LEDGER = f"block_id string, zone string, topic string, part long, tbl string, epoch long, block_no long, {COUNTS}"
 DEAD = "zone string, topic string, part long, pos long, tbl string, error string, payload string"
+SCHEMAS = "tbl string, schema string"
 #: Columns that a loaded table has besides its own.
 ORIGIN = {"zone": "_zone", "topic": "_topic", "part": "_part", "epoch": "_epoch", "pos": "_pos", "row_in_msg": "_row", "block_no": "_block_no"}
+ORIGIN_TYPES = "_zone string, _topic string, _part long, _epoch long, _pos long, _row int, _block_no long"
+Tables = dict[str, Schema | Versions]
+
+
+def names(ddl: str) -> list[str]:
+    return [c.split()[0] for c in ddl.split(", ")]
 
 
 @dataclass(frozen=True)
 class Limits:
-    """A buffer over any of them closes after the poll: messages, payload bytes, seconds between its first message and the newest of its partition."""
+    """A buffer over any of them closes after the poll: messages, payload bytes, seconds between its first message and the newest of its partition, and
+    seconds of processing time since it was opened, which need a heartbeat in the stream."""
 
     rows: int | None = 100_000
     size: int | None = 10 << 20
     seconds: float | None = None
+    idle: float | None = None
 
-    def over(self, cnt: Column, size: Column, age_us: Column) -> Column:
+    def over(self, cnt: Column, size: Column, age_us: Column, idle_us: Column) -> Column:
+        micros = lambda s: None if s is None else int(s * 1_000_000)
         out = F.lit(False)
-        for value, limit in ((cnt, self.rows), (size, self.size), (age_us, None if self.seconds is None else int(self.seconds * 1_000_000))):
+        for value, limit in ((cnt, self.rows), (size, self.size), (age_us, micros(self.seconds)), (idle_us, micros(self.idle))):
             if limit is not None:
-                out = out | (value > limit)
-        return F.coalesce(out, F.lit(False))
-
-
-def deduplicated(batch: DataFrame, epochs: DataFrame) -> DataFrame:
-    """One message for each offset that is new to its partition, with its epoch."""
-    rest = [c for c in batch.columns if c not in (*PART, "pos")]
+                out = out | F.coalesce(value > limit, F.lit(False))
+        return out
+
+
+def with_heartbeat(log: DataFrame, seconds: int = 1) -> DataFrame:
+    """A streaming log with a `tick` row every so many seconds, so that batches run, and idle buffers close, while no messages come. Ticks are part of the
+    offset log like messages: a batch that runs again has the same."""
+    rate = log.sparkSession.readStream.format("rate").option("rowsPerSecond", 1).load().where(F.col("value") % seconds == 0)
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in log.schema]
+    return log.withColumn("tick", F.lit(None).cast("timestamp")).unionByName(rate.select(*empty, F.col("timestamp").alias("tick")))
+
+
+def sequenced(batch: DataFrame, positions: DataFrame, resets: bool) -> DataFrame:
+    """One message for each offset that is new to its partition and epoch, with its epoch."""
+    state = positions.select(*PART, F.col("epoch").alias("epoch_"), F.col("last_pos").alias("last_"))
+    rest = [c for c in batch.columns if c not in (*PART, "pos", "arrival")]
+    if resets:
+        order = F.col("arrival") if "arrival" in batch.columns else F.monotonically_increasing_id()
+        mark = batch.select(*PART, "pos", *rest, order.cast("long").alias("order_"))
+        # What a partition has reached stands before the batch, like a message.
+        reached = positions.join(batch.select(*PART).distinct(), PART, "left_semi").where("last_pos >= 0").select(*PART, F.col("last_pos").alias("pos"), F.lit(-1).cast("long").alias("order_"))
+        batch = epoch_of(mark.unionByName(reached, allowMissingColumns=True), "order_").where("order_ >= 0").withColumnRenamed("epoch", "more_")
+    else:
+        batch = batch.withColumn("more_", F.lit(0).cast("long"))
     first = [c for c in ("ts", "tbl", "payload") if c in rest] + [c for c in rest if c not in ("ts", "tbl", "payload")]
-    one = batch.groupBy(*PART, "pos").agg(F.min(F.struct(*first)).alias("m_")).select(*PART, "pos", "m_.*")
-    return one.join(epochs, PART).where((F.col("last_pos") < F.col("pos"))).drop("last_pos")
-
-
-def epochs_of(batch: DataFrame, positions: DataFrame, resets: bool) -> DataFrame:
-    """Each partition's epoch in this batch, and the last offset loaded in it."""
-    lows = batch.groupBy(*PART).agg(F.min("pos").alias("low"))
-    both = lows.join(positions, PART, "left")
-    again = (F.col("low") == 0) & (F.col("last_pos") > 0) if resets else F.lit(False)
-    return both.select(*PART, (F.coalesce("epoch", F.lit(0)) + F.when(again, 1).otherwise(0)).cast("long").alias("epoch"), F.when(again, -1).otherwise(F.coalesce("last_pos", F.lit(-1))).cast("long").alias("last_pos"))
-
-
-def grown(buffers: DataFrame, fresh: DataFrame, limits: Limits, flush: bool) -> DataFrame:
-    """Buffers after a poll: buffers that closed before give way to the next number, counts are added up, and what is over a limit closes."""
-    now = fresh.groupBy(*KEY, "epoch").agg(F.count("*").alias("cnt"), F.sum(F.octet_length("payload")).cast("long").alias("bytes"), F.min("pos").alias("begin_pos"), F.max("pos").alias("end_pos"), F.min(F.unix_micros("ts")).alias("first_us"), F.max(F.unix_micros("ts")).alias("last_us"))
-    clock = fresh.groupBy(*PART).agg(F.max(F.unix_micros("ts")).alias("clock_us"))
-    new = now.select(*KEY, *[F.col(c).alias(f"n_{c}") for c in now.columns if c not in KEY])
-    both = buffers.join(new, KEY, "full").join(clock, PART, "left")
-    # An earlier epoch's open buffer closes as it is, in `ended`; its successor starts anew.
-    fresh_start = F.col("block_no").isNull() | F.col("closed") | (F.col("n_epoch") > F.col("epoch"))
-    start = lambda c, f: F.when(fresh_start, F.col(f"n_{c}")).otherwise(f(F.col(c), F.coalesce(F.col(f"n_{c}"), F.col(c)))).alias(c)
-    add = lambda c: F.when(fresh_start, F.col(f"n_{c}")).otherwise(F.col(c) + F.coalesce(f"n_{c}", F.lit(0))).alias(c)
-    moved = F.col("n_cnt").isNotNull()
-    number = F.when(F.col("block_no").isNull(), 0).when(fresh_start, F.col("block_no") + 1).otherwise(F.col("block_no")).cast("long").alias("block_no")
-    out = both.where(moved | ~F.col("closed")).select(*KEY, F.coalesce("n_epoch", "epoch").alias("epoch"), number, add("cnt"), add("bytes"), start("begin_pos", F.least), start("end_pos", F.greatest), start("first_us", F.least), start("last_us", F.greatest), "clock_us")
-    closes = F.lit(True) if flush else limits.over(F.col("cnt"), F.col("bytes"), F.greatest("clock_us", "last_us") - F.col("first_us"))
-    idle = both.where(~moved & F.col("closed")).select(*buffers.columns)
-    return out.withColumn("closed", closes).select(*buffers.columns).unionByName(idle)
-
-
-def ended(buffers: DataFrame, fresh: DataFrame) -> DataFrame:
-    """Open buffers of an epoch that a reset has ended: they close as they stand."""
-    later = fresh.groupBy(*KEY).agg(F.max("epoch").alias("n_epoch"))
-    return buffers.where("not closed").join(later, KEY).where("n_epoch > epoch").select(*buffers.columns)
-
-
-def blocks_of(buffers: DataFrame) -> DataFrame:
-    return buffers.withColumn("block_id", block_id()).select(*[c.split()[0] for c in LEDGER.split(", ")])
-
-
-def prepared(fresh: DataFrame, tables: dict[str, Schema]) -> DataFrame:
-    """Messages with their envelope, INSERT shape and `error`: what is wrong with a message as a whole, or null. All of it is narrow."""
-    known = F.array(*[F.lit(t) for t in tables]).cast("array<string>")
-    shaped = insert_shape(decode(fresh, keep=True))
-    error = F.when(F.col("tbl").isNull() | (F.col("tbl") == ""), "no_table_header").when(~F.array_contains(known, F.col("tbl")), "unknown_table").when(F.col("rows").isNull() | F.col("sql").isNull(), "bad_envelope")
+    one = batch.groupBy(*PART, "more_", "pos").agg(F.min(F.struct(*first)).alias("m_")).select(*PART, "more_", "pos", "m_.*")
+    both = one.join(state, PART, "left").withColumn("epoch", F.coalesce("epoch_", F.lit(0)) + F.col("more_"))
+    return both.where((F.col("more_") > 0) | (F.col("pos") > F.coalesce("last_", F.lit(-1)))).drop("more_", "epoch_", "last_")
+
+
+def latest_buffers(step: DataFrame) -> DataFrame:
+    """The buffer of each key that a step leaves."""
+    rest = [c for c in names(BUFFERS) if c not in KEY]
+    return step.groupBy(*KEY).agg(F.max_by(F.struct(*rest), "block_no").alias("b")).select(*KEY, "b.*")
+
+
+def grown(buffers: DataFrame, fresh: DataFrame, limits: Limits, flush: bool, tick_us: int | None = None) -> DataFrame:
+    """Buffers after a poll. A key's open buffer takes the messages of its own epoch; each later epoch in the poll, and messages after a closed buffer, begin the next number.
+    What is over a limit closes, and so does every buffer of an epoch that its partition has left."""
+    good = fresh.where("error is null") if "error" in fresh.columns else fresh
+    us = F.unix_micros("ts")
+    now = good.groupBy(*KEY, F.col("epoch").alias("n_epoch")).agg(F.count("*").alias("n_cnt"), F.sum(F.octet_length("payload")).cast("long").alias("n_bytes"), F.min("pos").alias("n_begin_pos"), F.max("pos").alias("n_end_pos"), F.min(us).alias("n_first_us"), F.max(us).alias("n_last_us"))
+    of_key = Window.partitionBy(*KEY)
+    now = now.withColumns({"nth_": F.row_number().over(of_key.orderBy("n_epoch")), "head_": F.min("n_epoch").over(of_key)})
+    clock = fresh.groupBy(*PART).agg(F.max(us).alias("clock_us"), F.max("epoch").alias("at_epoch"))
+    both = buffers.join(now, KEY, "full").join(clock, PART, "left").withColumn("tick_", F.lit(tick_us).cast("long"))
+    goes_on = F.coalesce(~F.col("closed") & (F.col("epoch") == F.col("head_")), F.lit(False))
+    takes = goes_on & (F.col("nth_") == 1)
+    add = lambda c: (F.col(f"n_{c}") + F.when(takes, F.col(c)).otherwise(0)).cast("long").alias(c)
+    start = lambda c, f: F.when(takes, f(F.col(c), F.col(f"n_{c}"))).otherwise(F.col(f"n_{c}")).alias(c)
+    number = F.coalesce(F.col("block_no") + F.col("nth_") - goes_on.cast("long"), F.col("nth_") - 1).cast("long").alias("block_no")
+    opened = F.coalesce(F.when(takes, F.col("opened_us")), "tick_").alias("opened_us")
+    touched = both.where("n_epoch is not null").select(*KEY, F.col("n_epoch").alias("epoch"), number, add("cnt"), add("bytes"), start("begin_pos", F.least), start("end_pos", F.greatest), start("first_us", F.least), start("last_us", F.greatest), opened, F.lit(False).alias("done"), "clock_us", "at_epoch", "tick_")
+    left = both.where(F.col("block_no").isNotNull() & (F.col("n_epoch").isNull() | (~F.col("closed") & ~goes_on & (F.col("nth_") == 1))))
+    left = left.select(*KEY, "epoch", "block_no", *names(COUNTS), F.coalesce("opened_us", "tick_").alias("opened_us"), F.col("closed").alias("done"), "clock_us", "at_epoch", "tick_")
+    over = limits.over(F.col("cnt"), F.col("bytes"), F.greatest("clock_us", "last_us") - F.col("first_us"), F.col("tick_") - F.col("opened_us"))
+    closes = F.col("done") | F.lit(flush) | F.coalesce(F.col("at_epoch") > F.col("epoch"), F.lit(False)) | over
+    return touched.unionByName(left).withColumn("closed", closes).select(*names(BUFFERS))
+
+
+@lru_cache(maxsize=256)
+def checks(app: str, schema: str) -> tuple[Column, Column]:
+    """(bound columns, problem) of messages for a schema. Expressions are built once for a session's application, not once a batch."""
+    parsed = schema_of_json(schema)
+    return targets(parsed), message_problem(parsed)
+
+
+def prepared(fresh: DataFrame, tables: Tables) -> DataFrame:
+    """Messages with their envelope, INSERT shape, `bound` columns and `error`: what is wrong with a message as a whole, or null. All of it is narrow. Tables of equal schemas share their checks."""
+    alike: dict[str, list[str]] = {}
     for t, schema in tables.items():
-        error = error.when(F.col("tbl") == t, message_problem(schema))
-    return shaped.withColumn("error", error)
-
-
-def table_rows(good: DataFrame, name: str, schema: Schema) -> DataFrame:
-    """The rows of a table's good messages, in its schema, after their origin."""
-    rows = bind(explode_rows(good.where(F.col("tbl") == name)), schema)
-    filled = fill_defaults(project(rows.withColumnsRenamed(ORIGIN), schema, list(ORIGIN.values())), schema)
-    return derive(filled, [c for c in schema if c.kind == "materialized"])
-
-
-def write_batch(batch: DataFrame, seq: int, root: str, tables: dict[str, Schema], limits: Limits = Limits(), resets: bool = False, flush: bool = False, before_step=None) -> None:  # noqa: B008
-    """One step. before_step(name): called before each of the writes `buffers`, `positions`, `rows`, `dead`, `ledger`; tests fail there."""
+        alike.setdefault(schema_json(schema), []).append(t)
+    bound = F.lit(None).cast("array<string>")
+    error = F.when(F.col("tbl").isNull() | (F.col("tbl") == ""), "no_table_header").when(~F.col("tbl").isin(*tables), "unknown_table").when(F.col("rows").isNull() | F.col("sql").isNull(), "bad_envelope")
+    for schema, group in alike.items():
+        to, problem = checks(fresh.sparkSession.sparkContext.applicationId, schema)
+        bound = F.when(F.col("tbl").isin(*group), to).otherwise(bound)
+        error = error.when(F.col("tbl").isin(*group), problem)
+    return insert_shape(decode(fresh, keep=True)).withColumn("bound", bound).withColumn("error", error)
+
+
+def table_rows(good: DataFrame, name: str, schema: Schema | Versions) -> DataFrame:
+    """The rows of a table's good messages, in its latest schema, after their origin."""
+    now = latest(schema)
+    rows = explode_rows(good.where(F.col("tbl") == name)).withColumnsRenamed(ORIGIN)
+    filled = fill_defaults(project(rows, schema, list(ORIGIN.values())), now)
+    return derive(filled, [c for c in now if c.kind == "materialized"])
+
+
+def schemas_of(spark: SparkSession, root: str, seq: int, tables: Tables | Callable[[], Tables]) -> Tables:
+    """The schemas of a step: those that it looked up when it first ran."""
+    if seq in store.steps(spark, root, "schemas"):
+        return {r["tbl"]: schema_of_json(r["schema"]) for r in store.get(spark, root, "schemas", SCHEMAS, seq).collect()}
+    now = tables() if callable(tables) else tables
+    store.put(spark.createDataFrame([(t, schema_json(s)) for t, s in now.items()], SCHEMAS).coalesce(1), root, "schemas", seq)
+    return now
+
+
+def write_batch(batch: DataFrame, seq: int, root: str, tables: Tables | Callable[[], Tables], limits: Limits = Limits(), resets: bool = False, flush: bool = False, before_step=None) -> None:  # noqa: B008
+    """One step. tables: schemas by table, or a catalog that gives them, called once. before_step(name): called before each of the writes `buffers`, `positions`, `rows`, `dead`, `ledger`; tests fail there."""
     spark, said = batch.sparkSession, before_step or (lambda _: None)
+    tables = schemas_of(spark, root, seq, tables)
+    tick_us = None
+    if "tick" in batch.columns:
+        tick_us = batch.agg(F.max(F.unix_micros("tick"))).first()[0]
+        batch = batch.where("tick is null").drop("tick")
     prior = store.before(spark, root, "ledger", seq)
     buffers, positions = (store.get(spark, root, t, s, prior) for t, s in (("buffers", BUFFERS), ("positions", POSITIONS)))
-    fresh = prepared(deduplicated(batch, epochs_of(batch, positions, resets)), tables).persist()
+    fresh = prepared(sequenced(batch, positions, resets), tables).persist()
     try:
-        good = fresh.where("error is null")
+        new = fresh.groupBy(*PART).agg(F.max("epoch").alias("n_epoch"), F.max_by("pos", F.struct("epoch", "pos")).alias("n_pos"))
         said("buffers")
-        store.put(grown(buffers, good, limits, flush), root, "buffers", seq)
-        mine = store.get(spark, root, "buffers", BUFFERS, seq)
         said("positions")
-        new = fresh.groupBy(*PART).agg(F.max("epoch").alias("n_epoch"), F.max_by("pos", F.struct("epoch", "pos")).alias("n_pos"))
-        store.put(positions.join(new, PART, "full").select(*PART, F.coalesce("n_epoch", "epoch").alias("epoch"), F.coalesce("n_pos", "last_pos").alias("last_pos")), root, "positions", seq)
+        store.put_all({
+            "buffers": grown(latest_buffers(buffers), fresh, limits, flush, tick_us),
+            "positions": positions.join(new, PART, "full").select(*PART, F.coalesce("n_epoch", "epoch").alias("epoch"), F.coalesce("n_pos", "last_pos").alias("last_pos")),
+        }, root, seq)
+        mine = store.get(spark, root, "buffers", BUFFERS, seq)
+        good = fresh.where("error is null").join(mine.select(*KEY, "epoch", "block_no"), [*KEY, "epoch"])
+        # Tables without messages in the batch get no folder in this step.
+        present = {r["tbl"] for r in fresh.where("error is null").select("tbl").distinct().collect()}
         said("rows")
-        numbers = mine.select(*KEY, "block_no")
-        for name, schema in tables.items():
-            store.put(table_rows(good.join(numbers, KEY), name, schema), root, f"tables/{name}", seq)
         said("dead")
-        store.put(fresh.where("error is not null").select(*[c.split()[0] for c in DEAD.split(", ")]), root, "dead", seq)
+        store.put_all({f"tables/{t}": table_rows(good, t, s) for t, s in tables.items() if t in present} | {"dead": fresh.where("error is not null").select(*names(DEAD))}, root, seq)
         said("ledger")
-        done = mine.join(buffers.where("closed").select(*KEY, "block_no"), [*KEY, "block_no"], "left_anti").where("closed")
-        store.put(blocks_of(done.unionByName(ended(buffers, good))), root, "ledger", seq)
+        store.put(mine.where("closed and not done").withColumn("block_id", block_id()).select(*names(LEDGER)), root, "ledger", seq)
     finally:
         fresh.unpersist()
 
 
-def flush(spark: SparkSession, log_schema, root: str, tables: dict[str, Schema]) -> None:
+def flush(spark: SparkSession, log_schema, root: str, tables: Tables) -> None:
     """Close all open buffers, after the last step and before the next."""
     last = store.steps(spark, root, "ledger")
     if last:
@@ -165,7 +220,7 @@ def first_step(spark: SparkSession, root: str, checkpoint: str) -> int:
     return base
 
 
-def start_loader(log: DataFrame, tables: dict[str, Schema], root: str, checkpoint: str, limits: Limits = Limits(), resets: bool = False, trigger: dict | None = None, before_step=None):  # noqa: B008
+def start_loader(log: DataFrame, tables: Tables | Callable[[], Tables], root: str, checkpoint: str, limits: Limits = Limits(), resets: bool = False, trigger: dict | None = None, before_step=None):  # noqa: B008
     """Start the stream; trigger: e.g. {"availableNow": True} or {"processingTime": "1 second"}. One loader writes to a root at a time."""
     base = first_step(log.sparkSession, root, checkpoint)
     step = lambda df, batch_id: write_batch(df, 2 * (base + batch_id), root, tables, limits, resets, False, before_step and (lambda name: before_step(batch_id, name)))
@@ -188,11 +243,31 @@ def dead_letters(spark: SparkSession, root: str) -> DataFrame:
     return store.every(spark, root, "dead", DEAD).where(F.col("seq") <= (done[-1] if done else -1))
 
 
+def stored_rows(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """All rows of finished steps, in the latest schema that a step has had. Steps of one schema are read together; rows of older ones are migrated."""
+    done = store.steps(spark, root, "ledger")
+    known = store.every(spark, root, "schemas", SCHEMAS).where((F.col("tbl") == name) & (F.col("seq") <= (done[-1] if done else -1)))
+    spans: list[list] = []  # [schema, first step, last step]
+    for r in known.select("seq", "schema").orderBy("seq").collect():  # a row a step
+        if spans and spans[-1][0] == r["schema"]:
+            spans[-1][2] = r["seq"]
+        else:
+            spans.append([r["schema"], r["seq"], r["seq"]])
+    if not spans:
+        raise ValueError(f"no step has had a table {name}")
+    schemas, out = [latest(schema_of_json(text)) for text, _, _ in spans], None
+    for k, (own, (_, low, high)) in enumerate(zip(schemas, spans, strict=True)):
+        ddl = ", ".join([ORIGIN_TYPES, *[f"`{c.name}` {c.spark}" for c in [*insertable(own), *[c for c in own if c.kind == "materialized"]]]])
+        rows = store.every(spark, root, f"tables/{name}", ddl).where(F.col("seq").between(low, high)).drop("seq")
+        for later in schemas[k + 1 :]:  # a column keeps the default that it had when it was added
+            rows = migrate(rows, later)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def loaded(spark: SparkSession, root: str, name: str, origin: bool = True) -> DataFrame:
     """The rows of a table that stand in blocks of the ledger. Rows of a step that was broken off belong to no such block."""
-    blocks = ledger(spark, root).where(F.col("tbl") == name).select(*[F.col(c).alias(o) for c, o in ORIGIN.items() if c not in ("pos", "row_in_msg")], "begin_pos", "end_pos")
     keys = [o for c, o in ORIGIN.items() if c not in ("pos", "row_in_msg")]
-    done = store.steps(spark, root, "ledger")
-    rows = store.every(spark, root, f"tables/{name}").where(F.col("seq") <= (done[-1] if done else -1)).drop("seq")
-    out = rows.join(blocks, keys).where(F.col("_pos").between(F.col("begin_pos"), F.col("end_pos"))).drop("begin_pos", "end_pos")
+    blocks = ledger(spark, root).where(F.col("tbl") == name).select(*[F.col(c).alias(o) for c, o in ORIGIN.items() if o in keys], "begin_pos", "end_pos")
+    out = stored_rows(spark, root, name).join(blocks, keys).where(F.col("_pos").between(F.col("begin_pos"), F.col("end_pos"))).drop("begin_pos", "end_pos")
     return out if origin else out.drop(*ORIGIN.values())

@@ -9,8 +9,12 @@ import re
 import tempfile
 from functools import cache
 
+from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
 
+#: Independent tables of a step that are written side by side.
+WRITERS = 4
+
 
 @cache
 def own_folder() -> str:
@@ -28,31 +32,47 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def steps(spark: SparkSession, root: str, table: str) -> list[int]:
-    """The numbers of the steps that `table` has, in order."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}")
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(at):
-        return []
-    names = [s.getPath() for s in fs.listStatus(at)]
-    done = [p.getName() for p in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return sorted(int(n[4:]) for n in done if n.startswith("seq="))
+    """The numbers of the finished steps that `table` has, in order; one call lists them."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{table}/seq=*/_SUCCESS")
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    return sorted(int(s.getPath().getParent().getName()[4:]) for s in found or [])
 
 
 def put(rows: DataFrame, root: str, table: str, seq: int) -> None:
     rows.write.mode("overwrite").parquet(f"{root}/{table}/seq={seq}")
 
 
+def put_all(tables: dict[str, DataFrame], root: str, seq: int) -> None:
+    """Several tables of a step, WRITERS of them side by side. The first failure is raised once those beside it have ended."""
+    failures: list[BaseException] = []
+
+    def write(name: str) -> None:
+        try:
+            put(tables[name], root, name, seq)
+        except BaseException as e:  # noqa: BLE001
+            failures.append(e)
+
+    names = list(tables)
+    for at in range(0, len(names), WRITERS):
+        threads = [InheritableThread(target=write, args=(n,), session=tables[n].sparkSession) for n in names[at : at + WRITERS]]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+        if failures:
+            raise failures[0]
+
+
 def get(spark: SparkSession, root: str, table: str, schema: str, seq: int | None) -> DataFrame:
     """One step of a table; an empty table for None."""
     return spark.createDataFrame([], schema) if seq is None else spark.read.schema(schema).parquet(f"{root}/{table}/seq={seq}")
 
 
-def every(spark: SparkSession, root: str, table: str, schema: str | None = None) -> DataFrame:
+def every(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
     """All steps of a table, with their number in `seq`."""
-    reader = spark.read.schema(f"{schema}, seq long") if schema else spark.read
-    if schema and not steps(spark, root, table):
+    if not steps(spark, root, table):
         return spark.createDataFrame([], f"{schema}, seq long")
-    return reader.parquet(f"{root}/{table}")
+    return spark.read.schema(f"{schema}, seq long").parquet(f"{root}/{table}")
 
 
 def before(spark: SparkSession, root: str, table: str, seq: int) -> int | None:
