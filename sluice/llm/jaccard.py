@@ -1,35 +1,35 @@
 """N-gram Jaccard join: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, exactly.
 
-Jaccard distance d = 1 - |x & y| / |x | y| is a metric, and the join works by pivots. Document pivots alone would leave
+Jaccard distance d = 1 - |x & y| / |x | y| is a metric, and the join works by pivots and regions. Document pivots alone would leave
 nearly all documents at distance 1 from all of them, so that no window could separate anything. The first pivots are therefore
 sets of one shingle: a document is nearest, at 1 - 1/n, to the shingles that it holds, ties go to the rarer shingle, and as
-two documents within 0.2 differ in at most n // 5 of a document's shingles, it is enough to be replicated to the regions of its
+two documents within 0.2 differ in at most n // 5 of a document's shingles, it is enough to be replicated to the cells of its
 first n // 5 + 1 shingles (`shingles.prefix_length`): the window of a document whose nearest pivot is missing from its partner.
-Inside a region the place of its shingle in a document's order bounds the distance further: what comes before it is missing from
+Inside a cell the place of its shingle in a document's order bounds the distance further: what comes before it is missing from
 a partner that first meets the document there (`admits`).
 
-Regions then join in rounds, all in step. In each round a region whose members belong to several components takes at most PIVOTS pivots,
-in the first round members in its middle, then members of its largest component, and every member of another component meets at most PROBES pivots of its regions: those that it shares most regions with.
-Links join components; regions of one component are settled. As a round's pairs are at most PROBES for each set, a group of near copies,
-in which nearly all pairs are links, becomes one component without its pairs being formed. Once few of a round's pairs are links, the members outside their
-region's largest component meet all members of other components that they may be linked with; two whose distances to a pivot that both have met
-differ by more than 0.2 are no link. What is compared there are pairs that no chain of links joins, of sets that differ little in size and in the order's first part.
+Each cell then takes the member that most others share cells with as its document pivot, so that near copies of a text, which share most cells, meet few pivots, and the cells of a pivot
+make up its region. Members within 0.2 of their pivot are linked to it and, through it, to each other: they form one component, and none of their pairs is formed. A region whose members are of one
+component is settled.
 
-Before full sets are read, a pair's parity sketches (`parities`) bound its symmetric difference from below: each shingle of a set flips one bit, so that two
-sketches differ in at most as many bits as the sets differ in shingles. Only pairs that pass the bound have their sets made and compared in full,
-so results are exact up to collisions of 64-bit hashes, and what is shuffled follows the pairs that are nearly links. Equal sets are one point.
+Regions of several components join recursively. In a pivot's region a member x is known by its difference D(x), the shingles that it or the pivot has but not both, and the symmetric difference of two members is that
+of their differences: |D(x)| + |D(y)| - 2 |D(x) & D(y)|. Two that are linked, one of them farther than 0.2 from the pivot, therefore share shingles of their differences, o at least (`shared_least`), by the triangle
+inequality; and the same replication goes on one level down, over what members lack or have beside the pivot: those that no other member of the region has come first, so a member that has many of
+them of its own meets nobody. What meets is compared by differences, which are short where documents are near.
+Nothing is dropped, so results are exact up to collisions of 64-bit hashes. Equal sets are one point.
 Shingles that a scan finds to be common come later in the order, the commoner the later; which ones does not change results.
 
 Edge cases: null texts and texts without words have an empty set and are linked with nothing; fewer than five words make one
 shingle; a null doc_id never names a component (one of only such documents has a null component_id); rows that
 repeat a doc_id are documents of their own; an empty table gives an empty result; very long texts are hashed whole; ties between
-pivots go to the smaller set, then set hash. Only doc_id and text are read, so other columns cannot clash.
+pivots go to the set hash. Only doc_id and text are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -43,9 +43,9 @@ from .shingles import prefix_length, shingle_sets
 LOOK, COMMON, MOST_COMMON = 4_000_000, 8, 1 << 20
 #: Members up to which a region is searched for those that could be linked with no other.
 LARGE = 64
-#: Pivots of a region, and comparisons of a set, in the first round and in others; rounds go on while more than YIELD of their pairs are links.
-PIVOTS, PROBES, YIELD = (4, 16), (1, 6), 0.04
 RATIO = 0.8
+#: Words of 64 bits of a difference's parities.
+PARITIES = 4
 #: Bits of the smallest parity sketch. A larger set has as many bits as shingles, rounded up to a power of two.
 LEAST_BITS = 256
 #: log2 of the bits of the filters that keep most rows out of a shuffle. Their size is fixed; where they fill up, more rows are shuffled.
@@ -195,14 +195,16 @@ def close_pairs(pairs: DataFrame, points: DataFrame) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").where(differ <= most).select("a", "b", "n_a", "n_b", "text_a", "text_b")
 
 
-def linked() -> Column:
-    return F.col("common") >= least_overlap(F.col("n_a"), F.col("n_b"))
+def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b, n_a, n_b) of a member and a pivot, with `diff`, the shingles that one of them has. b, which may be the pivot of many, is joined last."""
+    a, b = (perhaps_in(sets, "set_id", pairs.select(F.col(k).alias("set_id"))).toDF(k, f"s_{k}") for k in "ab")
+    both = pairs.join(a, "a").join(b, "b")
+    return both.select("a", "b", "n_a", "n_b", F.concat(F.array_except("s_a", "s_b"), F.array_except("s_b", "s_a")).alias("diff"))
 
 
-def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b, n_a, n_b; a staged table) with `common`, the size of the intersection of their full sets. b, which may be a pivot of many, is joined last."""
-    a, b = (perhaps_in(sets, "set_id", pairs.select(F.col(k).alias("set_id"))).toDF(k, f"s_{k}") for k in "ab")
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", F.size(F.array_intersect("s_a", "s_b")).alias("common"))
+def most_apart(n_a: Column, n_b: Column) -> Column:
+    """The largest symmetric difference of sets of these sizes that are linked."""
+    return n_a + n_b - 2 * least_overlap(n_a, n_b)
 
 
 def stars(edges: DataFrame) -> bool:
@@ -243,77 +245,103 @@ def with_components(members: DataFrame, labels: DataFrame | None) -> DataFrame:
     return members.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("component", F.coalesce("component", "set_id"))
 
 
-def open_regions(cells: DataFrame) -> DataFrame:
-    """(cell, largest) of the regions of several components, with the largest of them. All of it is sums by key, so a region need not fit a task."""
-    parts = cells.groupBy("cell", "component").agg(F.count("*").alias("members"))
-    regions = parts.groupBy("cell").agg(F.count("*").alias("parts"), F.max(F.struct("members", "component")).alias("largest"))
-    return regions.where("parts > 1").select("cell", F.col("largest.component").alias("largest"))
-
-
-def pivots_of(cells: DataFrame, turn: int) -> DataFrame:
-    """At most PIVOTS members of each region of several components. In the first turn those with the fewest rarer shingles before the region's,
-    which lie in the middle of a group of near copies; then members of the largest component, others in each region and turn."""
-    rows = cells.join(open_regions(cells), "cell")
-    if turn:
-        rows = rows.where(F.col("component") == F.col("largest"))
-    order = F.struct(F.col("pos").cast("long").alias("turn") if turn == 0 else F.xxhash64("cell", "set_id", F.lit(turn)).alias("turn"), "n", "set_id", "pos", "component")
-    slots = rows.groupBy("cell", F.pmod(F.xxhash64("set_id", F.lit(turn)), F.lit(PIVOTS[min(turn, 1)])).alias("slot")).agg(F.min(order).alias("x"))
-    return slots.select("cell", F.col("x.component").alias("c_b"), F.col("x.set_id").alias("b"), F.col("x.n").alias("n_b"), F.col("x.pos").alias("pos_b"))
-
-
-def side(cells: DataFrame, k: str) -> DataFrame:
-    return cells.select("cell", F.col("set_id").alias(k), F.col("n").alias(f"n_{k}"), F.col("pos").alias(f"pos_{k}"), F.col("component").alias(f"c_{k}"))
-
-
-def unmet(pairs: DataFrame, tested: DataFrame | None) -> DataFrame:
-    return pairs if tested is None else pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-
-
-def pivot_round(cells: DataFrame, chosen: DataFrame, tested: DataFrame | None, probes: int) -> DataFrame:
-    """Pairs (a, b, n_a, n_b) of a set and a pivot that it may be linked with. Of its regions' pivots a set meets `probes`: those that it shares most regions with."""
-    meet = side(cells, "a").join(chosen, "cell").where((F.col("c_a") != F.col("c_b")) & admits())
-    pairs = unmet(meet.groupBy("a", "b", "n_a", "n_b").agg(F.count("*").alias("shared")), tested)
-    best = Window.partitionBy("a").orderBy(F.desc("shared"), "b")
-    return pairs.withColumn("place", F.row_number().over(best)).where(F.col("place") <= probes).select("a", "b", "n_a", "n_b")
-
-
-def apart(pairs: DataFrame, measured: DataFrame) -> DataFrame:
-    """pairs but those whose distances to a pivot that both were compared with differ by more than 0.2: by the triangle inequality they are no links."""
-    distance = 1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))
-    met = measured.select(F.col("a").alias("set_id"), F.struct(F.col("b").alias("pivot"), distance.alias("d")).alias("m")).groupBy("set_id").agg(F.map_from_entries(F.collect_set("m")).alias("met"))
-    a, b = (met.toDF(k, f"met_{k}") for k in "ab")
-    both = pairs.join(a, "a", "left").join(b, "b", "left")
-    known = F.filter(F.map_keys("met_a"), lambda p: F.abs(F.col("met_a")[p] - F.col("met_b")[p]) > 1 - RATIO + 1e-9)
-    return both.where(F.coalesce(F.size(known), F.lit(0)) <= 0).select(*pairs.columns)
-
-
-def last_round(cells: DataFrame, tested: DataFrame, measured: DataFrame) -> DataFrame:
-    """All pairs of regions' members that may be linked and that no links join yet. One of a pair is outside its region's largest component."""
-    regions = open_regions(cells)
-    outside = cells.join(regions, "cell").where(F.col("component") != F.col("largest"))
-    once = (F.col("c_a") == F.col("largest")) | (F.col("a") < F.col("b"))
-    b = side(outside, "b").join(regions, "cell")
-    pairs = side(cells, "a").join(b, "cell").where((F.col("c_a") != F.col("c_b")) & once & admits()).select("a", "b", "n_a", "n_b").distinct()
-    return apart(unmet(pairs, tested), measured)
+def pivots_of(members: DataFrame) -> DataFrame:
+    """(cell, b, n_b): of each cell the member that shares cells with most others, counted over all its cells; ties go to the set hash."""
+    sizes = members.groupBy("cell").agg(F.count("*").alias("m"))
+    known = members.join(sizes, "cell").groupBy("set_id").agg(F.sum("m").alias("company"))
+    best = F.max(F.struct("company", F.xxhash64("set_id").alias("tie"), F.col("set_id").alias("b"), F.col("n").alias("n_b"))).alias("x")
+    return members.join(known, "set_id").groupBy("cell").agg(best).select("cell", "x.b", "x.n_b")
+
+
+def regions_of(members: DataFrame, pivots: DataFrame) -> DataFrame:
+    """(a, n_a, b, n_b): the regions of all pivots. A set is in those whose pivot one of its cells has; the pivot itself is left out."""
+    return members.join(pivots, "cell").where(F.col("set_id") != F.col("b")).select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), "b", "n_b").distinct()
+
+
+def open_regions(regions: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, n_a, b, n_b, component): the members of regions of several components, in which two members and the pivot are not linked yet. It is all sums by key, so a region need not fit a task."""
+    at = with_components(regions.withColumnRenamed("a", "set_id"), labels).withColumnRenamed("set_id", "a")
+    of_pivot = labels.select(F.col("node").alias("b"), F.col("component").alias("c_b"))
+    at = staged(at.join(of_pivot, "b", "left").withColumn("c_b", F.coalesce("c_b", "b")), "jac-region-parts")
+    several = at.groupBy("b").agg(F.count("*").alias("m"), F.max(F.col("component") != F.col("c_b")).alias("several")).where("m > 1 and several").select("b")
+    return at.join(several, "b", "left_semi").select("a", "n_a", "b", "n_b", "component")
+
+
+def shared_least(d_a: Column, d_b: Column, n_a: Column, n_b: Column) -> Column:
+    """How many shingles of their differences two linked members share at least."""
+    return F.ceil((d_a + d_b - most_apart(n_a, n_b)) / 2)
+
+
+def met_in_regions(diffs: DataFrame) -> DataFrame:
+    """(pivot, a, b, n_a, n_b, c_b, bits) of members of a region that may be linked and are of several components; one of them is far from the pivot.
+
+    diffs: pivot, a, n_a, far, component, diff. bits: in how many bits the parities of their differences differ, at most as many as shingles. Shingles of differences that one member alone has come first in its order, then rarer ones; as of members' cells, only places up to d - shared_least can be
+    where two linked members first meet."""
+    parity = [F.expr(f"aggregate(filter(diff, h -> pmod(shiftright(h, 6), {PARITIES}) = {k}), 0L, (s, h) -> s ^ shiftleft(1L, cast(pmod(h, 64) as int)))") for k in range(PARITIES)]
+    entries = diffs.select("pivot", "a", F.explode("diff").alias("e"), "far")
+    own = diffs.select("pivot", "a", "n_a", F.size("diff").alias("d"), "far", "component", F.array(*parity).alias("odd"))
+    # Only shingles that a far member and another both have can be where they meet.
+    shared = entries.groupBy("pivot", "e").agg(F.count("*").alias("times"), F.max("far").alias("any_far")).where("times > 1 and any_far")
+    some = staged(entries.select("pivot", "a", "e").join(shared.select("pivot", "e", "times"), ["pivot", "e"]), "jac-shared-diff")
+    order = Window.partitionBy("pivot", "a").orderBy("times", "e")
+    held = F.count("*").over(Window.partitionBy("pivot", "a"))
+    # Shingles of its own come before; those that only near members share are counted with them, as no far one has them.
+    placed = some.withColumn("behind", held - F.row_number().over(order) + 1).join(own, ["pivot", "a"]).withColumn("place", F.col("d") - F.col("behind"))
+    # The farthest place for any partner: differences of linked members differ by at most a quarter of either's shingles.
+    placed = staged(placed.where(F.col("place") <= F.floor(F.col("n_a") / 4) + 1).drop("behind"), "jac-places")
+    x = placed.where("far").select("pivot", "e", "a", "n_a", F.col("d").alias("d_a"), F.col("component").alias("c_a"), F.col("place").alias("place_a"), F.col("odd").alias("odd_a"))
+    y = placed.select("pivot", "e", F.col("a").alias("b"), F.col("n_a").alias("n_b"), F.col("d").alias("d_b"), F.col("far").alias("far_b"), F.col("component").alias("c_b"), F.col("place").alias("place_b"), F.col("odd").alias("odd_b"))
+    bits = reduce(lambda n, k: n + F.bit_count(F.col("odd_a")[k].bitwiseXOR(F.col("odd_b")[k])), range(1, PARITIES), F.bit_count(F.col("odd_a")[0].bitwiseXOR(F.col("odd_b")[0])))
+    n_a, n_b, d_a, d_b = (F.col(c) for c in ("n_a", "n_b", "d_a", "d_b"))
+    least = shared_least(d_a, d_b, n_a, n_b)
+    possible = (F.col("c_a") != F.col("c_b")) & (~F.col("far_b") | (F.col("a") < F.col("b"))) & (5 * F.least(n_a, n_b) >= 4 * F.greatest(n_a, n_b)) & (F.col("place_a") <= d_a - least) & (F.col("place_b") <= d_b - least) & (bits <= most_apart(n_a, n_b))
+    met = staged(x.join(y, ["pivot", "e"]).where(possible).select("pivot", "a", "b", "n_a", "n_b", "c_b", bits.alias("bits")).distinct(), "jac-met")
+    discard(some, placed)
+    return met
+
+
+def links_by_difference(met: DataFrame, diffs: DataFrame) -> DataFrame:
+    """The links (a, b) among members that met, by the size of what their differences share."""
+    side = lambda k: diffs.select("pivot", F.col("a").alias(k), F.col("diff").alias(f"diff_{k}"))
+    both = met.join(side("a"), ["pivot", "a"]).join(side("b"), ["pivot", "b"])
+    apart = F.size("diff_a") + F.size("diff_b") - 2 * F.size(F.array_intersect("diff_a", "diff_b"))
+    return both.where(apart <= most_apart(F.col("n_a"), F.col("n_b"))).select("a", "b")
+
+
+def with_differences(regions: DataFrame, documents: DataFrame) -> DataFrame:
+    """Members a of regions of pivots b (a staged table, with a text of each) and their `diff`."""
+    sets = sets_of(documents, regions)
+    out = staged(differences(regions.select("a", "b", "n_a", "n_b"), sets), "jac-diffs")
+    discard(sets)
+    return out
 
 
 def joined_regions(members: DataFrame, points: DataFrame, documents: DataFrame) -> DataFrame:
     """(node, component) of the sets in regions that links join."""
-    labels = tested = measured = None
-    turn, last = 0, False
-    while True:
-        cells = staged(with_components(members, labels), "jac-cells")
-        pairs = staged(last_round(cells, tested, measured) if last else pivot_round(cells, pivots_of(cells, turn), tested, PROBES[min(turn, 1)]), "jac-pairs")
-        close = staged(close_pairs(pairs, points), "jac-close")
-        sets = sets_of(documents, close)
-        now = staged(overlaps(close.select("a", "b", "n_a", "n_b"), sets), "jac-measured")
-        labels = merged(labels, now.where(linked()).select("a", "b"))
-        discard(cells, close, sets)
-        if last:
-            return labels
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        measured = now if measured is None else measured.unionByName(now)
-        last, turn = now.where(linked()).count() <= YIELD * pairs.count(), turn + 1
+    pivots = staged(pivots_of(members), "jac-pivots")
+    regions = staged(regions_of(members, pivots), "jac-regions")
+    # Who is within 0.2 of a pivot: sketches first, then sets.
+    close = staged(close_pairs(regions, points), "jac-close")
+    near = with_differences(close, documents)
+    far = F.size("diff") > most_apart(F.col("n_a"), F.col("n_b"))
+    labels = merged(None, near.where(~far).select("a", "b"))
+    open_ = staged(open_regions(regions, labels), "jac-open")
+    known = near.select("a", "b", "diff")
+    texts = lambda k: points.select(F.col("set_id").alias(k), F.col("text_hash").alias(f"text_{k}"))
+    rest = staged(open_.join(known, ["a", "b"], "left_anti").select("a", "b", "n_a", "n_b").join(texts("a"), "a").join(texts("b"), "b"), "jac-rest")
+    more = with_differences(rest, documents)
+    diffs = staged(open_.join(known.unionByName(more.select("a", "b", "diff")), ["a", "b"]).select(F.col("b").alias("pivot"), "a", "n_a", far.alias("far"), "component", "diff"), "jac-open-diffs")
+    discard(pivots, regions, close, near, open_, rest, more)
+    met = met_in_regions(diffs)
+    # A member needs one link to a component: the likeliest first, then all that are still apart.
+    likely = Window.partitionBy("a", "c_b").orderBy("bits", "b", "pivot")
+    ranked = staged(met.withColumn("nth", F.row_number().over(likely)).select("pivot", "a", "b", "n_a", "n_b", "nth"), "jac-ranked")
+    labels = merged(labels, links_by_difference(ranked.where("nth = 1").drop("nth"), diffs))
+    of = lambda k: labels.select(F.col("node").alias(k), F.col("component").alias(f"now_{k}"))
+    rest = ranked.where("nth > 1").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b"))
+    out = merged(labels, links_by_difference(rest.select("pivot", "a", "b", "n_a", "n_b"), diffs))
+    discard(diffs, met, ranked)
+    return out
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
