@@ -16,7 +16,8 @@ Regions of several components join recursively. In a pivot's region a member x i
 of their differences: |D(x)| + |D(y)| - 2 |D(x) & D(y)|. Two that are linked, one of them farther than 0.2 from the pivot, therefore share shingles of their differences, o at least (`shared_least`), by the triangle
 inequality; and the same replication goes on one level down, over what members lack or have beside the pivot: those that no other member of the region has come first, so a member that has many of
 them of its own meets nobody. What meets is compared by differences, which are short where documents are near.
-Nothing is dropped, so results are exact up to collisions of 64-bit hashes. Equal sets are one point.
+Members whose sketch shows that they are not related to the pivot (RELATED), such as documents that share a passage with it, have no short difference: they meet the others of their
+cells by sizes, places and parities instead (`met_in_cells`). Nothing is dropped, so results are exact up to collisions of 64-bit hashes. Equal sets are one point.
 Shingles that a scan finds to be common come later in the order, the commoner the later; which ones does not change results.
 
 Edge cases: null texts and texts without words have an empty set and are linked with nothing; fewer than five words make one
@@ -44,8 +45,10 @@ LOOK, COMMON, MOST_COMMON = 4_000_000, 8, 1 << 20
 #: Members up to which a region is searched for those that could be linked with no other.
 LARGE = 64
 RATIO = 0.8
-#: Words of 64 bits of a difference's parities.
+#: Words of 64 bits of the parities that pairs meet by.
 PARITIES = 4
+#: A member and a pivot are related if their sketches differ in at most one bit for so many shingles of both.
+RELATED = 5
 #: Bits of the smallest parity sketch. A larger set has as many bits as shingles, rounded up to a power of two.
 LEAST_BITS = 256
 #: log2 of the bits of the filters that keep most rows out of a shuffle. Their size is fixed; where they fill up, more rows are shuffled.
@@ -185,21 +188,22 @@ def admits() -> Column:
 
 
 def close_pairs(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    """Pairs (a, b, n_a, n_b, text_a, text_b) whose sketches differ in no more bits than links' sets may differ in shingles. Sketches of sizes 2^k and 2^(k+1) meet once the larger is folded."""
+    """Pairs (a, b, n_a, n_b, text_a, text_b) with `bits`, in how many bits their sketches differ: at most as many as their sets do in shingles. Sketches of sizes 2^k and 2^(k+1) meet once the larger is folded.
+    Only those of at most RELATED of their shingles stay, which links always are."""
     a, b = (points.select(F.col("set_id").alias(k), F.col("text_hash").alias(f"text_{k}"), F.col("sketch").alias(f"s_{k}")) for k in "ab")
     half = lambda s: (F.size(s) / 2).cast("int")
     xor = lambda x, y: F.zip_with(x, y, lambda u, v: u.bitwiseXOR(v))
     folded = lambda s, other: F.when(F.size(s) > F.size(other), xor(F.slice(s, F.lit(1), half(s)), F.slice(s, half(s) + 1, half(s)))).otherwise(s)
     differ = F.aggregate(xor(folded(F.col("s_a"), F.col("s_b")), folded(F.col("s_b"), F.col("s_a"))), F.lit(0), lambda n, x: n + F.bit_count(x))
-    most = F.col("n_a") + F.col("n_b") - 2 * least_overlap(F.col("n_a"), F.col("n_b"))
-    return pairs.join(a, "a").join(b, "b").where(differ <= most).select("a", "b", "n_a", "n_b", "text_a", "text_b")
+    both = pairs.join(a, "a").join(b, "b").withColumn("bits", differ)
+    return both.where(F.col("bits") * RELATED <= F.col("n_a") + F.col("n_b")).select(*pairs.columns, "text_a", "text_b", "bits")
 
 
 def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Distinct pairs (a, b, n_a, n_b) of a member and a pivot, with `diff`, the shingles that one of them has. b, which may be the pivot of many, is joined last."""
     a, b = (perhaps_in(sets, "set_id", pairs.select(F.col(k).alias("set_id"))).toDF(k, f"s_{k}") for k in "ab")
     both = pairs.join(a, "a").join(b, "b")
-    return both.select("a", "b", "n_a", "n_b", F.concat(F.array_except("s_a", "s_b"), F.array_except("s_b", "s_a")).alias("diff"))
+    return both.select(*pairs.columns, F.concat(F.array_except("s_a", "s_b"), F.array_except("s_b", "s_a")).alias("diff"))
 
 
 def most_apart(n_a: Column, n_b: Column) -> Column:
@@ -311,39 +315,72 @@ def links_by_difference(met: DataFrame, diffs: DataFrame) -> DataFrame:
 def with_differences(regions: DataFrame, documents: DataFrame) -> DataFrame:
     """Members a of regions of pivots b (a staged table, with a text of each) and their `diff`."""
     sets = sets_of(documents, regions)
-    out = staged(differences(regions.select("a", "b", "n_a", "n_b"), sets), "jac-diffs")
+    out = staged(differences(regions.drop("text_a", "text_b"), sets), "jac-diffs")
     discard(sets)
     return out
 
 
+def met_in_cells(members: DataFrame, pivots: DataFrame, strangers: DataFrame, labels: DataFrame, points: DataFrame) -> DataFrame:
+    """Pairs (a, b, n_a, n_b, bits) of members of a cell that may be linked and are of several components, one of which is not related to the cell's pivot.
+
+    strangers: (a, b), members and pivots that are not related. They meet the rest of a cell by size, by place and by parities, all in the join's condition."""
+    odd = points.select("set_id", *[F.aggregate(F.expr(f"filter(sketch, (w, i) -> i % {PARITIES} = {k})"), F.lit(0).cast("long"), lambda s, w: s.bitwiseXOR(w)).alias(f"odd{k}") for k in range(PARITIES)])
+    here = members.join(pivots.select("cell", F.col("b").alias("pivot")), "cell").join(strangers.select("pivot").distinct(), "pivot", "left_semi")
+    here = here.join(strangers.select("pivot", F.col("a").alias("set_id"), F.lit(True).alias("strange")), ["pivot", "set_id"], "left").where(F.col("set_id") != F.col("pivot"))
+    here = staged(with_components(here.join(odd, "set_id"), labels).withColumn("strange", F.coalesce("strange", F.lit(False))), "jac-strangers")
+    side = lambda k: here.select("cell", F.col("set_id").alias(k), *[F.col(c).alias(f"{c}_{k}") for c in ("n", "pos", "component", "strange", *[f"odd{i}" for i in range(PARITIES)])])
+    bits = reduce(lambda n, k: n + F.bit_count(F.col(f"odd{k}_a").bitwiseXOR(F.col(f"odd{k}_b"))), range(1, PARITIES), F.bit_count(F.col("odd0_a").bitwiseXOR(F.col("odd0_b"))))
+    once = ~F.col("strange_b") | (F.col("a") < F.col("b"))
+    possible = (F.col("component_a") != F.col("component_b")) & once & admits() & (bits <= most_apart(F.col("n_a"), F.col("n_b")))
+    met = staged(side("a").where("strange_a").join(side("b"), "cell").where(possible).select("a", "b", "n_a", "n_b").distinct(), "jac-met-cells")
+    discard(here)
+    return met
+
+
+def links_by_sets(met: DataFrame, points: DataFrame, documents: DataFrame) -> DataFrame:
+    """The links (a, b) among members that met in cells: sketches, then sets."""
+    most = most_apart(F.col("n_a"), F.col("n_b"))
+    close = staged(close_pairs(met, points).where(F.col("bits") <= most).drop("bits"), "jac-close")
+    found = with_differences(close, documents)
+    discard(close)
+    return found.where(F.size("diff") <= most).select("a", "b")
+
+
 def joined_regions(members: DataFrame, points: DataFrame, documents: DataFrame) -> DataFrame:
     """(node, component) of the sets in regions that links join."""
     pivots = staged(pivots_of(members), "jac-pivots")
     regions = staged(regions_of(members, pivots), "jac-regions")
     # Who is within 0.2 of a pivot: sketches first, then sets.
-    close = staged(close_pairs(regions, points), "jac-close")
-    near = with_differences(close, documents)
-    far = F.size("diff") > most_apart(F.col("n_a"), F.col("n_b"))
-    labels = merged(None, near.where(~far).select("a", "b"))
+    most = most_apart(F.col("n_a"), F.col("n_b"))
+    related = staged(close_pairs(regions, points), "jac-close")
+    near = with_differences(staged(related.where(F.col("bits") <= most).drop("bits"), "jac-near"), documents)
+    labels = merged(None, near.where(F.size("diff") <= most).select("a", "b"))
     open_ = staged(open_regions(regions, labels), "jac-open")
-    known = near.select("a", "b", "diff")
-    texts = lambda k: points.select(F.col("set_id").alias(k), F.col("text_hash").alias(f"text_{k}"))
-    rest = staged(open_.join(known, ["a", "b"], "left_anti").select("a", "b", "n_a", "n_b").join(texts("a"), "a").join(texts("b"), "b"), "jac-rest")
-    more = with_differences(rest, documents)
-    diffs = staged(open_.join(known.unionByName(more.select("a", "b", "diff")), ["a", "b"]).select(F.col("b").alias("pivot"), "a", "n_a", far.alias("far"), "component", "diff"), "jac-open-diffs")
-    discard(pivots, regions, close, near, open_, rest, more)
+    known = open_.join(near.select("a", "b", "diff"), ["a", "b"])
+    rest = staged(open_.join(related.where(F.col("bits") > most).select("a", "b", "text_a", "text_b"), ["a", "b"]), "jac-rest")
+    strangers = staged(open_.join(related.select("a", "b"), ["a", "b"], "left_anti").select("a", F.col("b").alias("pivot")), "jac-strange")
+    diffs = staged(known.unionByName(with_differences(rest, documents)).select(F.col("b").alias("pivot"), "a", "n_a", (F.size("diff") > most).alias("far"), "component", "diff"), "jac-open-diffs")
+    discard(regions, related, near, open_, rest)
     met = met_in_regions(diffs)
     # A member needs one link to a component: the likeliest first, then all that are still apart.
     likely = Window.partitionBy("a", "c_b").orderBy("bits", "b", "pivot")
     ranked = staged(met.withColumn("nth", F.row_number().over(likely)).select("pivot", "a", "b", "n_a", "n_b", "nth"), "jac-ranked")
     labels = merged(labels, links_by_difference(ranked.where("nth = 1").drop("nth"), diffs))
-    of = lambda k: labels.select(F.col("node").alias(k), F.col("component").alias(f"now_{k}"))
-    rest = ranked.where("nth > 1").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b"))
-    out = merged(labels, links_by_difference(rest.select("pivot", "a", "b", "n_a", "n_b"), diffs))
+    rest = still_apart(ranked.where("nth > 1").drop("nth"), labels)
+    labels = merged(labels, links_by_difference(rest, diffs))
     discard(diffs, met, ranked)
+    met = met_in_cells(members, pivots, strangers, labels, points)
+    out = merged(labels, links_by_sets(met, points, documents))
+    discard(pivots, strangers, met)
     return out
 
 
+def still_apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """pairs (a, b) of several components."""
+    of = lambda k: labels.select(F.col("node").alias(k), F.col("component").alias(f"now_{k}"))
+    return pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("now_a", "a") != F.coalesce("now_b", "b")).select(*pairs.columns)
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id) for each row of documents."""
     windows = staged(scan(documents, common_shingles(documents)), "jac-windows")
