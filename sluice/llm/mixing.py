@@ -131,11 +131,19 @@ def realise(rows: DataFrame, plan: DataFrame, blocks: int) -> DataFrame:
 
 
 def mixed_documents(documents: DataFrame, **settings) -> DataFrame:
-    """documents, each row as often as the mixture takes it; columns as they were, whatever their names."""
-    chosen = mix(documents, **settings).groupBy("doc_id", "row_hash").agg(F.max("copy").alias("copies"))
-    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(whole_text()).alias("own_hash"))
-    out = rows.join(chosen, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("row_hash")))
-    return out.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
+    """documents as the mixture takes them: a row for each copy, in the order of blocks and of places in a block; columns as they were, whatever their names.
+
+    Rows that repeat both id and text are numbered, and each gets the copies that the mixture has for one of them, so that no budget is exceeded."""
+    key = lambda i, h: F.concat(F.coalesce(i.cast("string"), F.lit("")), F.lit("|"), h.cast("string"))
+    plan = staged(mix(documents, **settings), "mix-plan")
+    same = Window.partitionBy("doc_id", "row_hash", "copy").orderBy("block", "position")
+    plan = plan.select(key(F.col("doc_id"), F.col("row_hash")).alias("key"), F.row_number().over(same).alias("nth_planned"), "block", "position")
+    plain = [f"`{n}`" for n, kind in documents.dtypes if "map<" not in kind and "variant" not in kind]
+    rows = documents.select(F.struct("*").alias("row"), key(F.col("doc_id"), F.xxhash64(whole_text())).alias("key"), F.xxhash64(*plain).alias("tie"))
+    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy("tie"))).drop("tie")
+    # The numbers are compared outside the key, so that rows stay where their numbering has put them.
+    out = rows.join(plan, (rows["key"] == plan["key"]) & F.col("nth").between(F.col("nth_planned"), F.col("nth_planned"))).select("row", "block", "position")
+    return out.repartitionByRange("block", "position").sortWithinPartitions("block", "position").select("row.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -216,17 +216,16 @@ def is_costly(values: pd.Series, words: pd.Series) -> pd.Series:
 
 
 def with_costly(documents: DataFrame) -> DataFrame:
-    """documents with costly_, the credential values of the row's text that cost at least COST; null where there are none."""
-    rows = documents.withColumn("hash_", F.xxhash64(whole_text()))
-    held = staged(rows.select("doc_id", "hash_", F.explode(F.pandas_udf(values_of, "array<string>")(whole_text())).alias("value")), "secrets-values")
+    """(row, own_id, own_hash, costly) for each row of documents, whatever the names of its columns: costly are the credential values of its text that cost at least COST; null where there are none."""
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(whole_text()).alias("own_hash"))
+    held = staged(documents.select(F.col("doc_id").alias("id"), F.xxhash64(whole_text()).alias("hash"), F.explode(F.pandas_udf(values_of, "array<string>")(whole_text())).alias("value")), "secrets-values")
     values = staged(held.select("value").distinct().withColumn("key", F.sha2(F.col("value").cast("binary"), 256)), "secrets-distinct")
     parts = staged(values.select("key", F.explode(F.pandas_udf(substrings_of, "array<string>")("value")).alias("word")), "secrets-parts")
     ranked = staged(corpus_words(documents).join(parts.select("word").distinct(), "word"), "secrets-ranked")
     known = parts.join(ranked, "word").groupBy("key").agg(F.collect_list(F.struct("word", "rank")).alias("words"))
     costly = staged(values.join(known, "key", "left").where(F.pandas_udf(is_costly, "boolean")("value", "words")).select("value"), "secrets-costly")
-    hits = held.join(costly, "value").groupBy(F.col("doc_id").alias("id_"), F.col("hash_").alias("text_")).agg(F.collect_set("value").alias("costly_"))
-    hits = staged(hits, "secrets-hits")
-    return rows.join(hits, F.col("doc_id").eqNullSafe(F.col("id_")) & (F.col("hash_") == F.col("text_")), "left").drop("hash_", "id_", "text_")
+    hits = staged(held.join(costly, "value").groupBy("id", "hash").agg(F.collect_set("value").alias("costly")), "secrets-hits")
+    return rows.join(hits, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash")), "left").drop("id", "hash")
 
 
 def scan_text(text: str, ranks: dict[str, int], cost: float = COST) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
@@ -272,13 +271,14 @@ def redact_all(texts: pd.Series, costly: pd.Series) -> pd.Series:
 def find(documents: DataFrame) -> DataFrame:
     """One row for each row of documents: doc_id, n_assign, n_access, n_hex, base, spans."""
     one = F.pandas_udf(scan_all, "n_assign long, n_access long, n_hex long, base string, spans string")
-    return with_costly(documents).select("doc_id", one(whole_text(), "costly_").alias("r")).select("doc_id", "r.*")
+    return with_costly(documents).select(F.col("own_id").alias("doc_id"), one(whole_text("row.text"), "costly").alias("r")).select("doc_id", "r.*")
 
 
 def redacted(documents: DataFrame) -> DataFrame:
     """documents with every secret in `text` replaced; null texts and all other columns stay."""
-    clean = F.when(F.col("text").isNull(), F.col("text")).otherwise(F.pandas_udf(redact_all, "string")(whole_text(), "costly_"))
-    return with_costly(documents).select(*[clean.alias("text") if c == "text" else F.col(c) for c in documents.columns])
+    text = F.col("row.text")
+    clean = F.when(text.isNull(), text).otherwise(F.pandas_udf(redact_all, "string")(whole_text("row.text"), "costly"))
+    return with_costly(documents).select(*[clean.alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in documents.columns])
 
 
 def op8_secrets(spark, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sluice.llm import pieces, toxicity
+from sluice.llm import mixing, pieces, toxicity
 from sluice.llm.common import staged, table
 
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -94,9 +94,9 @@ def test_encoding(stages):
 
 def test_odd_tables(spark, sf_dir):
     """Columns with clashing names keep their values; null and empty texts stay; an empty table stays empty."""
-    names = "doc_id text lang source n_chars score copies row turn words".split()
+    names = "doc_id text lang source n_chars score costly_ hash_ id_ row".split()
     rows = [(1, "a b c d e f g"), (2, "A b c d e f g"), (2, "A b c d e f g"), (3, None), (4, ""), (None, None), (None, ""), (5, "password=abcdefgh1")]
-    odd = spark.createDataFrame([(i, t, None, None, 7, *"cdefg") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, score string, copies string, row string, turn string, words string")
+    odd = spark.createDataFrame([(i, t, None, None, 7, *"cdefg") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, score string, costly_ string, hash_ string, id_ string, row string")
     docs = {None: odd, True: odd.limit(0)}
     for empty, d in docs.items():
         for name, stage in corpus_pipeline.STAGES:
@@ -109,3 +109,18 @@ def test_odd_tables(spark, sf_dir):
             if name == "near_duplicates" and not empty:
                 assert sorted(str(r["doc_id"]) for r in got) == sorted(["1", "3", "4", "5", "None", "None"])
         assert d.where("not lossless").count() == 0
+
+
+def test_mixing_of_repeated_rows(spark):
+    """Rows that repeat id and text get, together, as many copies as the mixture has for them, and other columns of each stay; rows come in block order."""
+    rows = [(1, "a b c d", "small", k) for k in range(10)] + [(100 + k, "w " * 4, "big", k) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n long")
+    settings = {"entropy": 1.0, "repeats": 50.0, "block_tokens": 400}
+    plan = mixing.mix(docs, **settings)
+    got = mixing.mixed_documents(docs, **settings)
+    want = {(r["doc_id"], r["block"]): r["n"] for r in plan.groupBy("doc_id", "block").agg(F.count("*").alias("n")).collect()}
+    assert got.count() == sum(want.values())
+    small = [r["n"] for r in got.where("doc_id = 1").groupBy("n").count().select(F.col("count").alias("n")).collect()]
+    assert len(small) == 10 and sum(small) == sum(n for (i, _), n in want.items() if i == 1) and max(small) - min(small) <= 1
+    order = [r["doc_id"] for r in plan.orderBy("block", "position").collect()]
+    assert [r["doc_id"] for r in got.collect()] == order
