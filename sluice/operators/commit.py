@@ -68,11 +68,11 @@ def replay_plan(meta: DataFrame) -> DataFrame:
 def classify(log: DataFrame, meta: DataFrame, force_consume: bool = False) -> DataFrame:
     """What a successor does with each message that it gets. It asks for the committed offset on; a message before it, which a log that was cut or
     rewound may send, is abnormal and is consumed under that name."""
+    if force_consume:
+        return log.withColumn("action", F.lit("consume"))
     at = commit_offset(meta).select("part", "commit_pos")
     m = meta.select("part", "tbl", F.col("begin_pos").alias("m_begin"), F.col("end_pos").alias("m_end"))
     rows = log.join(at, "part", "left").join(m, ["part", "tbl"], "left")
-    if force_consume:
-        return rows.withColumn("action", F.lit("consume"))
     action = (
         F.when(F.col("pos") < F.col("commit_pos"), "abnormal_before_begin")
         .when(F.col("m_begin").isNull() | (F.col("m_begin") > F.col("m_end")) & (F.col("pos") > F.col("m_end")), "consume")
@@ -158,10 +158,11 @@ def commit_conflicts(history: DataFrame) -> DataFrame:
 
 
 def overlaps(ranges: DataFrame) -> DataFrame:
-    """Blocks that overlap an earlier, different block of the same (part, tbl)."""
-    w = Window.partitionBy("part", "tbl").orderBy("begin_pos", "end_pos", "block_no")
-    prior = w.rowsBetween(Window.unboundedPreceding, -1)
-    return ranges.withColumn("prior_end", F.max("end_pos").over(prior)).withColumn("prior", F.lag(F.struct("begin_pos", "end_pos")).over(w)).where((F.col("begin_pos") <= F.col("prior_end")) & (F.col("prior") != F.struct("begin_pos", "end_pos"))).drop("prior")
+    """Blocks that overlap an earlier, different range of the same (part, tbl), with the end of the farthest such range. A range that stands again is no overlap with itself, but with all others."""
+    key = ["part", "tbl", "begin_pos", "end_pos"]
+    prior = Window.partitionBy("part", "tbl").orderBy("begin_pos", "end_pos").rowsBetween(Window.unboundedPreceding, -1)
+    once = ranges.select(*key).distinct().withColumn("prior_end", F.max("end_pos").over(prior)).where(F.col("begin_pos") <= F.col("prior_end"))
+    return ranges.join(once, key)
 
 
 def completeness(ranges: DataFrame) -> DataFrame:

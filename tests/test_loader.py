@@ -21,22 +21,34 @@ def test_synthetic_log(spark, sf_dir):
     assert rows.groupBy("part", "pos").count().where("count > 1").count() == 0
 
 
-def test_metadata_golden(spark):
-    meta = spark.createDataFrame([(0, "myTable1", 1, 10, 10), (0, "myTable2", 5, 14, 4)], META)
-    assert C.meta_to_string(meta).first()["metadata"] == "myTable1,1,10,myTable2,5,14"
-    v1 = C.meta_to_string(meta, 1, "replica1", 0)
-    assert v1.first()["metadata"] == "1,,replica1,myTable1,1,10,10,myTable2,5,14,4,,0"
-    assert sorted(map(tuple, C.meta_from_string(v1).collect())) == [(0, 0, "myTable1", 1, 10, 10), (0, 0, "myTable2", 5, 14, 4)]
+def test_metadata_text(spark):
+    """Both versions, an empty table among others, back and forth; tables stand by name."""
+    meta = spark.createDataFrame([(3, "orders", 120, 188, 40), (3, "clicks", 97, 96, 0), (3, "views", 101, 150, 25), (5, "orders", 7, 7, 1)], META)
+    v0 = {r["part"]: r["metadata"] for r in C.meta_to_string(meta).collect()}
+    assert v0 == {3: "clicks,97,96,orders,120,188,views,101,150", 5: "orders,7,7"}
+    v1 = C.meta_to_string(meta, 1, "west-2", 90)
+    assert {r["part"]: r["metadata"] for r in v1.collect()}[3] == "1,,west-2,clicks,97,96,0,orders,120,188,40,views,101,150,25,,90"
+    assert sorted(map(tuple, C.meta_from_string(v1).collect())) == [(3, 90, "clicks", 97, 96, 0), (3, 90, "orders", 120, 188, 40), (3, 90, "views", 101, 150, 25), (5, 90, "orders", 7, 7, 1)]
     parsed = C.meta_from_string(C.meta_to_string(meta)).collect()
-    assert {(r["reference"], r["cnt"]) for r in parsed} == {(-1, 0)}
-    assert C.commit_offset(meta).first()["commit_pos"] == 1
+    assert {(r["reference"], r["cnt"]) for r in parsed} == {(-1, 0)} and len(parsed) == 4
+    assert {r["part"]: r["commit_pos"] for r in C.commit_offset(meta).collect()} == {3: 97, 5: 7}
 
 
-def test_replay_golden(spark):
-    meta = spark.createDataFrame([(0, "table1", 1, 6, 3), (0, "table2", 4, 10, 5)], META)
-    log = spark.createDataFrame([(0, "table1" if p in (1, 3, 6) else "table2", p) for p in range(12)], "part long, tbl string, pos long")
+def test_replay_actions(spark):
+    """Offsets before the commit, before a table's range, in it, and after it; an empty range applies nothing again; force consumes all."""
+    meta = spark.createDataFrame([(0, "orders", 20, 24, 3), (0, "views", 22, 29, 4), (0, "clicks", 26, 25, 0)], META)
+    rows = [(0, t, p) for p, t in ((18, "views"), (20, "orders"), (21, "views"), (23, "clicks"), (24, "orders"), (25, "orders"), (27, "clicks"), (29, "views"), (30, "views"), (31, "new"))]
+    log = spark.createDataFrame(rows, "part long, tbl string, pos long")
     got = {r["pos"]: r["action"] for r in C.classify(log, meta).collect()}
-    assert got[0] == "abnormal_before_begin" and got[1] == "replay_append" and got[2] == "skip_before_begin" and got[10] == "replay_append" and got[11] == "consume"
+    assert got == {18: "abnormal_before_begin", 20: "replay_append", 21: "skip_before_begin", 23: "skip_already_applied", 24: "replay_append", 25: "consume", 27: "consume", 29: "replay_append", 30: "consume", 31: "consume"}
+    assert {r["action"] for r in C.classify(log, meta, True).collect()} == {"consume"}
+
+
+def test_overlaps_with_any_earlier_range(spark):
+    """A range is compared with all earlier ones, and one that stands again is reported as often if it overlaps another."""
+    rows = [(0, "a", 0, 0, 100), (0, "a", 1, 10, 20), (0, "a", 2, 10, 20), (0, "a", 3, 101, 120), (0, "b", 0, 0, 5), (0, "b", 1, 0, 5), (1, "a", 0, 50, 60), (0, "a", 4, 90, 130)]
+    ranges = spark.createDataFrame(rows, "part long, tbl string, block_no long, begin_pos long, end_pos long")
+    assert sorted((r["part"], r["tbl"], r["block_no"]) for r in C.overlaps(ranges).collect()) == [(0, "a", 1), (0, "a", 2), (0, "a", 3), (0, "a", 4)]
 
 
 def test_offset_audit_after_resets(spark):
