@@ -40,12 +40,6 @@ def greedy_cut(summary: DataFrame, rows: int | None = None, size: int | None = N
     return summary.groupBy(*KEYS).applyInPandas(walk, "part long, tbl string, poll long, block_no long, rows long, bytes long, begin_pos long, end_pos long")
 
 
-def cut_blocks(log: DataFrame, poll: int, rows: int | None = None, size: int | None = None, seconds: int | None = None) -> DataFrame:
-    """The log with block_no, by any of the limits, checked once for each poll."""
-    cuts = greedy_cut(poll_summary(log, poll), rows, size, seconds).select(*KEYS, "poll", "block_no")
-    return with_poll_batch(log, poll).join(cuts, [*KEYS, "poll"])
-
-
 def block_ranges(blocks: DataFrame) -> DataFrame:
     """begin, end, count and message times of each block."""
     return blocks.groupBy(*KEYS, "block_no").agg(F.min("pos").alias("begin_pos"), F.max("pos").alias("end_pos"), F.count("*").alias("cnt"), F.sum(F.octet_length("payload")).cast("long").alias("bytes"), F.min(F.unix_micros("ts")).alias("first_us"), F.max(F.unix_micros("ts")).alias("last_us"))
