@@ -6,7 +6,8 @@ cost at least COST guesses get a span of kind `guess`; cheaper ones are ordinary
 
 Edge cases: a null text is empty and gives no spans; rows with null or repeated ids each give one row; an empty table
 gives an empty result; words of equal frequency rank by their text; only doc_id and text are read, so other columns cannot
-clash. Texts and values of any length are read and scored whole.
+clash. Texts, values and words of any length are read and scored whole; the parts of a value that may be words leave its task
+in portions, FLUSH at a time.
 """
 
 from __future__ import annotations
@@ -37,8 +38,9 @@ PLACE = re.compile(rf"(?i:\b({'|'.join(NAMES)}))[\"']?\x20*+(?:(?:[:=]|\bis\b)\x
 PLACES = tuple(n.removesuffix("s?") for n in NAMES)
 CUES = ("passw", "secret", "token", "api_key", "apikey")
 DATE = re.compile(r"(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01])|(?:0?[1-9]|[12]\d|3[01])([-/._]?)(?:0?[1-9]|1[0-2])\2(?:(?:19|20)\d\d)|(?:19|20)\d\d", re.ASCII)
-WORD = re.compile(r"[^\W\d_]{3,16}")
-LETTERS = re.compile(r"[^\W\d_]{3,}")
+WORD = re.compile(r"[^\W\d_]{3,}")
+#: Words of more letters are looked up by their first HEAD letters, then compared whole.
+HEAD = 16
 #: Rows of a keyboard (fixed values).
 ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "qwertzuiop", "azertyuiop")
 NEXT = {r[i : i + 2] for row in ROWS for r in (row, row[::-1]) for i in range(len(row) - 1)}
@@ -126,7 +128,7 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
     n, low = len(value), lowered(value)
     per_sign = math.log10(alphabet(value))
     best = [0.0] + [math.inf] * n
-    forced = [0] * (n + 1)  # whether the best way ends in a brute-force span
+    forced = [math.inf] * (n + 1)  # of the ways that end in a brute-force span: its next sign needs no choice
     step = math.log10(2)  # to choose a kind of part
     walk = [n] * n  # where the keyboard walk from each sign ends
     for at in range(n - 2, -1, -1):
@@ -144,16 +146,25 @@ def guess_cost(value: str, ranks: dict[str, int]) -> float:
         return sum(w for w, s in classes if s[b] > s[a]) or 95
 
     def offer(at: int, end: int, cost: float) -> None:
-        if best[at] + cost + step < best[end]:
-            best[end], forced[end] = best[at] + cost + step, 0
+        best[end] = min(best[end], best[at] + cost + step)
 
+    def offer_word(at: int, end: int, rank: int) -> None:
+        upper = sum(x.isupper() for x in value[at:end])
+        offer(at, end, math.log10(rank + 1) + (0 if not upper else step if upper == 1 and value[at].isupper() or upper == end - at else upper * step))
+
+    longer: dict[str, list[str]] = {}
+    for word in ranks:
+        if len(word) > HEAD:
+            longer.setdefault(word[:HEAD], []).append(word)
     for at in range(n):
-        if (c := best[at] + per_sign + step * (not forced[at])) < best[at + 1]:
-            best[at + 1], forced[at + 1] = c, 1
-        for end in range(at + 3, min(n, at + 16) + 1):
+        forced[at + 1] = min(forced[at], best[at] + step) + per_sign
+        best[at + 1] = min(best[at + 1], forced[at + 1])
+        for end in range(at + 3, min(n, at + HEAD) + 1):
             if rank := ranks.get(low[at:end]):
-                upper = sum(x.isupper() for x in value[at:end])
-                offer(at, end, math.log10(rank + 1) + (0 if not upper else step if upper == 1 and value[at].isupper() or upper == end - at else upper * step))
+                offer_word(at, end, rank)
+        for word in longer.get(low[at : at + HEAD], ()):
+            if low.startswith(word, at):
+                offer_word(at, at + len(word), ranks[word])
         if m := DATE.match(value, at):
             offer(at, m.end(), math.log10(120 if m.end() - at == 4 else 365 * 120 * (1 if m[0].isdigit() else 4)))
         # A unit costs what guessing it from its own signs costs, or, where it has just been paid for, nothing more.
@@ -206,9 +217,30 @@ def values_of(texts: pd.Series) -> pd.Series:
     return pd.Series([sorted({t[a:b] for a, b in credential_values(t)}) for t in texts], dtype=object)
 
 
-def substrings_of(values: pd.Series) -> pd.Series:
-    """All parts of a value that can be a word."""
-    return pd.Series([sorted({m[0][k:e] for m in LETTERS.finditer(lowered(v)) for k in range(len(m[0]) - 2) for e in range(k + 3, min(len(m[0]), k + 16) + 1)}) for v in values], dtype=object)
+def heads_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(key, head) of all parts of a value that can be a word, or its first HEAD letters; a part may come more than once."""
+    seen: set[tuple[str, str]] = set()
+    for b in batches:
+        for key, low in zip(b.key, b.low, strict=True):
+            for m in WORD.finditer(low):
+                for k in range(m.start(), m.end() - 2):
+                    seen.update((key, low[k:e]) for e in range(k + 3, min(m.end(), k + HEAD) + 1))
+                    if len(seen) > FLUSH:
+                        yield pd.DataFrame(list(seen), columns=["key", "head"])
+                        seen.clear()
+    if seen:
+        yield pd.DataFrame(list(seen), columns=["key", "head"])
+
+
+def words_within(values: DataFrame, ranks: DataFrame) -> DataFrame:
+    """(key, words) of values (key, low): all words of the corpus (word, rank) that stand in them, once each, with their rank."""
+    heads = staged(values.select("key", "low").mapInPandas(heads_of, "key string, head string"), "secrets-heads")
+    # A word of the corpus whose head no value has is dropped before it is shuffled further.
+    ranked = staged(ranks.withColumn("head", F.substring("word", 1, HEAD)).join(heads.select("head").distinct(), "head"), "secrets-ranked")
+    found = heads.join(ranked, "head")
+    long = F.length("word") > HEAD
+    whole = found.where(long & (F.length("head") == HEAD)).join(values.select("key", "low"), "key").where(F.col("low").contains(F.col("word"))).select("key", "word", "rank")
+    return found.where(~long).select("key", "word", "rank").unionByName(whole).groupBy("key").agg(F.collect_set(F.struct("word", "rank")).alias("words"))
 
 
 def is_costly(values: pd.Series, words: pd.Series) -> pd.Series:
@@ -219,10 +251,9 @@ def with_costly(documents: DataFrame) -> DataFrame:
     """(row, own_id, own_hash, costly) for each row of documents, whatever the names of its columns: costly are the credential values of its text that cost at least COST; null where there are none."""
     rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(whole_text()).alias("own_hash"))
     held = staged(documents.select(F.col("doc_id").alias("id"), F.xxhash64(whole_text()).alias("hash"), F.explode(F.pandas_udf(values_of, "array<string>")(whole_text())).alias("value")), "secrets-values")
-    values = staged(held.select("value").distinct().withColumn("key", F.sha2(F.col("value").cast("binary"), 256)), "secrets-distinct")
-    parts = staged(values.select("key", F.explode(F.pandas_udf(substrings_of, "array<string>")("value")).alias("word")), "secrets-parts")
-    ranked = staged(corpus_words(documents).join(parts.select("word").distinct(), "word"), "secrets-ranked")
-    known = parts.join(ranked, "word").groupBy("key").agg(F.collect_list(F.struct("word", "rank")).alias("words"))
+    low = F.pandas_udf(lambda v: v.map(lowered), "string")
+    values = staged(held.select("value").distinct().withColumns({"key": F.sha2(F.col("value").cast("binary"), 256), "low": low("value")}), "secrets-distinct")
+    known = words_within(values, corpus_words(documents))
     costly = staged(values.join(known, "key", "left").where(F.pandas_udf(is_costly, "boolean")("value", "words")).select("value"), "secrets-costly")
     hits = staged(held.join(costly, "value").groupBy("id", "hash").agg(F.collect_set("value").alias("costly")), "secrets-hits")
     return rows.join(hits, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash")), "left").drop("id", "hash")
