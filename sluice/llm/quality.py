@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -32,17 +33,11 @@ BLOCKS = ((0, WORDS, 0.5), (WORDS, WORDS + SHAPES, 1.0), (WORDS + SHAPES, WORDS
 
 
 def shape(token: str) -> str:
-    """Letters as a or A, digits as 0, runs as one, at most eight signs."""
+    """Letters as a or A, digits as 0, runs as one."""
     if (body := token[:-1] if token[-1] in ".," else token).isalpha() and (body.islower() or body.isupper() or body[0].isupper() and body[1:].islower()):
         return ("a" if body.islower() else "A" if body.isupper() else "Aa") + token[len(body) :]
-    out = ""
-    for c in token:
-        c = "0" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c
-        if out[-1:] != c:
-            out += c
-            if len(out) == 8:
-                break
-    return out
+    signs = ("0" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in token)
+    return "".join(c for c, _ in groupby(signs))
 
 
 class Tokens(dict):
