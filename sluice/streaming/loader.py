@@ -7,7 +7,9 @@ once the ledger has it.
 
 Every step is a pure function of the step before, the batch's messages, which Spark's offset log fixes before the batch runs, and the schemas that it has looked up.
 A step first writes these schemas, its buffers and the last offset of each partition (the intent), then rows and dead letters, then the ledger, each under
-the step's number; a batch that runs again reads the schemas it had and overwrites the same folders with the same rows. Rows are written as they come, with the
+the step's number, and last the mark that lets it count; a batch that runs again reads the schemas it had and overwrites the same folders with the same rows, or does nothing if it counts.
+A loader with a new checkpoint takes the root over: it makes the step void that a loader before it may be in, and begins after it. That loader then ends with Fenced, and nothing that it
+wrote in that step is read. A flush is no loader: it may not run beside one. Rows are written as they come, with the
 number of their buffer, so no buffer is held in memory, and there is a folder for a step, not for a block.
 
 Messages at or under the last offset of their (zone, topic, part) are dropped: they are loaded already. With resets=True, an offset 0 that arrives after larger
@@ -50,6 +52,10 @@ ORIGIN_TYPES = "_zone string, _topic string, _part long, _epoch long, _pos long,
 Tables = dict[str, Schema | Versions]
 
 
+class Fenced(RuntimeError):
+    """Another loader has taken the root over."""
+
+
 def names(ddl: str) -> list[str]:
     return [c.split()[0] for c in ddl.split(", ")]
 
@@ -167,15 +173,25 @@ def schemas_of(spark: SparkSession, root: str, seq: int, tables: Tables | Callab
     return now
 
 
-def write_batch(batch: DataFrame, seq: int, root: str, tables: Tables | Callable[[], Tables], limits: Limits = Limits(), resets: bool = False, flush: bool = False, before_step=None) -> None:  # noqa: B008
-    """One step. tables: schemas by table, or a catalog that gives them, called once. before_step(name): called before each of the writes `buffers`, `positions`, `rows`, `dead`, `ledger`; tests fail there."""
+def own_step(spark: SparkSession, root: str, seq: int, owner: str) -> None:
+    """A settled step has to be the owner's."""
+    if (by := store.owner_of(spark, root, seq)) != owner:
+        raise Fenced(f"step {seq} of {root} is {f'of {by}' if by else 'void'}, not of {owner}")
+
+
+def write_batch(batch: DataFrame, seq: int, root: str, tables: Tables | Callable[[], Tables], limits: Limits = Limits(), resets: bool = False, flush: bool = False, before_step=None, owner: str = "-") -> None:  # noqa: B008
+    """One step of an owner. tables: schemas by table, or a catalog that gives them, called once. before_step(name): called before each of the writes `buffers`, `positions`, `rows`, `dead`, `ledger`, `mark`; tests fail there."""
     spark, said = batch.sparkSession, before_step or (lambda _: None)
+    settled = store.marks(spark, root)
+    if seq in settled:
+        own_step(spark, root, seq, owner)
+        return
+    prior = max((s for s, ok in settled.items() if ok and s < seq), default=None)
     tables = schemas_of(spark, root, seq, tables)
     tick_us = None
     if "tick" in batch.columns:
         tick_us = batch.agg(F.max(F.unix_micros("tick"))).first()[0]
         batch = batch.where("tick is null").drop("tick")
-    prior = store.before(spark, root, "ledger", seq)
     buffers, positions = (store.get(spark, root, t, s, prior) for t, s in (("buffers", BUFFERS), ("positions", POSITIONS)))
     fresh = prepared(sequenced(batch, positions, resets), tables).persist()
     try:
@@ -195,19 +211,22 @@ def write_batch(batch: DataFrame, seq: int, root: str, tables: Tables | Callable
         store.put_all({f"tables/{t}": table_rows(good, t, s) for t, s in tables.items() if t in present} | {"dead": fresh.where("error is not null").select(*names(DEAD))}, root, seq)
         said("ledger")
         store.put(mine.where("closed and not done").withColumn("block_id", block_id()).select(*names(LEDGER)), root, "ledger", seq)
+        said("mark")
+        if not store.settle(spark, root, seq, owner):
+            own_step(spark, root, seq, owner)
     finally:
         fresh.unpersist()
 
 
 def flush(spark: SparkSession, log_schema, root: str, tables: Tables) -> None:
     """Close all open buffers, after the last step and before the next."""
-    last = store.steps(spark, root, "ledger")
+    last = store.counting(spark, root)
     if last:
         write_batch(spark.createDataFrame([], log_schema), last[-1] | 1, root, tables, flush=True)
 
 
 def first_step(spark: SparkSession, root: str, checkpoint: str) -> int:
-    """Where the steps of this checkpoint begin: after all that are there when it is first used."""
+    """Where the steps of this checkpoint begin: after all that are there when it is first used, and the one that a loader before it may be in."""
     at = f"{root}/runs"
     schema = "checkpoint string, base long"
     path = spark._jvm.org.apache.hadoop.fs.Path(at)
@@ -215,15 +234,18 @@ def first_step(spark: SparkSession, root: str, checkpoint: str) -> int:
     mine = known.where(F.col("checkpoint") == checkpoint).first()
     if mine:
         return mine["base"]
-    base = max([-2, *store.steps(spark, root, "ledger")]) // 2 + 1
+    base = max([-2, *store.marks(spark, root)]) // 2 + 1
+    while not known.isEmpty() and not store.settle(spark, root, 2 * base, ""):
+        base = max(store.marks(spark, root)) // 2 + 1
+    base += not known.isEmpty()
     spark.createDataFrame([(checkpoint, base)], schema).coalesce(1).write.mode("append").parquet(at)
     return base
 
 
 def start_loader(log: DataFrame, tables: Tables | Callable[[], Tables], root: str, checkpoint: str, limits: Limits = Limits(), resets: bool = False, trigger: dict | None = None, before_step=None):  # noqa: B008
-    """Start the stream; trigger: e.g. {"availableNow": True} or {"processingTime": "1 second"}. One loader writes to a root at a time."""
+    """Start the stream; trigger: e.g. {"availableNow": True} or {"processingTime": "1 second"}. One checkpoint owns a root at a time: the last that was new."""
     base = first_step(log.sparkSession, root, checkpoint)
-    step = lambda df, batch_id: write_batch(df, 2 * (base + batch_id), root, tables, limits, resets, False, before_step and (lambda name: before_step(batch_id, name)))
+    step = lambda df, batch_id: write_batch(df, 2 * (base + batch_id), root, tables, limits, resets, False, before_step and (lambda name: before_step(batch_id, name)), checkpoint)
     return log.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
@@ -233,20 +255,18 @@ def ledger(spark: SparkSession, root: str) -> DataFrame:
 
 
 def open_buffers(spark: SparkSession, root: str) -> DataFrame:
-    last = store.steps(spark, root, "ledger")
+    last = store.counting(spark, root)
     return store.get(spark, root, "buffers", BUFFERS, last[-1] if last else None).where("not closed")
 
 
 def dead_letters(spark: SparkSession, root: str) -> DataFrame:
     """The dead letters of finished steps."""
-    done = store.steps(spark, root, "ledger")
-    return store.every(spark, root, "dead", DEAD).where(F.col("seq") <= (done[-1] if done else -1))
+    return store.every(spark, root, "dead", DEAD)
 
 
 def stored_rows(spark: SparkSession, root: str, name: str) -> DataFrame:
     """All rows of finished steps, in the latest schema that a step has had. Steps of one schema are read together; rows of older ones are migrated."""
-    done = store.steps(spark, root, "ledger")
-    known = store.every(spark, root, "schemas", SCHEMAS).where((F.col("tbl") == name) & (F.col("seq") <= (done[-1] if done else -1)))
+    known = store.every(spark, root, "schemas", SCHEMAS).where(F.col("tbl") == name)
     spans: list[list] = []  # [schema, first step, last step]
     for r in known.select("seq", "schema").orderBy("seq").collect():  # a row a step
         if spans and spans[-1][0] == r["schema"]:

@@ -1,16 +1,20 @@
 """The loader's folder: numbered steps of Parquet tables. A step that runs again overwrites what it wrote before.
 
-root/<table>/seq=N. Steps of the stream have even numbers, flushes the odd numbers between them.
+root/<table>/seq=N. Steps of the stream have even numbers, flushes the odd numbers between them. A step counts once root/marks/N names its owner;
+an empty mark makes it void for ever. A mark is made by a rename that fails where there is one, so of two loaders one settles a step.
 """
 
 from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from functools import cache
 
+from py4j.protocol import Py4JJavaError
 from pyspark import InheritableThread
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Independent tables of a step that are written side by side.
 WRITERS = 4
@@ -38,6 +42,47 @@ def steps(spark: SparkSession, root: str, table: str) -> list[int]:
     return sorted(int(s.getPath().getParent().getName()[4:]) for s in found or [])
 
 
+def marks(spark: SparkSession, root: str) -> dict[int, bool]:
+    """The settled steps: whether each counts, or is void. One call lists them."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/marks/[0-9]*")
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    return {int(s.getPath().getName()): s.getLen() > 0 for s in found or []}
+
+
+def counting(spark: SparkSession, root: str) -> list[int]:
+    """The steps that count, in order."""
+    return sorted(s for s, ok in marks(spark, root).items() if ok)
+
+
+def owner_of(spark: SparkSession, root: str, seq: int) -> str:
+    """Who settled a step; empty for a void one."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/marks/{seq}")
+    opened = at.getFileSystem(spark._jsc.hadoopConfiguration()).open(at)
+    try:
+        return bytes(opened.readAllBytes()).decode()
+    finally:
+        opened.close()
+
+
+def settle(spark: SparkSession, root: str, seq: int, owner: str) -> bool:
+    """Let a step count as the owner's, or make it void with an empty owner; False where it is settled already."""
+    fs, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    fresh, mark = fs.Path(f"{root}/marks/_{uuid.uuid4().hex}"), fs.Path(f"{root}/marks/{seq}")
+    files = fresh.getFileSystem(conf)
+    out = files.create(fresh, True)
+    out.write(bytearray(owner.encode()))
+    out.close()
+    rename = getattr(fs, "Options$Rename")
+    try:
+        fs.FileContext.getFileContext(conf).rename(fresh, mark, spark.sparkContext._gateway.new_array(rename, 0))
+    except Py4JJavaError as e:
+        files.delete(fresh, False)
+        if e.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    return True
+
+
 def put(rows: DataFrame, root: str, table: str, seq: int) -> None:
     rows.write.mode("overwrite").parquet(f"{root}/{table}/seq={seq}")
 
@@ -69,12 +114,11 @@ def get(spark: SparkSession, root: str, table: str, schema: str, seq: int | None
 
 
 def every(spark: SparkSession, root: str, table: str, schema: str) -> DataFrame:
-    """All steps of a table, with their number in `seq`."""
-    if not steps(spark, root, table):
+    """All steps of a table that count, with their number in `seq`. Between them only void ones are left out, one for each change of owner."""
+    settled = marks(spark, root)
+    last = max((s for s, ok in settled.items() if ok), default=None)
+    if last is None or not steps(spark, root, table):
         return spark.createDataFrame([], f"{schema}, seq long")
-    return spark.read.schema(f"{schema}, seq long").parquet(f"{root}/{table}")
-
-
-def before(spark: SparkSession, root: str, table: str, seq: int) -> int | None:
-    """The last finished step before `seq`."""
-    return max((s for s in steps(spark, root, table) if s < seq), default=None)
+    rows = spark.read.schema(f"{schema}, seq long").parquet(f"{root}/{table}").where(F.col("seq") <= last)
+    void = [s for s, ok in settled.items() if not ok and s < last]
+    return rows.where(~F.col("seq").isin(void)) if void else rows

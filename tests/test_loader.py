@@ -6,7 +6,7 @@ import pytest
 
 from sluice import registry
 from sluice.operators import commit as C
-from sluice.streaming import loader
+from sluice.streaming import loader, store
 
 META = "part long, tbl string, begin_pos long, end_pos long, cnt long"
 
@@ -100,7 +100,7 @@ def test_dead_letters(spark, tmp_path):
     assert got == {1: "no_table_header", 2: "unknown_table", 3: "bad_cell", 4: "row_arity", 5: "null_into_required", 6: "bad_envelope"}
 
 
-@pytest.mark.parametrize("broken", [None, "buffers", "rows", "ledger"])
+@pytest.mark.parametrize("broken", [None, "buffers", "rows", "ledger", "mark"])
 def test_exactly_once(spark, tmp_path, broken):
     """A stream that is lost before one of its writes, and started again, loads every message once, in the same blocks."""
     for k in range(3):
@@ -135,3 +135,33 @@ def test_new_checkpoint_loads_nothing_twice(spark, tmp_path):
         loader.start_loader(spark.readStream.schema(LOG).parquet(str(tmp_path / "log")), registry.TABLES, str(tmp_path / "root"), str(tmp_path / name)).awaitTermination()
     loader.flush(spark, registry.log_schema(LOG), str(tmp_path / "root"), registry.TABLES)
     assert loader.loaded(spark, str(tmp_path / "root"), "click").count() == 5
+
+
+def test_taken_over(spark, tmp_path):
+    """A loader that another takes the root from, in the middle of a step, ends; every message counts once."""
+    spark.createDataFrame([message("A", p) for p in range(4)], LOG).coalesce(1).write.parquet(str(tmp_path / "log"))
+    root = str(tmp_path / "root")
+    start = lambda name, **more: loader.start_loader(spark.readStream.schema(LOG).parquet(str(tmp_path / "log")), registry.TABLES, root, str(tmp_path / name), **more)
+    start("one").awaitTermination()
+    spark.createDataFrame([message("A", p) for p in range(4, 9)], LOG).coalesce(1).write.mode("append").parquet(str(tmp_path / "log"))
+    taken = []
+
+    def take(batch_id, name):  # all tables of the step are written, only the mark is missing
+        if name == "mark" and not taken:
+            taken.append(True)
+            start("two").awaitTermination()
+
+    with pytest.raises(Exception, match="Fenced"):
+        start("one", before_step=take).awaitTermination()
+    with pytest.raises(Exception, match="Fenced"):
+        start("one").awaitTermination()
+    loader.flush(spark, registry.log_schema(LOG), root, registry.TABLES)
+    assert sorted(r["_pos"] for r in loader.loaded(spark, root, "click").collect()) == list(range(9))
+    assert store.marks(spark, root) == {0: True, 2: False, 4: True, 5: True}
+
+
+def test_a_step_is_settled_once(spark, tmp_path):
+    root = str(tmp_path)
+    assert store.settle(spark, root, 0, "one") and not store.settle(spark, root, 0, "two") and not store.settle(spark, root, 0, "")
+    assert store.owner_of(spark, root, 0) == "one" and store.counting(spark, root) == [0]
+    assert [p.name for p in (tmp_path / "marks").glob("_*")] == []
