@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.log import SOURCE
+
 
 def throughput(log: DataFrame, window: str = "1 day") -> DataFrame:
     at = F.window("ts", window)["start"]
@@ -35,10 +37,10 @@ def pow2_bounds(n: int = 32) -> list[float]:
 
 
 def consumer_lag(ends: DataFrame, committed: DataFrame) -> DataFrame:
-    """Lag of each topic: the sum of its partitions' lags that are not negative, -1 if there is none."""
+    """Lag of each topic of a cluster: the sum of its partitions' lags that are not negative, -1 if there is none."""
     lag = F.col("end_pos") - F.col("commit_pos")
-    rows = ends.join(committed, ["topic", "part"], "left").withColumn("lag", lag)
-    return rows.groupBy("topic").agg(F.coalesce(F.sum(F.when(F.col("lag") >= 0, F.col("lag"))), F.lit(-1)).alias("lag"))
+    rows = ends.join(committed, SOURCE, "left").withColumn("lag", lag)
+    return rows.groupBy("zone", "topic").agg(F.coalesce(F.sum(F.when(F.col("lag") >= 0, F.col("lag"))), F.lit(-1)).alias("lag"))
 
 
 def replication_status(status: DataFrame) -> DataFrame:

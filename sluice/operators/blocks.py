@@ -1,4 +1,4 @@
-"""Block formation: where the rows of one (part, tbl) are cut into blocks."""
+"""Block formation: where the rows of one table in one partition (KEY) are cut into blocks."""
 
 from __future__ import annotations
 
@@ -6,25 +6,23 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.log import numbered, with_poll_batch
+from ..sources.log import KEY, numbered, with_poll_batch
 
-KEYS = ["part", "tbl"]
 
-
-def cut_rows(log: DataFrame, rows: int, keys: list[str] = KEYS, order: str = "pos") -> DataFrame:
+def cut_rows(log: DataFrame, rows: int, keys: list[str] = KEY, order: str = "pos") -> DataFrame:
     """Fixed-size blocks of `rows` messages (block_by_rows, block_by_messages)."""
     return numbered(log, keys, order, "nth_").withColumn("block_no", F.floor(F.col("nth_") / rows).cast("long")).drop("nth_")
 
 
 def poll_summary(log: DataFrame, poll: int, size: str = "octet_length(payload)") -> DataFrame:
-    """Rows, bytes and times of each (part, tbl, poll): what the cut needs, smaller than the log by about the poll size."""
-    return with_poll_batch(log, poll).groupBy(*KEYS, "poll").agg(
+    """Rows, bytes and times of each (KEY, poll): what the cut needs, smaller than the log by about the poll size."""
+    return with_poll_batch(log, poll).groupBy(*KEY, "poll").agg(
         F.count("*").alias("rows"), F.sum(F.expr(size)).cast("long").alias("bytes"), F.min("pos").alias("begin_pos"), F.max("pos").alias("end_pos"), F.min(F.unix_micros("ts")).alias("first_us"), F.max(F.unix_micros("ts")).alias("last_us")
     )
 
 
 def greedy_cut(summary: DataFrame, rows: int | None = None, size: int | None = None, seconds: int | None = None) -> DataFrame:
-    """block_no of each poll: a block closes after the poll that takes it over a limit. A closed block resets the counters, so each (part, tbl)
+    """block_no of each poll: a block closes after the poll that takes it over a limit. A closed block resets the counters, so each KEY
     walks its polls once, in order; the summary, not the log, is what one task holds."""
 
     def walk(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -35,14 +33,14 @@ def greedy_cut(summary: DataFrame, rows: int | None = None, size: int | None = N
             out.append(block)
             if (rows is not None and n > rows) or (size is not None and b > size) or (seconds is not None and r.last_us - start > seconds * 1_000_000):
                 block, n, b, start = block + 1, 0, 0, None
-        return pdf.assign(block_no=out)[["part", "tbl", "poll", "block_no", "rows", "bytes", "begin_pos", "end_pos"]]
+        return pdf.assign(block_no=out)[[*KEY, "poll", "block_no", "rows", "bytes", "begin_pos", "end_pos"]]
 
-    return summary.groupBy(*KEYS).applyInPandas(walk, "part long, tbl string, poll long, block_no long, rows long, bytes long, begin_pos long, end_pos long")
+    return summary.groupBy(*KEY).applyInPandas(walk, "zone string, topic string, part long, tbl string, poll long, block_no long, rows long, bytes long, begin_pos long, end_pos long")
 
 
 def block_ranges(blocks: DataFrame) -> DataFrame:
     """begin, end, count and message times of each block."""
-    return blocks.groupBy(*KEYS, "block_no").agg(F.min("pos").alias("begin_pos"), F.max("pos").alias("end_pos"), F.count("*").alias("cnt"), F.sum(F.octet_length("payload")).cast("long").alias("bytes"), F.min(F.unix_micros("ts")).alias("first_us"), F.max(F.unix_micros("ts")).alias("last_us"))
+    return blocks.groupBy(*KEY, "block_no").agg(F.min("pos").alias("begin_pos"), F.max("pos").alias("end_pos"), F.count("*").alias("cnt"), F.sum(F.octet_length("payload")).cast("long").alias("bytes"), F.min(F.unix_micros("ts")).alias("first_us"), F.max(F.unix_micros("ts")).alias("last_us"))
 
 
 def block_id() -> Column:

@@ -5,29 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.log import CHUNK
+from ..sources.log import CHUNK, KEY, SOURCE
 
 
 def commit_metadata(ranges: DataFrame) -> DataFrame:
-    """The last block range of every (part, tbl)."""
+    """The last block range of every table in every partition."""
     last = F.max_by(F.struct("begin_pos", "end_pos", "cnt"), "block_no").alias("m")
-    return ranges.groupBy("part", "tbl").agg(last).select("part", "tbl", "m.*")
+    return ranges.groupBy(*KEY).agg(last).select(*KEY, "m.*")
 
 
 def commit_offset(meta: DataFrame) -> DataFrame:
     """Where a successor starts, and the last offset that the metadata names; -1 for none."""
-    return meta.groupBy("part").agg(F.coalesce(F.min("begin_pos"), F.lit(-1)).alias("commit_pos"), F.coalesce(F.max("end_pos"), F.lit(-1)).alias("max_pos"))
+    return meta.groupBy(*SOURCE).agg(F.coalesce(F.min("begin_pos"), F.lit(-1)).alias("commit_pos"), F.coalesce(F.max("end_pos"), F.lit(-1)).alias("max_pos"))
 
 
 def with_empty_markers(meta: DataFrame, tables: DataFrame, last: DataFrame) -> DataFrame:
     """(begin, end) = (last + 1, last) for tables of a partition that have nothing to replay."""
-    every = tables.join(last, "part")
-    got = every.join(meta, ["part", "tbl"], "left")
-    return got.select("part", "tbl", F.coalesce("begin_pos", F.col("last_pos") + 1).alias("begin_pos"), F.coalesce("end_pos", "last_pos").alias("end_pos"), F.coalesce("cnt", F.lit(0)).alias("cnt"))
+    every = tables.join(last, SOURCE)
+    got = every.join(meta, KEY, "left")
+    return got.select(*KEY, F.coalesce("begin_pos", F.col("last_pos") + 1).alias("begin_pos"), F.coalesce("end_pos", "last_pos").alias("end_pos"), F.coalesce("cnt", F.lit(0)).alias("cnt"))
 
 
 def first_seen_markers(log: DataFrame) -> DataFrame:
-    return log.groupBy("part", "tbl").agg(F.min("pos").alias("begin_pos")).select("part", "tbl", "begin_pos", (F.col("begin_pos") - 1).alias("end_pos"), F.lit(0).cast("long").alias("cnt"))
+    return log.groupBy(*KEY).agg(F.min("pos").alias("begin_pos")).select(*KEY, "begin_pos", (F.col("begin_pos") - 1).alias("end_pos"), F.lit(0).cast("long").alias("cnt"))
 
 
 def meta_to_string(meta: DataFrame, version: int = 0, replica: str = "no_replica_id", reference: int = -1) -> DataFrame:
@@ -37,7 +37,7 @@ def meta_to_string(meta: DataFrame, version: int = 0, replica: str = "no_replica
     text = F.array_join(F.transform(entries, lambda e: F.concat_ws(",", *[e[f].cast("string") for f in fields])), ",")
     if version == 1:
         text = F.concat(F.lit(f"1,,{replica},"), text, F.lit(f",,{reference}"))
-    return meta.groupBy("part").agg(text.alias("metadata"))
+    return meta.groupBy(*SOURCE).agg(text.alias("metadata"))
 
 
 def meta_from_string(df: DataFrame, col: str = "metadata") -> DataFrame:
@@ -56,9 +56,9 @@ def meta_from_string(df: DataFrame, col: str = "metadata") -> DataFrame:
 def merge_meta(old: DataFrame, new: DataFrame) -> DataFrame:
     """Entries of `new` overwrite those of `old`."""
     cols = ["begin_pos", "end_pos", "cnt"]
-    n = new.select("part", "tbl", *[F.col(c).alias(f"new_{c}") for c in cols])
-    both = old.join(n, ["part", "tbl"], "full")
-    return both.select("part", "tbl", *[F.when(F.col("new_begin_pos").isNotNull(), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in cols])
+    n = new.select(*KEY, *[F.col(c).alias(f"new_{c}") for c in cols])
+    both = old.join(n, KEY, "full")
+    return both.select(*KEY, *[F.when(F.col("new_begin_pos").isNotNull(), F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in cols])
 
 
 def replay_plan(meta: DataFrame) -> DataFrame:
@@ -70,9 +70,9 @@ def classify(log: DataFrame, meta: DataFrame, force_consume: bool = False) -> Da
     rewound may send, is abnormal and is consumed under that name."""
     if force_consume:
         return log.withColumn("action", F.lit("consume"))
-    at = commit_offset(meta).select("part", "commit_pos")
-    m = meta.select("part", "tbl", F.col("begin_pos").alias("m_begin"), F.col("end_pos").alias("m_end"))
-    rows = log.join(at, "part", "left").join(m, ["part", "tbl"], "left")
+    at = commit_offset(meta).select(*SOURCE, "commit_pos")
+    m = meta.select(*KEY, F.col("begin_pos").alias("m_begin"), F.col("end_pos").alias("m_end"))
+    rows = log.join(at, SOURCE, "left").join(m, KEY, "left")
     action = (
         F.when(F.col("pos") < F.col("commit_pos"), "abnormal_before_begin")
         .when(F.col("m_begin").isNull() | (F.col("m_begin") > F.col("m_end")) & (F.col("pos") > F.col("m_end")), "consume")
@@ -86,17 +86,14 @@ def classify(log: DataFrame, meta: DataFrame, force_consume: bool = False) -> Da
 
 def rebuild_blocks(log: DataFrame, meta: DataFrame) -> DataFrame:
     """Exactly the committed blocks: rows of each saved range."""
-    m = meta.select("part", "tbl", "begin_pos", "end_pos")
-    return log.join(m, ["part", "tbl"]).where(F.col("pos").between(F.col("begin_pos"), F.col("end_pos")))
+    m = meta.select(*KEY, "begin_pos", "end_pos")
+    return log.join(m, KEY).where(F.col("pos").between(F.col("begin_pos"), F.col("end_pos")))
 
 
 def replay_gap(log: DataFrame, meta: DataFrame) -> DataFrame:
     """Saved ranges whose start is no longer in the log."""
-    first = log.groupBy("part").agg(F.min("pos").alias("first_pos"))
-    return meta.where("begin_pos <= end_pos").join(first, "part", "left").where(F.col("first_pos").isNull() | (F.col("first_pos") > F.col("begin_pos"))).select("part", "tbl", "begin_pos", "first_pos")
-
-
-SOURCE = ["zone", "topic", "part"]
+    first = log.groupBy(*SOURCE).agg(F.min("pos").alias("first_pos"))
+    return meta.where("begin_pos <= end_pos").join(first, SOURCE, "left").where(F.col("first_pos").isNull() | (F.col("first_pos") > F.col("begin_pos"))).select(*KEY, "begin_pos", "first_pos")
 
 
 def _before(df: DataFrame, keys: list[str], order: str, value: Column, how, name: str, chunk: int = CHUNK) -> DataFrame:
@@ -152,42 +149,44 @@ def dedup_log(log: DataFrame) -> DataFrame:
 
 
 def commit_conflicts(history: DataFrame) -> DataFrame:
-    """history: part, seq, found, written. The metadata found is not what this owner wrote last."""
-    w = Window.partitionBy("part").orderBy("seq")
-    return history.withColumn("expected", F.lag("written").over(w)).where(F.col("expected").isNotNull() & (F.col("expected") != F.col("found")))
+    """history: SOURCE, seq, owner, written: who committed what to a partition, in order. Commits that find another text than the one that their owner
+    wrote last; an owner's first commit takes what it finds."""
+    turn = Window.partitionBy(*SOURCE).orderBy("seq")
+    rows = history.withColumn("found", F.lag("written").over(turn)).withColumn("expected", F.lag("written").over(Window.partitionBy(*SOURCE, "owner").orderBy("seq")))
+    return rows.where(F.col("expected") != F.col("found"))
 
 
 def overlaps(ranges: DataFrame) -> DataFrame:
-    """Blocks that overlap an earlier, different range of the same (part, tbl), with the end of the farthest such range. A range that stands again is no overlap with itself, but with all others."""
-    key = ["part", "tbl", "begin_pos", "end_pos"]
-    prior = Window.partitionBy("part", "tbl").orderBy("begin_pos", "end_pos").rowsBetween(Window.unboundedPreceding, -1)
+    """Blocks that overlap an earlier, different range of the same table and partition, with the end of the farthest such range. A range that stands again is no overlap with itself, but with all others."""
+    key = [*KEY, "begin_pos", "end_pos"]
+    prior = Window.partitionBy(*KEY).orderBy("begin_pos", "end_pos").rowsBetween(Window.unboundedPreceding, -1)
     once = ranges.select(*key).distinct().withColumn("prior_end", F.max("end_pos").over(prior)).where(F.col("begin_pos") <= F.col("prior_end"))
     return ranges.join(once, key)
 
 
 def completeness(ranges: DataFrame) -> DataFrame:
     """Offsets that the blocks cover, against the rows in them."""
-    per = ranges.groupBy("part").agg((F.max("end_pos") + 1).alias("covered"), F.sum("cnt").alias("cnt"))
+    per = ranges.groupBy(*SOURCE).agg((F.max("end_pos") + 1).alias("covered"), F.sum("cnt").alias("cnt"))
     return per.agg(F.sum("covered").alias("covered"), F.sum("cnt").alias("loaded"))
 
 
 def edge_blocks(ranges: DataFrame, first: bool) -> DataFrame:
     pick = F.min_by if first else F.max_by
-    return ranges.groupBy("part", "tbl").agg(pick(F.struct("begin_pos", "end_pos", "cnt"), "block_no").alias("x")).select("part", "tbl", "x.*")
+    return ranges.groupBy(*KEY).agg(pick(F.struct("begin_pos", "end_pos", "cnt"), "block_no").alias("x")).select(*KEY, "x.*")
 
 
 def assignments(ledger: DataFrame, most: int = 100) -> DataFrame:
     """The last `most` entries of each partition's history."""
-    w = Window.partitionBy("part").orderBy(F.desc("begin_pos"), "tbl")
+    w = Window.partitionBy(*SOURCE).orderBy(F.desc("begin_pos"), "tbl")
     return ledger.withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= most)
 
 
 def counts_from_reference(log: DataFrame, meta: DataFrame) -> DataFrame:
-    """n: how many messages of its (part, tbl) there are from the reference offset up to a message. Under version 1 the saved metadata (part, tbl, end_pos, cnt,
+    """n: how many messages of its table and partition there are from the reference offset up to a message. Under version 1 the saved metadata (KEY, end_pos, cnt,
     reference) has the count up to the saved end, so a message that is replayed leaves it as it is, and counting goes on after the end; without saved
     metadata the reference is the partition's first offset."""
-    m = meta.select("part", "tbl", F.col("end_pos").alias("m_end"), F.col("cnt").alias("m_cnt"), F.col("reference").alias("m_ref"))
-    rows = log.join(F.broadcast(m), ["part", "tbl"], "left").where(F.col("m_ref").isNull() | (F.col("pos") >= F.col("m_ref")))
+    m = meta.select(*KEY, F.col("end_pos").alias("m_end"), F.col("cnt").alias("m_cnt"), F.col("reference").alias("m_ref"))
+    rows = log.join(m, KEY, "left").where(F.col("m_ref").isNull() | (F.col("pos") >= F.col("m_ref")))
     counted = F.when(F.col("m_end").isNull() | (F.col("pos") > F.col("m_end")), 1).otherwise(0)
-    out = _before(rows, ["part", "tbl"], "pos", counted, F.sum, "n_")
+    out = _before(rows, KEY, "pos", counted, F.sum, "n_")
     return out.withColumn("n", (F.col("n_") + counted + F.coalesce("m_cnt", F.lit(0))).cast("long")).drop("n_", "m_end", "m_cnt", "m_ref")

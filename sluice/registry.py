@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import cache, reduce
 from hashlib import md5
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -25,13 +25,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 ROWS, POLL = 100, 100
 
-LOG = """WITH RECURSIVE log AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'A' ELSE 'B' END AS zone, 'events' AS topic, CAST(user_id % 4 AS BIGINT) AS part,
- row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id) - 1 AS pos, event_type AS tbl, ts, props AS payload, value, event_id AS arrival_seq FROM events)"""
-BLOCKS = f""", blk AS (SELECT *, (row_number() OVER (PARTITION BY part, tbl ORDER BY pos) - 1) // {ROWS} AS block_no FROM log),
- rng AS (SELECT part, tbl, block_no, min(pos) AS begin_pos, max(pos) AS end_pos, count(*) AS cnt, CAST(sum(octet_length(encode(payload))) AS BIGINT) AS bytes, min(epoch_us(ts)) AS first_us, max(epoch_us(ts)) AS last_us FROM blk GROUP BY 1, 2, 3)"""
-META = f""", cut AS (SELECT part, (max(pos) + 1) // 2 AS cut FROM log GROUP BY 1), old AS (SELECT log.* FROM log JOIN cut ON cut.part = log.part AND pos < cut), oblk AS (SELECT *, (row_number() OVER (PARTITION BY part, tbl ORDER BY pos) - 1) // {ROWS} AS block_no FROM old),
- orng AS (SELECT part, tbl, block_no, min(pos) AS begin_pos, max(pos) AS end_pos, count(*) AS cnt FROM oblk GROUP BY 1, 2, 3),
- meta AS (SELECT part, tbl, begin_pos, end_pos, cnt FROM (SELECT *, row_number() OVER (PARTITION BY part, tbl ORDER BY block_no DESC) AS r FROM orng) WHERE r = 1)"""
+# Two clusters with two topics each, whose partitions have the same numbers.
+LOG = """WITH RECURSIVE src AS (SELECT *, CASE WHEN user_id // 2 % 2 = 0 THEN 'A' ELSE 'B' END AS zone, CASE WHEN user_id // 4 % 3 = 0 THEN 'audit' ELSE 'events' END AS topic, CAST(user_id % 2 AS BIGINT) AS part FROM events),
+ log AS (SELECT zone, topic, part, row_number() OVER (PARTITION BY zone, topic, part ORDER BY event_id) - 1 AS pos, event_type AS tbl, ts, props AS payload, value, event_id AS arrival_seq FROM src)"""
+BLOCKS = f""", blk AS (SELECT *, (row_number() OVER (PARTITION BY zone, topic, part, tbl ORDER BY pos) - 1) // {ROWS} AS block_no FROM log),
+ rng AS (SELECT zone, topic, part, tbl, block_no, min(pos) AS begin_pos, max(pos) AS end_pos, count(*) AS cnt, CAST(sum(octet_length(encode(payload))) AS BIGINT) AS bytes, min(epoch_us(ts)) AS first_us, max(epoch_us(ts)) AS last_us FROM blk GROUP BY ALL)"""
+META = f""", cut AS (SELECT zone, topic, part, (max(pos) + 1) // 2 AS cut FROM log GROUP BY ALL), old AS (SELECT log.* FROM log JOIN cut USING (zone, topic, part) WHERE pos < cut), oblk AS (SELECT *, (row_number() OVER (PARTITION BY zone, topic, part, tbl ORDER BY pos) - 1) // {ROWS} AS block_no FROM old),
+ orng AS (SELECT zone, topic, part, tbl, block_no, min(pos) AS begin_pos, max(pos) AS end_pos, count(*) AS cnt FROM oblk GROUP BY ALL),
+ meta AS (SELECT zone, topic, part, tbl, begin_pos, end_pos, cnt FROM (SELECT *, row_number() OVER (PARTITION BY zone, topic, part, tbl ORDER BY block_no DESC) AS r FROM orng) WHERE r = 1)"""
 
 
 def add(name: str, sql: str | None = None):
@@ -54,7 +55,7 @@ def blocks(s, d):
 
 def until_half(df):
     """The first half of each partition's offsets: what was loaded when a replay starts."""
-    return df.join(df.groupBy("part").agg(F.floor((F.max("pos") + 1) / 2).alias("cut")), "part").where(F.col("pos") < F.col("cut")).drop("cut")
+    return df.join(df.groupBy(*L.SOURCE).agg(F.floor((F.max("pos") + 1) / 2).alias("cut")), L.SOURCE).where(F.col("pos") < F.col("cut")).drop("cut")
 
 
 def meta(s, d):
@@ -62,21 +63,22 @@ def meta(s, d):
 
 
 def retained(df):
-    """What a log still has that keeps 150 offsets before the half of each partition."""
-    return df.join(df.groupBy("part").agg(F.floor((F.max("pos") + 1) / 2).alias("cut")), "part").where(F.col("pos") >= F.col("cut") - 150).drop("cut")
+    """What a log still has that keeps 330 offsets before the half of each partition."""
+    return df.join(df.groupBy(*L.SOURCE).agg(F.floor((F.max("pos") + 1) / 2).alias("cut")), L.SOURCE).where(F.col("pos") >= F.col("cut") - 330).drop("cut")
 
 
 def whole_meta(s, d):
     return C.commit_metadata(K.block_ranges(blocks(s, d)))
 
 
-WHOLE = BLOCKS + ", meta AS (SELECT part, tbl, begin_pos, end_pos, cnt FROM (SELECT *, row_number() OVER (PARTITION BY part, tbl ORDER BY block_no DESC) AS r FROM rng) WHERE r = 1)"
+WHOLE = BLOCKS + ", meta AS (SELECT zone, topic, part, tbl, begin_pos, end_pos, cnt FROM (SELECT *, row_number() OVER (PARTITION BY zone, topic, part, tbl ORDER BY block_no DESC) AS r FROM rng) WHERE r = 1)"
 
 
 # Sources
-add("subscribe_clusters", LOG + " SELECT zone, tbl, count(*) AS n FROM log GROUP BY 1, 2")(lambda s, d: log(s, d).groupBy("zone", "tbl").agg(F.count("*").alias("n")))
-add("poll_batches", LOG + f" SELECT part, pos // {POLL} AS poll, count(*) AS n FROM log GROUP BY 1, 2")(lambda s, d: L.with_poll_batch(log(s, d), POLL).groupBy("part", "poll").agg(F.count("*").alias("n")))
-add("resume_offsets", LOG + WHOLE + """, f AS (SELECT part, min(begin_pos) AS p FROM meta GROUP BY 1) SELECT 'events' AS topic, '{' || string_agg('"' || part || '":' || p, ',' ORDER BY part) || '}' AS offsets FROM f""")(lambda s, d: L.starting_offsets(whole_meta(s, d).withColumn("topic", F.lit("events"))))
+add("subscribe_clusters", LOG + " SELECT zone, topic, tbl, count(*) AS n FROM log GROUP BY ALL")(lambda s, d: log(s, d).groupBy("zone", "topic", "tbl").agg(F.count("*").alias("n")))
+add("poll_batches", LOG + f" SELECT zone, topic, part, pos // {POLL} AS poll, count(*) AS n FROM log GROUP BY ALL")(lambda s, d: L.with_poll_batch(log(s, d), POLL).groupBy(*L.SOURCE, "poll").agg(F.count("*").alias("n")))
+add("resume_offsets", LOG + WHOLE + """, f AS (SELECT zone, topic, part, min(begin_pos) AS p FROM meta GROUP BY ALL), t AS (SELECT zone, topic, string_agg('"' || part || '":' || p, ',' ORDER BY part) AS parts FROM f GROUP BY ALL)
+ SELECT zone, '{' || string_agg('"' || topic || '":{' || parts || '}', ',' ORDER BY topic) || '}' AS offsets FROM t GROUP BY 1""")(lambda s, d: L.starting_offsets(whole_meta(s, d)))
 
 
 @add("route_by_header", LOG + " SELECT coalesce(CASE WHEN arrival_seq % 97 <> 0 THEN tbl END, 'rejected') AS dest, count(*) AS n FROM log GROUP BY 1")
@@ -206,26 +208,26 @@ add("mixed_version_block", LOG + " SELECT arrival_seq AS id, tbl AS kind, CASE W
 )
 
 # Blocks
-add("block_by_rows", LOG + BLOCKS + " SELECT part, tbl, block_no, begin_pos, end_pos, cnt FROM rng")(lambda s, d: K.block_ranges(blocks(s, d)).select("part", "tbl", "block_no", "begin_pos", "end_pos", "cnt"))
-add("block_by_messages", LOG + " SELECT part, tbl, pos, (row_number() OVER (PARTITION BY part, tbl ORDER BY pos) - 1) // 64 AS block_no FROM log")(lambda s, d: K.cut_rows(log(s, d), 64).select("part", "tbl", "pos", "block_no"))
-add("block_stats", LOG + BLOCKS + " SELECT part, tbl, block_no, cnt, bytes, end_pos - begin_pos + 1 AS span, first_us, last_us FROM rng")(lambda s, d: K.block_ranges(blocks(s, d)).select("part", "tbl", "block_no", "cnt", "bytes", (F.col("end_pos") - F.col("begin_pos") + 1).alias("span"), "first_us", "last_us"))
-add("block_id", LOG + BLOCKS + " SELECT part, tbl, block_no, md5(concat_ws('|', CASE WHEN part % 2 = 0 THEN 'A' ELSE 'B' END, 'events', part, tbl, 0, begin_pos, end_pos)) AS block_id FROM rng")(lambda s, d: K.block_ranges(blocks(s, d)).withColumns({"topic": F.lit("events"), "zone": F.when(F.col("part") % 2 == 0, "A").otherwise("B"), "epoch": F.lit(0)}).select("part", "tbl", "block_no", K.block_id().alias("block_id")))
-add("load_lag", LOG + BLOCKS + " SELECT part, tbl, block_no, last_us + block_no % 3 * 1000000 - first_us AS lag_us FROM rng WHERE block_no % 5 <> 4")(
-    lambda s, d: M.load_lag(K.block_ranges(blocks(s, d)), F.when(F.col("block_no") % 5 != 4, F.col("last_us") + F.col("block_no") % 3 * 1_000_000)).select("part", "tbl", "block_no", "lag_us")
+add("block_by_rows", LOG + BLOCKS + " SELECT zone, topic, part, tbl, block_no, begin_pos, end_pos, cnt FROM rng")(lambda s, d: K.block_ranges(blocks(s, d)).select(*L.KEY, "block_no", "begin_pos", "end_pos", "cnt"))
+add("block_by_messages", LOG + " SELECT zone, topic, part, tbl, pos, (row_number() OVER (PARTITION BY zone, topic, part, tbl ORDER BY pos) - 1) // 64 AS block_no FROM log")(lambda s, d: K.cut_rows(log(s, d), 64).select(*L.KEY, "pos", "block_no"))
+add("block_stats", LOG + BLOCKS + " SELECT zone, topic, part, tbl, block_no, cnt, bytes, end_pos - begin_pos + 1 AS span, first_us, last_us FROM rng")(lambda s, d: K.block_ranges(blocks(s, d)).select(*L.KEY, "block_no", "cnt", "bytes", (F.col("end_pos") - F.col("begin_pos") + 1).alias("span"), "first_us", "last_us"))
+add("block_id", LOG + BLOCKS + " SELECT zone, topic, part, tbl, block_no, md5(concat_ws('|', zone, topic, part, tbl, 0, begin_pos, end_pos)) AS block_id FROM rng")(lambda s, d: K.block_ranges(blocks(s, d)).withColumn("epoch", F.lit(0)).select(*L.KEY, "block_no", K.block_id().alias("block_id")))
+add("load_lag", LOG + BLOCKS + " SELECT zone, topic, part, tbl, block_no, last_us + block_no % 3 * 1000000 - first_us AS lag_us FROM rng WHERE block_no % 5 <> 4")(
+    lambda s, d: M.load_lag(K.block_ranges(blocks(s, d)), F.when(F.col("block_no") % 5 != 4, F.col("last_us") + F.col("block_no") % 3 * 1_000_000)).select(*L.KEY, "block_no", "lag_us")
 )
 
 
 def greedy_sql(over):
-    return LOG + f""", p AS (SELECT part, tbl, pos // {POLL} AS poll, count(*) AS n, CAST(sum(octet_length(encode(payload))) AS BIGINT) AS b, min(epoch_us(ts)) AS f, max(epoch_us(ts)) AS l FROM log GROUP BY 1, 2, 3),
- o AS (SELECT *, row_number() OVER (PARTITION BY part, tbl ORDER BY poll) AS k FROM p),
- w AS (SELECT part, tbl, poll, k, CAST(0 AS BIGINT) AS block_no, n AS rn, b AS rb, f AS rf, l FROM o WHERE k = 1
-  UNION ALL SELECT o.part, o.tbl, o.poll, o.k, CASE WHEN {over} THEN w.block_no + 1 ELSE w.block_no END, CASE WHEN {over} THEN o.n ELSE w.rn + o.n END, CASE WHEN {over} THEN o.b ELSE w.rb + o.b END, CASE WHEN {over} THEN o.f ELSE w.rf END, o.l
-  FROM w JOIN o ON o.part = w.part AND o.tbl = w.tbl AND o.k = w.k + 1)
- SELECT part, tbl, poll, block_no FROM w"""
+    return LOG + f""", p AS (SELECT zone, topic, part, tbl, pos // {POLL} AS poll, count(*) AS n, CAST(sum(octet_length(encode(payload))) AS BIGINT) AS b, min(epoch_us(ts)) AS f, max(epoch_us(ts)) AS l FROM log GROUP BY ALL),
+ o AS (SELECT *, row_number() OVER (PARTITION BY zone, topic, part, tbl ORDER BY poll) AS k FROM p),
+ w AS (SELECT zone, topic, part, tbl, poll, k, CAST(0 AS BIGINT) AS block_no, n AS rn, b AS rb, f AS rf, l FROM o WHERE k = 1
+  UNION ALL SELECT o.zone, o.topic, o.part, o.tbl, o.poll, o.k, CASE WHEN {over} THEN w.block_no + 1 ELSE w.block_no END, CASE WHEN {over} THEN o.n ELSE w.rn + o.n END, CASE WHEN {over} THEN o.b ELSE w.rb + o.b END, CASE WHEN {over} THEN o.f ELSE w.rf END, o.l
+  FROM w JOIN o ON o.zone = w.zone AND o.topic = w.topic AND o.part = w.part AND o.tbl = w.tbl AND o.k = w.k + 1)
+ SELECT zone, topic, part, tbl, poll, block_no FROM w"""
 
 
 def greedy(s, d, **limits):
-    return K.greedy_cut(K.poll_summary(log(s, d), POLL), **limits).select("part", "tbl", "poll", "block_no")
+    return K.greedy_cut(K.poll_summary(log(s, d), POLL), **limits).select(*L.KEY, "poll", "block_no")
 
 
 add("block_by_bytes", greedy_sql("w.rb > 2000"))(lambda s, d: greedy(s, d, size=2000))
@@ -233,75 +235,75 @@ add("block_by_time", greedy_sql("w.l - w.rf > 86400000000"))(lambda s, d: greedy
 add("block_any_trigger", greedy_sql("(w.rn > 150 OR w.rb > 1500 OR w.l - w.rf > 172800000000)"))(lambda s, d: greedy(s, d, rows=150, size=1500, seconds=172800))
 
 # Commit metadata
-add("commit_metadata", LOG + WHOLE + " SELECT part, tbl, begin_pos, end_pos, cnt FROM meta")(whole_meta)
-add("commit_offset", LOG + WHOLE + " SELECT part, min(begin_pos) AS commit_pos, max(end_pos) AS max_pos FROM meta GROUP BY 1")(lambda s, d: C.commit_offset(whole_meta(s, d)))
-add("metadata_max", LOG + WHOLE + " SELECT part, max(end_pos) AS max_pos FROM meta GROUP BY 1")(lambda s, d: C.commit_offset(whole_meta(s, d)).select("part", "max_pos"))
-add("empty_marker", LOG + META + ", t AS (SELECT DISTINCT part, tbl FROM log), l AS (SELECT part, max(pos) AS last_pos FROM old GROUP BY 1) SELECT t.part, t.tbl, CASE WHEN t.tbl = 'view' OR begin_pos IS NULL THEN last_pos + 1 ELSE begin_pos END AS begin_pos, CASE WHEN t.tbl = 'view' OR begin_pos IS NULL THEN last_pos ELSE end_pos END AS end_pos, CASE WHEN t.tbl = 'view' OR begin_pos IS NULL THEN 0 ELSE cnt END AS cnt FROM t JOIN l ON t.part = l.part LEFT JOIN meta ON t.part = meta.part AND t.tbl = meta.tbl")(
-    lambda s, d: C.with_empty_markers(meta(s, d).where("tbl <> 'view'"), log(s, d).select("part", "tbl").distinct(), until_half(log(s, d)).groupBy("part").agg(F.max("pos").alias("last_pos")))
+add("commit_metadata", LOG + WHOLE + " SELECT zone, topic, part, tbl, begin_pos, end_pos, cnt FROM meta")(whole_meta)
+add("commit_offset", LOG + WHOLE + " SELECT zone, topic, part, min(begin_pos) AS commit_pos, max(end_pos) AS max_pos FROM meta GROUP BY ALL")(lambda s, d: C.commit_offset(whole_meta(s, d)))
+add("metadata_max", LOG + WHOLE + " SELECT zone, topic, part, max(end_pos) AS max_pos FROM meta GROUP BY ALL")(lambda s, d: C.commit_offset(whole_meta(s, d)).select(*L.SOURCE, "max_pos"))
+add("empty_marker", LOG + META + ", t AS (SELECT DISTINCT zone, topic, part, tbl FROM log), l AS (SELECT zone, topic, part, max(pos) AS last_pos FROM old GROUP BY ALL) SELECT zone, topic, part, tbl, CASE WHEN tbl = 'view' OR begin_pos IS NULL THEN last_pos + 1 ELSE begin_pos END AS begin_pos, CASE WHEN tbl = 'view' OR begin_pos IS NULL THEN last_pos ELSE end_pos END AS end_pos, CASE WHEN tbl = 'view' OR begin_pos IS NULL THEN 0 ELSE cnt END AS cnt FROM t JOIN l USING (zone, topic, part) LEFT JOIN meta USING (zone, topic, part, tbl)")(
+    lambda s, d: C.with_empty_markers(meta(s, d).where("tbl <> 'view'"), log(s, d).select(*L.KEY).distinct(), until_half(log(s, d)).groupBy(*L.SOURCE).agg(F.max("pos").alias("last_pos")))
 )
-add("first_seen_marker", LOG + " SELECT part, tbl, min(pos) AS begin_pos, min(pos) - 1 AS end_pos, CAST(0 AS BIGINT) AS cnt FROM log GROUP BY 1, 2")(lambda s, d: C.first_seen_markers(log(s, d)))
-add("serialize_metadata_v0", LOG + WHOLE + " SELECT part, string_agg(tbl || ',' || begin_pos || ',' || end_pos, ',' ORDER BY tbl) AS metadata FROM meta GROUP BY 1")(lambda s, d: C.meta_to_string(whole_meta(s, d)))
-add("serialize_metadata_v1", LOG + WHOLE + " SELECT part, '1,,r1,' || string_agg(tbl || ',' || begin_pos || ',' || end_pos || ',' || cnt, ',' ORDER BY tbl) || ',,0' AS metadata FROM meta GROUP BY 1")(lambda s, d: C.meta_to_string(whole_meta(s, d), 1, "r1", 0))
-add("parse_metadata", LOG + WHOLE + " SELECT part, CAST(0 AS BIGINT) AS reference, tbl, begin_pos, end_pos, cnt FROM meta")(lambda s, d: C.meta_from_string(C.meta_to_string(whole_meta(s, d), 1, "r1", 0)))
-add("merge_metadata", LOG + META + BLOCKS + ", n AS (SELECT part, tbl, begin_pos, end_pos, cnt FROM (SELECT *, row_number() OVER (PARTITION BY part, tbl ORDER BY block_no DESC) AS r FROM rng) WHERE r = 1 AND tbl <> 'view') SELECT coalesce(n.part, m.part) AS part, coalesce(n.tbl, m.tbl) AS tbl, coalesce(n.begin_pos, m.begin_pos) AS begin_pos, coalesce(n.end_pos, m.end_pos) AS end_pos, coalesce(n.cnt, m.cnt) AS cnt FROM meta m FULL JOIN n ON m.part = n.part AND m.tbl = n.tbl")(lambda s, d: C.merge_meta(meta(s, d), C.commit_metadata(K.block_ranges(blocks(s, d))).where("tbl <> 'view'")))
-add("message_count_from_reference", LOG + META + ", ref AS (SELECT part, min(begin_pos) AS reference FROM meta GROUP BY 1) SELECT log.part, log.tbl, log.pos, CAST(coalesce(cnt, 0) + count(*) FILTER (end_pos IS NULL OR pos > end_pos) OVER (PARTITION BY log.part, log.tbl ORDER BY pos) AS BIGINT) AS n FROM log JOIN ref ON ref.part = log.part AND pos >= reference LEFT JOIN meta ON meta.part = log.part AND meta.tbl = log.tbl")(
-    lambda s, d: (lambda m: C.counts_from_reference(log(s, d), m.join(m.groupBy("part").agg(F.min("begin_pos").alias("reference")), "part")).select("part", "tbl", "pos", "n"))(meta(s, d))
+add("first_seen_marker", LOG + " SELECT zone, topic, part, tbl, min(pos) AS begin_pos, min(pos) - 1 AS end_pos, CAST(0 AS BIGINT) AS cnt FROM log GROUP BY ALL")(lambda s, d: C.first_seen_markers(log(s, d)))
+add("serialize_metadata_v0", LOG + WHOLE + " SELECT zone, topic, part, string_agg(tbl || ',' || begin_pos || ',' || end_pos, ',' ORDER BY tbl) AS metadata FROM meta GROUP BY ALL")(lambda s, d: C.meta_to_string(whole_meta(s, d)))
+add("serialize_metadata_v1", LOG + WHOLE + " SELECT zone, topic, part, '1,,r1,' || string_agg(tbl || ',' || begin_pos || ',' || end_pos || ',' || cnt, ',' ORDER BY tbl) || ',,0' AS metadata FROM meta GROUP BY ALL")(lambda s, d: C.meta_to_string(whole_meta(s, d), 1, "r1", 0))
+add("parse_metadata", LOG + WHOLE + " SELECT zone, topic, part, CAST(0 AS BIGINT) AS reference, tbl, begin_pos, end_pos, cnt FROM meta")(lambda s, d: C.meta_from_string(C.meta_to_string(whole_meta(s, d), 1, "r1", 0)))
+add("merge_metadata", LOG + META + BLOCKS + ", n AS (SELECT zone, topic, part, tbl, begin_pos, end_pos, cnt FROM (SELECT *, row_number() OVER (PARTITION BY zone, topic, part, tbl ORDER BY block_no DESC) AS r FROM rng) WHERE r = 1 AND tbl <> 'view') SELECT zone, topic, part, tbl, coalesce(n.begin_pos, m.begin_pos) AS begin_pos, coalesce(n.end_pos, m.end_pos) AS end_pos, coalesce(n.cnt, m.cnt) AS cnt FROM meta m FULL JOIN n USING (zone, topic, part, tbl)")(lambda s, d: C.merge_meta(meta(s, d), C.commit_metadata(K.block_ranges(blocks(s, d))).where("tbl <> 'view'")))
+add("message_count_from_reference", LOG + META + ", ref AS (SELECT zone, topic, part, min(begin_pos) AS reference FROM meta GROUP BY ALL) SELECT zone, topic, part, tbl, pos, CAST(coalesce(cnt, 0) + count(*) FILTER (end_pos IS NULL OR pos > end_pos) OVER (PARTITION BY zone, topic, part, tbl ORDER BY pos) AS BIGINT) AS n FROM log JOIN ref USING (zone, topic, part) LEFT JOIN meta USING (zone, topic, part, tbl) WHERE pos >= reference")(
+    lambda s, d: (lambda m: C.counts_from_reference(log(s, d), m.join(m.groupBy(*L.SOURCE).agg(F.min("begin_pos").alias("reference")), L.SOURCE)).select(*L.KEY, "pos", "n"))(meta(s, d))
 )
-add("replay_plan", LOG + META + " SELECT part, min(begin_pos) AS commit_pos, max(end_pos) AS max_pos, CASE WHEN min(begin_pos) <= max(end_pos) THEN 'REPLAY' ELSE 'CONSUME' END AS state FROM meta GROUP BY 1")(lambda s, d: C.replay_plan(meta(s, d)))
-CLASSIFY = LOG + META + ", c AS (SELECT part, min(begin_pos) AS commit_pos FROM meta GROUP BY 1) SELECT log.part, log.tbl, log.pos, {} AS action FROM log JOIN c ON c.part = log.part LEFT JOIN meta ON meta.part = log.part AND meta.tbl = log.tbl"
-add("replay_classify", CLASSIFY.format("CASE WHEN pos < commit_pos THEN 'abnormal_before_begin' WHEN begin_pos IS NULL THEN 'consume' WHEN pos < begin_pos THEN 'skip_before_begin' WHEN pos <= end_pos THEN 'replay_append' ELSE 'consume' END"))(lambda s, d: C.classify(log(s, d), meta(s, d)).select("part", "tbl", "pos", "action"))
-add("force_consume", CLASSIFY.format("'consume'"))(lambda s, d: C.classify(log(s, d), meta(s, d), True).select("part", "tbl", "pos", "action"))
-add("rebuild_block", LOG + META + " SELECT log.part, log.tbl, log.pos, log.arrival_seq FROM log JOIN meta ON meta.part = log.part AND meta.tbl = log.tbl AND pos BETWEEN begin_pos AND end_pos")(lambda s, d: C.rebuild_blocks(log(s, d), meta(s, d)).select("part", "tbl", "pos", "arrival_seq"))
-add("replay_gap", LOG + META + ", f AS (SELECT log.part, min(pos) AS first_pos FROM log JOIN cut ON cut.part = log.part AND pos >= cut - 150 GROUP BY 1) SELECT meta.part, tbl, begin_pos, first_pos FROM meta LEFT JOIN f ON f.part = meta.part WHERE first_pos IS NULL OR first_pos > begin_pos")(lambda s, d: C.replay_gap(retained(log(s, d)), meta(s, d)))
+add("replay_plan", LOG + META + " SELECT zone, topic, part, min(begin_pos) AS commit_pos, max(end_pos) AS max_pos, CASE WHEN min(begin_pos) <= max(end_pos) THEN 'REPLAY' ELSE 'CONSUME' END AS state FROM meta GROUP BY ALL")(lambda s, d: C.replay_plan(meta(s, d)))
+CLASSIFY = LOG + META + ", c AS (SELECT zone, topic, part, min(begin_pos) AS commit_pos FROM meta GROUP BY ALL) SELECT zone, topic, part, tbl, pos, {} AS action FROM log JOIN c USING (zone, topic, part) LEFT JOIN meta USING (zone, topic, part, tbl)"
+add("replay_classify", CLASSIFY.format("CASE WHEN pos < commit_pos THEN 'abnormal_before_begin' WHEN begin_pos IS NULL THEN 'consume' WHEN pos < begin_pos THEN 'skip_before_begin' WHEN pos <= end_pos THEN 'replay_append' ELSE 'consume' END"))(lambda s, d: C.classify(log(s, d), meta(s, d)).select(*L.KEY, "pos", "action"))
+add("force_consume", CLASSIFY.format("'consume'"))(lambda s, d: C.classify(log(s, d), meta(s, d), True).select(*L.KEY, "pos", "action"))
+add("rebuild_block", LOG + META + " SELECT zone, topic, part, tbl, pos, arrival_seq FROM log JOIN meta USING (zone, topic, part, tbl) WHERE pos BETWEEN begin_pos AND end_pos")(lambda s, d: C.rebuild_blocks(log(s, d), meta(s, d)).select(*L.KEY, "pos", "arrival_seq"))
+add("replay_gap", LOG + META + ", f AS (SELECT zone, topic, part, min(pos) AS first_pos FROM log JOIN cut USING (zone, topic, part) WHERE pos >= cut - 330 GROUP BY ALL) SELECT zone, topic, part, tbl, begin_pos, first_pos FROM meta LEFT JOIN f USING (zone, topic, part) WHERE first_pos IS NULL OR first_pos > begin_pos")(lambda s, d: C.replay_gap(retained(log(s, d)), meta(s, d)))
 
 
 def damaged(s, d):
     """The log with gaps, repeats and a reset: from half of each partition on, offsets begin at 0 again."""
     df = log(s, d)
-    half = df.groupBy("part").agg(F.floor((F.max("pos") + 1) / 2).alias("cut"))
-    df = df.join(half, "part").withColumn("pos", F.when(F.col("pos") >= F.col("cut"), F.col("pos") - F.col("cut")).otherwise(F.col("pos"))).drop("cut").where("arrival_seq % 103 <> 0")
+    half = df.groupBy(*L.SOURCE).agg(F.floor((F.max("pos") + 1) / 2).alias("cut"))
+    df = df.join(half, L.SOURCE).withColumn("pos", F.when(F.col("pos") >= F.col("cut"), F.col("pos") - F.col("cut")).otherwise(F.col("pos"))).drop("cut").where("arrival_seq % 103 <> 0")
     again = df.where("arrival_seq % 101 = 0").withColumn("arrival_seq", F.col("arrival_seq") * 2 + 1)
     return df.withColumn("arrival_seq", F.col("arrival_seq") * 2).unionByName(again)
 
 
 # A reset is an offset 0 after larger ones of its epoch; the runs between zeros tell which zeros are resets.
-DAMAGED = """, half AS (SELECT part, (max(pos) + 1) // 2 AS cut FROM log GROUP BY 1), cutlog AS (SELECT zone, topic, log.part, CASE WHEN pos >= cut THEN pos - cut ELSE pos END AS pos, tbl, arrival_seq FROM log JOIN half ON half.part = log.part WHERE arrival_seq % 103 <> 0),
+DAMAGED = """, half AS (SELECT zone, topic, part, (max(pos) + 1) // 2 AS cut FROM log GROUP BY ALL), cutlog AS (SELECT zone, topic, part, CASE WHEN pos >= cut THEN pos - cut ELSE pos END AS pos, tbl, arrival_seq FROM log JOIN half USING (zone, topic, part) WHERE arrival_seq % 103 <> 0),
  dmg AS (SELECT zone, topic, part, pos, tbl, arrival_seq * 2 AS arrival_seq FROM cutlog UNION ALL SELECT zone, topic, part, pos, tbl, arrival_seq * 2 + 1 FROM cutlog WHERE arrival_seq % 101 = 0),
  seqs AS (SELECT *, row_number() OVER (PARTITION BY zone, topic, part ORDER BY arrival_seq) AS k FROM dmg),
  walk AS (SELECT zone, topic, part, pos, arrival_seq, k, pos AS last, 0 AS epoch, 'ok' AS anomaly FROM seqs WHERE k = 1
   UNION ALL SELECT s.zone, s.topic, s.part, s.pos, s.arrival_seq, s.k, CASE WHEN s.pos = 0 AND w.last > 0 THEN 0 WHEN s.pos <= w.last THEN w.last ELSE s.pos END,
    w.epoch + CASE WHEN s.pos = 0 AND w.last > 0 THEN 1 ELSE 0 END, CASE WHEN s.pos = 0 AND w.last > 0 THEN 'reset' WHEN s.pos <= w.last THEN 'rewind' WHEN s.pos > w.last + 1 THEN 'gap' ELSE 'ok' END
   FROM walk w JOIN seqs s ON s.zone = w.zone AND s.topic = w.topic AND s.part = w.part AND s.k = w.k + 1)"""
-add("offset_anomalies", LOG + DAMAGED + " SELECT part, pos, arrival_seq, anomaly FROM walk")(lambda s, d: C.offset_anomalies(damaged(s, d)).select("part", "pos", "arrival_seq", "anomaly"))
-add("drop_rewound", LOG + DAMAGED + " SELECT topic, part, pos, min(arrival_seq) AS arrival_seq FROM dmg GROUP BY 1, 2, 3")(lambda s, d: C.dedup_log(damaged(s, d)).select("topic", "part", "pos", "arrival_seq"))
-add("flush_on_reset", LOG + DAMAGED + " SELECT part, pos, arrival_seq, CAST(epoch AS BIGINT) AS epoch FROM walk")(lambda s, d: C.epoch_of(damaged(s, d)).select("part", "pos", "arrival_seq", "epoch"))
+add("offset_anomalies", LOG + DAMAGED + " SELECT zone, topic, part, pos, arrival_seq, anomaly FROM walk")(lambda s, d: C.offset_anomalies(damaged(s, d)).select(*L.SOURCE, "pos", "arrival_seq", "anomaly"))
+add("drop_rewound", LOG + DAMAGED + " SELECT zone, topic, part, pos, min(arrival_seq) AS arrival_seq FROM dmg GROUP BY ALL")(lambda s, d: C.dedup_log(damaged(s, d)).select(*L.SOURCE, "pos", "arrival_seq"))
+add("flush_on_reset", LOG + DAMAGED + " SELECT zone, topic, part, pos, arrival_seq, CAST(epoch AS BIGINT) AS epoch FROM walk")(lambda s, d: C.epoch_of(damaged(s, d)).select(*L.SOURCE, "pos", "arrival_seq", "epoch"))
 
 
-@add("commit_conflict", LOG + BLOCKS + " SELECT part, max_by(block_no, block_no) AS seq FROM rng WHERE FALSE GROUP BY 1 UNION ALL SELECT part, block_no AS seq FROM rng WHERE tbl = 'click' AND block_no % 2 = 1")
-def commit_conflict(s, d):
-    history = K.block_ranges(blocks(s, d)).where("tbl = 'click'").select("part", F.col("block_no").alias("seq"), F.concat_ws(",", "tbl", "begin_pos", "end_pos").alias("written"))
-    from pyspark.sql import Window
+TURN = 7
+
 
-    prior = F.lag("written").over(Window.partitionBy("part").orderBy("seq"))
-    found = F.when(F.col("seq") % 2 == 1, F.lit("other")).otherwise(prior)
-    return C.commit_conflicts(history.withColumn("found", found)).select("part", "seq")
+@add("commit_conflict", LOG + BLOCKS + f" SELECT zone, topic, part, seq FROM (SELECT zone, topic, part, row_number() OVER (PARTITION BY zone, topic, part ORDER BY end_pos, tbl) - 1 AS seq FROM rng) WHERE seq % {TURN} = 0 AND seq >= {2 * TURN}")
+def commit_conflict(s, d):
+    """The blocks of each partition as commits in the order of their ends, by two owners that take turns of seven. Whoever comes back finds what the other wrote."""
+    ranges = K.block_ranges(blocks(s, d))
+    seq = F.row_number().over(Window.partitionBy(*L.SOURCE).orderBy("end_pos", "tbl")) - 1
+    history = ranges.select(*L.SOURCE, seq.cast("long").alias("seq"), F.concat_ws(",", "tbl", "begin_pos", "end_pos").alias("written"))
+    return C.commit_conflicts(history.withColumn("owner", F.floor(F.col("seq") / TURN) % 2)).select(*L.SOURCE, "seq")
 
 
-@add("overlap_check", LOG + BLOCKS + " SELECT part, tbl, block_no FROM rng WHERE block_no > 0 AND block_no % 3 = 0")
+@add("overlap_check", LOG + BLOCKS + " SELECT zone, topic, part, tbl, block_no FROM rng WHERE block_no > 0 AND block_no % 3 = 0")
 def overlap_check(s, d):
     """The real ranges, of which every third begins at the end of the one before it, and one stands twice."""
-    from pyspark.sql import Window
-
-    ranges = K.block_ranges(blocks(s, d)).select("part", "tbl", "block_no", "begin_pos", "end_pos")
-    before = F.lag("end_pos").over(Window.partitionBy("part", "tbl").orderBy("block_no"))
+    ranges = K.block_ranges(blocks(s, d)).select(*L.KEY, "block_no", "begin_pos", "end_pos")
+    before = F.lag("end_pos").over(Window.partitionBy(*L.KEY).orderBy("block_no"))
     shifted = ranges.withColumn("begin_pos", F.when(F.col("block_no") % 3 == 0, F.coalesce(before, "begin_pos")).otherwise(F.col("begin_pos")))
-    return C.overlaps(shifted.unionByName(shifted.where("block_no = 1"))).select("part", "tbl", "block_no")
+    return C.overlaps(shifted.unionByName(shifted.where("block_no = 1"))).select(*L.KEY, "block_no")
 
 
-add("completeness_check", LOG + BLOCKS + ", p AS (SELECT part, max(end_pos) + 1 AS c, sum(cnt) AS n FROM rng GROUP BY 1) SELECT CAST(sum(c) AS BIGINT) AS covered, CAST(sum(n) AS BIGINT) AS loaded FROM p")(lambda s, d: C.completeness(K.block_ranges(blocks(s, d))))
+add("completeness_check", LOG + BLOCKS + ", p AS (SELECT max(end_pos) + 1 AS c, sum(cnt) AS n FROM rng GROUP BY zone, topic, part) SELECT CAST(sum(c) AS BIGINT) AS covered, CAST(sum(n) AS BIGINT) AS loaded FROM p")(lambda s, d: C.completeness(K.block_ranges(blocks(s, d))))
 for name, first, way in (("first_batches", True, ""), ("last_batches", False, "DESC")):
-    add(name, LOG + BLOCKS + f" SELECT part, tbl, begin_pos, end_pos, cnt FROM (SELECT *, row_number() OVER (PARTITION BY part, tbl ORDER BY block_no {way}) AS r FROM rng) WHERE r = 1")(lambda s, d, first=first: C.edge_blocks(K.block_ranges(blocks(s, d)), first))
-add("assignment_history", LOG + BLOCKS + " SELECT part, tbl, begin_pos, nth FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY begin_pos DESC, tbl) AS nth FROM rng) WHERE nth <= 100")(lambda s, d: C.assignments(K.block_ranges(blocks(s, d))).select("part", "tbl", "begin_pos", F.col("nth").cast("long").alias("nth")))
+    add(name, LOG + BLOCKS + f" SELECT zone, topic, part, tbl, begin_pos, end_pos, cnt FROM (SELECT *, row_number() OVER (PARTITION BY zone, topic, part, tbl ORDER BY block_no {way}) AS r FROM rng) WHERE r = 1")(lambda s, d, first=first: C.edge_blocks(K.block_ranges(blocks(s, d)), first))
+add("assignment_history", LOG + BLOCKS + " SELECT zone, topic, part, tbl, begin_pos, nth FROM (SELECT *, row_number() OVER (PARTITION BY zone, topic, part ORDER BY begin_pos DESC, tbl) AS nth FROM rng) WHERE nth <= 100")(lambda s, d: C.assignments(K.block_ranges(blocks(s, d))).select(*L.KEY, "begin_pos", F.col("nth").cast("long").alias("nth")))
 
 # Sink: the log as three polls of each partition, through the loader into a folder, each step twice, as after a failure; then read back.
 EXTRA = [B.Col("id", "bigint"), B.Col("kind", "string"), B.Col("score", "double", nullable=True), B.Col("status", "string", "default", "'normal'"), B.Col("level", "bigint", "default", "3")]
@@ -315,7 +317,7 @@ def log_schema(text: str):
 
 def polls(s, d):
     df = envelopes(s, d, 2).withColumn("tbl", F.when(F.col("arrival_seq") % 97 != 0, F.col("tbl")))
-    return df.join(df.groupBy("part").agg((F.max("pos") + 1).alias("size")), "part").withColumn("poll", F.floor(F.col("pos") * POLLS / F.col("size"))).drop("size")
+    return df.join(df.groupBy(*L.SOURCE).agg((F.max("pos") + 1).alias("size")), L.SOURCE).withColumn("poll", F.floor(F.col("pos") * POLLS / F.col("size"))).drop("size")
 
 
 @cache
@@ -334,15 +336,15 @@ def loaded_store(s, d):
     return _loaded_store(s, s.sparkContext.applicationId, d)
 
 
-STORE = LOG + f""", z AS (SELECT part, max(pos) + 1 AS size FROM log GROUP BY 1), m AS (SELECT log.*, pos * {POLLS} // size AS poll FROM log JOIN z ON z.part = log.part WHERE arrival_seq % 97 <> 0 AND tbl <> 'signup'),
- p AS (SELECT zone, topic, part, tbl, poll, count(*) AS n, min(pos) AS b, max(pos) AS e FROM m GROUP BY 1, 2, 3, 4, 5), o AS (SELECT *, row_number() OVER (PARTITION BY zone, part, tbl ORDER BY poll) AS k FROM p),
+STORE = LOG + f""", z AS (SELECT zone, topic, part, max(pos) + 1 AS size FROM log GROUP BY ALL), m AS (SELECT log.*, pos * {POLLS} // size AS poll FROM log JOIN z USING (zone, topic, part) WHERE arrival_seq % 97 <> 0 AND tbl <> 'signup'),
+ p AS (SELECT zone, topic, part, tbl, poll, count(*) AS n, min(pos) AS b, max(pos) AS e FROM m GROUP BY 1, 2, 3, 4, 5), o AS (SELECT *, row_number() OVER (PARTITION BY zone, topic, part, tbl ORDER BY poll) AS k FROM p),
  w AS (SELECT zone, topic, part, tbl, poll, k, CAST(0 AS BIGINT) AS block_no, n AS rn, n, b, e FROM o WHERE k = 1
   UNION ALL SELECT o.zone, o.topic, o.part, o.tbl, o.poll, o.k, CASE WHEN w.rn > {ROWS} THEN w.block_no + 1 ELSE w.block_no END, CASE WHEN w.rn > {ROWS} THEN o.n ELSE w.rn + o.n END, o.n, o.b, o.e
-  FROM w JOIN o ON o.zone = w.zone AND o.part = w.part AND o.tbl = w.tbl AND o.k = w.k + 1),
+  FROM w JOIN o ON o.zone = w.zone AND o.topic = w.topic AND o.part = w.part AND o.tbl = w.tbl AND o.k = w.k + 1),
  bl AS (SELECT zone, topic, part, tbl, block_no, min(b) AS begin_pos, max(e) AS end_pos, CAST(sum(n) AS BIGINT) AS cnt FROM w GROUP BY 1, 2, 3, 4, 5)"""
-add("exactly_once_sink", STORE + " SELECT md5(concat_ws('|', zone, topic, part, tbl, 0, begin_pos, end_pos)) AS block_id, zone, part, tbl, block_no, begin_pos, end_pos, cnt FROM bl")(lambda s, d: S.ledger(s, loaded_store(s, d)).select("block_id", "zone", "part", "tbl", "block_no", "begin_pos", "end_pos", "cnt"))
-add("buffer_append", STORE + f" SELECT w.zone, w.part, w.tbl, w.block_no, bl.begin_pos, bl.end_pos, rn AS cnt FROM w JOIN bl ON bl.zone = w.zone AND bl.part = w.part AND bl.tbl = w.tbl AND bl.block_no = w.block_no WHERE k = (SELECT max(k) FROM w x WHERE x.zone = w.zone AND x.part = w.part AND x.tbl = w.tbl) AND rn <= {ROWS}")(
-    lambda s, d: store.get(s, loaded_store(s, d), "buffers", S.BUFFERS, 2 * POLLS - 2).where("not closed").select("zone", "part", "tbl", "block_no", "begin_pos", "end_pos", "cnt")
+add("exactly_once_sink", STORE + " SELECT md5(concat_ws('|', zone, topic, part, tbl, 0, begin_pos, end_pos)) AS block_id, zone, topic, part, tbl, block_no, begin_pos, end_pos, cnt FROM bl")(lambda s, d: S.ledger(s, loaded_store(s, d)).select("block_id", *L.KEY, "block_no", "begin_pos", "end_pos", "cnt"))
+add("buffer_append", STORE + f" SELECT zone, topic, part, tbl, block_no, begin_pos, end_pos, rn AS cnt FROM w JOIN (SELECT * FROM bl) bl USING (zone, topic, part, tbl, block_no) WHERE k = (SELECT max(k) FROM w x WHERE x.zone = w.zone AND x.topic = w.topic AND x.part = w.part AND x.tbl = w.tbl) AND rn <= {ROWS}")(
+    lambda s, d: store.get(s, loaded_store(s, d), "buffers", S.BUFFERS, 2 * POLLS - 2).where("not closed").select(*L.KEY, "block_no", "begin_pos", "end_pos", "cnt")
 )
 
 
@@ -350,8 +352,8 @@ def every_table(s, d, *cols):
     return reduce(lambda a, b: a.unionByName(b), [S.loaded(s, loaded_store(s, d), t).select(F.lit(t).alias("tbl"), *cols) for t in TABLES])
 
 
-add("write_block", STORE + " SELECT m.zone, m.part, m.tbl, m.pos, CAST(r AS INTEGER) AS row_in_msg, w.block_no FROM m JOIN w ON w.zone = m.zone AND w.part = m.part AND w.tbl = m.tbl AND w.poll = m.poll, (SELECT unnest(range(2)) AS r)")(
-    lambda s, d: every_table(s, d, F.col("_zone").alias("zone"), F.col("_part").alias("part"), F.col("_pos").alias("pos"), F.col("_row").alias("row_in_msg"), F.col("_block_no").alias("block_no"))
+add("write_block", STORE + " SELECT zone, topic, part, tbl, pos, CAST(r AS INTEGER) AS row_in_msg, block_no FROM m JOIN w USING (zone, topic, part, tbl, poll), (SELECT unnest(range(2)) AS r)")(
+    lambda s, d: every_table(s, d, F.col("_zone").alias("zone"), F.col("_topic").alias("topic"), F.col("_part").alias("part"), F.col("_pos").alias("pos"), F.col("_row").alias("row_in_msg"), F.col("_block_no").alias("block_no"))
 )
 
 
@@ -409,7 +411,7 @@ def typed_cells(s, d):
     )
 
 
-add("rejected_cells", LOG + " SELECT part, pos, 'bad_cell' AS error FROM log WHERE arrival_seq % 192 >= 128")(lambda s, d: S.dead_letters(s, _typed_store(s, s.sparkContext.applicationId, d)).select("part", "pos", "error"))
+add("rejected_cells", LOG + " SELECT zone, topic, part, pos, 'bad_cell' AS error FROM log WHERE arrival_seq % 192 >= 128")(lambda s, d: S.dead_letters(s, _typed_store(s, s.sparkContext.applicationId, d)).select(*L.SOURCE, "pos", "error"))
 
 # A schema that changes in mid-stream: three polls of each partition, of which the second brings a column with a default; old writers go on, and an unknown hash means the latest.
 FLOW = {1: [B.Col("id", "Int64"), B.Col("kind", "String")]}
@@ -420,7 +422,7 @@ FLOW[2] = [*FLOW[1], B.Col("level", "Int32", "default", "3"), B.Col("twice", "bi
 def _changed_store(s, app, d):
     root, a = own_root(s, d, "changed"), F.col("arrival_seq")
     df = log(s, d)
-    df = df.join(df.groupBy("part").agg((F.max("pos") + 1).alias("size")), "part").withColumn("poll", F.floor(F.col("pos") * POLLS / F.col("size")))
+    df = df.join(df.groupBy(*L.SOURCE).agg((F.max("pos") + 1).alias("size")), L.SOURCE).withColumn("poll", F.floor(F.col("pos") * POLLS / F.col("size")))
     version = F.when((F.col("poll") == 0) | (a % 2 != 0), 1).when(F.col("poll") == 1, 2).otherwise(9)
     cells = F.concat(F.lit("["), a.cast("string"), F.lit(',"'), F.col("tbl"), F.lit('"'), F.when(version == 1, "").otherwise(F.concat(F.lit(","), (a % 7).cast("string"))), F.lit("]"))
     marks = F.when(version == 1, "?, ?").otherwise("?, ?, ?")
@@ -431,8 +433,8 @@ def _changed_store(s, app, d):
     return root
 
 
-add("schema_change", LOG + f", z AS (SELECT part, max(pos) + 1 AS size FROM log GROUP BY 1) SELECT zone, log.part, pos, CAST(0 AS BIGINT) AS block_no, arrival_seq AS id, tbl AS kind, CASE WHEN pos * {POLLS} // size = 0 OR arrival_seq % 2 <> 0 THEN 3 ELSE arrival_seq % 7 END AS level, arrival_seq * 2 AS twice FROM log JOIN z ON z.part = log.part")(
-    lambda s, d: S.loaded(s, _changed_store(s, s.sparkContext.applicationId, d), "flow").select(F.col("_zone").alias("zone"), F.col("_part").alias("part"), F.col("_pos").alias("pos"), F.col("_block_no").alias("block_no"), "id", "kind", F.col("level").cast("long").alias("level"), "twice")
+add("schema_change", LOG + f", z AS (SELECT zone, topic, part, max(pos) + 1 AS size FROM log GROUP BY ALL) SELECT zone, topic, part, pos, CAST(0 AS BIGINT) AS block_no, arrival_seq AS id, tbl AS kind, CASE WHEN pos * {POLLS} // size = 0 OR arrival_seq % 2 <> 0 THEN 3 ELSE arrival_seq % 7 END AS level, arrival_seq * 2 AS twice FROM log JOIN z USING (zone, topic, part)")(
+    lambda s, d: S.loaded(s, _changed_store(s, s.sparkContext.applicationId, d), "flow").select(F.col("_zone").alias("zone"), F.col("_topic").alias("topic"), F.col("_part").alias("part"), F.col("_pos").alias("pos"), F.col("_block_no").alias("block_no"), "id", "kind", F.col("level").cast("long").alias("level"), "twice")
 )
 
 
@@ -458,12 +460,12 @@ def histogram_sql(bounds, col):
 
 for name, bounds, col in (("histogram_default", M.default_bounds(), "value * 1000"), ("histogram_extended", M.extended_bounds(), "value * 100000"), ("histogram_pow2", M.pow2_bounds(), "event_id")):
     add(name, histogram_sql(bounds, col))(lambda s, d, bounds=bounds, col=col: M.histogram(base("events")(s, d).select(F.expr(col).alias("v")), "v", bounds))
-add("consumer_lag", LOG + META + ", c AS (SELECT part, min(begin_pos) AS p FROM meta GROUP BY 1), e AS (SELECT topic, part, max(pos) + 1 AS x FROM log GROUP BY 1, 2) SELECT topic, CAST(coalesce(sum(CASE WHEN x - p >= 0 THEN x - p END), -1) AS BIGINT) AS lag FROM e LEFT JOIN c ON c.part = e.part GROUP BY 1")(
-    lambda s, d: M.consumer_lag(log(s, d).groupBy("topic", "part").agg((F.max("pos") + 1).alias("end_pos")), C.commit_offset(meta(s, d)).withColumn("topic", F.lit("events")))
+add("consumer_lag", LOG + META + ", c AS (SELECT zone, topic, part, min(begin_pos) AS p FROM meta GROUP BY ALL), e AS (SELECT zone, topic, part, max(pos) + 1 AS x FROM log GROUP BY ALL) SELECT zone, topic, CAST(coalesce(sum(CASE WHEN x - p >= 0 THEN x - p END), -1) AS BIGINT) AS lag FROM e LEFT JOIN c USING (zone, topic, part) GROUP BY ALL")(
+    lambda s, d: M.consumer_lag(log(s, d).groupBy(*L.SOURCE).agg((F.max("pos") + 1).alias("end_pos")), C.commit_offset(meta(s, d)))
 )
 add("load_retries", LOG + BLOCKS + " SELECT tbl, CAST(sum(block_no % 3) AS BIGINT) AS retries FROM rng GROUP BY 1")(lambda s, d: K.block_ranges(blocks(s, d)).withColumn("retries", F.col("block_no") % 3).groupBy("tbl").agg(F.sum("retries").alias("retries")))
 add("replication_status", LOG + BLOCKS + " SELECT tbl, max(block_no) % 2 = 0 AS is_leader, FALSE AS is_readonly, count(*) AS queue_size, max(end_pos) - min(begin_pos) AS behind, (max(last_us) - min(first_us)) // 1000000 AS queue_age_s FROM rng GROUP BY 1")(
     lambda s, d: M.replication_status(K.block_ranges(blocks(s, d)).groupBy("tbl").agg((F.max("block_no") % 2 == 0).alias("is_leader"), F.lit(False).alias("is_readonly"), F.count("*").alias("queue_size"), F.max("end_pos").alias("log_max_index"), F.min("begin_pos").alias("log_pointer"), F.lit(0).alias("x"), (F.max("last_us") - F.min("first_us")).alias("age")).withColumn("now_s", F.floor(F.col("age") / 1000000)).withColumn("last_queue_update_s", F.lit(0).cast("long")))
 )
 add("table_totals", "SELECT 'documents' AS tbl, count(*) AS total_rows, CAST(coalesce(sum(octet_length(encode(text))), 0) AS BIGINT) AS total_bytes FROM documents UNION ALL SELECT 'pages', count(*), CAST(coalesce(sum(octet_length(encode(html))), 0) AS BIGINT) FROM pages")(lambda s, d: M.table_totals({"documents": (base("documents")(s, d), "text"), "pages": (base("pages")(s, d), "html")}))
-add("commit_progress", LOG + META + ", c AS (SELECT part, min(begin_pos) AS commit_pos FROM meta GROUP BY 1) SELECT log.part, max(pos) AS current_pos, max(commit_pos) AS commit_pos FROM log JOIN c ON c.part = log.part GROUP BY 1")(lambda s, d: log(s, d).groupBy("part").agg(F.max("pos").alias("current_pos")).join(C.commit_offset(meta(s, d)).select("part", "commit_pos"), "part"))
+add("commit_progress", LOG + META + ", c AS (SELECT zone, topic, part, min(begin_pos) AS commit_pos FROM meta GROUP BY ALL) SELECT zone, topic, part, max(pos) AS current_pos, max(commit_pos) AS commit_pos FROM log JOIN c USING (zone, topic, part) GROUP BY ALL")(lambda s, d: log(s, d).groupBy(*L.SOURCE).agg(F.max("pos").alias("current_pos")).join(C.commit_offset(meta(s, d)).select(*L.SOURCE, "commit_pos"), L.SOURCE))

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 #: Order values that share a chunk when rows are numbered; a hot key is numbered chunk by chunk.
 CHUNK = 65_536
+#: A partition of the log, and one table of it. Clusters and topics number their partitions each for themselves.
+SOURCE = ["zone", "topic", "part"]
+KEY = [*SOURCE, "tbl"]
 LOG_COLUMNS = ["zone", "topic", "part", "pos", "tbl", "ts", "payload", "value", "arrival_seq"]
 
 
@@ -21,19 +24,19 @@ def numbered(df: DataFrame, keys: list[str], order: str, name: str, chunk: int =
 
 
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log derived from the events table."""
+    """The log derived from the events table: two clusters with two topics each, all with partitions of the same numbers."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     log = events.select(
-        F.when(F.col("user_id") % 2 == 0, "A").otherwise("B").alias("zone"),
-        F.lit("events").alias("topic"),
-        (F.col("user_id") % 4).cast("long").alias("part"),
+        F.when(F.floor(F.col("user_id") / 2) % 2 == 0, "A").otherwise("B").alias("zone"),
+        F.when(F.floor(F.col("user_id") / 4) % 3 == 0, "audit").otherwise("events").alias("topic"),
+        (F.col("user_id") % 2).cast("long").alias("part"),
         F.col("event_type").alias("tbl"),
         F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts").cast("timestamp_ntz"))).alias("ts"),  # an instant, whatever the session's zone
         F.col("props").alias("payload"),
         "value",
         F.col("event_id").alias("arrival_seq"),
     )
-    return numbered(log, ["part"], "arrival_seq", "pos").select(*LOG_COLUMNS)
+    return numbered(log, SOURCE, "arrival_seq", "pos").select(*LOG_COLUMNS)
 
 
 def read_log(spark: SparkSession, variants: list[dict], streaming: bool = False) -> DataFrame:
@@ -64,10 +67,11 @@ def with_poll_batch(log: DataFrame, n: int) -> DataFrame:
 
 
 def starting_offsets(meta: DataFrame) -> DataFrame:
-    """Kafka's startingOffsets JSON for each topic: the smallest begin of each partition, earliest (-2) where there is none."""
-    first = meta.groupBy("topic", "part").agg(F.coalesce(F.min("begin_pos"), F.lit(-2)).alias("p"))
-    entry = F.concat(F.lit('"'), F.col("part").cast("string"), F.lit('":'), F.col("p").cast("string"))
-    return first.groupBy("topic").agg(F.concat(F.lit("{"), F.array_join(F.array_sort(F.collect_list(entry)), ","), F.lit("}")).alias("offsets"))
+    """Kafka's startingOffsets JSON for each cluster: by topic, the smallest begin of each partition, earliest (-2) where there is none."""
+    first = meta.groupBy(*SOURCE).agg(F.coalesce(F.min("begin_pos"), F.lit(-2)).alias("p"))
+    parts = first.groupBy("zone", "topic").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("part", "p")))).alias("parts"))
+    topics = F.map_from_entries(F.array_sort(F.collect_list(F.struct("topic", "parts")), lambda a, b: F.when(a["topic"] < b["topic"], -1).otherwise(1)))
+    return parts.groupBy("zone").agg(F.to_json(topics).alias("offsets"))
 
 
 def route(log: DataFrame) -> tuple[DataFrame, DataFrame]:

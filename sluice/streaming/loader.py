@@ -34,11 +34,9 @@ from ..operators.binding import Schema, Versions, insert_shape, insertable, late
 from ..operators.blocks import block_id
 from ..operators.commit import epoch_of
 from ..operators.defaults import derive, fill_defaults, migrate
-from ..sources.log import decode, explode_rows
+from ..sources.log import KEY, SOURCE, decode, explode_rows
 from . import store
 
-PART = ["zone", "topic", "part"]
-KEY = [*PART, "tbl"]
 COUNTS = "cnt long, bytes long, begin_pos long, end_pos long, first_us long, last_us long"
 #: Rows of a step: the latest buffer of each key, and earlier ones that the step closed. opened_us: processing time; done: closed by an earlier step.
 BUFFERS = f"zone string, topic string, part long, tbl string, epoch long, block_no long, {COUNTS}, opened_us long, closed boolean, done boolean"
@@ -89,19 +87,19 @@ def with_heartbeat(log: DataFrame, seconds: int = 1) -> DataFrame:
 
 def sequenced(batch: DataFrame, positions: DataFrame, resets: bool) -> DataFrame:
     """One message for each offset that is new to its partition and epoch, with its epoch."""
-    state = positions.select(*PART, F.col("epoch").alias("epoch_"), F.col("last_pos").alias("last_"))
-    rest = [c for c in batch.columns if c not in (*PART, "pos", "arrival")]
+    state = positions.select(*SOURCE, F.col("epoch").alias("epoch_"), F.col("last_pos").alias("last_"))
+    rest = [c for c in batch.columns if c not in (*SOURCE, "pos", "arrival")]
     if resets:
         order = F.col("arrival") if "arrival" in batch.columns else F.monotonically_increasing_id()
-        mark = batch.select(*PART, "pos", *rest, order.cast("long").alias("order_"))
+        mark = batch.select(*SOURCE, "pos", *rest, order.cast("long").alias("order_"))
         # What a partition has reached stands before the batch, like a message.
-        reached = positions.join(batch.select(*PART).distinct(), PART, "left_semi").where("last_pos >= 0").select(*PART, F.col("last_pos").alias("pos"), F.lit(-1).cast("long").alias("order_"))
+        reached = positions.join(batch.select(*SOURCE).distinct(), SOURCE, "left_semi").where("last_pos >= 0").select(*SOURCE, F.col("last_pos").alias("pos"), F.lit(-1).cast("long").alias("order_"))
         batch = epoch_of(mark.unionByName(reached, allowMissingColumns=True), "order_").where("order_ >= 0").withColumnRenamed("epoch", "more_")
     else:
         batch = batch.withColumn("more_", F.lit(0).cast("long"))
     first = [c for c in ("ts", "tbl", "payload") if c in rest] + [c for c in rest if c not in ("ts", "tbl", "payload")]
-    one = batch.groupBy(*PART, "more_", "pos").agg(F.min(F.struct(*first)).alias("m_")).select(*PART, "more_", "pos", "m_.*")
-    both = one.join(state, PART, "left").withColumn("epoch", F.coalesce("epoch_", F.lit(0)) + F.col("more_"))
+    one = batch.groupBy(*SOURCE, "more_", "pos").agg(F.min(F.struct(*first)).alias("m_")).select(*SOURCE, "more_", "pos", "m_.*")
+    both = one.join(state, SOURCE, "left").withColumn("epoch", F.coalesce("epoch_", F.lit(0)) + F.col("more_"))
     return both.where((F.col("more_") > 0) | (F.col("pos") > F.coalesce("last_", F.lit(-1)))).drop("more_", "epoch_", "last_")
 
 
@@ -119,8 +117,8 @@ def grown(buffers: DataFrame, fresh: DataFrame, limits: Limits, flush: bool, tic
     now = good.groupBy(*KEY, F.col("epoch").alias("n_epoch")).agg(F.count("*").alias("n_cnt"), F.sum(F.octet_length("payload")).cast("long").alias("n_bytes"), F.min("pos").alias("n_begin_pos"), F.max("pos").alias("n_end_pos"), F.min(us).alias("n_first_us"), F.max(us).alias("n_last_us"))
     of_key = Window.partitionBy(*KEY)
     now = now.withColumns({"nth_": F.row_number().over(of_key.orderBy("n_epoch")), "head_": F.min("n_epoch").over(of_key)})
-    clock = fresh.groupBy(*PART).agg(F.max(us).alias("clock_us"), F.max("epoch").alias("at_epoch"))
-    both = buffers.join(now, KEY, "full").join(clock, PART, "left").withColumn("tick_", F.lit(tick_us).cast("long"))
+    clock = fresh.groupBy(*SOURCE).agg(F.max(us).alias("clock_us"), F.max("epoch").alias("at_epoch"))
+    both = buffers.join(now, KEY, "full").join(clock, SOURCE, "left").withColumn("tick_", F.lit(tick_us).cast("long"))
     goes_on = F.coalesce(~F.col("closed") & (F.col("epoch") == F.col("head_")), F.lit(False))
     takes = goes_on & (F.col("nth_") == 1)
     add = lambda c: (F.col(f"n_{c}") + F.when(takes, F.col(c)).otherwise(0)).cast("long").alias(c)
@@ -195,12 +193,12 @@ def write_batch(batch: DataFrame, seq: int, root: str, tables: Tables | Callable
     buffers, positions = (store.get(spark, root, t, s, prior) for t, s in (("buffers", BUFFERS), ("positions", POSITIONS)))
     fresh = prepared(sequenced(batch, positions, resets), tables).persist()
     try:
-        new = fresh.groupBy(*PART).agg(F.max("epoch").alias("n_epoch"), F.max_by("pos", F.struct("epoch", "pos")).alias("n_pos"))
+        new = fresh.groupBy(*SOURCE).agg(F.max("epoch").alias("n_epoch"), F.max_by("pos", F.struct("epoch", "pos")).alias("n_pos"))
         said("buffers")
         said("positions")
         store.put_all({
             "buffers": grown(latest_buffers(buffers), fresh, limits, flush, tick_us),
-            "positions": positions.join(new, PART, "full").select(*PART, F.coalesce("n_epoch", "epoch").alias("epoch"), F.coalesce("n_pos", "last_pos").alias("last_pos")),
+            "positions": positions.join(new, SOURCE, "full").select(*SOURCE, F.coalesce("n_epoch", "epoch").alias("epoch"), F.coalesce("n_pos", "last_pos").alias("last_pos")),
         }, root, seq)
         mine = store.get(spark, root, "buffers", BUFFERS, seq)
         good = fresh.where("error is null").join(mine.select(*KEY, "epoch", "block_no"), [*KEY, "epoch"])

@@ -4,11 +4,16 @@ from datetime import datetime
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from sluice import registry
+from sluice.functions import metrics as M
+from sluice.operators import blocks as K
 from sluice.operators import commit as C
+from sluice.sources import log as L
 from sluice.streaming import loader, store
 
-META = "part long, tbl string, begin_pos long, end_pos long, cnt long"
+META = "zone string, topic string, part long, tbl string, begin_pos long, end_pos long, cnt long"
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
@@ -23,12 +28,12 @@ def test_synthetic_log(spark, sf_dir):
 
 def test_metadata_text(spark):
     """Both versions, an empty table among others, back and forth; tables stand by name."""
-    meta = spark.createDataFrame([(3, "orders", 120, 188, 40), (3, "clicks", 97, 96, 0), (3, "views", 101, 150, 25), (5, "orders", 7, 7, 1)], META)
+    meta = spark.createDataFrame([("A", "t", 3, "orders", 120, 188, 40), ("A", "t", 3, "clicks", 97, 96, 0), ("A", "t", 3, "views", 101, 150, 25), ("A", "t", 5, "orders", 7, 7, 1)], META)
     v0 = {r["part"]: r["metadata"] for r in C.meta_to_string(meta).collect()}
     assert v0 == {3: "clicks,97,96,orders,120,188,views,101,150", 5: "orders,7,7"}
     v1 = C.meta_to_string(meta, 1, "west-2", 90)
     assert {r["part"]: r["metadata"] for r in v1.collect()}[3] == "1,,west-2,clicks,97,96,0,orders,120,188,40,views,101,150,25,,90"
-    assert sorted(map(tuple, C.meta_from_string(v1).collect())) == [(3, 90, "clicks", 97, 96, 0), (3, 90, "orders", 120, 188, 40), (3, 90, "views", 101, 150, 25), (5, 90, "orders", 7, 7, 1)]
+    assert sorted(tuple(r)[2:] for r in C.meta_from_string(v1).collect()) == [(3, 90, "clicks", 97, 96, 0), (3, 90, "orders", 120, 188, 40), (3, 90, "views", 101, 150, 25), (5, 90, "orders", 7, 7, 1)]
     parsed = C.meta_from_string(C.meta_to_string(meta)).collect()
     assert {(r["reference"], r["cnt"]) for r in parsed} == {(-1, 0)} and len(parsed) == 4
     assert {r["part"]: r["commit_pos"] for r in C.commit_offset(meta).collect()} == {3: 97, 5: 7}
@@ -36,18 +41,40 @@ def test_metadata_text(spark):
 
 def test_replay_actions(spark):
     """Offsets before the commit, before a table's range, in it, and after it; an empty range applies nothing again; force consumes all."""
-    meta = spark.createDataFrame([(0, "orders", 20, 24, 3), (0, "views", 22, 29, 4), (0, "clicks", 26, 25, 0)], META)
-    rows = [(0, t, p) for p, t in ((18, "views"), (20, "orders"), (21, "views"), (23, "clicks"), (24, "orders"), (25, "orders"), (27, "clicks"), (29, "views"), (30, "views"), (31, "new"))]
-    log = spark.createDataFrame(rows, "part long, tbl string, pos long")
+    meta = spark.createDataFrame([("A", "t", 0, "orders", 20, 24, 3), ("A", "t", 0, "views", 22, 29, 4), ("A", "t", 0, "clicks", 26, 25, 0), ("B", "t", 0, "orders", 0, 90, 91)], META)
+    rows = [("A", "t", 0, tbl, p) for p, tbl in ((18, "views"), (20, "orders"), (21, "views"), (23, "clicks"), (24, "orders"), (25, "orders"), (27, "clicks"), (29, "views"), (30, "views"), (31, "new"))]
+    log = spark.createDataFrame(rows, "zone string, topic string, part long, tbl string, pos long")
     got = {r["pos"]: r["action"] for r in C.classify(log, meta).collect()}
     assert got == {18: "abnormal_before_begin", 20: "replay_append", 21: "skip_before_begin", 23: "skip_already_applied", 24: "replay_append", 25: "consume", 27: "consume", 29: "replay_append", 30: "consume", 31: "consume"}
     assert {r["action"] for r in C.classify(log, meta, True).collect()} == {"consume"}
 
 
+def test_clusters_with_equal_partitions(spark):
+    """Zones and topics whose partitions have the same number keep their own blocks, commits, gaps, lags and start offsets."""
+    sources = [("A", "t"), ("A", "u"), ("B", "t")]
+    rows = [(z, t, 0, "orders", p) for k, (z, t) in enumerate(sources) for p in range(10 * k, 10 * k + 10 + k)]
+    log = spark.createDataFrame(rows, "zone string, topic string, part long, tbl string, pos long").selectExpr("*", "'x' as payload", "timestamp_micros(pos) as ts")
+    meta = C.commit_metadata(K.block_ranges(K.cut_rows(log, 6)))
+    got = {(r["zone"], r["topic"]): (r["begin_pos"], r["end_pos"], r["cnt"]) for r in meta.collect()}
+    assert got == {("A", "t"): (6, 9, 4), ("A", "u"): (16, 20, 5), ("B", "t"): (26, 31, 6)}
+    assert {r["zone"]: json.loads(r["offsets"]) for r in L.starting_offsets(meta).collect()} == {"A": {"t": {"0": 6}, "u": {"0": 16}}, "B": {"t": {"0": 26}}}
+    assert C.rebuild_blocks(log, meta).count() == 15
+    assert [(r["zone"], r["topic"]) for r in C.replay_gap(log.where("not (topic = 'u' and pos < 18)"), meta).collect()] == [("A", "u")]
+    ends = log.groupBy(*L.SOURCE).agg((F.max("pos") + 1).alias("end_pos"))
+    assert {(r["zone"], r["topic"]): r["lag"] for r in M.consumer_lag(ends, C.commit_offset(meta)).collect()} == {("A", "t"): 4, ("A", "u"): 5, ("B", "t"): 6}
+
+
+def test_conflict_of_two_owners(spark):
+    """The owner that was away finds another text than its own last one; taking over the first time is none, nor is a commit in another zone."""
+    rows = [("A", "t", 0, k, o, f"{o}{k}") for k, o in enumerate("xxyyxxy")] + [("B", "t", 0, 0, "y", "y0"), ("B", "t", 0, 1, "y", "y1")]
+    history = spark.createDataFrame(rows, "zone string, topic string, part long, seq long, owner string, written string")
+    assert sorted((r["zone"], r["seq"], r["owner"], r["expected"], r["found"]) for r in C.commit_conflicts(history).collect()) == [("A", 4, "x", "x1", "y3"), ("A", 6, "y", "y3", "x5")]
+
+
 def test_overlaps_with_any_earlier_range(spark):
     """A range is compared with all earlier ones, and one that stands again is reported as often if it overlaps another."""
     rows = [(0, "a", 0, 0, 100), (0, "a", 1, 10, 20), (0, "a", 2, 10, 20), (0, "a", 3, 101, 120), (0, "b", 0, 0, 5), (0, "b", 1, 0, 5), (1, "a", 0, 50, 60), (0, "a", 4, 90, 130)]
-    ranges = spark.createDataFrame(rows, "part long, tbl string, block_no long, begin_pos long, end_pos long")
+    ranges = spark.createDataFrame([("A", "t", *r) for r in rows] + [("B", "t", *r) for r in rows[:1]] + [("A", "u", 0, "b", 7, 3, 9)], "zone string, topic string, part long, tbl string, block_no long, begin_pos long, end_pos long")
     assert sorted((r["part"], r["tbl"], r["block_no"]) for r in C.overlaps(ranges).collect()) == [(0, "a", 1), (0, "a", 2), (0, "a", 3), (0, "a", 4)]
 
 
