@@ -7,12 +7,14 @@ beside the file an index of the members' offsets. Equal payloads of at least MIN
 steps, over all files: the smallest page_id keeps the payload, the others become revisit records. Last, the archives are
 read back, member by member, by their index.
 
-Files go to the shared folder through pyarrow's file systems (local, HDFS, S3), under a task's own name and then moved to a
-name that depends only on the partition and the file's place in it, so a task that runs again replaces what it wrote.
+Files go to the shared folder through pyarrow's file systems (local, HDFS, S3). Spark's own file system names the folder in full first,
+so a path without a scheme means the same to Spark and to the tasks. They are written under a task's own name and then moved to a name that
+depends only on the partition and the file's place in it, so a task that runs again replaces what it wrote.
 
 Edge cases: null html is an empty payload; null page_ids are kept and are never the response to which others refer unless no other id
 has that payload; repeated page_ids each have a record, and one of a group's equal smallest ids is the response; an empty
-table gives an empty result; other columns are not read. Payloads of any length pass through in pieces.
+table gives an empty result; other columns are not read. Files are inflated in pieces, but one record is held whole, as its digest and
+length stand before its payload. Payloads under MINIMUM bytes have no group and take no part in the join, however often one stands there.
 """
 
 from __future__ import annotations
@@ -46,6 +48,12 @@ def store(path: str):
     return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1).replace("s3n://", "s3://", 1))
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme and host that Spark would read it by."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toString()
+
+
 def header(kind: str, length: int, fields: dict[str, str]) -> bytes:
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Date: {DATE}", "Content-Type: application/octet-stream", *(f"{k}: {v}" for k, v in fields.items()), f"Content-Length: {length}"]
     return ("\r\n".join(lines) + "\r\n\r\n").encode()
@@ -159,9 +167,9 @@ def write_monoliths(pages: DataFrame, folder: str) -> DataFrame:
 def settle(records: DataFrame) -> DataFrame:
     """(file, seq, refers_file, refers_seq, refers_to, revisit) for each record. The first of a group is that of the smallest page_id, then file and seq."""
     total = records.count()
+    short, long = records.where(F.col("payload_bytes") < MINIMUM), records.where(F.col("payload_bytes") >= MINIMUM)
     groups = (
-        records.where(F.col("payload_bytes") >= MINIMUM)
-        .groupBy("payload_digest")
+        long.groupBy("payload_digest")
         .agg(F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "file", "seq")).alias("first"), F.count("*").alias("n"))
         .where(F.col("n") > 1)
         .select("payload_digest", "first", "n")
@@ -169,9 +177,10 @@ def settle(records: DataFrame) -> DataFrame:
     groups = staged(groups, "warc-groups")
     hot = groups.where(F.col("n") > max(1.0, total * HOT)).drop("n")
     rest = groups.where(F.col("n") <= max(1.0, total * HOT)).drop("n")
-    # Most records have no group; only those of middling groups meet in a shuffle.
-    marked = records.join(F.broadcast(hot), "payload_digest", "left")
+    # Records of short payloads stay where they are, those of hot groups are told by broadcast; only the others meet in a shuffle.
+    marked = long.join(F.broadcast(hot), "payload_digest", "left")
     marked = marked.where(F.col("first").isNotNull()).select(*records.columns, "first").unionByName(marked.where(F.col("first").isNull()).drop("first").join(rest, "payload_digest", "left").select(*records.columns, "first"))
+    marked = marked.unionByName(short.withColumn("first", F.lit(None).cast(groups.schema["first"].dataType)))
     revisit = F.col("first").isNotNull() & ((F.col("first.file") != F.col("file")) | (F.col("first.seq") != F.col("seq")))
     return marked.select("file", "seq", F.coalesce(revisit, F.lit(False)).alias("revisit"), F.col("first.page_id").alias("refers_to"), F.col("first.file").alias("refers_file"), F.col("first.seq").alias("refers_seq"))
 
@@ -245,7 +254,7 @@ def read_back(files: DataFrame, folder: str) -> DataFrame:
 
 def archive(spark: SparkSession, pages: DataFrame, folder: str | None = None) -> DataFrame:
     """Write, normalise and read back; the archives stay in the folder (by default in the shared one)."""
-    folder = folder or run_dir(spark, "warc")
+    folder = qualified(spark, folder or run_dir(spark, "warc"))
     files = normalise(settle(write_monoliths(pages, folder)), folder)
     return read_back(files, folder)
 

@@ -473,3 +473,15 @@ def test_warc_odd(spark, tmp_path):
     assert len(got) == len(rows) and sum(r["record_type"] == "response" for r in got if r["payload_bytes"] == 200) == 1
     assert {r["refers_to"] for r in got if r["record_type"] == "revisit"} == {3}
     assert {r["page_id"] for r in got if r["payload_bytes"] == 600_000} == {10}
+
+
+def test_warc_no_pages_and_short_ones(spark, tmp_path):
+    """An empty table gives no rows; short payloads that stand very often are all responses and don't join; the folder is named as Spark names it."""
+    schema = "page_id long, url string, html string"
+    assert warc.archive(spark, spark.createDataFrame([], schema), str(tmp_path / "none")).count() == 0
+    rows = [(k, "u", None if k % 3 else "short") for k in range(900)] + [(900 + k, "u", "y" * (99 + k // 2)) for k in range(4)]
+    got = warc.archive(spark, spark.createDataFrame(rows, schema), str(tmp_path / "some")).collect()
+    assert len(got) == 904 and [(r["page_id"], r["refers_to"]) for r in got if r["record_type"] == "revisit"] == [(903, 902)]
+    assert warc.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    records = spark.createDataFrame([("f", k, k, 5 if k else 100, "d") for k in range(3)], "file string, seq long, page_id long, payload_bytes long, payload_digest string")
+    assert [r["revisit"] for r in warc.settle(records).collect()] == [False] * 3
