@@ -39,22 +39,34 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered(log, SOURCE, "arrival_seq", "pos").select(*LOG_COLUMNS)
 
 
-def read_log(spark: SparkSession, variants: list[dict], streaming: bool = False) -> DataFrame:
-    """One source for each cluster variant, all of one shape, with the variant's zone. format: kafka, parquet, json or orc."""
+def from_kafka(raw: DataFrame) -> DataFrame:
+    """Kafka's records (with headers) as log rows; the table stands in the header `table`, and is null where there is none."""
+    header = F.get(F.filter("headers", lambda h: h["key"] == "table"), 0)["value"].cast("string")
+    return raw.select("topic", F.col("partition").cast("long").alias("part"), F.col("offset").alias("pos"), F.col("timestamp").alias("ts"), header.alias("tbl"), F.col("value").cast("string").alias("payload"))
+
+
+def read_options(variant: dict, offsets: dict[str, str] | None = None) -> dict[str, str]:
+    """The reader's options for a cluster. offsets: the startingOffsets of each zone, as a loader's folder gives them; a zone that has none starts as the variant says."""
+    options = {k: str(v) for k, v in variant.items() if k not in ("zone", "format", "path", "schema")}
+    if variant.get("format", "kafka") == "kafka":
+        options["includeHeaders"] = "true"
+        if offsets and variant["zone"] in offsets:
+            options["startingOffsets"] = offsets[variant["zone"]]
+    return options
+
+
+def read_log(spark: SparkSession, variants: list[dict], streaming: bool = False, offsets: dict[str, str] | None = None) -> DataFrame:
+    """The log of several clusters: one source for each variant, all of one shape, with the variant's zone. A variant has zone, format (kafka, parquet, json or orc;
+    files have the columns of a log but zone), path and schema for files, and the options of its reader. A stream keeps the offsets of each source in its checkpoint;
+    offsets: where Kafka sources start when that is lost or new, see `loader.start_offsets`. Files start anew then, and the loader drops what it has."""
     parts = []
     for v in variants:
-        v = dict(v)
-        zone, form, path = v.pop("zone"), v.pop("format", "kafka"), v.pop("path", None)
-        reader = (spark.readStream if streaming else spark.read).format(form)
+        form = v.get("format", "kafka")
+        reader = (spark.readStream if streaming else spark.read).format(form).options(**read_options(v, offsets))
         if "schema" in v:
-            reader = reader.schema(v.pop("schema"))
-        if form == "kafka":
-            raw = reader.options(includeHeaders="true", **v).load()
-            header = F.element_at(F.filter("headers", lambda h: h["key"] == "table"), 1)["value"].cast("string")
-            df = raw.select("topic", F.col("partition").cast("long").alias("part"), F.col("offset").alias("pos"), F.col("timestamp").alias("ts"), header.alias("tbl"), F.col("value").cast("string").alias("payload"))
-        else:
-            df = reader.options(**v).load(path)
-        parts.append(df.withColumn("zone", F.lit(zone)))
+            reader = reader.schema(v["schema"])
+        df = from_kafka(reader.load()) if form == "kafka" else reader.load(v["path"])
+        parts.append(df.withColumn("zone", F.lit(v["zone"])))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)

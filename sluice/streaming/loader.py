@@ -34,7 +34,7 @@ from ..operators.binding import Schema, Versions, insert_shape, insertable, late
 from ..operators.blocks import block_id
 from ..operators.commit import epoch_of
 from ..operators.defaults import derive, fill_defaults, migrate
-from ..sources.log import KEY, SOURCE, decode, explode_rows
+from ..sources.log import KEY, SOURCE, decode, explode_rows, starting_offsets
 from . import store
 
 COUNTS = "cnt long, bytes long, begin_pos long, end_pos long, first_us long, last_us long"
@@ -252,6 +252,13 @@ def ledger(spark: SparkSession, root: str) -> DataFrame:
     return store.every(spark, root, "ledger", LEDGER)
 
 
+def start_offsets(spark: SparkSession, root: str) -> dict[str, str]:
+    """Kafka's startingOffsets of each cluster: right after the last offset that a step of the folder has taken. A row for each cluster."""
+    last = store.counting(spark, root)
+    at = store.get(spark, root, "positions", POSITIONS, last[-1] if last else None)
+    return {r["zone"]: r["offsets"] for r in starting_offsets(at.select(*SOURCE, (F.col("last_pos") + 1).alias("begin_pos"))).collect()}
+
+
 def open_buffers(spark: SparkSession, root: str) -> DataFrame:
     last = store.counting(spark, root)
     return store.get(spark, root, "buffers", BUFFERS, last[-1] if last else None).where("not closed")
