@@ -19,7 +19,7 @@ from .operators import commit as C
 from .operators import defaults as D
 from .sources import log as L
 from .streaming import loader as S
-from .streaming import store
+from .streaming import measures, store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -305,7 +305,7 @@ for name, first, way in (("first_batches", True, ""), ("last_batches", False, "D
     add(name, LOG + BLOCKS + f" SELECT zone, topic, part, tbl, begin_pos, end_pos, cnt FROM (SELECT *, row_number() OVER (PARTITION BY zone, topic, part, tbl ORDER BY block_no {way}) AS r FROM rng) WHERE r = 1")(lambda s, d, first=first: C.edge_blocks(K.block_ranges(blocks(s, d)), first))
 add("assignment_history", LOG + BLOCKS + " SELECT zone, topic, part, tbl, begin_pos, nth FROM (SELECT *, row_number() OVER (PARTITION BY zone, topic, part ORDER BY begin_pos DESC, tbl) AS nth FROM rng) WHERE nth <= 100")(lambda s, d: C.assignments(K.block_ranges(blocks(s, d))).select(*L.KEY, "begin_pos", F.col("nth").cast("long").alias("nth")))
 
-# Sink: the log as three polls of each partition, through the loader into a folder, each step twice, as after a failure; then read back.
+# Sink: the log as three polls of each partition, through the loader into a folder; then read back. The second breaks off before its ledger and is tried again; each is delivered once more after it counts.
 EXTRA = [B.Col("id", "bigint"), B.Col("kind", "string"), B.Col("score", "double", nullable=True), B.Col("status", "string", "default", "'normal'"), B.Col("level", "bigint", "default", "3")]
 TABLES = {"click": SIMPLE, "view": SIMPLE, "purchase": SIMPLE, "error": EXTRA}  # `signup` is no table: dead letters
 POLLS = 3
@@ -320,14 +320,32 @@ def polls(s, d):
     return df.join(df.groupBy(*L.SOURCE).agg((F.max("pos") + 1).alias("size")), L.SOURCE).withColumn("poll", F.floor(F.col("pos") * POLLS / F.col("size"))).drop("size")
 
 
+class Lost(RuntimeError):
+    """The loader is lost before one of its writes."""
+
+
+BROKEN = (None, "ledger", None)
+
+
+def lose(before):
+    def check(name):
+        if name == before:
+            raise Lost(name)
+
+    return check
+
+
 @cache
 def _loaded_store(s, app, d):
     """Written once for a session and a folder of data; five queries read it."""
     root = f"{store.shared_dir(s)}/sluice-store-{app}-{md5(d.encode()).hexdigest()}"
     df = polls(s, d)
     for k in range(POLLS):
-        for _ in range(2):
-            S.write_batch(df.where(F.col("poll") == k).drop("poll"), 2 * k, root, TABLES, S.Limits(rows=ROWS))
+        for broken in (BROKEN[k], None, None):
+            try:
+                S.write_batch(df.where(F.col("poll") == k).drop("poll"), 2 * k, root, TABLES, S.Limits(rows=ROWS), before_step=broken and lose(broken))
+            except Lost:
+                pass
     S.flush(s, df.drop("poll").schema, root, TABLES)
     return root
 
@@ -463,7 +481,11 @@ for name, bounds, col in (("histogram_default", M.default_bounds(), "value * 100
 add("consumer_lag", LOG + META + ", c AS (SELECT zone, topic, part, min(begin_pos) AS p FROM meta GROUP BY ALL), e AS (SELECT zone, topic, part, max(pos) + 1 AS x FROM log GROUP BY ALL) SELECT zone, topic, CAST(coalesce(sum(CASE WHEN x - p >= 0 THEN x - p END), -1) AS BIGINT) AS lag FROM e LEFT JOIN c USING (zone, topic, part) GROUP BY ALL")(
     lambda s, d: M.consumer_lag(log(s, d).groupBy(*L.SOURCE).agg((F.max("pos") + 1).alias("end_pos")), C.commit_offset(meta(s, d)))
 )
-add("load_retries", LOG + BLOCKS + " SELECT tbl, CAST(sum(block_no % 3) AS BIGINT) AS retries FROM rng GROUP BY 1")(lambda s, d: K.block_ranges(blocks(s, d)).withColumn("retries", F.col("block_no") % 3).groupBy("tbl").agg(F.sum("retries").alias("retries")))
+add("load_retries", STORE + " SELECT tbl, count(*) AS messages, count(*) FILTER (poll = 1) AS repeated FROM m GROUP BY 1")(lambda s, d: measures.repeated(s, loaded_store(s, d)))
+add("step_failures", STORE + f" SELECT CASE WHEN arrival_seq % 97 <> 0 THEN tbl END AS tbl, CASE WHEN arrival_seq % 97 = 0 THEN 'no_table_header' ELSE 'unknown_table' END AS error, count(*) AS n FROM log WHERE arrival_seq % 97 = 0 OR tbl = 'signup' GROUP BY ALL")(lambda s, d: measures.failures(s, loaded_store(s, d)))
+add("step_throughput", STORE + f" SELECT CAST(pos * {POLLS} // size * 2 AS BIGINT) AS seq, count(*) FILTER (arrival_seq % 97 <> 0 AND tbl <> 'signup') AS messages, count(*) FILTER (arrival_seq % 97 = 0 OR tbl = 'signup') AS rejected, CAST(CASE WHEN pos * {POLLS} // size = 1 THEN 1 ELSE 0 END AS BIGINT) AS retries FROM log JOIN z USING (zone, topic, part) GROUP BY 1, 4")(
+    lambda s, d: measures.throughput(s, loaded_store(s, d)).select("seq", "messages", "rejected", "retries")
+)
 add("replication_status", LOG + BLOCKS + " SELECT tbl, max(block_no) % 2 = 0 AS is_leader, FALSE AS is_readonly, count(*) AS queue_size, max(end_pos) - min(begin_pos) AS behind, (max(last_us) - min(first_us)) // 1000000 AS queue_age_s FROM rng GROUP BY 1")(
     lambda s, d: M.replication_status(K.block_ranges(blocks(s, d)).groupBy("tbl").agg((F.max("block_no") % 2 == 0).alias("is_leader"), F.lit(False).alias("is_readonly"), F.count("*").alias("queue_size"), F.max("end_pos").alias("log_max_index"), F.min("begin_pos").alias("log_pointer"), F.lit(0).alias("x"), (F.max("last_us") - F.min("first_us")).alias("age")).withColumn("now_s", F.floor(F.col("age") / 1000000)).withColumn("last_queue_update_s", F.lit(0).cast("long")))
 )

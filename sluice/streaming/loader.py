@@ -23,6 +23,7 @@ a buffer that is open at the change takes rows of both, and readers see all rows
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
@@ -41,7 +42,10 @@ COUNTS = "cnt long, bytes long, begin_pos long, end_pos long, first_us long, las
 #: Rows of a step: the latest buffer of each key, and earlier ones that the step closed. opened_us: processing time; done: closed by an earlier step.
 BUFFERS = f"zone string, topic string, part long, tbl string, epoch long, block_no long, {COUNTS}, opened_us long, closed boolean, done boolean"
 POSITIONS = "zone string, topic string, part long, epoch long, last_pos long"
-LEDGER = f"block_id string, zone string, topic string, part long, tbl string, epoch long, block_no long, {COUNTS}"
+LEDGER = f"block_id string, zone string, topic string, part long, tbl string, epoch long, block_no long, {COUNTS}, loaded_us long"
+#: What a step has seen of each table of a partition; error: null for good messages. When a step, or a broken off try at it, began.
+MEASURES = "zone string, topic string, part long, tbl string, error string, messages long, bytes long, first_us long, last_us long, loaded_us long"
+ATTEMPTS = "step long, began_us long"
 DEAD = "zone string, topic string, part long, pos long, tbl string, error string, payload string"
 SCHEMAS = "tbl string, schema string"
 #: Columns that a loaded table has besides its own.
@@ -171,6 +175,10 @@ def schemas_of(spark: SparkSession, root: str, seq: int, tables: Tables | Callab
     return now
 
 
+def now_us() -> int:
+    return time.time_ns() // 1000
+
+
 def own_step(spark: SparkSession, root: str, seq: int, owner: str) -> None:
     """A settled step has to be the owner's."""
     if (by := store.owner_of(spark, root, seq)) != owner:
@@ -184,6 +192,7 @@ def write_batch(batch: DataFrame, seq: int, root: str, tables: Tables | Callable
     if seq in settled:
         own_step(spark, root, seq, owner)
         return
+    spark.createDataFrame([(seq, now_us())], ATTEMPTS).coalesce(1).write.mode("append").parquet(f"{root}/attempts")
     prior = max((s for s, ok in settled.items() if ok and s < seq), default=None)
     tables = schemas_of(spark, root, seq, tables)
     tick_us = None
@@ -208,7 +217,12 @@ def write_batch(batch: DataFrame, seq: int, root: str, tables: Tables | Callable
         said("dead")
         store.put_all({f"tables/{t}": table_rows(good, t, s) for t, s in tables.items() if t in present} | {"dead": fresh.where("error is not null").select(*names(DEAD))}, root, seq)
         said("ledger")
-        store.put(mine.where("closed and not done").withColumn("block_id", block_id()).select(*names(LEDGER)), root, "ledger", seq)
+        loaded_us = F.lit(now_us()).alias("loaded_us")
+        us = F.unix_micros("ts")
+        store.put_all({
+            "ledger": mine.where("closed and not done").withColumn("block_id", block_id()).select(*names(LEDGER)[:-1], loaded_us),
+            "measures": fresh.groupBy(*KEY, "error").agg(F.count("*").alias("messages"), F.coalesce(F.sum(F.octet_length("payload")), F.lit(0)).cast("long").alias("bytes"), F.min(us).alias("first_us"), F.max(us).alias("last_us")).select("*", loaded_us),
+        }, root, seq)
         said("mark")
         if not store.settle(spark, root, seq, owner):
             own_step(spark, root, seq, owner)
