@@ -1,8 +1,11 @@
 """Work that has to grow no faster than the input: how often a step is made, and over how many tasks it is spread."""
 
+import re
+
 import pytest
 
 from sluice import registry
+from sluice.streaming import loader
 
 
 def plan_of(df):
@@ -14,3 +17,14 @@ def test_envelopes_are_decoded_once(spark, sf_dir, name):
     """A filter on the error does not take a copy of the decoded envelope and INSERT shape to each place that names them."""
     plan = plan_of(registry.QUERIES[name](spark, sf_dir))
     assert (plan.count("from_json"), plan.count("regexp_extract(")) == (1, 2)
+
+
+def gathers(df):
+    """Joins that bring a partition's messages together in one task."""
+    return re.findall(r"SortMergeJoin(?:\(skew=true\))? \[zone#\d+, topic#\d+, part#\d+L\]", df._jdf.queryExecution().sparkPlan().toString())
+
+
+def test_messages_stay_spread(spark, sf_dir):
+    log = registry.log(spark, sf_dir)
+    assert not gathers(registry.polls(spark, sf_dir)) and not gathers(registry.until_half(log)) and not gathers(registry.retained(log))
+    assert not gathers(loader.sequenced(log, spark.createDataFrame([], loader.POSITIONS), False))
