@@ -276,31 +276,47 @@ def shared_least(d_a: Column, d_b: Column, n_a: Column, n_b: Column) -> Column:
     return F.ceil((d_a + d_b - most_apart(n_a, n_b)) / 2)
 
 
+def odd_bits() -> Column:
+    """In how many bits the parities of two members' differences differ."""
+    return reduce(lambda n, k: n + F.bit_count(F.col("odd_a")[k].bitwiseXOR(F.col("odd_b")[k])), range(1, PARITIES), F.bit_count(F.col("odd_a")[0].bitwiseXOR(F.col("odd_b")[0])))
+
+
+def could_meet(own: DataFrame) -> DataFrame:
+    """(pivot, a): in regions of up to LARGE members only those that sizes and parities leave a partner of another component; all members of larger ones."""
+    large = own.groupBy("pivot").count().where(F.col("count") > LARGE).select("pivot")
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    a = own.join(large, "pivot", "left_anti").select("pivot", "a", "n_a", F.col("far").alias("far_a"), F.col("component").alias("c_a"), F.col("odd").alias("odd_a"))
+    b = own.select(F.col("pivot").alias("at"), F.col("a").alias("b"), F.col("n_a").alias("n_b"), F.col("far").alias("far_b"), F.col("component").alias("c_b"), F.col("odd").alias("odd_b"))
+    possible = (F.col("c_a") != F.col("c_b")) & (F.col("far_a") | F.col("far_b")) & (5 * F.least(n_a, n_b) >= 4 * F.greatest(n_a, n_b)) & (odd_bits() <= most_apart(n_a, n_b))
+    some = a.join(b, (F.col("pivot") == F.col("at")) & possible, "left_semi").select("pivot", "a")
+    return some.unionByName(own.join(large, "pivot", "left_semi").select("pivot", "a"))
+
+
 def met_in_regions(diffs: DataFrame) -> DataFrame:
     """(pivot, a, b, n_a, n_b, c_b, bits) of members of a region that may be linked and are of several components; one of them is far from the pivot.
 
     diffs: pivot, a, n_a, far, component, diff. bits: in how many bits the parities of their differences differ, at most as many as shingles. Shingles of differences that one member alone has come first in its order, then rarer ones; as of members' cells, only places up to d - shared_least can be
     where two linked members first meet."""
     parity = [F.expr(f"aggregate(filter(diff, h -> pmod(shiftright(h, 6), {PARITIES}) = {k}), 0L, (s, h) -> s ^ shiftleft(1L, cast(pmod(h, 64) as int)))") for k in range(PARITIES)]
-    entries = diffs.select("pivot", "a", F.explode("diff").alias("e"), "far")
-    own = diffs.select("pivot", "a", "n_a", F.size("diff").alias("d"), "far", "component", F.array(*parity).alias("odd"))
-    # Only shingles that a far member and another both have can be where they meet.
-    shared = entries.groupBy("pivot", "e").agg(F.count("*").alias("times"), F.max("far").alias("any_far")).where("times > 1 and any_far")
+    own = staged(diffs.select("pivot", "a", "n_a", F.size("diff").alias("d"), "far", "component", F.array(*parity).alias("odd")), "jac-own")
+    entries = diffs.join(could_meet(own), ["pivot", "a"], "left_semi").select("pivot", "a", F.explode("diff").alias("e"), "far", "component")
+    # Only shingles that a far member and one of another component both have can be where they meet.
+    shared = entries.groupBy("pivot", "e").agg(F.count("*").alias("times"), F.max("far").alias("any_far"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi and any_far")
     some = staged(entries.select("pivot", "a", "e").join(shared.select("pivot", "e", "times"), ["pivot", "e"]), "jac-shared-diff")
     order = Window.partitionBy("pivot", "a").orderBy("times", "e")
     held = F.count("*").over(Window.partitionBy("pivot", "a"))
-    # Shingles of its own come before; those that only near members share are counted with them, as no far one has them.
+    # Shingles of its own come before; those that only near members, or only one component, share are counted with them, as no member that it may meet has them.
     placed = some.withColumn("behind", held - F.row_number().over(order) + 1).join(own, ["pivot", "a"]).withColumn("place", F.col("d") - F.col("behind"))
     # The farthest place for any partner: differences of linked members differ by at most a quarter of either's shingles.
     placed = staged(placed.where(F.col("place") <= F.floor(F.col("n_a") / 4) + 1).drop("behind"), "jac-places")
     x = placed.where("far").select("pivot", "e", "a", "n_a", F.col("d").alias("d_a"), F.col("component").alias("c_a"), F.col("place").alias("place_a"), F.col("odd").alias("odd_a"))
     y = placed.select("pivot", "e", F.col("a").alias("b"), F.col("n_a").alias("n_b"), F.col("d").alias("d_b"), F.col("far").alias("far_b"), F.col("component").alias("c_b"), F.col("place").alias("place_b"), F.col("odd").alias("odd_b"))
-    bits = reduce(lambda n, k: n + F.bit_count(F.col("odd_a")[k].bitwiseXOR(F.col("odd_b")[k])), range(1, PARITIES), F.bit_count(F.col("odd_a")[0].bitwiseXOR(F.col("odd_b")[0])))
+    bits = odd_bits()
     n_a, n_b, d_a, d_b = (F.col(c) for c in ("n_a", "n_b", "d_a", "d_b"))
     least = shared_least(d_a, d_b, n_a, n_b)
     possible = (F.col("c_a") != F.col("c_b")) & (~F.col("far_b") | (F.col("a") < F.col("b"))) & (5 * F.least(n_a, n_b) >= 4 * F.greatest(n_a, n_b)) & (F.col("place_a") <= d_a - least) & (F.col("place_b") <= d_b - least) & (bits <= most_apart(n_a, n_b))
     met = staged(x.join(y, ["pivot", "e"]).where(possible).select("pivot", "a", "b", "n_a", "n_b", "c_b", bits.alias("bits")).distinct(), "jac-met")
-    discard(some, placed)
+    discard(own, some, placed)
     return met
 
 

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from sluice import registry
+from sluice.llm import jaccard
 from sluice.streaming import loader
 
 
@@ -28,3 +29,39 @@ def test_messages_stay_spread(spark, sf_dir):
     log = registry.log(spark, sf_dir)
     assert not gathers(registry.polls(spark, sf_dir)) and not gathers(registry.until_half(log)) and not gathers(registry.retained(log))
     assert not gathers(loader.sequenced(log, spark.createDataFrame([], loader.POSITIONS), False))
+
+
+def test_one_component_meets_nowhere(spark, monkeypatch):
+    """Shingles that only members of one component share are not joined; members of several components meet as before."""
+    group = [(0, a, 50, True, 1, [*range(10), 100 + a]) for a in range(1, 21)]
+    apart = [(0, 30, 50, True, 30, [900, 901, 902]), (0, 31, 50, True, 31, [900, 901, 903])]
+    diffs = spark.createDataFrame(group + apart, "pivot long, a long, n_a long, far boolean, component long, diff array<long>")
+    counts, staged = {}, jaccard.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", counted)
+    met = jaccard.met_in_regions(diffs)
+    assert {(r["a"], r["b"]) for r in met.collect()} == {(30, 31)}
+    assert counts["jac-shared-diff"] == 4
+
+
+def test_small_regions_join_what_could_meet(spark, monkeypatch):
+    """Of regions with few members only those that could be linked with another are looked at by shingles; the same members meet."""
+    rows = [(p, 10 * p + k, 50, True, 10 * p + k, [5, *range(1000 * p + 40 * k + 10, 1000 * p + 40 * k + 45)]) for p in range(20) for k in range(2)]
+    rows += [(99, 1000 + k, 50, True, 1000 + k, [7, 8, 100 + k]) for k in range(2)]
+    diffs = spark.createDataFrame(rows, "pivot long, a long, n_a long, far boolean, component long, diff array<long>")
+    counts, staged = {}, jaccard.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        counts[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "staged", counted)
+    met = jaccard.met_in_regions(diffs)
+    assert {(r["a"], r["b"]) for r in met.collect()} == {(1000, 1001)}
+    assert counts["jac-shared-diff"] < 44
