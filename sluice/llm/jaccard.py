@@ -12,7 +12,7 @@ Each cell then takes the member that most others share cells with as its documen
 make up its region. Members within 0.2 of their pivot are linked to it and, through it, to each other: they form one component, and none of their pairs is formed. A region whose members are of one
 component is settled.
 
-Regions of several components join recursively. In a pivot's region a member x is known by its difference D(x), the shingles that it or the pivot has but not both, and the symmetric difference of two members is that
+A region of several components and at most LARGE members is a leaf: its members of different components are compared, by sketches, then sets. Larger ones join recursively. In a pivot's region a member x is known by its difference D(x), the shingles that it or the pivot has but not both, and the symmetric difference of two members is that
 of their differences: |D(x)| + |D(y)| - 2 |D(x) & D(y)|. Two that are linked, one of them farther than 0.2 from the pivot, therefore share shingles of their differences, o at least (`shared_least`), by the triangle
 inequality; and the same replication goes on one level down, over what members lack or have beside the pivot: those that no other member of the region has come first, so a member that has many of
 them of its own meets nobody. What meets is compared by differences, which are short where documents are near.
@@ -271,6 +271,14 @@ def open_regions(regions: DataFrame, labels: DataFrame) -> DataFrame:
     return at.join(several, "b", "left_semi").select("a", "n_a", "b", "n_b", "component")
 
 
+def met_in_small_regions(members: DataFrame) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of members of a region (a, n_a, b, component) of at most LARGE that may be linked by their sizes and are of several components: for a member at most LARGE in each of its regions."""
+    side = lambda k: members.select(F.col("b").alias("pivot"), F.col("a").alias(k), F.col("n_a").alias(f"n_{k}"), F.col("component").alias(f"c_{k}"))
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    possible = (F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & (5 * F.least(n_a, n_b) >= 4 * F.greatest(n_a, n_b))
+    return side("a").join(side("b"), "pivot").where(possible).select("a", "b", "n_a", "n_b").distinct()
+
+
 def shared_least(d_a: Column, d_b: Column, n_a: Column, n_b: Column) -> Column:
     """How many shingles of their differences two linked members share at least."""
     return F.ceil((d_a + d_b - most_apart(n_a, n_b)) / 2)
@@ -372,11 +380,15 @@ def joined_regions(members: DataFrame, points: DataFrame, documents: DataFrame)
     near = with_differences(staged(related.where(F.col("bits") <= most).drop("bits"), "jac-near"), documents)
     labels = merged(None, near.where(F.size("diff") <= most).select("a", "b"))
     open_ = staged(open_regions(regions, labels), "jac-open")
-    known = open_.join(near.select("a", "b", "diff"), ["a", "b"])
-    rest = staged(open_.join(related.where(F.col("bits") > most).select("a", "b", "text_a", "text_b"), ["a", "b"]), "jac-rest")
+    here = staged(open_.join(related.select("a", "b", "text_a", "text_b", "bits"), ["a", "b"]), "jac-open-related")
     strangers = staged(open_.join(related.select("a", "b"), ["a", "b"], "left_anti").select("a", F.col("b").alias("pivot")), "jac-strange")
+    # Small regions are compared as they are; of large ones the differences to their pivots are made.
+    large = staged(here.groupBy("b").count().where(F.col("count") > LARGE).select("b"), "jac-large-regions")
+    pairs = staged(met_in_small_regions(here.join(large, "b", "left_anti")), "jac-met-small")
+    known = here.drop("text_a", "text_b", "bits").join(large, "b", "left_semi").join(near.select("a", "b", "diff"), ["a", "b"])
+    rest = staged(here.where(F.col("bits") > most).drop("bits").join(large, "b", "left_semi").select("a", "n_a", "b", "n_b", "component", "text_a", "text_b"), "jac-rest")
     diffs = staged(known.unionByName(with_differences(rest, documents)).select(F.col("b").alias("pivot"), "a", "n_a", (F.size("diff") > most).alias("far"), "component", "diff"), "jac-open-diffs")
-    discard(regions, related, near, open_, rest)
+    discard(regions, related, near, open_, here, large, rest)
     met = met_in_regions(diffs)
     # A member needs one link to a component: the likeliest first, then all that are still apart.
     likely = Window.partitionBy("a", "c_b").orderBy("bits", "b", "pivot")
@@ -386,8 +398,8 @@ def joined_regions(members: DataFrame, points: DataFrame, documents: DataFrame)
     labels = merged(labels, links_by_difference(rest, diffs))
     discard(diffs, met, ranked)
     met = met_in_cells(members, pivots, strangers, labels, points)
-    out = merged(labels, links_by_sets(met, points, documents))
-    discard(pivots, strangers, met)
+    out = merged(labels, links_by_sets(met.unionByName(still_apart(pairs, labels)), points, documents))
+    discard(pivots, strangers, pairs, met)
     return out
 
 

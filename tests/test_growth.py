@@ -65,3 +65,33 @@ def test_small_regions_join_what_could_meet(spark, monkeypatch):
     met = jaccard.met_in_regions(diffs)
     assert {(r["a"], r["b"]) for r in met.collect()} == {(1000, 1001)}
     assert counts["jac-shared-diff"] < 44
+
+
+def test_small_regions_are_compared_as_they_are(spark, monkeypatch):
+    """Long texts that share much with one text, two of them linked: no shingle of a difference is looked up, and the links are those of the recursion."""
+    rows = []
+    for g in range(6):
+        base = [f"g{g}w{j}" for j in range(400)]
+        own = base[:300] + [f"g{g}x{j}" for j in range(100)]
+        for k, words in enumerate((base, own, [*own[:-10], *(f"g{g}z{j}" for j in range(10))], base[:290] + [f"g{g}y{j}" for j in range(110)])):
+            rows.append((10 * g + k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts, staged = {}, jaccard.staged
+
+    def counted(df, name):
+        out = staged(df, name)
+        counts[name] = counts.get(name, 0) + out.count()
+        return out
+
+    def found(large):
+        counts.clear()
+        monkeypatch.setattr(jaccard, "LARGE", large)
+        return {(r["doc_id"], r["component_id"]) for r in jaccard.near_duplicates(docs).collect()}
+
+    monkeypatch.setattr(jaccard, "staged", counted)
+    want = {(10 * g + k, 10 * g + (1 if k == 2 else k)) for g in range(6) for k in range(4)}
+    assert found(jaccard.LARGE) == want
+    assert counts["jac-shared-diff"] == 0 and 0 < counts["jac-met-small"] <= 6 * 6
+    assert found(1) == want
+    assert counts["jac-met-small"] == 0
+    print("LOOKED UP", counts["jac-shared-diff"])
