@@ -37,12 +37,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import discard, staged, table, whole_text
+from .common import discard, lean, staged, table, whole_text
 from .shingles import prefix_length, shingle_sets
 
 #: Shingles that one step of the scan for common ones looks at together; common ones stand in at least COMMON documents.
 LOOK, COMMON, MOST_COMMON = 4_000_000, 8, 1 << 20
-#: Members up to which a region is searched for those that could be linked with no other.
+#: Texts whose sets a Python worker makes at a time.
+PORTION = 512
+#: Members up to which a region is a leaf, whose members are compared with each other.
 LARGE = 64
 RATIO = 0.8
 #: Words of 64 bits of the parities that pairs meet by.
@@ -62,22 +64,28 @@ def set_id(s: np.ndarray) -> int:
 def common_shingles(documents: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Sorted shingles that many documents hold, at most MOST_COMMON, and log2 of how many. A scan adds up those that occur twice within a step; it may miss rarer ones, which only costs time."""
 
+    @lean
     def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size, seen = [], 0, set()
 
         def out() -> pd.DataFrame:
-            u, n = np.unique(np.concatenate(held), return_counts=True)
-            return pd.DataFrame({"s": u[n > 1].view(np.int64), "n": n[n > 1]})
+            every = np.concatenate(held)
+            held.clear()
+            every.sort()
+            at = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+            n = np.diff(np.append(at, len(every)))
+            return pd.DataFrame({"s": every[at[n > 1]].view(np.int64), "n": n[n > 1]})
 
         for b in batches:
-            for s in shingle_sets(list(b.text)):
-                if len(s) and (k := set_id(s)) not in seen:  # copies of a text are one set
-                    seen.add(k)
-                    held.append(s)
-                    size += len(s)
+            for at in range(0, len(b), PORTION):
+                for s in shingle_sets(list(b.text[at : at + PORTION])):
+                    if len(s) and (k := set_id(s)) not in seen:  # copies of a text are one set
+                        seen.add(k)
+                        held.append(s)
+                        size += len(s)
             if size > LOOK:
                 yield out()
-                held, size, seen = [], 0, set()
+                size, seen = 0, set()
         if held:
             yield out()
 
@@ -109,9 +117,10 @@ def scan(documents: DataFrame, common: tuple[np.ndarray, np.ndarray]) -> DataFra
     sent = documents.sparkSession.sparkContext.broadcast(common)
 
     @F.pandas_udf("set_id long, n long, window array<long>, sketch array<long>")
+    @lean
     def sets(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()
-        for texts in batches:
+        for texts in (b[at : at + PORTION] for b in batches for at in range(0, len(b), PORTION)):
             rows = []
             for s in shingle_sets(list(texts)):
                 k, window, sketch = set_id(s) if len(s) else 0, None, None
@@ -160,10 +169,11 @@ def sets_of(documents: DataFrame, close: DataFrame) -> DataFrame:
     """(set_id, shingles) of the sets in close pairs. Each is made once more from one of its texts."""
 
     @F.pandas_udf("array<long>")
+    @lean
     def shingles(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            for at in range(0, len(texts), 512):
-                yield pd.Series([s.view(np.int64) for s in shingle_sets(list(texts[at : at + 512]))], dtype=object)
+            for at in range(0, len(texts), PORTION):
+                yield pd.Series([s.view(np.int64) for s in shingle_sets(list(texts[at : at + PORTION]))], dtype=object)
 
     side = lambda k: close.select(F.col(k).alias("set_id"), F.col(f"text_{k}").alias("text_hash"))
     texts = staged(side("a").unionByName(side("b")).distinct(), "jac-wanted")

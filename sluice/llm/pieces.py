@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, whole_text
+from .common import lean, table, whole_text
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEED, RATE = 20_240_611, 0.1
@@ -270,6 +270,7 @@ def encoded(documents: DataFrame, model: str = MODEL, seed: int = SEED, rate: fl
     sent = spark.sparkContext.broadcast(load(model))
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, lossless boolean" + ", token_ids array<int>" * keep_ids)
+    @lean
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         e = Encoder(*sent.value, rate)
         for every_id, every_text in batches:

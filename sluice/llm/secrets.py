@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, table, whole_text
+from .common import lean, staged, table, whole_text
 
 KINDS = ("assign", "access", "hex")
 #: The least log10 guesses of a secret.
@@ -191,6 +191,7 @@ def corpus_words(documents: DataFrame) -> DataFrame:
     """All words of all documents with their rank, from 1, by frequency, then text. The order is made by ranges, and ranks
     from the sizes of the ranges before."""
 
+    @lean
     def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
         for b in batches:
@@ -217,6 +218,7 @@ def values_of(texts: pd.Series) -> pd.Series:
     return pd.Series([sorted({t[a:b] for a, b in credential_values(t)}) for t in texts], dtype=object)
 
 
+@lean
 def heads_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(key, head) of all parts of a value that can be a word, or its first HEAD letters; a part may come more than once."""
     seen: set[tuple[str, str]] = set()

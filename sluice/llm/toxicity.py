@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fold, labelled_texts, one_label, staged, whole_text
+from .common import fold, labelled_texts, lean, one_label, staged, whole_text
 
 BITS = 20
 #: Most labelled rows that the fit takes.
@@ -108,11 +108,13 @@ def fit(documents: DataFrame, labels: DataFrame, train: Column | None = None, la
     ids = staged(ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample), "toxic-sample")
     rows = labelled_texts(documents, ids, label).select("text", "label")
 
+    @lean
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = Hashes()
         for b in batches:
             yield pd.DataFrame({"x": [np.unique(features(t, hashes)).astype(np.int32) for t in b.text], "label": b.label})
 
+    @lean
     def train_one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [(x, int(y)) for b in batches for x, y in zip(b.x, b.label, strict=True)]
         rows.sort(key=lambda r: (len(r[0]), r[1], r[0].tobytes()))  # any order of arrival gives the same weights
@@ -128,12 +130,11 @@ def fit(documents: DataFrame, labels: DataFrame, train: Column | None = None, la
 def score_column(spark: SparkSession, model: Weights) -> Column:
     """The score of the column `text`; a filter may use it and leave all columns as they are."""
     sent = spark.sparkContext.broadcast((model.index, model.value, model.bias, model.bits))
-    state: dict = {}
-
     @F.pandas_udf("double")
+    @lean
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         index, value, bias, bits = sent.value
-        w, hashes = Weights(index, value, bias, bits).dense(), state.setdefault("hashes", Hashes())
+        w, hashes = Weights(index, value, bias, bits).dense(), Hashes()
         for texts in batches:
             yield pd.Series([score(t, w, bias, hashes, bits) for t in texts], dtype="float64")
 

@@ -95,3 +95,22 @@ def test_small_regions_are_compared_as_they_are(spark, monkeypatch):
     assert found(1) == want
     assert counts["jac-met-small"] == 0
     print("LOOKED UP", counts["jac-shared-diff"])
+
+
+def test_python_workers_give_memory_back():
+    """A task's end gives the memory that Python no longer uses back to the system; workers live on for later stages."""
+    psutil = pytest.importorskip("psutil")
+    own = lambda: psutil.Process().memory_info().rss
+
+    def work(batches):
+        for n in batches:
+            many = [bytes(1000) for _ in range(n)]
+            last.append(bytes(1000))  # stands behind them, so that the heap cannot shrink from its end
+            yield len(many)
+
+    from sluice.llm.common import lean
+
+    last: list[bytes] = []
+    before = own()
+    assert list(lean(work)([100_000, 10])) == [100_000, 10]
+    assert own() - before < 30e6
